@@ -11,7 +11,7 @@ import duckdb
 
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
-    "timestamp": "TIMESTAMP", "float": "FLOAT",
+    "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
 }
 
 

@@ -148,9 +148,9 @@ def _summary_scored(spark, sf_dir):
     + f"), d AS ({_REPORT_SQL}), k AS (SELECT *, row_number() OVER (ORDER BY psi DESC, column_name) AS r FROM d) "
     + """SELECT CAST(0 AS INTEGER) AS line_no, printf('Drift detected: %s', CASE WHEN trigger_retrain THEN 'True' ELSE 'False' END) AS line FROM s
     UNION ALL SELECT 1, printf('Feature drift share: %.1f%%', share_drifted * 100) FROM s
-    UNION ALL SELECT 2, printf('Max PSI: %.3f', max_feature_psi) FROM s
+    UNION ALL SELECT 2, printf('Max PSI: %.3f', round(max_feature_psi, 3)) FROM s
     UNION ALL SELECT 3, printf('Features with drift: %d/%d', n_drifted, n_features) FROM s
-    UNION ALL SELECT CAST(3 + r AS INTEGER), printf('%s %s: PSI=%.3f', CASE WHEN drift THEN 'DRIFT' ELSE 'OK' END, column_name, psi)
+    UNION ALL SELECT CAST(3 + r AS INTEGER), printf('%s %s: PSI=%.3f', CASE WHEN drift THEN 'DRIFT' ELSE 'OK' END, column_name, round(psi, 3))
     FROM k WHERE r <= 5""",
 )
 def _printed(spark, sf_dir):

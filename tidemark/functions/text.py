@@ -13,7 +13,7 @@ def option_set(text: str | None) -> set[str]:
 
 def option_list(column: Column) -> Column:
     """The same split on a column: trimmed, non-empty, distinct, sorted."""
-    parts = F.transform(F.split(column, ","), F.trim)
+    parts = F.transform(F.split(column, ","), lambda s: F.btrim(s, F.lit(" \t\n\x0b\x0c\r")))
     return F.array_sort(F.array_distinct(F.filter(parts, lambda s: s != "")))
 
 

@@ -114,18 +114,26 @@ class Preprocessor:
             exprs.append(f"coalesce(CAST({quoted(c)} AS STRING), '{MISSING}') AS {quoted('_cat_' + c)}")
         stages = [SQLTransformer(statement=f"SELECT {', '.join(exprs)} FROM __THIS__")]
         if encoded:
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                [cats[1:] for cats in encoded.values()],
-                inputCols=["_cat_" + c for c in encoded],
-                outputCols=["_idx_" + c for c in encoded],
-                handleInvalid="keep",
-            )
+            # Columns with equally many labels share a stage: the label table
+            # of one indexer must be rectangular.
+            by_size: dict[int, list[str]] = {}
+            for c, cats in encoded.items():
+                by_size.setdefault(len(cats), []).append(c)
+            indexers = [
+                StringIndexerModel.from_arrays_of_labels(
+                    [encoded[c][1:] for c in group],
+                    inputCols=["_cat_" + c for c in group],
+                    outputCols=["_idx_" + c for c in group],
+                    handleInvalid="keep",
+                )
+                for group in by_size.values()
+            ]
             encoder = OneHotEncoder(
                 inputCols=["_idx_" + c for c in encoded], outputCols=["_hot_" + c for c in encoded], dropLast=True
             )
-            # Sizes come from the indexer's column metadata; no data is read.
-            sample = indexer.transform(stages[0].transform(df.limit(0)))
-            stages += [indexer, encoder.fit(sample)]
+            # Sizes come from the indexers' column metadata; no data is read.
+            sample = PipelineModel([*stages, *indexers]).transform(df.limit(0))
+            stages += [*indexers, encoder.fit(sample)]
             assembled += ["_hot_" + c for c in encoded]
         stages.append(VectorAssembler(inputCols=assembled, outputCol=output, handleInvalid="keep"))
         return PipelineModel(stages)

@@ -6,6 +6,8 @@ final one-row-per-element explode widens the data and nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +19,28 @@ SCORE_KEYS = ("pred_proba", "probability", "score", "YES", "1")
 _NUMBER_TYPES = ("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN")
 
 
-def _variant_kind(v: Column) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Binds ``value`` once for ``body``.
+
+    The stages of the parse each use the one before several times. Written as
+    chained columns, a pushed-down filter would copy every stage into the next.
+    """
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
+def _no_scores() -> Column:
+    return F.lit(None).cast("array<double>").alias("scores")
+
+
+def _kind(v: Column) -> Column:
     """number, text, list, object or other (JSON null included)."""
-    kind = F.schema_of_variant(v)
-    return (
-        F.when(kind.startswith("OBJECT"), "object")
-        .when(kind.startswith("ARRAY"), "list")
-        .when(kind == "STRING", "text")
-        .when(kind.isin(*_NUMBER_TYPES) | kind.startswith("DECIMAL"), "number")
-        .otherwise("other")
+    return _let(
+        F.schema_of_variant(v),
+        lambda t: F.when(t.startswith("OBJECT"), "object")
+        .when(t.startswith("ARRAY"), "list")
+        .when(t == "STRING", "text")
+        .when(t.isin(*_NUMBER_TYPES) | t.startswith("DECIMAL"), "number")
+        .otherwise("other"),
     )
 
 
@@ -36,70 +51,91 @@ def _to_double(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "BOOLEAN", as_bool).otherwise(as_text)
 
 
-def _element_score(vals: Column, positive: str | None) -> tuple[Column, Column]:
-    """(numeric scores, label scores) of an array of variants."""
-    numbers = F.transform(vals, _to_double)
+def _member(key: str) -> Callable[[Column], Column]:
+    return lambda v: F.try_variant_get(v, f"$['{key}']", "variant")
+
+
+def _first(v: Column) -> Column:
+    return F.try_variant_get(v, "$[0]", "variant")
+
+
+def _scores(vals: Column, first: Column, positive: str | None) -> Column:
+    """Numbers if all are numeric, else labels where the shape allows them."""
     if positive is None:
-        return numbers, F.lit(None).cast("array<double>")
-    labels = F.transform(
-        vals, lambda v: F.coalesce(label_to_score(F.try_variant_get(v, "$", "string"), positive), F.lit(0.0))
+        labels = F.lit(None).cast("array<double>")
+    else:
+        labels = F.transform(
+            vals, lambda v: F.coalesce(label_to_score(F.try_variant_get(v, "$", "string"), positive), F.lit(0.0))
+        )
+    return _let(
+        F.transform(vals, _to_double),
+        lambda numbers: F.when((first != "text") & F.forall(numbers, lambda x: x.isNotNull()), numbers)
+        .when(first.isin("text", "object"), labels),
     )
-    return numbers, labels
+
+
+def _list_result(items: Column, keys: tuple[str, ...], positive: str | None) -> Column:
+    """struct(scores, error) of a JSON list; its first element decides the shape."""
+
+    def result(vals: Column, first: Column, error: str) -> Column:
+        return _let(
+            _scores(vals, first, positive),
+            lambda s: F.struct(s.alias("scores"), F.when(s.isNull(), error).alias("error")),
+        )
+
+    def of_objects(head: Column) -> Column:
+        # The first key present in the first element, for all elements.
+        out = F.struct(_no_scores(), F.lit("no score key in elements").alias("error"))
+        for key in reversed(keys):
+            unwrapped = _let(
+                F.transform(items, _member(key)),
+                lambda vs: F.when(_kind(F.get(vs, F.lit(0))) == "list", F.transform(vs, _first)).otherwise(vs),
+            )
+            found = result(unwrapped, F.lit("object"), "values are not numeric; a positive class is needed")
+            out = F.when(_member(key)(head).isNotNull(), found).otherwise(out)
+        return out
+
+    def of_head(head: Column) -> Column:
+        return _let(
+            _kind(head),
+            lambda kind: F.when(kind == "number", result(items, kind, "unsupported element type"))
+            .when(kind == "list", result(F.transform(items, _first), kind, "unsupported element type"))
+            .when(kind == "text", result(items, kind, "string labels need a positive class"))
+            .when(kind == "object", of_objects(head))
+            .otherwise(F.struct(_no_scores(), F.lit("unsupported element type").alias("error"))),
+        )
+
+    empty = F.struct(
+        F.array().cast("array<double>").alias("scores"), F.lit(None).cast("string").alias("error")
+    )
+    return F.when(F.size(items) == 0, empty).otherwise(_let(F.get(items, F.lit(0)), of_head))
 
 
 def parse_payloads(
     df: DataFrame, id_col: str, payload_col: str, pred_key: str | None = None, positive_class: str | None = None
 ) -> DataFrame:
     """(id, scores array<double>, error): exactly one of the last two is NULL."""
-    raw = F.trim(F.col(payload_col))
-    step = df.select(F.col(id_col), raw.alias("_raw"), F.try_parse_json(raw).alias("_json"))
-    inner = F.try_variant_get(F.col("_json"), "$.predictions", "variant")
-    step = step.withColumn(
-        "_body", F.when((_variant_kind(F.col("_json")) == "object") & inner.isNotNull(), inner).otherwise(F.col("_json"))
-    ).withColumn("_shape", _variant_kind(F.col("_body")))
-    step = step.withColumn("_items", F.when(F.col("_shape") == "list", F.try_variant_get("_body", "$", "array<variant>")))
-    step = step.withColumn("_head", F.get("_items", F.lit(0))).withColumn(
-        "_first", F.when(F.size("_items") == 0, "empty").otherwise(_variant_kind(F.col("_head")))
-    )
-
-    # Which key holds the score is decided by the first element.
-    def member(v: Column, key: str) -> Column:
-        return F.try_variant_get(v, f"$['{key}']", "variant")
-
     keys = (pred_key,) if pred_key else SCORE_KEYS
-    chosen = F.coalesce(*[F.when(member(F.col("_head"), k).isNotNull(), F.lit(k)) for k in keys])
-    step = step.withColumn("_key", F.when(F.col("_first") == "object", chosen))
-    picked = F.lit(None).cast("array<variant>")
-    for k in keys:
-        picked = F.when(F.col("_key") == k, F.transform("_items", lambda v, k=k: member(v, k))).otherwise(picked)
-    step = step.withColumn("_picked", picked)
-    first_of = lambda vs: F.transform(vs, lambda v: F.try_variant_get(v, "$[0]", "variant"))
-    nested = _variant_kind(F.get("_picked", F.lit(0))) == "list"
-    step = step.withColumn(
-        "_vals",
-        F.when(F.col("_first") == "list", first_of(F.col("_items")))
-        .when(F.col("_first") == "object", F.when(nested, first_of(F.col("_picked"))).otherwise(F.col("_picked")))
-        .otherwise(F.col("_items")),
-    )
-    numbers, labels = _element_score(F.col("_vals"), positive_class)
-    step = step.withColumn("_numbers", numbers).withColumn("_labels", labels)
-    numeric = F.forall("_numbers", lambda x: x.isNotNull())
-
-    scores = (
-        F.when(F.col("_first") == "empty", F.array().cast("array<double>"))
-        .when(F.col("_first").isin("number", "list") & numeric, F.col("_numbers"))
-        .when((F.col("_first") == "object") & F.col("_key").isNotNull(), F.when(numeric, F.col("_numbers")).otherwise(F.col("_labels")))
-        .when(F.col("_first") == "text", F.col("_labels"))
-    )
-    error = (
-        F.when(F.col("_json").isNull(), F.concat(F.lit("non-JSON text: "), F.coalesce(head_of(F.col("_raw")), F.lit(""))))
-        .when(F.col("_shape") != "list", F.lit("unsupported payload type"))
-        .when((F.col("_first") == "object") & F.col("_key").isNull(), F.lit("no score key in elements"))
-        .when((F.col("_first") == "text"), F.lit("string labels need a positive class"))
-        .when((F.col("_first") == "object"), F.lit("values are not numeric; a positive class is needed"))
-        .otherwise(F.lit("unsupported element type"))
+
+    def of_json(raw: Column, json: Column) -> Column:
+        not_json = F.concat(F.lit("non-JSON text: "), F.coalesce(head_of(raw), F.lit("")))
+        body = _let(
+            F.try_variant_get(json, "$.predictions", "variant"),
+            lambda inner: F.when((_kind(json) == "object") & inner.isNotNull(), inner).otherwise(json),
+        )
+        listed = _let(
+            body,
+            lambda b: F.when(
+                _kind(b) == "list",
+                _let(F.try_variant_get(b, "$", "array<variant>"), lambda items: _list_result(items, keys, positive_class)),
+            ).otherwise(F.struct(_no_scores(), F.lit("unsupported payload type").alias("error"))),
+        )
+        return F.when(json.isNull(), F.struct(_no_scores(), not_json.alias("error"))).otherwise(listed)
+
+    parsed = _let(
+        F.trim(F.col(payload_col)), lambda raw: _let(F.try_parse_json(raw), lambda json: of_json(raw, json))
     )
-    return step.select(id_col, scores.alias("scores"), F.when(scores.isNull(), error).alias("error"))
+    return df.select(id_col, parsed.alias("_parsed")).select(id_col, "_parsed.scores", "_parsed.error")
 
 
 def normalised_scores(parsed: DataFrame, id_col: str) -> DataFrame:
