@@ -11,9 +11,14 @@ def option_set(text: str | None) -> set[str]:
     return {part.strip() for part in (text or "").split(",") if part.strip()}
 
 
+def stripped(column: Column) -> Column:
+    """Without leading and trailing white space, line ends included."""
+    return F.btrim(column, F.lit(" \t\n\x0b\x0c\r"))
+
+
 def option_list(column: Column) -> Column:
     """The same split on a column: trimmed, non-empty, distinct, sorted."""
-    parts = F.transform(F.split(column, ","), lambda s: F.btrim(s, F.lit(" \t\n\x0b\x0c\r")))
+    parts = F.transform(F.split(column, ","), stripped)
     return F.array_sort(F.array_distinct(F.filter(parts, lambda s: s != "")))
 
 

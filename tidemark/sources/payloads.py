@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import head_of, label_to_score
+from ..functions.text import head_of, label_to_score, stripped
 
 # Keys looked for in dictionary elements, in this order.
 SCORE_KEYS = ("pred_proba", "probability", "score", "YES", "1")
@@ -133,7 +133,7 @@ def parse_payloads(
         return F.when(json.isNull(), F.struct(_no_scores(), not_json.alias("error"))).otherwise(listed)
 
     parsed = _let(
-        F.trim(F.col(payload_col)), lambda raw: _let(F.try_parse_json(raw), lambda json: of_json(raw, json))
+        stripped(F.col(payload_col)), lambda raw: _let(F.try_parse_json(raw), lambda json: of_json(raw, json))
     )
     return df.select(id_col, parsed.alias("_parsed")).select(id_col, "_parsed.scores", "_parsed.error")
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import stripped
+
 # Names under which final models are stored.
 EXPERIMENT = "xgb_diabetic_readmission_hpo"
 FINAL_RUN_NAME = "best_model_full_train"
@@ -47,7 +49,7 @@ def _key_values(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return files.select(
         F.regexp_extract(path, rf"/([^/]+)/{kind}/[^/]+$", 1).alias("run_id"),
         F.regexp_extract(path, rf"/{kind}/([^/]+)$", 1).alias("key"),
-        F.trim(F.col("value")).alias("value"),
+        stripped(F.col("value")).alias("value"),
     )
 
 
@@ -124,13 +126,25 @@ def read_trial_results(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_trial_progress(spark: SparkSession, root: str) -> DataFrame:
-    """The CSV form, ``*/progress.csv``; columns are matched by header name."""
-    rows = (
-        spark.read.option("header", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "progress.csv").csv(root)
+    """The CSV form, ``*/progress.csv``: one row per reported line.
+
+    Each small file is read whole and matched by its own header, since files
+    of different trials need not order their columns alike.
+    """
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "progress.csv").text(
+        root, wholetext=True
+    )
+    cells = lambda line: F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    lines = files.select(F.split(stripped(F.col("value")), r"\r?\n").alias("lines"))
+    rows = lines.select(
+        cells(F.get("lines", F.lit(0))).alias("header"),
+        F.explode(F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"),
+    ).select(F.map_from_arrays("header", cells(F.col("line"))).alias("m"))
+    get = lambda k: F.try_element_at("m", F.lit(k))
+    return rows.select(
+        get("trial_id").alias("trial_id"),
+        *[get(c).try_cast("double").alias(c) for c in ("val_auc", "val_ap", "val_acc", "val_f1", "time_total_s")],
     )
-    doubles = [c for c in ("val_auc", "val_ap", "val_acc", "val_f1", "time_total_s") if c in rows.columns]
-    return rows.select("trial_id", *[F.col(c).try_cast("double").alias(c) for c in doubles])
 
 
 def write_config(config: DataFrame, path: str) -> None:
