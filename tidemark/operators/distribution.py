@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.stats import (
+    EXACT_KS_MAX_N,
     MIN_PSI_EDGES,
     MIN_PSI_ROWS,
     bin_number,
@@ -28,12 +29,6 @@ def _quantile_fractions(bins: int) -> list[float]:
     return [i * step for i in range(bins)] + [1.0]
 
 
-def _interpolate(low: Column, high: Column, t: Column) -> Column:
-    """Linear interpolation that is exact at both ends."""
-    gap = high - low
-    return F.when(t < 0.5, low + gap * t).otherwise(high - gap * (1 - t))
-
-
 def ordered_profile(values: DataFrame, bins: int = PSI_BINS, n_buckets: int | None = None) -> DataFrame:
     """Per column: side totals, KS distance and exact baseline quantile edges.
 
@@ -43,36 +38,37 @@ def ordered_profile(values: DataFrame, bins: int = PSI_BINS, n_buckets: int | No
     exceeds r. Quantiles interpolate linearly between order statistics.
     """
     run = running_totals(values, ["pos"], "value", ["n_ref", "n_cur"], n_buckets)
-    finite = ~F.col("value").isin(float("inf"), float("-inf"))
-    before, upto, total = F.col("cum_n_ref") - F.col("n_ref"), F.col("cum_n_ref"), F.col("tot_n_ref")
-    gap = F.abs(
-        F.col("cum_n_ref") / F.greatest(F.col("tot_n_ref"), F.lit(1))
-        - F.col("cum_n_cur") / F.greatest(F.col("tot_n_cur"), F.lit(1))
-    )
-
     fractions = _quantile_fractions(bins)
+    covers = "cum_n_ref - n_ref <= {r} AND {r} < cum_n_ref"
     stats = []
     for i, q in enumerate(fractions):
-        low = F.floor((total - 1) * F.lit(q))
-        high = F.least(low + 1, total - 1)
-        stats.append(F.max(F.when((before <= low) & (low < upto), F.col("value"))).alias(f"_lo{i}"))
-        stats.append(F.max(F.when((before <= high) & (high < upto), F.col("value"))).alias(f"_hi{i}"))
+        low = f"floor((tot_n_ref - 1) * {q!r}D)"
+        high = f"least({low} + 1, tot_n_ref - 1)"
+        stats.append(f"max(CASE WHEN {covers.format(r=low)} THEN value END) AS _lo{i}")
+        stats.append(f"max(CASE WHEN {covers.format(r=high)} THEN value END) AS _hi{i}")
+    finite = "abs(value) < double('infinity')"
+    gap = "abs(cum_n_ref / greatest(tot_n_ref, 1) - cum_n_cur / greatest(tot_n_cur, 1))"
     grouped = run.groupBy("pos").agg(
-        F.max("tot_n_ref").alias("n_ref"),
-        F.max("tot_n_cur").alias("n_cur"),
-        F.sum(F.when(finite, F.col("n_ref")).otherwise(0)).alias("finite_ref"),
-        F.sum(F.when(finite, F.col("n_cur")).otherwise(0)).alias("finite_cur"),
-        F.max(gap).alias("ks_d"),
-        *stats,
+        *map(
+            F.expr,
+            [
+                "max(tot_n_ref) AS n_ref", "max(tot_n_cur) AS n_cur",
+                f"sum(CASE WHEN {finite} THEN n_ref ELSE 0 END) AS finite_ref",
+                f"sum(CASE WHEN {finite} THEN n_cur ELSE 0 END) AS finite_cur",
+                f"max({gap}) AS ks_d", *stats,
+            ],
+        )
     )
+    # Linear interpolation, written to be exact at both ends.
     edges = []
     for i, q in enumerate(fractions):
-        at = (F.col("n_ref") - 1) * F.lit(q)
-        edges.append(_interpolate(F.col(f"_lo{i}"), F.col(f"_hi{i}"), at - F.floor(at)))
-    has_ref = F.col("n_ref") > 0
-    return grouped.select(
+        at = f"((n_ref - 1) * {q!r}D)"
+        t, width = f"({at} - floor({at}))", f"(_hi{i} - _lo{i})"
+        edges.append(f"CASE WHEN {t} < 0.5D THEN _lo{i} + {width} * {t} ELSE _hi{i} - {width} * (1 - {t}) END")
+    distinct = f"array_sort(array_distinct(array({', '.join(edges)})))"
+    return grouped.selectExpr(
         "pos", "n_ref", "n_cur", "finite_ref", "finite_cur", "ks_d",
-        F.when(has_ref, F.array_sort(F.array_distinct(F.array(*edges)))).alias("edges"),
+        f"CASE WHEN n_ref > 0 THEN {distinct} END AS edges",
     )
 
 
@@ -115,6 +111,8 @@ def numeric_metrics(
     with held(values):
         profile = materialised(ordered_profile(values, bins, n_buckets))
         raw = materialised(numeric_psi_from_bins(histogram_by_side(values, profile, bins)))
+    if ks_method == "auto" and not profile.where(F.greatest("n_ref", "n_cur") <= EXACT_KS_MAX_N).limit(1).count():
+        ks_method = "asymp"  # no column is small enough for the exact p-value
     usable = (
         (F.least("n_ref", "n_cur") >= MIN_PSI_ROWS) & (F.size("edges") >= MIN_PSI_EDGES)
     )

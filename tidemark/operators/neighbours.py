@@ -168,7 +168,10 @@ def nearest_in_class(points: DataFrame, k: int = 5, rows_per_block: int = ROWS_P
     wanted = checkpointed(wanted.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")))
     pairs = wanted.select(*_BLOCK, "chunk").distinct()
     visited = blocks.select(*_BLOCK, "id", "vec").join(pairs, _BLOCK)
-    far = visited.groupBy(*_BLOCK, "chunk").cogroup(wanted.groupBy(*_BLOCK, "chunk")).applyInPandas(_visit(k), result)
+    asked = wanted.toDF("q_label", "id", "vec", "q_cell", "q_sub", "q_chunk")
+    far = visited.groupBy(*_BLOCK, "chunk").cogroup(
+        asked.groupBy("q_label", "q_cell", "q_sub", "q_chunk")
+    ).applyInPandas(_visit(k), result)
     return _best(near.unionByName(far), k)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from ..functions.stats import count_not_above
 from ..session import checkpointed
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 4096
 SMALL_TABLE_ROWS = 50_000
 
@@ -64,26 +64,21 @@ def join_small(
     return left.join(small, on, how)
 
 
-def bucket_cuts(values: DataFrame, order_col: str, n_buckets: int | None = None) -> list:
-    """Ascending cut points that split the distinct values into even buckets.
+def bucket_cuts(values: DataFrame, order_col: str, total: int, n_buckets: int | None = None) -> list:
+    """Ascending cut points that split ``total`` distinct values into even buckets.
 
     Numbers use a quantile sketch. Other types use a hash sample whose expected
     size is the bucket count. Both stay within a few times ``MAX_BUCKETS``
     entries whatever the data; no cuts means one bucket is enough.
     """
-    numeric = isinstance(values.schema[order_col].dataType, T.NumericType)
     if n_buckets is None:
-        total = values.count()
         n_buckets = min(MAX_BUCKETS, math.ceil(total / ROWS_PER_BUCKET))
-    else:
-        total = None
     if n_buckets <= 1:
         return []
-    if numeric:
+    if isinstance(values.schema[order_col].dataType, T.NumericType):
         fractions = [i / n_buckets for i in range(1, n_buckets)]
         row = values.agg(F.percentile_approx(order_col, fractions, 10 * n_buckets).alias("cuts")).first()
         return sorted(set(row["cuts"] or []))
-    total = values.count() if total is None else total
     threshold = math.ceil((1 << 40) * min(1.0, n_buckets / max(total, 1)))
     sampled = values.where(F.pmod(F.xxhash64(order_col), F.lit(1 << 40)) < threshold)
     row = sampled.agg(F.array_sort(F.collect_set(order_col)).alias("cuts")).first()
@@ -98,60 +93,56 @@ def with_bucket(values: DataFrame, order_col: str, cuts: list) -> DataFrame:
     return values.withColumn("_bucket", F.coalesce(count_not_above(edges, F.col(order_col), len(cuts)), F.lit(0)))
 
 
+def group_totals(values: DataFrame, groups: list[str], sums: list[str]) -> tuple[DataFrame, int]:
+    """(groups, tot_<c>) held as a small table if it is one, and the row count."""
+    totals = materialised(
+        values.groupBy(*groups).agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"tot_{c}") for c in sums]
+        )
+    )
+    total = totals.agg(F.sum("_rows")).first()[0] or 0
+    return totals.drop("_rows"), total
+
+
 def running_totals(
-    values: DataFrame,
-    groups: list[str],
-    order_col: str,
-    sums: list[str],
-    n_buckets: int | None = None,
-    bucket_col: str | None = None,
+    values: DataFrame, groups: list[str], order_col: str, sums: list[str], n_buckets: int | None = None
 ) -> DataFrame:
     """Adds ``cum_<c>`` (inclusive, ascending) and ``tot_<c>`` for each summed column.
 
     ``values`` holds one row per (groups, order_col); hold it if it is costly,
-    since it is counted before the plan is chosen. ``bucket_col`` names a ready
-    bucket column when the order already has an even prefix (a hash).
+    since its totals are taken before the plan is chosen.
 
     With buckets, the rows are shuffled once by (groups, bucket): the window
     and the join with the bucket offsets both use that layout.
     """
-    if bucket_col is None:
-        cuts = bucket_cuts(values, order_col, n_buckets)
-        if not cuts:
-            return _one_window(values, groups, order_col, sums)
-        bucketed = with_bucket(values, order_col, cuts)
-    else:
-        bucketed = values.withColumn("_bucket", F.col(bucket_col))
+    totals, total = group_totals(values, groups, sums)
+    cuts = bucket_cuts(values, order_col, total, n_buckets)
+    run = _bucket_windows(values, groups, order_col, sums, cuts) if cuts else _one_window(values, groups, order_col, sums)
+    if not groups:
+        return run.crossJoin(F.broadcast(totals))  # one row
+    return join_small(run, totals, groups, "inner")
 
+
+def _bucket_windows(values: DataFrame, groups: list[str], order_col: str, sums: list[str], cuts: list) -> DataFrame:
+    bucketed = with_bucket(values, order_col, cuts)
     keys = [*groups, "_bucket"]
-    totals = bucketed.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
-    in_group = Window.partitionBy(*groups)
-    before = in_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
-        *[F.sum(f"_sum_{c}").over(in_group).alias(f"tot_{c}") for c in sums],
+    per_bucket = bucketed.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(
+        *keys, *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums]
     )
-
     inside = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     windowed = bucketed.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
     joined = windowed.join(offsets.hint("merge"), keys)
     return joined.select(
-        *values.columns,
-        *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sums],
-        *[F.col(f"tot_{c}") for c in sums],
+        *values.columns, *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sums]
     )
 
 
 def _one_window(values: DataFrame, groups: list[str], order_col: str, sums: list[str]) -> DataFrame:
     """The plain form, for at most ``ROWS_PER_BUCKET`` rows in all."""
-    whole = Window.partitionBy(*groups)
-    upto = whole.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return values.select(
-        "*",
-        *[F.sum(c).over(upto).alias(f"cum_{c}") for c in sums],
-        *[F.sum(c).over(whole).alias(f"tot_{c}") for c in sums],
-    )
+    upto = Window.partitionBy(*groups).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return values.select("*", *[F.sum(c).over(upto).alias(f"cum_{c}") for c in sums])
 
 
 def distinct_rank(values: DataFrame, groups: list[str], order_col: str, name: str = "rank") -> DataFrame:
