@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import uri_to_path, utc_stamp
-from tidemark.sources.payloads import attach_predictions, normalised_scores, parse_payloads, rejected_payloads
+from tidemark.sources.payloads import attach_predictions, normalised_scores, parse_payloads, read_payloads, rejected_payloads
 from tidemark.sources.people import people_messages, read_people
 from tidemark.sources.reports import read_report_files
 from tidemark.sources.runs import (
@@ -74,6 +74,13 @@ def test_payload_options(spark):
     assert got[2]["error"] == "non-JSON text: " + "x" * 200
 
 
+def test_payload_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"predictions":\n [0.5]}\n')
+    (tmp_path / "b.json").write_text("busy")
+    parsed = parse_payloads(read_payloads(spark, str(tmp_path)), "source", "payload")
+    assert {r["source"]: r["scores"] for r in parsed.collect()} == {"a.json": [0.5], "b.json": None}
+
+
 def test_attach_checks_the_length(spark):
     rows = spark.createDataFrame([(1,), (2,)], "id int")
     scores = spark.createDataFrame([(1, 0.5), (2, 0.6)], "id int, score double")

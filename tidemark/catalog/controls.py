@@ -76,7 +76,7 @@ _SUMMARY_COLUMNS = [
 ]
 
 
-def _summary_columns(summary):
+def summary_columns(summary):
     return summary.select(*_SUMMARY_COLUMNS).withColumns(
         {"critical_hits": F.array_join("critical_hits", ","), "pred_ks_p": F.round("pred_ks_p", 9)}
     )
@@ -102,7 +102,7 @@ def _summary_sql(metrics: str, drift: str, critical: str, pred_psi: str, pred_ga
     ),
 )
 def _summary(spark, sf_dir):
-    return _summary_columns(detect_drift(*lineitem_pair(spark, sf_dir), _OPTIONS).summary)
+    return summary_columns(detect_drift(*lineitem_pair(spark, sf_dir), _OPTIONS).summary)
 
 
 _EVENTS_SCORED = f"""
@@ -119,23 +119,19 @@ _EVENT_METRICS = metrics_sql(
 )
 
 
-def scored_events_summary(spark, sf_dir):
-    """Demo thresholds, synthetic scores, prediction gate with KS."""
-    ref, cur = events_pair(spark, sf_dir)
-    ref, cur = mock_predictions(ref, ["event_id"], 42), mock_predictions(cur, ["event_id"], 123)
-    options = DriftOptions.demo(ignore=frozenset({"event_id"}), ks_method="asymp", pred_ks_p_thresh=0.05)
-    return detect_drift(ref, cur, options).summary
+# Demo thresholds with the KS test on predictions switched on.
+EVENT_OPTIONS = DriftOptions.demo(ignore=frozenset({"event_id"}), ks_method="asymp", pred_ks_p_thresh=0.05)
+SCORED_SUMMARY_SQL = _summary_sql(
+    _EVENT_METRICS, "(psi >= 0.1 OR coalesce(ks_p <= 0.05, false))", "false", "round(pp, 4)",
+    "coalesce(pp >= 0.1 OR pk <= 0.05, false)", (0.3, 1.0),
+)
 
 
-@register(
-    "drift_summary_scored",
-    _summary_sql(
-        _EVENT_METRICS, "(psi >= 0.1 OR coalesce(ks_p <= 0.05, false))", "false", "round(pp, 4)",
-        "coalesce(pp >= 0.1 OR pk <= 0.05, false)", (0.3, 1.0),
-    ),
-)
+@register("drift_summary_scored", SCORED_SUMMARY_SQL)
 def _summary_scored(spark, sf_dir):
-    return _summary_columns(scored_events_summary(spark, sf_dir))
+    ref, cur = events_pair(spark, sf_dir)
+    ref, cur = mock_predictions(ref, ["event_id"], 42), mock_predictions(cur, ["event_id"], 123)
+    return summary_columns(detect_drift(ref, cur, EVENT_OPTIONS).summary)
 
 
 @register(

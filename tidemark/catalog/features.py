@@ -13,14 +13,14 @@ from ..operators.preprocess import (
     scaler_stats,
 )
 from .registry import register, table
-from .samples import LINE_NUMERIC
+from .samples import LINE_NUMERIC, moment
 
 _ORDER_CUT = "1998-01-01"
 
 
 def _order_pair(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    cut = F.lit(_ORDER_CUT).cast("timestamp")
+    cut = moment(orders, "o_orderdate", _ORDER_CUT)
     return orders.where(F.col("o_orderdate") < cut), orders.where(F.col("o_orderdate") >= cut)
 
 

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from ..operators.decomposition import explained_variance, fit_pca, with_vector
 from ..operators.preprocess import fit_preprocessor
+from ..operators.sampling import stratified_split
 from ..operators.smote import oversample
 from ..plans.training import boosted_trees, feature_importance, fit_classifier, random_forest, with_scores
+from ..plans.tuning import fit_final, run_search
+from ..sources.runs import CONFIG_SCHEMA
 from ..streaming.incremental import baseline_bins, psi_per_window, window_histogram
 from .registry import register, table
-from .samples import EVENT_CUT, QUANTILES
+from .samples import EVENT_CUT, QUANTILES, moment
 
 
 @register("pca_explained")
@@ -43,6 +46,29 @@ def _gbt(spark, sf_dir):
     return with_scores(model, rows).select("doc_id", "quality", "pred_proba")
 
 
+@register("search_trials")
+def _search(spark, sf_dir):
+    """Two configurations on three folds, mean metrics per trial."""
+    rows = labelled_documents(spark, sf_dir)
+    names = [f.name for f in CONFIG_SCHEMA.fields]
+    full = {"reg_alpha": 0.0, "reg_lambda": 1.0, **_CONFIG}
+    trials = spark.createDataFrame(
+        [(i, tuple({**full, "n_estimators": n, "max_depth": d}[c] for c in names)) for i, (n, d) in enumerate([(3, 2), (5, 3)])],
+        f"trial_id bigint, config {CONFIG_SCHEMA.simpleString()}",
+    )
+    found = run_search(rows, ["doc_id"], "quality", trials, k=3, exclude=("doc_id",))
+    return found.trials.select("trial_id", "val_auc", "val_ap", "val_acc", "val_f1")
+
+
+@register("final_fit_metrics")
+def _final(spark, sf_dir):
+    """Split, fit on train, measure on test: (metric, value)."""
+    parted = stratified_split(labelled_documents(spark, sf_dir), ["doc_id"], "quality")
+    train, test = (parted.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    metrics = fit_final(train, test, "quality", _CONFIG, ("doc_id",)).metrics
+    return spark.createDataFrame(sorted(metrics.items()), "metric string, value double")
+
+
 @register("rf_importance")
 def _rf(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)
@@ -77,7 +103,7 @@ def _smote(spark, sf_dir):
 )
 def _window_psi(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    baseline = baseline_bins(events.where(F.col("ts") < F.lit(EVENT_CUT).cast("timestamp")), ["value"])
+    baseline = baseline_bins(events.where(F.col("ts") < moment(events, "ts", EVENT_CUT)), ["value"])
     counts = window_histogram(events, baseline.select("column", "edges").distinct(), ["value"], "ts")
     out = psi_per_window(counts, baseline)
     return out.select("window_start", F.col("column").alias("column_name"), "n_cur", F.round("psi", 9).alias("psi"))

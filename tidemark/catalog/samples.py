@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stats import MIN_PSI_EDGES, MIN_PSI_ROWS, SHARE_FLOOR
@@ -16,18 +16,23 @@ LINE_NUMERIC = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_exten
 LINE_CATEGORICAL = ["l_returnflag", "l_linestatus"]
 
 
+def moment(df: DataFrame, column: str, text: str) -> Column:
+    """A literal of the column's own type, so the comparison reaches the scan."""
+    return F.lit(text).cast(df.schema[column].dataType)
+
+
 def lineitem_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Lines shipped before and after a date; ten units added to the later ones."""
     rows = table(spark, sf_dir, "lineitem")
-    ref = rows.where(F.col("l_shipdate") < F.lit(SHIP_CUT).cast("timestamp"))
-    cur = rows.where(F.col("l_shipdate") >= F.lit(SHIP_CUT).cast("timestamp"))
+    cut = moment(rows, "l_shipdate", SHIP_CUT)
+    ref, cur = rows.where(F.col("l_shipdate") < cut), rows.where(F.col("l_shipdate") >= cut)
     cur = cur.withColumn("l_quantity", F.col("l_quantity") + SHIFT)
     return ref.drop("l_shipdate"), cur.drop("l_shipdate")
 
 
 def events_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    cut = F.lit(EVENT_CUT).cast("timestamp")
+    cut = moment(rows, "ts", EVENT_CUT)
     return rows.where(F.col("ts") < cut).drop("ts"), rows.where(F.col("ts") >= cut).drop("ts")
 
 

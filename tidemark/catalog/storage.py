@@ -6,16 +6,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.drift import detect_drift
 from ..operators.sampling import inject_drift, mock_predictions
+from ..plans.refresh import drift_check
+from ..session import checkpoint_dir
 from ..sources.reports import drifted_in_reports, read_reports, write_report
 from ..sources.runs import append_runs, read_config, read_runs, write_config
 from ..sources.tables import read_snapshot, read_table_csv, write_snapshot, write_table_csv
-from ..session import checkpoint_dir
-from .controls import _OPTIONS, _REPORT_SQL
+from .controls import _OPTIONS, _REPORT_SQL, EVENT_OPTIONS, SCORED_SUMMARY_SQL, summary_columns
 from .experiments import _FOLDS, fold_metrics
 from .registry import register, table
-from .samples import beta_sql, lineitem_pair
-from ..operators.drift import detect_drift
+from .samples import beta_sql, events_pair, lineitem_pair
 
 
 def _scratch(spark, what: str) -> str:
@@ -60,6 +61,17 @@ def _report(spark, sf_dir):
     return rows.select("run_ts", F.col("column").alias("column_name"), "type", "psi", F.round("ks_p", 9).alias("ks_p"))
 
 
+@register("drift_check_job", SCORED_SUMMARY_SQL)
+def _check_job(spark, sf_dir):
+    """The whole check: score both sides, snapshot, compare, write the report, read it back."""
+    path = _scratch(spark, "check")
+    drift_check(
+        *events_pair(spark, sf_dir), EVENT_OPTIONS, keys=["event_id"], report_path=f"{path}/reports",
+        snapshot_path=f"{path}/scored",
+    )
+    return summary_columns(read_reports(spark, f"{path}/reports"))
+
+
 @register(
     "run_store_round_trip",
     f"WITH {_FOLDS} SELECT 'trial-' || trial_id || '-' || fold AS run_id, round(auc, 9) AS auc, CAST(fold AS VARCHAR) AS fold FROM folds",

@@ -131,10 +131,11 @@ def nearest_in_class(points: DataFrame, k: int = 5, rows_per_block: int = ROWS_P
     """(label, qid, nid, dist, rank): the k nearest other points of each query.
 
     ``points`` is (label, id, vec array<double>, is_query boolean) with one row
-    per distinct vector of a class; ``id`` is a hash in hex.
+    per distinct vector of a class; ``id`` is a hash in hex. It is read several
+    times, so hand in a checkpointed or stored table.
     """
     label_type = points.schema["label"].dataType.simpleString()
-    points = checkpointed(points.select("label", "id", "vec", "is_query"))
+    points = points.select("label", "id", "vec", "is_query")
     sizes = {r["label"]: r["n"] for r in points.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     pivots = _pivots(points, sizes)
     base = f"label {label_type}, id string, vec array<double>, is_query boolean"

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import order_key, uniform
+from ..session import checkpointed
 from .columns import field
 from .neighbours import ROWS_PER_BLOCK, nearest_in_class
 from .ordering import join_small
@@ -58,8 +59,10 @@ def oversample(
     rows = _copies_per_row(df.select(key, label, features), key, label, counts, seed).select(
         field(label).alias("label"), field(key).alias("key"), vector_to_array(features).alias("vec"), "_copies"
     ).withColumn("id", F.md5(F.array_join(F.col("vec").cast("array<string>"), ",")))
-    distinct = rows.groupBy("label", "id").agg(
-        F.first("vec").alias("vec"), F.count(F.lit(1)).alias("mult"), F.sum("_copies").alias("_children")
+    distinct = checkpointed(
+        rows.groupBy("label", "id").agg(
+            F.first("vec").alias("vec"), F.count(F.lit(1)).alias("mult"), F.sum("_copies").alias("_children")
+        )
     )
     asking = (F.col("mult") <= k) & (F.col("_children") > 0)
     near = nearest_in_class(distinct.withColumn("is_query", asking), k, rows_per_block)

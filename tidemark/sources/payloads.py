@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import head_of, label_to_score, stripped
@@ -47,8 +47,8 @@ def _kind(v: Column) -> Column:
 def _to_double(v: Column) -> Column:
     """Number or numeric text as a double, booleans as 1 and 0, else NULL."""
     as_bool = F.try_variant_get(v, "$", "boolean").cast("double")
-    as_text = F.try_variant_get(v, "$", "string").try_cast("double")
-    return F.when(F.schema_of_variant(v) == "BOOLEAN", as_bool).otherwise(as_text)
+    as_number = F.try_variant_get(v, "$", "string").try_cast("double")
+    return F.coalesce(as_number, F.when(F.schema_of_variant(v) == "BOOLEAN", as_bool))
 
 
 def _member(key: str) -> Callable[[Column], Column]:
@@ -89,7 +89,7 @@ def _list_result(items: Column, keys: tuple[str, ...], positive: str | None) ->
         for key in reversed(keys):
             unwrapped = _let(
                 F.transform(items, _member(key)),
-                lambda vs: F.when(_kind(F.get(vs, F.lit(0))) == "list", F.transform(vs, _first)).otherwise(vs),
+                lambda vs: F.when(_first(F.get(vs, F.lit(0))).isNotNull(), F.transform(vs, _first)).otherwise(vs),
             )
             found = result(unwrapped, F.lit("object"), "values are not numeric; a positive class is needed")
             out = F.when(_member(key)(head).isNotNull(), found).otherwise(out)
@@ -119,16 +119,14 @@ def parse_payloads(
 
     def of_json(raw: Column, json: Column) -> Column:
         not_json = F.concat(F.lit("non-JSON text: "), F.coalesce(head_of(raw), F.lit("")))
-        body = _let(
-            F.try_variant_get(json, "$.predictions", "variant"),
-            lambda inner: F.when((_kind(json) == "object") & inner.isNotNull(), inner).otherwise(json),
-        )
+        # A path or a cast that does not fit the value gives NULL, so neither
+        # step needs to ask for the type first.
+        body = F.coalesce(F.try_variant_get(json, "$.predictions", "variant"), json)
         listed = _let(
-            body,
-            lambda b: F.when(
-                _kind(b) == "list",
-                _let(F.try_variant_get(b, "$", "array<variant>"), lambda items: _list_result(items, keys, positive_class)),
-            ).otherwise(F.struct(_no_scores(), F.lit("unsupported payload type").alias("error"))),
+            F.try_variant_get(body, "$", "array<variant>"),
+            lambda items: F.when(items.isNotNull(), _list_result(items, keys, positive_class)).otherwise(
+                F.struct(_no_scores(), F.lit("unsupported payload type").alias("error"))
+            ),
         )
         return F.when(json.isNull(), F.struct(_no_scores(), not_json.alias("error"))).otherwise(listed)
 
@@ -139,14 +137,25 @@ def parse_payloads(
 
 
 def normalised_scores(parsed: DataFrame, id_col: str) -> DataFrame:
-    """(id, position, score) for every element of every good payload."""
-    return parsed.select(id_col, F.posexplode("scores").alias("position", "score"))
+    """(id, position, score) for every element of every good payload.
+
+    The outer explode keeps Spark from deriving a filter on ``scores`` and
+    pushing a second and third copy of the parse below it.
+    """
+    rows = parsed.select(id_col, F.posexplode_outer("scores").alias("position", "score"))
+    return rows.where(F.col("position").isNotNull())
 
 
 def rejected_payloads(parsed: DataFrame, id_col: str) -> DataFrame:
     return parsed.where(F.col("error").isNotNull()).select(id_col, "error")
 
 
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """(source, payload): one stored answer per file, taken whole."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("payload"))
+
+
 def attach_predictions(df: DataFrame, predictions: DataFrame, on: str, pred_col: str) -> DataFrame:
     """Adds scores by row key after checking that the two lengths agree."""
     n_rows, n_preds = df.count(), predictions.count()
