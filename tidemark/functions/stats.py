@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,13 +37,9 @@ def padded_share(count: Column, total: Column) -> Column:
 def count_not_above(edges: Column, value: Column, max_edges: int) -> Column:
     """How many entries of the ascending array ``edges`` are <= ``value``.
 
-    Short arrays: a sum of comparisons, which stays inside generated code.
-    Longer ones: binary search as a fold over halving steps, so 4096 entries
-    cost 13 comparisons. Reads past the end give NULL and count as "above".
+    Binary search as a fold over halving steps, so 4096 entries cost 13
+    comparisons. Reads past the end give NULL and count as "above".
     """
-    if max_edges <= 16:
-        hits = [F.when(F.get(edges, F.lit(i)) <= value, 1).otherwise(0) for i in range(max_edges)]
-        return reduce(lambda a, b: a + b, hits, F.lit(0))
     steps = [1 << k for k in range(max(max_edges, 1).bit_length() - 1, -1, -1)]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),

@@ -29,42 +29,45 @@ def _quantile_fractions(bins: int) -> list[float]:
     return [i * step for i in range(bins)] + [1.0]
 
 
+def _rank(q: float, up: int, total: str) -> str:
+    """SQL of a 0-based rank next to quantile ``q``: the one below or above it."""
+    low = f"floor(({total} - 1) * {q!r}D)"
+    return f"least({low} + 1, {total} - 1)" if up else low
+
+
 def ordered_profile(values: DataFrame, bins: int = PSI_BINS, n_buckets: int | None = None) -> DataFrame:
     """Per column: side totals, KS distance and exact baseline quantile edges.
 
     ``values`` is (pos, value, n_ref, n_cur). One ordered pass answers all
     three: the KS distance is the largest gap of the two running shares, and an
     order statistic of rank r is the value whose running baseline count first
-    exceeds r. Quantiles interpolate linearly between order statistics.
+    exceeds r. Only values near a wanted rank are kept beside the maximum; the
+    interpolation happens on one row per column.
     """
     run = running_totals(values, ["pos"], "value", ["n_ref", "n_cur"], n_buckets)
     fractions = _quantile_fractions(bins)
-    covers = "cum_n_ref - n_ref <= {r} AND {r} < cum_n_ref"
-    stats = []
-    for i, q in enumerate(fractions):
-        low = f"floor((tot_n_ref - 1) * {q!r}D)"
-        high = f"least({low} + 1, tot_n_ref - 1)"
-        stats.append(f"max(CASE WHEN {covers.format(r=low)} THEN value END) AS _lo{i}")
-        stats.append(f"max(CASE WHEN {covers.format(r=high)} THEN value END) AS _hi{i}")
+    # Values within two ranks of a quantile: a superset of those wanted, told
+    # by arithmetic alone and at most a handful per edge.
+    step = f"({bins} / greatest(tot_n_ref - 1, 1))"
+    near = f"n_ref > 0 AND floor((cum_n_ref + 1) * {step}) >= ceil((cum_n_ref - n_ref - 2) * {step})"
+    hit = F.expr(f"CASE WHEN {near} THEN struct(value, cum_n_ref AS upto) END")
     finite = "abs(value) < double('infinity')"
     gap = "abs(cum_n_ref / greatest(tot_n_ref, 1) - cum_n_cur / greatest(tot_n_cur, 1))"
-    grouped = run.groupBy("pos").agg(
-        *map(
-            F.expr,
-            [
-                "max(tot_n_ref) AS n_ref", "max(tot_n_cur) AS n_cur",
-                f"sum(CASE WHEN {finite} THEN n_ref ELSE 0 END) AS finite_ref",
-                f"sum(CASE WHEN {finite} THEN n_cur ELSE 0 END) AS finite_cur",
-                f"max({gap}) AS ks_d", *stats,
-            ],
-        )
+    grouped = run.withColumn("_hit", hit).groupBy("pos").agg(
+        F.max("tot_n_ref").alias("n_ref"),
+        F.max("tot_n_cur").alias("n_cur"),
+        F.expr(f"sum(CASE WHEN {finite} THEN n_ref ELSE 0 END)").alias("finite_ref"),
+        F.expr(f"sum(CASE WHEN {finite} THEN n_cur ELSE 0 END)").alias("finite_cur"),
+        F.expr(f"max({gap})").alias("ks_d"),
+        F.sort_array(F.collect_list("_hit")).alias("_hits"),
     )
     # Linear interpolation, written to be exact at both ends.
     edges = []
-    for i, q in enumerate(fractions):
+    for q in fractions:
+        low, high = (f"element_at(filter(_hits, h -> h.upto > {_rank(q, up, 'n_ref')}), 1).value" for up in (0, 1))
         at = f"((n_ref - 1) * {q!r}D)"
-        t, width = f"({at} - floor({at}))", f"(_hi{i} - _lo{i})"
-        edges.append(f"CASE WHEN {t} < 0.5D THEN _lo{i} + {width} * {t} ELSE _hi{i} - {width} * (1 - {t}) END")
+        t, width = f"({at} - floor({at}))", f"({high} - {low})"
+        edges.append(f"CASE WHEN {t} < 0.5D THEN {low} + {width} * {t} ELSE {high} - {width} * (1 - {t}) END")
     distinct = f"array_sort(array_distinct(array({', '.join(edges)})))"
     return grouped.selectExpr(
         "pos", "n_ref", "n_cur", "finite_ref", "finite_cur", "ks_d",

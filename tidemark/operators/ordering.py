@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from ..functions.stats import count_not_above
 from ..session import checkpointed
 
-ROWS_PER_BUCKET = 500_000
+ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 4096
 SMALL_TABLE_ROWS = 50_000
 
@@ -112,8 +112,9 @@ def running_totals(
     ``values`` holds one row per (groups, order_col); hold it if it is costly,
     since its totals are taken before the plan is chosen.
 
-    With buckets, the rows are shuffled once by (groups, bucket): the window
-    and the join with the bucket offsets both use that layout.
+    With buckets, the rows are shuffled once, by (groups, bucket). The offsets,
+    one row per group and bucket, are broadcast when few; a larger offset table
+    is joined on the layout the window already has.
     """
     totals, total = group_totals(values, groups, sums)
     cuts = bucket_cuts(values, order_col, total, n_buckets)
@@ -128,12 +129,15 @@ def _bucket_windows(values: DataFrame, groups: list[str], order_col: str, sums:
     keys = [*groups, "_bucket"]
     per_bucket = bucketed.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # Run first, as a table of its own: in a self-join Spark rewrites one side,
+    # and the rewritten copy no longer finds the held values.
     offsets = per_bucket.select(
-        *keys, *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums]
+        *keys,
+        *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
     )
     inside = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     windowed = bucketed.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
-    joined = windowed.join(offsets.hint("merge"), keys)
+    joined = join_small(windowed, materialised(offsets), keys, "inner")
     return joined.select(
         *values.columns, *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sums]
     )
