@@ -70,7 +70,9 @@ def order_runs(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return orders.select(
         F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderstatus").alias("experiment"),
-        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("start_time"),
+        F.expr(
+            "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(o_orderdate AS TIMESTAMP_NTZ))"
+        ).alias("start_time"),
         F.create_map(F.lit("val_auc"), F.col("o_totalprice")).alias("metrics"),
         F.create_map(
             F.lit("max_depth"), F.lit("3"), F.lit("min_child_weight"), F.lit("1"),

@@ -38,7 +38,7 @@ def uri_to_path(uri: Column) -> Column:
 
 
 def utc_stamp(ts: Column) -> Column:
-    """``20240131T235959Z``; the session time zone is UTC."""
+    """``20240131T235959Z`` of a UTC wall-clock time."""
     return F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'")
 
 

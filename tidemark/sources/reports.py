@@ -18,8 +18,12 @@ REPORT_SCHEMA = (
 
 
 def write_report(summary: DataFrame, path: str, at: Column | None = None) -> None:
-    """Appends the one-row summary as JSON under ``run_ts=<UTC stamp>``."""
-    stamped = summary.withColumn("run_ts", utc_stamp(F.current_timestamp() if at is None else at))
+    """Appends the one-row summary as JSON under ``run_ts=<UTC stamp>``.
+
+    ``at`` is a UTC wall-clock time; by default the current one.
+    """
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    stamped = summary.withColumn("run_ts", utc_stamp(now if at is None else at))
     stamped.write.mode("append").partitionBy("run_ts").json(path)
 
 
