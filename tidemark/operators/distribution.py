@@ -182,9 +182,10 @@ def _or_default(metrics: DataFrame, columns: list[str], defaults: dict) -> DataF
 def quantile_edges(df: DataFrame, columns: list[str], bins: int = PSI_BINS) -> DataFrame:
     """(column, edges): distinct exact quantiles of each numeric column."""
     specs = [ComparedColumn(c, "numeric", i) for i, c in enumerate(columns)]
-    values = numeric_value_counts(df, df.limit(0), specs)
     names = df.sparkSession.createDataFrame([(c.position, c.name) for c in specs], "pos int, column string")
-    return ordered_profile(values, bins).join(F.broadcast(names), "pos").select("column", "edges")
+    with held(numeric_value_counts(df, df.limit(0), specs)) as values:
+        profile = materialised(ordered_profile(values, bins))
+    return profile.join(F.broadcast(names), "pos").select("column", "edges")
 
 
 def numeric_histogram(df: DataFrame, columns: list[str], bins: int = 30) -> DataFrame:

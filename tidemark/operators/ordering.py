@@ -150,7 +150,10 @@ def _one_window(values: DataFrame, groups: list[str], order_col: str, sums: list
 
 
 def distinct_rank(values: DataFrame, groups: list[str], order_col: str, name: str = "rank") -> DataFrame:
-    """0-based rank of distinct values inside each group."""
-    ones = values.withColumn("_one", F.lit(1).cast("bigint"))
-    ranked = running_totals(ones, groups, order_col, ["_one"])
-    return ranked.select(*values.columns, (F.col("cum__one") - 1).cast("bigint").alias(name))
+    """0-based rank of distinct values inside each group.
+
+    Run now: a small result becomes a local table, a large one is checkpointed.
+    """
+    with held(values.withColumn("_one", F.lit(1).cast("bigint"))) as ones:
+        ranked = running_totals(ones, groups, order_col, ["_one"])
+        return materialised(ranked.select(*values.columns, (F.col("cum__one") - 1).cast("bigint").alias(name)))
