@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +25,21 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf)
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the Python workers this package, once per application; also for a session the caller made."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_tidemark_shipped", False):
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="tidemark-src-"), "tidemark_src.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        sc._tidemark_shipped = True
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
