@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contamination
 from .substring_dedup import remove_repeats
 
 
@@ -17,6 +18,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate(F.zip_with("starts", "stops", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"),
+                      lambda x, y: x + y)
+    named = F.concat_ws(",", F.array_sort(F.transform("items", lambda i: i.cast("string"))))
+    return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(named, 256).alias("items_sha256"), (F.size("starts") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op9_decontamination": op9_decontamination,
 }
