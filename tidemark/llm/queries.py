@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contamination
+from .packing import pack
 from .substring_dedup import remove_repeats
+from .token_store import write_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +20,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = write_store(_table(spark, sf_dir, "documents"))
+    # Every key is looked up through the index files; its ids come from the shard files.
+    rows = store.read(store.entries.select("doc_id", "copy"))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.col("offset").cast("long").alias("offset"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     hit = F.aggregate(F.zip_with("starts", "stops", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"),
@@ -29,5 +43,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op7_token_store": op7_token_store,
+    "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
 }
