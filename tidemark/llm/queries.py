@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contamination
+from .jaccard_join import near_classes
 from .packing import pack
 from .substring_dedup import remove_repeats
 from .token_store import write_store
@@ -20,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = write_store(_table(spark, sf_dir, "documents"))
     # Every key is looked up through the index files; its ids come from the shard files.
@@ -43,6 +48,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_token_store": op7_token_store,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
