@@ -8,10 +8,10 @@ source, verifies it. A span's words are removed from every document but the smal
 
 What keeps it small at scale:
 
-* Exact copies of a text (equal SHA-256) leave the graph: all but the smallest id are covered by that one.
+* Exact copies of a text (equal 128 bits of SHA-256) leave the graph: all but the smallest id are covered by that one.
 * Only k-mers that can repeat become rows. Each document is reduced to anchors (in every run of ``k - ANCHOR + 1``
-  short n-grams the one of least hash), which depend on nothing but the words: two equal k-mers hold equal anchors. A
-  k-mer without an anchor that another document has is unique and never leaves its task. This loses nothing.
+  short n-grams the one of least hash), which depend on nothing but the words: two equal k-mers have equal anchors. A
+  k-mer whose anchor no other document has is unique and never leaves its task. This loses nothing.
 * A passage that millions of documents share is one edge per word; its rows are pre-aggregated before the shuffle, and
   the join back to its places is one that Spark can split.
 
@@ -29,33 +29,40 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import joined, list_bytes, stored
 from .words import SPACED, Words, documents, find_words, map_blocks, mix, ngrams
 
 #: Words of an anchor.
-ANCHOR = 20
+ANCHOR = 25
+#: Bytes of a text's key.
+KEY_BYTES = 16
 #: Bits of one word pair in a path's checksum: sums over a document of 2^22 words stay below 2^63.
 _CHECK_BITS = np.uint64(24)
 
 EDGE = "source long, target long, doc_id long, place int, checksum long"
 
 
-def anchor_places(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (word indexes of the block) and hashes of anchors: each window's n-gram of least hash, the last of ties."""
+def _own_anchor(words: Words, k: int) -> np.ndarray:
+    """For each k-mer the place of its n-gram of least hash, the last of ties."""
     short = min(ANCHOR, k)
     h = ngrams(words.hashes, short, seed=1)
-    width = k - short + 1
-    m = len(words) - k + 1
-    if m <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    best, size = np.arange(len(h)), 1
+    best, size, width = np.arange(len(h)), 1, k - short + 1
     # Least of a sliding window by doubling; of equal ones the last, which both windows see alike.
     while size < width:
         step = min(size, width - size)
         left, right = best[:-step], best[step:]
         best = np.where(h[right] <= h[left], right, left)
         size += step
-    found = np.unique(best[:m][words.within(k)])
-    return found, h[found]
+    return best
+
+
+def anchor_places(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (word indexes of the block) and hashes of the anchors of a block's k-mers."""
+    m = len(words) - k + 1
+    if m <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    found = np.unique(_own_anchor(words, k)[:m][words.within(k)])
+    return found, ngrams(words.hashes, min(ANCHOR, k), seed=1)[found]
 
 
 def _anchors(k: int):
@@ -66,7 +73,7 @@ def _anchors(k: int):
         cuts = np.searchsorted(found, words.first)
         places = words.place[found].astype(np.int32)
         split = [(h[a:b].view(np.int64), places[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        keys = [hashlib.sha256((t or "").encode()).digest() for t in texts.to_pylist()]
+        keys = [hashlib.sha256((t or "").encode()).digest()[:KEY_BYTES] for t in texts.to_pylist()]
         return {"doc_id": block.column("doc_id"), "key": keys, "n_words": words.counts,
                 "anchors": [a for a, _ in split], "places": [p for _, p in split]}
 
@@ -79,16 +86,13 @@ def _edges(k: int):
         m = len(words) - k + 1
         if m <= 0:
             return None
-        # A k-mer is a candidate if a repeated anchor lies in it: a difference array marks the ranges.
+        # A k-mer can repeat only if its own anchor does.
         listed = block.column("places")
         at = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         sizes = pc.list_value_length(listed).fill_null(0).to_numpy(zero_copy_only=False)
-        at = at + np.repeat(words.first[:-1], sizes)
-        width = k - min(ANCHOR, k) + 1
-        marks = np.zeros(len(words) + 1, np.int32)
-        np.add.at(marks, np.maximum(at - width + 1, 0), 1)
-        np.add.at(marks, np.minimum(at + 1, len(words)), -1)
-        chosen = np.flatnonzero((np.cumsum(marks)[:m] > 0) & words.within(k))
+        marks = np.zeros(len(words), bool)
+        marks[at + np.repeat(words.first[:-1], sizes)] = True
+        chosen = np.flatnonzero(marks[_own_anchor(words, k)[:m]] & words.within(k))
         if not len(chosen):
             return None
         nodes = ngrams(words.hashes, k - 1, seed=2).view(np.int64)
@@ -110,19 +114,19 @@ def text_classes(docs: DataFrame, k: int) -> DataFrame:
 
 
 def repeated_edges(edges: DataFrame) -> DataFrame:
-    """Edges that several documents have: coordinates at the smallest of them and out- and in-degrees of the nodes.
+    """Places of edges that several documents have, with the smallest of these as origin."""
+    found = edges.groupBy("source", "target").agg(F.min("doc_id").alias("origin"), F.max("doc_id").alias("last"))
+    return edges.join(found.where("origin < last").drop("last"), ["source", "target"])
 
-    ``from_open``/``to_open`` say that no other repeated edge leaves the first node or enters the second one.
-    """
-    named = ["source", "target"]
-    found = edges.groupBy(named).agg(
-        F.min(F.struct("doc_id", "place", "checksum")).alias("at"), F.max("doc_id").alias("last"))
-    found = found.where(F.col("at.doc_id") < F.col("last")).select(
-        *named, F.col("at.doc_id").alias("origin"), F.col("at.place").alias("origin_place"),
-        F.col("at.checksum").alias("origin_checksum"))
-    leaving = found.groupBy("source").agg(F.count(F.lit(1)).alias("leaving"))
-    entering = found.groupBy("target").agg(F.count(F.lit(1)).alias("entering"))
-    return found.join(leaving, "source").join(entering, "target")
+
+def at_origin(places: DataFrame) -> DataFrame:
+    """Each repeated edge once, with its first place at its origin and the degrees of its two nodes."""
+    edges = places.where("doc_id = origin").groupBy("source", "target").agg(
+        F.first("origin").alias("origin"), F.min("place").alias("origin_place"),
+        F.min("checksum").alias("origin_checksum"))  # checksums grow with places
+    leaving = edges.groupBy("source").agg(F.count(F.lit(1)).alias("leaving"))
+    entering = edges.groupBy("target").agg(F.count(F.lit(1)).alias("entering"))
+    return edges.join(leaving, "source").join(entering, "target")
 
 
 def compacted(edges: DataFrame) -> DataFrame:
@@ -146,21 +150,23 @@ def repeated_spans(docs: DataFrame, k: int = 50) -> tuple[DataFrame, DataFrame]:
     place of a path in a document, (doc_id, start, n_words, origin, origin_start): these words also stand at the origin,
     whose id is smaller. Spans of a document may overlap.
     """
-    classes = text_classes(docs, k)
-    first = classes.groupBy("key").agg(F.min_by(F.struct("doc_id", "anchors", "places"), "doc_id").alias("one"))
-    heads = classes.groupBy("key").agg(F.min("doc_id").alias("head"))
-    copies = (classes.where(F.col("n_words") >= k).select("doc_id", "key").join(heads, "key")
+    classes = stored(text_classes(docs, k))
+    least = classes.groupBy("key").agg(F.min("doc_id").alias("head"))
+    heads = stored(least.select(F.col("head").alias("doc_id"), F.col("key").alias("head_key")).distinct())
+    copies = (classes.where(F.col("n_words") >= k).select("doc_id", "key").join(least, "key")
               .where(F.col("doc_id") > F.col("head")).select("doc_id").distinct())
 
-    anchors = first.select(F.col("one.doc_id").alias("doc_id"), F.inline(F.arrays_zip("one.anchors", "one.places"))).toDF(
-        "doc_id", "anchor", "place")
-    shared = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-              .where("a < b").select("anchor"))
-    marked = anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-
-    edges = map_blocks(docs.join(marked, "doc_id"), _edges(k), EDGE)
-    paths = compacted(repeated_edges(edges))
-    places = (edges.join(paths, ["source", "target"]).where(F.col("doc_id") > F.col("origin"))
+    listed = joined(classes.where(F.size("anchors") > 0), heads, ["doc_id"], "inner", F.lit(32)).where("key = head_key")
+    anchors = listed.select("doc_id", F.inline(F.arrays_zip("anchors", "places"))).toDF("doc_id", "anchor", "place")
+    shared = stored(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                    .where("a < b").select("anchor"))
+    marked = joined(anchors, shared, ["anchor"], "inner", F.lit(16))
+    marked = stored(marked.groupBy("doc_id").agg(F.collect_list("place").alias("places")))
+
+    edges = stored(map_blocks(joined(docs, marked, ["doc_id"], "inner", list_bytes("places", each=4)), _edges(k), EDGE))
+    repeated = stored(repeated_edges(edges))
+    paths = compacted(at_origin(repeated))
+    places = (repeated.where("doc_id > origin").drop("origin").join(paths, ["source", "target"])
               .select("doc_id", "place", "checksum", "origin", "origin_place", "origin_checksum", "path"))
 
     # Runs of places that move along one path in step with its origin.
@@ -205,7 +211,8 @@ def remove_repeats(df: DataFrame, k: int = 50, id_col: str = "doc_id", text_col:
     # Equal bounds from several origins are one.
     marks = cuts.unionByName(whole).groupBy("doc_id").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans"), F.max("copied").alias("copied"))
-    marks = marks.select("doc_id", "copied", F.filter("spans", lambda s: s["start"].isNotNull()).alias("spans")).select(
-        "doc_id", "copied", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
-    return map_blocks(docs.join(marks, "doc_id", "left"), _cut,
+    marks = marks.withColumn("spans", F.filter("spans", lambda s: s["start"].isNotNull()))
+    marks = stored(marks.select(
+        "doc_id", "copied", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")))
+    return map_blocks(joined(docs, marks, ["doc_id"], "left", list_bytes("starts", "stops", each=4)), _cut,
                       "doc_id long, n_words long, n_removed long, kept string")
