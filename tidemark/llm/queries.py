@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .decontamination import contamination
 from .jaccard_join import near_classes
+from .language_id import identify
 from .packing import pack
 from .substring_dedup import remove_repeats
 from .token_store import write_store
@@ -46,10 +47,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(named, 256).alias("items_sha256"), (F.size("starts") > 0).alias("contaminated"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_token_store": op7_token_store,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
+    "op10_language_id": op10_language_id,
 }
