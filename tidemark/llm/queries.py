@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontamination import contamination
 from .jaccard_join import near_classes
 from .language_id import identify
+from .license_scan import scan_licenses
 from .packing import pack
 from .substring_dedup import remove_repeats
 from .token_store import write_store
@@ -22,6 +23,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents")).drop("templates")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_license_scan": op2_license_scan,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_token_store": op7_token_store,
     "op8_packing": op8_packing,
