@@ -61,7 +61,7 @@ def test_planted(spark):
     got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) for r in scan_licenses(df).collect()}
     assert got == {
         1: (0, 0, None, None, "", "", 0.0), 2: (0, 0, None, None, "", "", 0.0), 3: (9, 2, 1, 5, "mit", "mit", 0.5),
-        4: (8, 2, 0, 3, "cc-by-nc", "cc-by-nc", 0.5), 5: (11, 0, None, None, "", "gpl-3", 1.0),
+        4: (8, 2, 0, 3, "cc-by-nc", "cc-by-nc", 0.5), 5: (12, 0, None, None, "", "gpl-3", 1.0),
         6: (5, 1, 1, 1, "mit", "mit", 1.0), 7: (9, 0, None, None, "", "all-rights-reserved", 1.0),
         8: (50008, 1, 3, 3, "apache-2", "apache-2", 1.0), 9: (8, 0, None, None, "", "", 0.0), 10: (4, 1, 0, 0, "mit", "mit", 0.5)}
     assert scan_licenses(df).count() == len(rows) and scan_licenses(df.where("false")).count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contamination
+from .invertible_sketch import fingerprints
 from .jaccard_join import near_classes
 from .language_id import identify
 from .license_scan import scan_licenses
@@ -31,6 +32,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(_table(spark, sf_dir, "documents"))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents")).drop("changed", "changed_next")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = write_store(_table(spark, sf_dir, "documents"))
     # Every key is looked up through the index files; its ids come from the shard files.
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_token_store": op7_token_store,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
