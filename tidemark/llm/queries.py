@@ -13,6 +13,7 @@ from .license_scan import scan_licenses
 from .packing import pack
 from .substring_dedup import remove_repeats
 from .token_store import write_store
+from .url_filter import judge
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("templates")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
+    "op3_url_filter": op3_url_filter,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_token_store": op7_token_store,

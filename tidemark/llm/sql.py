@@ -2,4 +2,32 @@
 
 from __future__ import annotations
 
+from .license_scan import PHRASES, TEMPLATES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_CONTROL = "'[' || chr(1) || '-/:-@' || chr(91) || '-`{-' || chr(127) || ']+'"
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op3_url_filter"] = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM split
+), judged AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM ruled
+), hosts AS (
+  SELECT host, count(*) FILTER (ruled = 'block') > count(*) FILTER (ruled = 'allow') AS listed FROM judged GROUP BY host
+)
+SELECT page_id, host, path, rule, listed,
+       coalesce(ruled, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged JOIN hosts USING (host)
+"""
