@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contamination
+from .hidden_markov import score_held_out
 from .invertible_sketch import fingerprints
 from .jaccard_join import near_classes
 from .language_id import identify
@@ -37,6 +38,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(_table(spark, sf_dir, "documents"))
 
 
+def op5_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_held_out(_table(spark, sf_dir, "documents"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents")).drop("changed", "changed_next")
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_hidden_markov": op5_hidden_markov,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_token_store": op7_token_store,
     "op8_packing": op8_packing,

@@ -161,6 +161,20 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTE
         yield batch.slice(start)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Put small batches together to blocks of up to ``limit`` bytes of text."""
+    held, size = [], 0
+    for block in blocks(batches, text, limit):
+        own = pc.sum(pc.binary_length(block.column(text))).as_py() or 0
+        if held and size + own > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(block)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_blocks(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, text: str = "text",
                limit: int = BLOCK_BYTES) -> DataFrame:
     """``work`` on every bounded block of ``df``; it returns columns by name, in the order of ``schema``."""
