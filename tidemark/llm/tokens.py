@@ -19,6 +19,8 @@ REMEMBERED = 500_000
 # to a mark, so a text's ids are those of its pieces put together - as long as a text has no other white space, where a
 # longer run could be cut.
 _PIECE = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n.,;:!?]|\Z)|[ \n]*[^ \n]+|[ \n]+")
+# One word of letters is one pre-token: the model merges it without the rest of the library's steps.
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
@@ -28,6 +30,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it is visible, else the next from U+0100."""
+    shown = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Encodes with the tokenizers library, each distinct piece once."""
 
@@ -36,6 +45,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = byte_letters()
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
@@ -43,7 +53,9 @@ class Encoder:
         self.used = 0
 
     def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        model, letters, plain = self.tokenizer.model, self.letters, _PLAIN.fullmatch
+        found = [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] if plain(p) else
+                 self.tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         own = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         i = len(self.known)
