@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import joined, list_bytes, stored
-from .words import SPACED, Words, documents, find_words, map_blocks, mix, ngrams
+from .words import SPACED, Carried, Words, documents, find_words, map_blocks, mix, ngrams
 
 #: Words of an anchor.
 ANCHOR = 25
@@ -163,7 +163,8 @@ def repeated_spans(docs: DataFrame, k: int = 50) -> tuple[DataFrame, DataFrame]:
     marked = joined(anchors, shared, ["anchor"], "inner", F.lit(16))
     marked = stored(marked.groupBy("doc_id").agg(F.collect_list("place").alias("places")))
 
-    edges = stored(map_blocks(joined(docs, marked, ["doc_id"], "inner", list_bytes("places", each=4)), _edges(k), EDGE))
+    # Scanning the marked texts twice costs less disk than a table of all candidate edges.
+    edges = map_blocks(joined(docs, marked, ["doc_id"], "inner", list_bytes("places", each=4)), _edges(k), EDGE)
     repeated = stored(repeated_edges(edges))
     paths = compacted(at_origin(repeated))
     places = (repeated.where("doc_id > origin").drop("origin").join(paths, ["source", "target"])
@@ -184,26 +185,30 @@ def repeated_spans(docs: DataFrame, k: int = 50) -> tuple[DataFrame, DataFrame]:
     return copies, spans
 
 
-def _cut(block: pa.RecordBatch) -> dict:
-    texts = block.column("text")
-    words = find_words(texts, SPACED)
-    marks = np.zeros(len(words) + 1, np.int32)
-    copied = block.column("copied").fill_null(False).to_numpy(zero_copy_only=False)
-    for name, step in (("starts", 1), ("stops", -1)):
-        listed = block.column(name)
-        sizes = pc.list_value_length(listed).fill_null(0).to_numpy(zero_copy_only=False)
-        at = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        np.add.at(marks, at + np.repeat(words.first[:-1], sizes), step)
-    gone = (np.cumsum(marks)[:len(words)] > 0) | copied[words.doc]
-    removed = np.bincount(words.doc, weights=gone, minlength=len(texts)).astype(np.int64)
-    kept = [words.text(d, ~gone if n else None) for d, n in enumerate(removed.tolist())]
-    return {"doc_id": block.column("doc_id"), "n_words": words.counts, "n_removed": removed,
-            "kept": [k.decode() for k in kept]}
+def _cut(carried: Carried):
+    def work(block: pa.RecordBatch) -> dict:
+        texts = block.column("text")
+        words = find_words(texts, SPACED)
+        marks = np.zeros(len(words) + 1, np.int32)
+        copied = block.column("copied").fill_null(False).to_numpy(zero_copy_only=False)
+        for name, step in (("starts", 1), ("stops", -1)):
+            listed = block.column(name)
+            sizes = pc.list_value_length(listed).fill_null(0).to_numpy(zero_copy_only=False)
+            at = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            np.add.at(marks, at + np.repeat(words.first[:-1], sizes), step)
+        gone = (np.cumsum(marks)[:len(words)] > 0) | copied[words.doc]
+        removed = np.bincount(words.doc, weights=gone, minlength=len(texts)).astype(np.int64)
+        kept = [words.text(d, ~gone if n else None) for d, n in enumerate(removed.tolist())]
+        return {"doc_id": block.column("doc_id"), "n_words": words.counts, "n_removed": removed,
+                "kept": [k.decode() for k in kept], **carried.of(block)}
+
+    return work
 
 
-def remove_repeats(df: DataFrame, k: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``df``: doc_id, n_words, n_removed, kept (the words left, joined by one space)."""
-    docs = documents(df, id_col, text_col)
+def remove_repeats(df: DataFrame, k: int = 50, id_col: str = "doc_id", text_col: str = "text",
+                   carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``df``: doc_id, n_words, n_removed, kept (the words left, joined by one space), and ``carry``."""
+    docs, carried = documents(df, id_col, text_col), Carried(df, carry)
     copies, spans = repeated_spans(docs, k)
     cuts = spans.select("doc_id", "start", (F.col("start") + F.col("n_words")).alias("stop"), F.lit(False).alias("copied"))
     whole = copies.select("doc_id", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("stop"),
@@ -214,5 +219,5 @@ def remove_repeats(df: DataFrame, k: int = 50, id_col: str = "doc_id", text_col:
     marks = marks.withColumn("spans", F.filter("spans", lambda s: s["start"].isNotNull()))
     marks = stored(marks.select(
         "doc_id", "copied", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")))
-    return map_blocks(joined(docs, marks, ["doc_id"], "left", list_bytes("starts", "stops", each=4)), _cut,
-                      "doc_id long, n_words long, n_removed long, kept string")
+    met = joined(documents(df, id_col, text_col, carried), marks, ["doc_id"], "left", list_bytes("starts", "stops", each=4))
+    return carried.renamed(map_blocks(met, _cut(carried), "doc_id long, n_words long, n_removed long, kept string" + carried.ddl))
