@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import ALNUM_LOWER, Words, documents, find_words, map_blocks, ngrams
+from .words import ALNUM_LOWER, Carried, Words, documents, find_words, map_blocks, ngrams
 
 #: Windows of a broadcast set: about 20 MB with their words.
 MAX_WINDOWS = 200_000
@@ -82,7 +82,7 @@ class GramSet:
                     i += 1
 
 
-def _scan(shared):
+def _scan(shared, carried: Carried):
     def work(block: pa.RecordBatch) -> dict:
         texts = block.column("text")
         words = find_words(texts, ALNUM_LOWER)
@@ -97,7 +97,7 @@ def _scan(shared):
                 "starts": [runs.get(d, ((), ()))[0] for d in range(len(texts))],
                 "stops": [runs.get(d, ((), ()))[1] for d in range(len(texts))],
                 "items": [sorted(named.get(d, ())) for d in range(len(texts))],
-                "cleaned": _cleaned(texts, words, runs)}
+                "cleaned": _cleaned(texts, words, runs), **carried.of(block)}
 
     return work
 
@@ -134,36 +134,41 @@ def _cleaned(texts: pa.Array, words: Words, runs: dict) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def _drop(block: pa.RecordBatch) -> dict:
+def _drop(carried: Carried):
     """Merge the runs of several scans."""
-    texts = block.column("text")
-    words = find_words(texts, ALNUM_LOWER)
-    marks = np.zeros(len(words) + 1, np.int32)
-    for name, step in (("starts", 1), ("stops", -1)):
-        listed = block.column(name)
-        sizes = pc.list_value_length(listed).fill_null(0).to_numpy(zero_copy_only=False)
-        at = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        np.add.at(marks, at + np.repeat(words.first[:-1], sizes), step)
-    runs = _runs(np.cumsum(marks)[:len(words)] > 0, words)
-    return {"doc_id": block.column("doc_id"), "n_words": words.counts,
-            "starts": [runs.get(d, ((), ()))[0] for d in range(len(texts))],
-            "stops": [runs.get(d, ((), ()))[1] for d in range(len(texts))],
-            "items": [sorted(set(x or ())) for x in block.column("items").to_pylist()],
-            "cleaned": _cleaned(texts, words, runs)}
+    def work(block: pa.RecordBatch) -> dict:
+        texts = block.column("text")
+        words = find_words(texts, ALNUM_LOWER)
+        marks = np.zeros(len(words) + 1, np.int32)
+        for name, step in (("starts", 1), ("stops", -1)):
+            listed = block.column(name)
+            sizes = pc.list_value_length(listed).fill_null(0).to_numpy(zero_copy_only=False)
+            at = listed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            np.add.at(marks, at + np.repeat(words.first[:-1], sizes), step)
+        runs = _runs(np.cumsum(marks)[:len(words)] > 0, words)
+        return {"doc_id": block.column("doc_id"), "n_words": words.counts,
+                "starts": [runs.get(d, ((), ()))[0] for d in range(len(texts))],
+                "stops": [runs.get(d, ((), ()))[1] for d in range(len(texts))],
+                "items": [sorted(set(x or ())) for x in block.column("items").to_pylist()],
+                "cleaned": _cleaned(texts, words, runs), **carried.of(block)}
+
+    return work
 
 
 def contamination(docs_df: DataFrame, items_df: DataFrame, n: int = 10, max_windows: int = MAX_WINDOWS,
-                  doc_cols: tuple[str, str] = ("doc_id", "text"), item_cols: tuple[str, str] = ("item_id", "text")
-                  ) -> DataFrame:
+                  doc_cols: tuple[str, str] = ("doc_id", "text"), item_cols: tuple[str, str] = ("item_id", "text"),
+                  carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, n_words, starts and stops of runs of hit words, items with a window in the
-    document, cleaned (the text without those runs)."""
-    docs, spark = documents(docs_df, *doc_cols), docs_df.sparkSession
+    document, cleaned (the text without those runs), and ``carry``."""
+    carried, spark = Carried(docs_df, carry), docs_df.sparkSession
+    docs = documents(docs_df, *doc_cols, carried)
     grams = map_blocks(documents(items_df, *item_cols), _windows(n), "item long, size int, hash long, words binary")
     grams = grams.groupBy("size", "hash", "words").agg(F.array_sort(F.collect_set("item")).alias("items"))
     count = grams.count()
     sets = max(1, math.ceil(count / max_windows))
     if sets == 1:
-        return map_blocks(docs, _scan(spark.sparkContext.broadcast(GramSet(grams.toArrow()))), HITS)
+        shared = spark.sparkContext.broadcast(GramSet(grams.toArrow()))
+        return carried.renamed(map_blocks(docs, _scan(shared, carried), HITS + carried.ddl))
     keyed = docs.withColumn("digest", F.sha2("text", 256))
     scans = []
     for i in range(sets):
@@ -174,11 +179,12 @@ def contamination(docs_df: DataFrame, items_df: DataFrame, n: int = 10, max_wind
     hits = reduce(DataFrame.unionByName, scans).groupBy("doc_id", "digest").agg(
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("stops")).alias("stops"),
         F.flatten(F.collect_list("items")).alias("items"))
-    return map_blocks(keyed.join(hits, ["doc_id", "digest"], "left"), _drop, HITS)
+    met = keyed.join(hits, ["doc_id", "digest"], "left")
+    return carried.renamed(map_blocks(met, _drop(carried), HITS + carried.ddl))
 
 
 def _hit_only(shared):
-    scan = _scan(shared)
+    scan = _scan(shared, Carried(None, ()))
 
     def work(block: pa.RecordBatch) -> dict | None:
         out = scan(block)

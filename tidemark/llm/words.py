@@ -9,7 +9,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one block holds; a longer document is a block of its own.
@@ -208,6 +208,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only id and text, under the names the operators use; other columns never clash."""
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+class Carried:
+    """Further columns that go through an operator untouched, under names that cannot clash inside."""
+
+    def __init__(self, df: DataFrame, columns: tuple[str, ...] | list[str]):
+        self.names = list(columns)
+        self.inside = [f"carried_{i}" for i in range(len(self.names))]
+        self.ddl = "".join(f", {n} {df.schema[c].dataType.simpleString()}" for n, c in zip(self.inside, self.names))
+
+    def columns(self) -> list[Column]:
+        return [F.col(f"`{c}`").alias(n) for c, n in zip(self.names, self.inside)]
+
+    def of(self, block: pa.RecordBatch) -> dict:
+        return {n: block.column(n) for n in self.inside}
+
+    def renamed(self, df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed(dict(zip(self.inside, self.names)))
+
+
+def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: Carried | None = None) -> DataFrame:
+    """Id and text under the names the operators use; other columns never clash, as only carried ones come along."""
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                     *(carried.columns() if carried else []))
