@@ -2,10 +2,39 @@
 
 from __future__ import annotations
 
+import re
+
 from .license_scan import PHRASES, TEMPLATES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CONTROL = "'[' || chr(1) || '-/:-@' || chr(91) || '-`{-' || chr(127) || ']+'"
+
+
+def _spaced(text: str) -> str:
+    """List of words between ASCII white space."""
+    return f"[x FOR x IN regexp_split_to_array(coalesce({text}, ''), '[\\x20\\x09-\\x0D]+') IF x <> '']"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_LOWER}')"
+
+
+def _alnum(text: str) -> str:
+    """List of lower-cased words of letters, digits and anything beyond ASCII."""
+    split = f"regexp_split_to_array({_lower(f'coalesce({text}, chr(32))')}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"[x FOR x IN {split} IF x <> '']"
+
+
+def _window(words: str, size: str) -> str:
+    return f"array_to_string(list_slice({words}, p, p + {size} - 1), ' ')"
+
+
+def _template(text: str) -> str:
+    """A license template as a pattern over words that each end with one space."""
+    out = ""
+    for mark, word in re.findall(r"<<(/?optional|var:\d+)>>|([^\s<>]+)", text):
+        out += f"{word} " if word else {"optional": "(?:", "/optional": ")?"}.get(mark) or f"(?:[^ ]+ ){{0,{mark[4:]}}}"
+    return " " + out
+
 
 ORACLES: dict[str, str] = {}
 
@@ -31,3 +60,71 @@ SELECT page_id, host, path, rule, listed,
        coalesce(ruled, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged JOIN hosts USING (host)
 """
+
+ORACLES["op1_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_spaced('text')} AS w FROM documents),
+win AS (SELECT doc_id, p, {_window('w', '50')} AS k FROM (
+  SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50)),
+least AS (SELECT k, min(doc_id) AS origin FROM win GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM win JOIN least USING (k) WHERE origin < doc_id),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+_LONGEST = max(len(p.split()) for p in PHRASES)
+_AHEAD = ", ".join(f"lead(word, {i}) OVER (PARTITION BY doc_id ORDER BY p) AS w{i}" for i in range(_LONGEST))
+_PLACES = " UNION ALL ".join(
+    f"SELECT doc_id, p, '{label}' AS label FROM spots WHERE "
+    + " AND ".join(f"w{i} = '{word}'" for i, word in enumerate(phrase.split())) for phrase, label in PHRASES.items())
+_ACCEPTED = " UNION ALL ".join(
+    f"SELECT doc_id, '{label}' AS label FROM d WHERE regexp_matches(' ' || array_to_string(w, ' ') || ' ', '{_template(t)}')"
+    for label, t in TEMPLATES.items())
+
+ORACLES["op2_license_scan"] = f"""
+WITH d AS (SELECT doc_id, {_alnum('text')} AS w FROM documents),
+spots AS (SELECT doc_id, p, {_AHEAD} FROM (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS word FROM d)),
+base AS ({_PLACES}), accepted AS ({_ACCEPTED}),
+b AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+a AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM (SELECT doc_id, label FROM base UNION ALL SELECT * FROM accepted) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN d.doc_id IN (SELECT doc_id FROM accepted) THEN 1.0 WHEN n_base > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)
+"""
+
+ORACLES["op4_jaccard_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_spaced(_lower('text'))} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, {_window('w', '5')} AS k FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+sym AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
+"""
+
+ORACLES["op9_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_alnum('text')} AS w FROM documents),
+i AS (SELECT item_id, {_alnum('text')} AS w FROM benchmark),
+gram AS (SELECT DISTINCT item_id, n, {_window('w', 'n')} AS k FROM (
+  SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)),
+size AS (SELECT DISTINCT n FROM gram),
+win AS (SELECT doc_id, n, p, {_window('w', 'n')} AS k FROM (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, size WHERE len(w) >= n)),
+hit AS (SELECT doc_id, n, p, item_id FROM win JOIN gram USING (n, k)),
+word AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
