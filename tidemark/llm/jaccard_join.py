@@ -7,19 +7,15 @@ is (level, hash). Two sets with Jaccard similarity t or more share at least l sh
 longer the prefix and the more shared shingles a partner must show before the pair is verified; a pair needs the
 smaller l of the two, which both prefixes cover. Verification counts the exact intersection of both whole sets.
 
-The join runs twice over prefixes. The first round, over all documents, only finds which of them share a prefix shingle
-at all; most do not and are done. The second round counts the shingles of the rest anew, in more slots for fewer
-shingles, so its order tells rare from common much better.
-
 Classes, not pairs, are returned, which spares groups of copies their pairs and loses no link between them:
 
 * Equal sets are one class by the digest of the set; only their smallest id takes part in what follows.
 * Every posting first verifies its documents against its smallest one (a star: as many pairs as postings); components
   of these links are formed.
 * Then only pairs of different components are left. In each posting the documents outside its main component meet the
-  others that fit in size and position; of pairs that share enough prefix shingles, those go whose first shared place
-  leaves too little (rare shingles come first and are in no other set), then those whose parity bitmaps are too far
-  apart, which bounds the symmetric difference from below; the rest is verified exactly.
+  others that fit: in size, in position, and by how far into its order a document first meets any other, as a partner
+  shares nothing before that. Pairs that share enough prefix shingles are compared by parity bitmaps, whose distance
+  bounds the symmetric difference from below; the rest is verified exactly.
 
 Postings of rare slots are formed by a window, as the sketch bounds their length; those of frequent slots, or all if
 that bound is large, by pre-aggregation and a join that Spark can split.
@@ -43,8 +39,8 @@ from .graph import components
 from .tables import joined, stored
 from .words import SPACED_LOWER, Words, blocks, documents, find_words, map_blocks, ngrams, small_batches
 
-#: Slots of the sketches of both rounds (powers of two): 1 and 4 MB of levels for each worker.
-SLOTS = (1 << 20, 1 << 22)
+#: Slots of the sketch (a power of two): 4 MB of levels for each worker.
+SLOTS = 1 << 22
 _CHUNK = 8192
 #: Greatest number of shared prefix shingles asked for.
 MOST_MATCHES = 8
@@ -81,12 +77,12 @@ def _slot(own: np.ndarray, slots: int) -> np.ndarray:
     return (own & np.uint64(slots - 1)).astype(np.int64)
 
 
-def _count(size: int, slots: int):
+def _count(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(slots, np.int32)
+        counts = np.zeros(SLOTS, np.int32)
         for block in blocks(batches, "text"):
             sets = list(shingles(find_words(block.column("text"), SPACED_LOWER), size))
-            np.add.at(counts, _slot(np.concatenate(sets), slots), 1)
+            np.add.at(counts, _slot(np.concatenate(sets), SLOTS), 1)
         parts = counts.reshape(-1, _CHUNK)
         for i in np.flatnonzero(parts.any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([parts[i].tobytes()], pa.binary())],
@@ -105,14 +101,14 @@ def _sum(kind: str):
     return run
 
 
-def slot_levels(docs: DataFrame, size: int, slots: int) -> tuple[np.ndarray, int]:
+def slot_levels(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
     """Level of each slot, and the greatest count of a slot of level 0."""
     small_batches(docs.sparkSession)
     schema = "chunk int, counts binary"
-    counted = docs.mapInArrow(_count(size, slots), schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64)))
+    counted = docs.mapInArrow(_count(size), schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64)))
     partly = counted.groupBy("chunk", "salt").applyInArrow(
         lambda t: _sum("<i4")(t.select(["chunk", "counts"])), schema)
-    counts = np.zeros((slots // _CHUNK, _CHUNK), np.int64)
+    counts = np.zeros((SLOTS // _CHUNK, _CHUNK), np.int64)
     for row in partly.groupBy("chunk").applyInArrow(_sum("<i8"), schema).toLocalIterator():  # a fixed number of rows
         counts[row["chunk"]] = np.frombuffer(row["counts"], "<i8")
     counts = counts.ravel()
@@ -146,37 +142,25 @@ def _ordered(own: np.ndarray, levels: np.ndarray, percent: int) -> tuple[np.ndar
     return own[head], level[head], asked
 
 
-def _heads(block: pa.RecordBatch, levels: np.ndarray, size: int, percent: int) -> list:
-    sets = shingles(find_words(block.column("text"), SPACED_LOWER), size)
-    return [(*_ordered(s, levels, percent), len(s)) if len(s) else (s, s, 0, 0) for s in sets]
-
-
-def _shared_prefixes(shared, size: int, percent: int):
-    """Whether the prefix has frequent shingles; if not, the prefix."""
-    def work(block: pa.RecordBatch) -> dict:
-        heads = _heads(block, shared.value, size, percent)
-        frequent = [bool((level > 0).any()) for _, level, _, _ in heads]
-        return {"doc_id": block.column("doc_id"), "tokens": [
-            t[:0].view(np.int64) if f else t.view(np.int64) for f, (t, _, _, _) in zip(frequent, heads)], "frequent": frequent}
-
-    return work
+def _heads(block: pa.RecordBatch, levels: np.ndarray, size: int, percent: int) -> tuple[list, list]:
+    sets = list(shingles(find_words(block.column("text"), SPACED_LOWER), size))
+    return sets, [_ordered(s, levels, percent) if len(s) else (s, s, 0) for s in sets]
 
 
 def _prefixes(shared, size: int, percent: int):
     def work(block: pa.RecordBatch) -> dict:
-        heads = _heads(block, shared.value, size, percent)
-        return {"doc_id": block.column("doc_id"), "n": [n for _, _, _, n in heads],
-                "tokens": [t.view(np.int64) for t, _, _, _ in heads], "frequent": [level > 0 for _, level, _, _ in heads]}
+        _, heads = _heads(block, shared.value, size, percent)
+        return {"doc_id": block.column("doc_id"), "tokens": [t.view(np.int64) for t, _, _ in heads],
+                "frequent": [level > 0 for _, level, _ in heads]}
 
     return work
 
 
 def _infos(shared, size: int, percent: int):
     def work(block: pa.RecordBatch) -> dict:
-        sets = list(shingles(find_words(block.column("text"), SPACED_LOWER), size))
+        sets, heads = _heads(block, shared.value, size, percent)
         return {"doc_id": block.column("doc_id"), "n": [len(s) for s in sets],
-                "asked": [_ordered(s, shared.value, percent)[2] if len(s) else 0 for s in sets],
-                "bits": [bitmap(s) for s in sets]}
+                "asked": [asked for _, _, asked in heads], "bits": [bitmap(s) for s in sets]}
 
     return work
 
@@ -238,24 +222,6 @@ def _several(rows: DataFrame, bounded: bool) -> DataFrame:
     return rows.join(found.where("first < last").select("token", "first"), "token")
 
 
-def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Ids of documents that share a prefix shingle with another, or whose prefix has a frequent one."""
-    levels, bound = slot_levels(docs, size, SLOTS[0])
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
-    prefixes = map_blocks(docs, _shared_prefixes(shared, size, percent),
-                          "doc_id long, tokens array<long>, frequent boolean")
-    # A document with frequent shingles stays anyway: one row of its own passes it through the window.
-    tokens = prefixes.select("doc_id", "frequent", F.explode_outer("tokens").alias("token")).withColumn(
-        "token", F.coalesce("token", F.xxhash64("doc_id")))
-    if bound <= WINDOW_ROWS:
-        w = Window.partitionBy("token")
-        kept = tokens.withColumn("several", F.min("doc_id").over(w) < F.max("doc_id").over(w)).where("frequent OR several")
-    else:
-        kept = _several(tokens.where("NOT frequent"), False).select("doc_id").unionByName(
-            tokens.where("frequent").select("doc_id"))
-    return stored(kept.select("doc_id").distinct())
-
-
 def near_classes(df: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
                  ) -> DataFrame:
     """One row per row of ``df``: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
@@ -274,50 +240,51 @@ def near_classes(df: DataFrame, size: int = 5, percent: int = 75, id_col: str =
 
 def _links(spark: SparkSession, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) that connect what the join connects, of documents with distinct sets."""
-    texts = stored(joined(docs, _members(docs, size, percent), ["doc_id"], "left_semi", F.lit(16)))
-    levels, bound = slot_levels(texts, size, SLOTS[1])
+    levels, bound = slot_levels(docs, size)
     shared = spark.sparkContext.broadcast(levels)
-    prefixes = map_blocks(texts, _prefixes(shared, size, percent),
-                          "doc_id long, n int, tokens array<long>, frequent array<boolean>")
-    tokens = prefixes.select("doc_id", "n", F.posexplode(F.arrays_zip("tokens", "frequent")).alias("at", "e")).select(
-        "doc_id", "n", "at", F.col("e.tokens").alias("token"), F.col("e.frequent").alias("frequent"))
+    prefixes = map_blocks(docs, _prefixes(shared, size, percent), "doc_id long, tokens array<long>, frequent array<boolean>")
+    tokens = prefixes.select("doc_id", F.posexplode(F.arrays_zip("tokens", "frequent")).alias("at", "e")).select(
+        "doc_id", "at", F.col("e.tokens").alias("token"), F.col("e.frequent").alias("frequent"))
     rare = _several(tokens.where("NOT frequent").drop("frequent"), bound <= WINDOW_ROWS)
     postings = stored(rare.unionByName(_several(tokens.where("frequent").drop("frequent"), False)))
-    infos = stored(map_blocks(texts, _infos(shared, size, percent), "doc_id long, n int, asked int, bits binary"))
+    met_first = stored(postings.groupBy("doc_id").agg(F.min("at").alias("alone")))
+    texts = stored(joined(docs, met_first.select("doc_id"), ["doc_id"], "left_semi", F.lit(16)))
+    infos = map_blocks(texts, _infos(shared, size, percent), "doc_id long, n int, asked int, bits binary")
+    # The first shingle that partners share is in both prefixes, so none before a document's first posting is shared.
+    infos = stored(infos.join(met_first, "doc_id").withColumn("open", F.col("n") - F.col("alone")))
 
     stars = postings.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     linked = _checked(_plausible(stars.withColumn("shared", F.lit(MOST_MATCHES)), infos, percent), texts, size, percent)
 
-    labels = components(linked)
-    named = stored(postings.drop("first").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")))
+    labels = infos.select("doc_id", "n", "open").join(
+        components(linked).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id"))
+    # A document that meets others too late has no partner of any size.
+    labels = labels.where(F.col("open") * 100 >= F.col("n") * percent)
+    named = stored(postings.drop("first").join(labels, "doc_id"))
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                        F.mode("component", True).alias("main")).where("low < high")
     mixed = stored(named.join(mixed.select("token", "main"), "token"))
-    outside = mixed.where("component <> main").select(
-        "token", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("at").alias("pat"), F.col("component").alias("pc"))
-    # A document outside the main component meets all others; of two outside ones the smaller meets the larger.
-    # Before and after this shingle, no more can be shared than the shorter part of both holds.
-    both = F.least("at", "pat") + F.least(F.col("n") - F.col("at"), F.col("pn") - F.col("pat"))
+    outside = mixed.where("component <> main").select("token", *(F.col(c).alias(f"p_{c}") for c in (
+        "doc_id", "n", "at", "open", "component")))
+    # A document outside the main component meets all others; of two outside ones the smaller meets the larger. Before
+    # and after this shingle, no more can be shared than the shorter part of both holds.
+    most = F.least("open", "p_open", F.least("at", "p_at") + F.least(F.col("n") - F.col("at"), F.col("p_n") - F.col("p_at")))
     met = outside.join(mixed, "token").where(
-        (F.col("component") != F.col("pc")) & ((F.col("component") == F.col("main")) | (F.col("p") < F.col("doc_id")))
-        & ((F.col("n") + F.col("pn")) * percent <= both * (100 + percent)))
-    p_first = F.col("p") < F.col("doc_id")
-    pairs = met.groupBy(F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.first("n").alias("n1"), F.first("pn").alias("n2"),
-        F.max(F.when(p_first, F.col("pn") - F.col("pat")).otherwise(F.col("n") - F.col("at"))).alias("left_a"),
-        F.max(F.when(p_first, F.col("n") - F.col("at")).otherwise(F.col("pn") - F.col("pat"))).alias("left_b"))
-    # What lies before the first shared shingle of either is not shared.
-    pairs = pairs.where((F.col("n1") + F.col("n2")) * percent <= F.least("left_a", "left_b") * (100 + percent))
-    more = _checked(_plausible(pairs.select("a", "b", "shared"), infos, percent), texts, size, percent)
-    return linked.unionByName(more)
+        (F.col("component") != F.col("p_component"))
+        & ((F.col("component") == F.col("main")) | (F.col("p_doc_id") < F.col("doc_id")))
+        & ((F.col("n") + F.col("p_n")) * percent <= most * (100 + percent)))
+    pairs = met.groupBy(F.least("p_doc_id", "doc_id").alias("a"), F.greatest("p_doc_id", "doc_id").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"))
+    return linked.unionByName(_checked(_plausible(pairs, infos, percent), texts, size, percent))
 
 
 def _plausible(pairs: DataFrame, infos: DataFrame, percent: int) -> DataFrame:
     """Pairs that share as many prefix shingles as both ask for, fit in size and whose bitmaps are near."""
-    a = infos.select(F.col("doc_id").alias("a"), "n", F.col("asked").alias("asked_a"), F.col("bits").alias("x"))
+    a = infos.select(F.col("doc_id").alias("a"), "n", F.col("asked").alias("asked_a"), F.col("bits").alias("x"), "open")
     b = infos.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("asked").alias("asked_b"),
-                     F.col("bits").alias("y"))
+                     F.col("bits").alias("y"), F.col("open").alias("open_b"))
     fit = pairs.join(a, "a").join(b, "b").where(
-        (F.col("shared") >= F.least("asked_a", "asked_b")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
+        (F.col("shared") >= F.least("asked_a", "asked_b")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+        & ((F.col("n") + F.col("m")) * percent <= F.least("open", "open_b") * (100 + percent)))
     return stored(fit.select("a", "b", "x", "y", "n", "m").mapInArrow(_near(percent), "a long, b long"))
