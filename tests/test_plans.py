@@ -11,7 +11,7 @@ from tidemark.plans.training import boosted_trees, feature_importance, fit_class
 from tidemark.plans.tuning import best_trial, fit_final, run_search, search_space, trial_runs, trials_by_folds
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.sources.models import export_model, load_model, load_promoted, save_model
-from tidemark.sources.runs import CONFIG_SCHEMA, append_runs, read_runs
+from tidemark.sources.runs import CONFIG_SCHEMA, append_runs, read_config, read_runs
 from tidemark.streaming.incremental import baseline_bins, check_new_files, psi_per_window, stream_windowed_psi, window_histogram
 
 
@@ -78,12 +78,14 @@ def test_check_refreshes_and_promotes(spark, data, tmp_path):
     outcome = drift_check(
         data, data.withColumn("x", F.col("x") + 4), DriftOptions(ignore=frozenset({"id", "y"})), keys=["id"],
         refresh=lambda cur: refresh_model(
-            cur.drop("pred_proba"), ["id"], "y", store, "readmission", trials=small_trials(spark), k=2, exclude=("id",)
+            cur, ["id"], "y", store, "readmission", trials=small_trials(spark), k=2, exclude=("id",)
         ),
     )
     assert outcome.triggered
     model = load_promoted(spark, f"{store}/pointers", "readmission")
-    assert with_scores(model, data).count() == 400
+    assert with_scores(model, data).count() == 400  # the promoted model scores raw rows
+    assert read_config(spark, f"{store}/configs").first()["n_estimators"] in (1, 4)
+    assert read_runs(spark, f"{store}/runs").count() == 3
     quiet = drift_check(data, data, DriftOptions(ignore=frozenset({"id", "y"})), keys=["id"], model=model)
     assert not quiet.triggered and quiet.refreshed is None
 

@@ -107,7 +107,7 @@ def _hist_edges(spark, sf_dir):
     return hist.join(F.broadcast(names), "pos").select(F.col("column").alias("column_name"), "bin", "n_ref", "n_cur")
 
 
-_HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+_HIST_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register(

@@ -52,7 +52,11 @@ def _by_folds(spark, sf_dir):
     f"""SELECT p_partkey AS trial_id, CAST(200 + floor({uniform_sql('p_partkey', 42, 0)} * 700) AS INTEGER) AS n_estimators,
     CAST(3 + floor({uniform_sql('p_partkey', 42, 1)} * 8) AS INTEGER) AS max_depth,
     round(exp(ln(1e-3) + {uniform_sql('p_partkey', 42, 2)} * (ln(3e-1) - ln(1e-3))), 9) AS learning_rate,
-    round(0.6 + {uniform_sql('p_partkey', 42, 3)} * (1.0 - 0.6), 9) AS subsample FROM part""",
+    round(0.6 + {uniform_sql('p_partkey', 42, 3)} * (1.0 - 0.6), 9) AS subsample,
+    round(0.6 + {uniform_sql('p_partkey', 42, 4)} * (1.0 - 0.6), 9) AS colsample_bytree,
+    round(exp(ln(1e-1) + {uniform_sql('p_partkey', 42, 5)} * (ln(1e1) - ln(1e-1))), 9) AS min_child_weight,
+    round(exp(ln(1e-8) + {uniform_sql('p_partkey', 42, 6)} * (ln(1e-1) - ln(1e-8))), 9) AS reg_alpha,
+    round(exp(ln(1e-2) + {uniform_sql('p_partkey', 42, 7)} * (ln(1e1) - ln(1e-2))), 9) AS reg_lambda FROM part""",
 )
 def _configs(spark, sf_dir):
     u = lambda d: uniform(["p_partkey"], 42, d)
@@ -62,6 +66,10 @@ def _configs(spark, sf_dir):
         random_integer(u(1), 3, 11).alias("max_depth"),
         F.round(log_uniform(u(2), 1e-3, 3e-1), 9).alias("learning_rate"),
         F.round(uniform_between(u(3), 0.6, 1.0), 9).alias("subsample"),
+        F.round(uniform_between(u(4), 0.6, 1.0), 9).alias("colsample_bytree"),
+        F.round(log_uniform(u(5), 1e-1, 1e1), 9).alias("min_child_weight"),
+        F.round(log_uniform(u(6), 1e-8, 1e-1), 9).alias("reg_alpha"),
+        F.round(log_uniform(u(7), 1e-2, 1e1), 9).alias("reg_lambda"),
     )
 
 

@@ -20,13 +20,13 @@ from .samples import EVENT_CUT, QUANTILES, moment
 @register("pca_explained")
 def _pca(spark, sf_dir):
     vectors = with_vector(table(spark, sf_dir, "embeddings"), "embedding")
-    return explained_variance(spark, fit_pca(vectors, 10))
+    return explained_variance(spark, fit_pca(vectors, 50))
 
 
 @register("pca_scores")
 def _pca_scores(spark, sf_dir):
     vectors = with_vector(table(spark, sf_dir, "embeddings"), "embedding")
-    scored = fit_pca(vectors, 3).transform(vectors)
+    scored = fit_pca(vectors, 50).transform(vectors)
     return scored.select("vec_id", "label", vector_to_array("pca").alias("pca"))
 
 
@@ -35,7 +35,7 @@ def labelled_documents(spark, sf_dir):
     return table(spark, sf_dir, "labels").select("doc_id", "quality").join(docs, "doc_id")
 
 
-_CONFIG = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 1.0}
+_CONFIG = {"n_estimators": 200, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 1.0}
 
 
 @register("gbt_score")
@@ -48,7 +48,7 @@ def _gbt(spark, sf_dir):
 
 @register("search_trials")
 def _search(spark, sf_dir):
-    """Two configurations on three folds, mean metrics per trial."""
+    """Two short configurations on five folds, mean metrics per trial."""
     rows = labelled_documents(spark, sf_dir)
     names = [f.name for f in CONFIG_SCHEMA.fields]
     full = {"reg_alpha": 0.0, "reg_lambda": 1.0, **_CONFIG}
@@ -56,7 +56,7 @@ def _search(spark, sf_dir):
         [(i, tuple({**full, "n_estimators": n, "max_depth": d}[c] for c in names)) for i, (n, d) in enumerate([(3, 2), (5, 3)])],
         f"trial_id bigint, config {CONFIG_SCHEMA.simpleString()}",
     )
-    found = run_search(rows, ["doc_id"], "quality", trials, k=3, exclude=("doc_id",))
+    found = run_search(rows, ["doc_id"], "quality", trials, exclude=("doc_id",))
     return found.trials.select("trial_id", "val_auc", "val_ap", "val_acc", "val_f1")
 
 
@@ -73,7 +73,7 @@ def _final(spark, sf_dir):
 def _rf(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)
     fitted = fit_preprocessor(rows, ("quality", "doc_id"))
-    model = fit_classifier(rows, fitted, random_forest("quality", trees=20, depth=8), "quality", "balanced")
+    model = fit_classifier(rows, fitted, random_forest("quality"), "quality", "balanced")
     return feature_importance(spark, model.stages[-1], fitted.feature_names, 20)
 
 

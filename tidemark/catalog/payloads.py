@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import option_list, uri_to_path, utc_stamp
 from ..operators.tagging import lenient_double
-from ..sources.payloads import attach_predictions, length_check, normalised_scores, parse_payloads, rejected_payloads
+from ..sources.payloads import attach_predictions, keyed_predictions, length_check, normalised_scores, parse_payloads, rejected_payloads
 from ..sources.people import greeting_line
 from ..sources.tables import normalise_missing
 from .registry import register, table
@@ -50,6 +50,58 @@ def _rejects(spark, sf_dir):
     return rejected_payloads(_parsed(spark, sf_dir), "o_orderkey")
 
 
+_KEY_OF = "CASE o_orderkey % 5 WHEN 0 THEN 'pred_proba' WHEN 1 THEN 'probability' WHEN 2 THEN 'score' WHEN 3 THEN 'YES' ELSE '1' END"
+
+
+def keyed_payloads(spark, sf_dir):
+    """Two elements per order under one of the five keys; of some the second lacks it, of some they are lists or labels."""
+    o = table(spark, sf_dir, "orders")
+    key, kind = F.expr(_KEY_OF), F.col("o_custkey") % 4
+    price, cust = F.col("o_totalprice").cast("string"), F.col("o_custkey").cast("string")
+    element = lambda k, v: F.concat(F.lit('{"'), k, F.lit('": '), v, F.lit(', "other": 1}'))
+    wrap = lambda v: F.concat(F.lit("["), v, F.lit("]"))
+    text = lambda v: F.concat(F.lit('"'), v, F.lit('"'))
+    body = (
+        F.when(kind == 0, F.concat_ws(", ", element(key, price), element(key, cust)))
+        .when(kind == 1, F.concat_ws(", ", element(key, price), element(F.lit("unknown"), cust)))
+        .when(kind == 2, F.concat_ws(", ", element(key, wrap(price)), element(key, wrap(cust))))
+        .otherwise(F.concat_ws(", ", element(key, text(F.col("o_orderstatus"))), element(key, text(F.lit("F")))))
+    )
+    return o.select("o_orderkey", F.concat(F.lit('{"predictions": ['), body, F.lit("]}")).alias("payload"))
+
+
+@register(
+    "payload_keys",
+    """SELECT o_orderkey, CAST(0 AS INTEGER) AS position, CASE WHEN o_custkey % 4 = 3 THEN CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END ELSE o_totalprice END AS score
+    FROM orders WHERE o_custkey % 4 <> 1
+    UNION ALL SELECT o_orderkey, 1, CASE WHEN o_custkey % 4 = 3 THEN 1.0 ELSE CAST(o_custkey AS DOUBLE) END FROM orders WHERE o_custkey % 4 <> 1""",
+)
+def _keys(spark, sf_dir):
+    parsed = parse_payloads(keyed_payloads(spark, sf_dir), "o_orderkey", "payload", positive_class="F")
+    return normalised_scores(parsed, "o_orderkey")
+
+
+@register(
+    "payload_key_rejects",
+    "SELECT o_orderkey, 'an element lacks the score key' AS error FROM orders WHERE o_custkey % 4 = 1",
+)
+def _key_rejects(spark, sf_dir):
+    parsed = parse_payloads(keyed_payloads(spark, sf_dir), "o_orderkey", "payload", positive_class="F")
+    return rejected_payloads(parsed, "o_orderkey")
+
+
+@register("payload_attached", "SELECT event_id, event_type, value * 2 AS pred FROM events")
+def _attached(spark, sf_dir):
+    """One answer for every ten events, scores by position, attached by event."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.floor(F.col("event_id") / 10).alias("request"))
+    sent = events.groupBy("request").agg(F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("rows"))
+    answers = sent.select("request", F.to_json(F.transform("rows", lambda r: r["value"] * 2)).alias("payload"))
+    scores = normalised_scores(parse_payloads(answers, "request", "payload"), "request")
+    places = sent.select("request", F.posexplode("rows.event_id").alias("position", "event_id"))
+    keyed = keyed_predictions(places, scores, "event_id", "request")
+    return attach_predictions(events.select("event_id", "event_type"), keyed, "event_id", "pred")
+
+
 @register("attach_predictions", "SELECT event_id, event_type, value * 2 AS pred FROM events")
 def _attach(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type")

@@ -23,13 +23,25 @@ def _scratch(spark, what: str) -> str:
     return f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-@register("csv_round_trip", "SELECT o_orderkey, o_orderstatus, round(o_totalprice, 2) AS o_totalprice, o_orderpriority FROM orders")
+@register("csv_round_trip", "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) AS o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def _csv(spark, sf_dir):
     path = _scratch(spark, "csv")
-    kept = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    write_table_csv(kept, path)
-    back = read_table_csv(spark, path, kept.schema)
-    return back.withColumn("o_totalprice", F.round("o_totalprice", 2))
+    orders = table(spark, sf_dir, "orders")
+    write_table_csv(orders, path)
+    return read_table_csv(spark, path, orders.schema).withColumn("o_totalprice", F.round("o_totalprice", 2))
+
+
+@register(
+    "csv_free_text",
+    "SELECT doc_id, '  \"' || text || '\", \"\"' || chr(10) || text || ' ' AS text, CAST(NULL AS VARCHAR) AS nothing FROM documents",
+)
+def _csv_text(spark, sf_dir):
+    """Cells with padding, quotes, delimiters and line breaks come back as they were."""
+    path = _scratch(spark, "csv-text")
+    text = F.concat(F.lit('  "'), F.col("text"), F.lit('", ""\n'), F.col("text"), F.lit(" "))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), F.lit(None).cast("string").alias("nothing"))
+    write_table_csv(docs, path)
+    return read_table_csv(spark, path, docs.schema)
 
 
 @register(

@@ -79,19 +79,21 @@ def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: list | None = None) -> DataFrame:
+def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: list | None = None, max_columns: int = 10_000
+                     ) -> DataFrame:
     """Rows are actual labels, one column per predicted label, empty cells 0.
 
-    Without ``labels`` they are found first; a matrix is square in the number
-    of classes, so a label set beyond 10,000 is refused rather than pivoted.
+    Without ``labels`` they are found first. A matrix is square in the number
+    of classes: beyond ``max_columns`` the answer is the long one, (actual,
+    predicted, n) of the cells in use.
     """
     cells = confusion_counts(df, actual, predicted)
     if labels is None:
         cells = materialised(cells)
         found = cells.select(F.col("actual").alias("l")).union(cells.select("predicted")).distinct()
-        labels = [r["l"] for r in found.orderBy("l").limit(10_001).collect()]
-        if len(labels) > 10_000:
-            raise ValueError("too many classes for a matrix; use confusion_counts")
+        labels = [r["l"] for r in found.orderBy("l").limit(max_columns + 1).collect()]
+        if len(labels) > max_columns:
+            return cells
     base = df.sparkSession.createDataFrame([(v,) for v in labels], f"actual {cells.schema['actual'].dataType.simpleString()}")
     wide = cells.groupBy("actual").pivot("predicted", labels).agg(F.sum("n"))
     return F.broadcast(base).join(wide, "actual", "left").fillna(0)

@@ -21,7 +21,8 @@ from ..functions.stats import count_not_above
 from ..session import checkpointed
 
 ROWS_PER_BUCKET = 100_000
-MAX_BUCKETS = 4096
+# Entries of one cut array. More buckets than that come from cutting each one again.
+MAX_CUTS = 4096
 SMALL_TABLE_ROWS = 50_000
 
 
@@ -68,11 +69,11 @@ def bucket_cuts(values: DataFrame, order_col: str, total: int, n_buckets: int |
     """Ascending cut points that split ``total`` distinct values into even buckets.
 
     Numbers use a quantile sketch. Other types use a hash sample whose expected
-    size is the bucket count. Both stay within a few times ``MAX_BUCKETS``
+    size is the bucket count. Both stay within a few times ``MAX_CUTS``
     entries whatever the data; no cuts means one bucket is enough.
     """
     if n_buckets is None:
-        n_buckets = min(MAX_BUCKETS, math.ceil(total / ROWS_PER_BUCKET))
+        n_buckets = min(MAX_CUTS, math.ceil(total / ROWS_PER_BUCKET))
     if n_buckets <= 1:
         return []
     if isinstance(values.schema[order_col].dataType, T.NumericType):
@@ -93,6 +94,25 @@ def with_bucket(values: DataFrame, order_col: str, cuts: list) -> DataFrame:
     return values.withColumn("_bucket", F.coalesce(count_not_above(edges, F.col(order_col), len(cuts)), F.lit(0)))
 
 
+def finer_buckets(bucketed: DataFrame, order_col: str, parts: int) -> DataFrame:
+    """Cuts every bucket into about ``parts`` again, each by its own cuts; ``_bucket`` keeps the order.
+
+    The cuts of a bucket come from its own rows, by one aggregation over all
+    buckets, and are joined on the bucket.
+    """
+    if isinstance(bucketed.schema[order_col].dataType, T.NumericType):
+        fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        cuts = F.array_sort(F.array_distinct(F.percentile_approx(order_col, fractions, 10 * parts)))
+    else:
+        share = math.ceil((1 << 40) * min(1.0, parts / ROWS_PER_BUCKET))
+        chosen = F.when(F.pmod(F.xxhash64(order_col, F.lit(1)), F.lit(1 << 40)) < share, F.col(order_col))
+        cuts = F.slice(F.array_sort(F.collect_set(chosen)), 1, 4 * parts)
+    fine = bucketed.groupBy("_bucket").agg(cuts.alias("_cuts"))
+    inner = F.coalesce(count_not_above(F.col("_cuts"), F.col(order_col), 4 * parts), F.lit(0))
+    joined = join_small(bucketed, fine, ["_bucket"], "inner")
+    return joined.withColumn("_bucket", F.col("_bucket").cast("long") * (4 * parts + 1) + inner).drop("_cuts")
+
+
 def group_totals(values: DataFrame, groups: list[str], sums: list[str]) -> tuple[DataFrame, int]:
     """(groups, tot_<c>) held as a small table if it is one, and the row count."""
     totals = materialised(
@@ -105,7 +125,8 @@ def group_totals(values: DataFrame, groups: list[str], sums: list[str]) -> tuple
 
 
 def running_totals(
-    values: DataFrame, groups: list[str], order_col: str, sums: list[str], n_buckets: int | None = None
+    values: DataFrame, groups: list[str], order_col: str, sums: list[str], n_buckets: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET, max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
     """Adds ``cum_<c>`` (inclusive, ascending) and ``tot_<c>`` for each summed column.
 
@@ -117,15 +138,19 @@ def running_totals(
     is joined on the layout the window already has.
     """
     totals, total = group_totals(values, groups, sums)
-    cuts = bucket_cuts(values, order_col, total, n_buckets)
-    run = _bucket_windows(values, groups, order_col, sums, cuts) if cuts else _one_window(values, groups, order_col, sums)
+    wanted = math.ceil(total / rows_per_bucket)
+    cuts = bucket_cuts(values, order_col, total, min(max_cuts, wanted) if n_buckets is None else n_buckets)
+    parts = min(max_cuts, math.ceil(wanted / max_cuts)) if n_buckets is None else 1
+    run = _bucket_windows(values, groups, order_col, sums, cuts, parts) if cuts else _one_window(values, groups, order_col, sums)
     if not groups:
         return run.crossJoin(F.broadcast(totals))  # one row
     return join_small(run, totals, groups, "inner")
 
 
-def _bucket_windows(values: DataFrame, groups: list[str], order_col: str, sums: list[str], cuts: list) -> DataFrame:
+def _bucket_windows(values: DataFrame, groups: list[str], order_col: str, sums: list[str], cuts: list, parts: int = 1) -> DataFrame:
     bucketed = with_bucket(values, order_col, cuts)
+    if parts > 1:
+        bucketed = finer_buckets(bucketed, order_col, parts)
     keys = [*groups, "_bucket"]
     per_bucket = bucketed.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -13,10 +13,10 @@ from ..operators.drift import DriftOptions, DriftResult, detect_drift
 from ..operators.sampling import mock_predictions
 from ..sources.models import append_pointer, save_model
 from ..sources.reports import write_report
-from ..sources.runs import append_runs, promote, read_runs
+from ..sources.runs import CONFIG_SCHEMA, append_runs, promote, read_runs, write_config
 from ..sources.tables import write_snapshot
 from .training import with_scores
-from .tuning import tune_and_fit
+from .tuning import trial_runs, tune_and_fit
 
 
 @dataclass
@@ -50,8 +50,10 @@ def drift_check(
     """Scores, compares, writes the report and calls ``refresh(cur)`` on a trigger.
 
     Tables that already carry the prediction column are not scored again. A
-    forced run computes everything too; only its decision is fixed.
+    forced run computes everything too; only its decision is fixed. ``refresh``
+    gets the current table as it came, without scores added here.
     """
+    raw = cur
     if not (options.pred_col in ref.columns and options.pred_col in cur.columns):
         ref, cur = score_both(ref, cur, model, options.pred_col, mode, keys)
     if snapshot_path:
@@ -63,21 +65,24 @@ def drift_check(
     if report_path:
         write_report(result.summary, report_path, at)
     triggered = bool(result.summary.first()["trigger_retrain"])
-    refreshed = refresh(cur) if triggered and refresh else None
+    refreshed = refresh(raw) if triggered and refresh else None
     return CheckOutcome(triggered, result, refreshed)
 
 
 def refresh_model(
     current: DataFrame, keys: list[str], label: str, store: str, model_name: str,
-    n_trials: int = 15, seed: int = 123, **search,
+    n_trials: int = 15, seed: int = 123, pred_col: str = "pred_proba", **search,
 ) -> DataFrame:
-    """Tunes on the current table, stores the run and its model, promotes it.
+    """Tunes on the current table, stores trials, run, config and model, promotes it.
 
-    Returns the pointer row. ``store`` holds ``runs``, ``models`` and
-    ``pointers`` side by side.
+    Returns the pointer row. ``store`` holds ``runs``, ``models``, ``configs``
+    and ``pointers`` side by side. A score of an earlier model is no feature.
     """
     spark = current.sparkSession
-    _, final = tune_and_fit(current, keys, label, n_trials, seed=seed, **search)
+    found, final = tune_and_fit(current.drop(pred_col), keys, label, n_trials, seed=seed, **search)
+    append_runs(trial_runs(found.trials), f"{store}/runs")
+    write_config(found.trials.sparkSession.createDataFrame([tuple(found.best_config[f.name] for f in CONFIG_SCHEMA.fields)],
+                                                           CONFIG_SCHEMA), f"{store}/configs")
     run_id = final.run.first()["run_id"]
     path = f"{store}/models/{run_id}"
     save_model(final.model, path)

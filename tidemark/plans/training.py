@@ -26,7 +26,7 @@ def boosted_trees(config: dict, label: str, features: str = "features", weight:
         subsamplingRate=float(config.get("subsample", 1.0)),
         featureSubsetStrategy=str(float(config.get("colsample_bytree", 1.0))),
         minInstancesPerNode=max(1, round(float(config.get("min_child_weight", 1.0)))),
-        maxBins=int(config.get("max_bins", 32)),
+        maxBins=int(config.get("max_bins", 256)),
         maxMemoryInMB=512,
     )
     return trees.setWeightCol(weight) if weight else trees
@@ -35,7 +35,7 @@ def boosted_trees(config: dict, label: str, features: str = "features", weight:
 def random_forest(label: str, features: str = "features", trees: int = 200, depth: int = 30, weight: str | None = "weight", seed: int = 42) -> RandomForestClassifier:
     """Depth 30 is the deepest tree Spark grows."""
     forest = RandomForestClassifier(
-        labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=512
+        labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth, seed=seed, maxBins=256, maxMemoryInMB=512
     )
     return forest.setWeightCol(weight) if weight else forest
 

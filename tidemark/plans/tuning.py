@@ -30,6 +30,7 @@ METRICS = ("auc", "ap", "acc", "f1")
 def search_space(spark: SparkSession, n_trials: int, seed: int = 42) -> DataFrame:
     """(trial_id, config): random draws over the eight dimensions."""
     u = lambda d: uniform([F.col("id")], seed, d)
+    # The ranges.
     config = F.struct(
         random_integer(u(0), 200, 900).alias("n_estimators"),
         random_integer(u(1), 3, 11).alias("max_depth"),

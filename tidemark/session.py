@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -45,7 +46,8 @@ def ship_package(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for cut lineage: the session's ``spark.checkpoint.dir``.
 
-    Only when the session names none (unit tests) is a local folder made.
+    A local folder is made only in local mode (unit tests): executors of a
+    cluster would not see it.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -55,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if current is None:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
         current = sc.getCheckpointDir()
     return current

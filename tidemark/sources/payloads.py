@@ -84,16 +84,20 @@ def _list_result(items: Column, keys: tuple[str, ...], positive: str | None) ->
         )
 
     def of_objects(head: Column) -> Column:
-        # The first key present in the first element, for all elements.
-        out = F.struct(_no_scores(), F.lit("no score key in elements").alias("error"))
+        # The first key present in the first element, for all elements; one without it spoils the payload.
+        members = F.lit(None).cast("array<variant>")
         for key in reversed(keys):
-            unwrapped = _let(
-                F.transform(items, _member(key)),
-                lambda vs: F.when(_first(F.get(vs, F.lit(0))).isNotNull(), F.transform(vs, _first)).otherwise(vs),
-            )
-            found = result(unwrapped, F.lit("object"), "values are not numeric; a positive class is needed")
-            out = F.when(_member(key)(head).isNotNull(), found).otherwise(out)
-        return out
+            members = F.when(_member(key)(head).isNotNull(), F.transform(items, _member(key))).otherwise(members)
+        rejected = lambda why: F.struct(_no_scores(), F.lit(why).alias("error"))
+
+        def of_members(vs: Column) -> Column:
+            unwrapped = F.when(_first(F.get(vs, F.lit(0))).isNotNull(), F.transform(vs, _first)).otherwise(vs)
+            found = _let(unwrapped, lambda u: result(
+                u, F.lit("object"), "values are not numeric; a positive class is needed"))
+            return F.when(vs.isNull(), rejected("no score key in elements")).when(
+                F.exists(vs, lambda v: v.isNull()), rejected("an element lacks the score key")).otherwise(found)
+
+        return _let(members, of_members)
 
     def of_head(head: Column) -> Column:
         return _let(
@@ -157,13 +161,27 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def attach_predictions(df: DataFrame, predictions: DataFrame, on: str, pred_col: str) -> DataFrame:
-    """Adds scores by row key after checking that the two lengths agree."""
-    n_rows, n_preds = df.count(), predictions.count()
-    if n_rows != n_preds:
-        raise ValueError(f"prediction length {n_preds} != number of rows {n_rows}")
+    """Adds scores by row key after checking that both sides have the same keys, each once."""
+    rows = df.groupBy(on).agg(F.count(F.lit(1)).alias("_rows"))
+    scored = predictions.groupBy(on).agg(F.count(F.lit(1)).alias("_preds"))
+    n_rows, n_preds, odd = rows.join(scored, on, "full").agg(
+        F.sum("_rows"), F.sum("_preds"),
+        F.count_if((F.coalesce("_rows", F.lit(0)) != 1) | (F.coalesce("_preds", F.lit(0)) != 1))).first()
+    if (n_rows or 0) != (n_preds or 0):
+        raise ValueError(f"prediction length {n_preds or 0} != number of rows {n_rows or 0}")
+    if odd:
+        raise ValueError(f"{odd} keys are missing or repeated among rows or predictions")
     return df.join(predictions.select(on, F.col("score").alias(pred_col)), on, "left")
 
 
+def keyed_predictions(rows: DataFrame, scores: DataFrame, on: str, group: str, position: str = "position") -> DataFrame:
+    """(on, score): scores by position joined to the keys of the rows they answer.
+
+    ``rows`` holds (group, position, on): which row of which payload a key was sent as.
+    """
+    return rows.select(group, position, on).join(scores.select(group, position, "score"), [group, position]).select(on, "score")
+
+
 def length_check(df: DataFrame, predictions: DataFrame) -> DataFrame:
     """(n_rows, n_predictions, matches) as a table."""
     left = df.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -13,6 +13,7 @@ FALLBACK_PEOPLE = (
     ("Tiangong", "Li Guangsu"), ("Tiangong", "Li Cong"), ("Tiangong", "Ye Guangfu"),
 )
 LIST_SCHEMA = "number int, people array<struct<craft:string,name:string>>"
+# Fixed value.
 GREETING = "Hello! :)"
 
 

@@ -17,14 +17,18 @@ REPORT_SCHEMA = (
 )
 
 
-def write_report(summary: DataFrame, path: str, at: Column | None = None) -> None:
+def write_report(summary: DataFrame, path: str, at: Column | None = None, key: str | None = None) -> None:
     """Appends the one-row summary as JSON under ``run_ts=<UTC stamp>``.
 
-    ``at`` is a UTC wall-clock time; by default the current one.
+    ``at`` is a UTC wall-clock time; by default the current one. With a ``key``
+    the report replaces an earlier one of that key, so a job may be repeated.
     """
     now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     stamped = summary.withColumn("run_ts", utc_stamp(now if at is None else at))
-    stamped.write.mode("append").partitionBy("run_ts").json(path)
+    if key is not None:
+        stamped.write.mode("overwrite").json(f"{path}/key={key}")
+    else:
+        stamped.write.mode("append").partitionBy("run_ts").json(path)
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:

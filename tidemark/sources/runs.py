@@ -177,4 +177,4 @@ def promote(runs: DataFrame, artifacts: DataFrame, model: str, experiment: str =
 
 def current_model(pointers: DataFrame, model: str) -> DataFrame:
     """The latest pointer of a model."""
-    return pointers.where(F.col("model") == model).orderBy(F.desc("promoted_at")).limit(1)
+    return pointers.where(F.col("model") == model).orderBy(F.desc("promoted_at"), "run_id").limit(1)

@@ -16,22 +16,21 @@ NULL_TOKENS = (
 )
 
 # The encounter table's columns in file order, numeric ones typed.
-ENCOUNTER_COLUMNS = (
-    "encounter_id patient_nbr race gender age weight admission_type_id discharge_disposition_id "
-    "admission_source_id time_in_hospital payer_code medical_specialty num_lab_procedures num_procedures "
-    "num_medications number_outpatient number_emergency number_inpatient diag_1 diag_2 diag_3 "
-    "number_diagnoses max_glu_serum A1Cresult metformin repaglinide nateglinide chlorpropamide glimepiride "
-    "acetohexamide glipizide glyburide tolbutamide pioglitazone rosiglitazone acarbose miglitol "
-    "troglitazone tolazamide examide citoglipton insulin glyburide-metformin glipizide-metformin "
-    "glimepiride-pioglitazone metformin-rosiglitazone metformin-pioglitazone change diabetesMed readmitted"
-).split()
-ENCOUNTER_NUMERIC = frozenset(
-    (
-        "encounter_id patient_nbr admission_type_id discharge_disposition_id admission_source_id "
-        "time_in_hospital num_lab_procedures num_procedures num_medications number_outpatient "
-        "number_emergency number_inpatient number_diagnoses"
-    ).split()
-)
+ENCOUNTER_COLUMNS = [
+    "encounter_id", "patient_nbr", "race", "gender", "age", "weight", "admission_type_id", "discharge_disposition_id",
+    "admission_source_id", "time_in_hospital", "payer_code", "medical_specialty", "num_lab_procedures",
+    "num_procedures", "num_medications", "number_outpatient", "number_emergency", "number_inpatient", "diag_1",
+    "diag_2", "diag_3", "number_diagnoses", "max_glu_serum", "A1Cresult", "metformin", "repaglinide", "nateglinide",
+    "chlorpropamide", "glimepiride", "acetohexamide", "glipizide", "glyburide", "tolbutamide", "pioglitazone",
+    "rosiglitazone", "acarbose", "miglitol", "troglitazone", "tolazamide", "examide", "citoglipton", "insulin",
+    "glyburide-metformin", "glipizide-metformin", "glimepiride-pioglitazone", "metformin-rosiglitazone",
+    "metformin-pioglitazone", "change", "diabetesMed", "readmitted",
+]
+ENCOUNTER_NUMERIC = frozenset([
+    "encounter_id", "patient_nbr", "admission_type_id", "discharge_disposition_id", "admission_source_id",
+    "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications", "number_outpatient",
+    "number_emergency", "number_inpatient", "number_diagnoses",
+])
 
 
 def encounter_schema() -> T.StructType:
@@ -40,6 +39,12 @@ def encounter_schema() -> T.StructType:
     )
 
 
+# Standard quoting: quotes inside a cell are doubled, white space and line breaks belong to the cell.
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def normalise_missing(df: DataFrame) -> DataFrame:
     """Null tokens in text and NaN in floating columns become NULL; a projection."""
     out = {}
@@ -56,11 +61,13 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | None =
     """CSV with a header. No inference: both sides of a comparison must agree.
 
     Numbers are read as text and cast leniently, so that a null token or a bad
-    cell in a numeric column gives NULL rather than an error.
+    cell in a numeric column gives NULL rather than an error. A cell may hold
+    line breaks, so a file is read by one task: large tables come as many files,
+    or as Parquet.
     """
     schema = schema or encounter_schema()
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    rows = spark.read.schema(raw).option("header", True).option("enforceSchema", False).csv(path)
+    rows = spark.read.schema(raw).options(**_CSV, enforceSchema=False, multiLine=True).csv(path)
     clean = normalise_missing(rows)
     return clean.select(
         *[
@@ -71,8 +78,9 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | None =
     )
 
 
-def write_table_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_table_csv(df: DataFrame, path: str, mode: str = "overwrite", max_rows: int = 1_000_000) -> None:
+    """CSV files of at most ``max_rows`` rows, as a reader cannot split them."""
+    df.write.mode(mode).options(**_CSV, maxRecordsPerFile=max_rows).csv(path)
 
 
 def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:

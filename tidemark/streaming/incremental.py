@@ -18,6 +18,7 @@ from ..functions.stats import bin_number, clipped_share, psi_term
 from ..operators.columns import field
 from ..operators.drift import DriftOptions, detect_drift
 from ..operators.distribution import PSI_BINS, quantile_edges
+from ..operators.ordering import held
 from ..operators.tagging import lenient_double
 from ..sources.reports import write_report
 
@@ -35,10 +36,12 @@ def check_new_files(
     def check(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        result = detect_drift(ref, batch, options)
-        write_report(result.summary, report_path)
-        if on_report:
-            on_report(result.summary)
+        with held(batch) as rows:
+            result = detect_drift(ref, rows, options)
+            # A batch that is run again replaces its report.
+            write_report(result.summary, report_path, key=f"batch-{batch_id}")
+            if on_report:
+                on_report(result.summary)
 
     stream = spark.readStream.schema(schema).parquet(incoming)
     query = (
