@@ -1,6 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: lines, and within a line its sentences. The distinct 64-bit digests of the paragraphs go
+A text is cut into paragraphs: lines, and within a line runs of sentences (a run ends with a sentence
+whose last letter is one of a to r, so cuts depend on the words around them only). The distinct 64-bit digests of the paragraphs go
 into a sketch: each digest adds 1, itself and a check to one cell in each of three parts. Sketches of two versions are
 subtracted cell by cell, which cancels what they share; cells left with a single digest are peeled, which frees others,
 until the sketch is empty: then the peeled digests are the paragraphs that differ. A sketch that does not empty was too
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 #: Cells of the sketch that is written out as the fingerprint.
 FINGER_CELLS = 12
-#: Sizes tried, each twice the one before, from 3/4 of both versions' paragraphs on.
+#: Sizes tried, each twice the one before; the first holds the difference that is expected.
 RETRIES = 5
 #: Peeling rounds; a sketch that empties does so in a few.
 ROUNDS = 40
@@ -33,7 +34,7 @@ ROUNDS = 40
 BLOCK = 512
 
 _PARTS = 3
-_ENDS = r"\n+|(?<=[.!?])\s+"
+_ENDS = r"\n+|(?<=[a-r][.!?])\s+"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -52,9 +53,9 @@ def _check(digest: Column) -> Column:
 
 
 def _entries(digest: Column, sign: Column, part_cells: Column) -> list[Column]:
-    """What a digest adds to its cells."""
+    """What a digest adds to its cells. Digests are hashes: other bits of them place them in each part."""
     return [F.struct(
-        (F.pmod(F.xxhash64(digest, F.lit(part)), part_cells) + part_cells * part).cast("int").alias("cell"),
+        (F.pmod(F.shiftright(digest, 21 * part), part_cells) + part_cells * part).cast("int").alias("cell"),
         sign.alias("n"), digest.alias("k"), _check(digest).alias("h")) for part in range(_PARTS)]
 
 
@@ -79,7 +80,7 @@ def _merged(entries: Column) -> Column:
         return let(heads, lambda at: F.transform(at, lambda i, j: F.aggregate(
             F.slice(e, i + 1, F.coalesce(F.get(at, j + 1), F.size(e)) - i), nothing, _cell)))
 
-    return F.filter(let(F.array_sort(entries), runs), lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["h"] != 0))
+    return F.filter(let(F.sort_array(entries), runs), lambda c: (c["n"] != 0) | (c["k"] != 0) | (c["h"] != 0))
 
 
 def _signed(digests: Column, sign: int) -> Column:
@@ -109,12 +110,13 @@ def _peeled(sketch: Column, part_cells: Column) -> Column:
                        lambda s, _: F.when(s["stuck"] | (F.size(s["cells"]) == 0), s).otherwise(step(s)))
 
 
-def difference(a: Column, b: Column) -> Column:
+def difference(a: Column, b: Column, expected: float = 0.5) -> Column:
     """Digests of a and not b (n = 1) and of b and not a (n = -1), recovered from subtracted sketches.
 
-    The arrays should be columns: each is used many times.
+    ``expected`` is the share of all paragraphs that may differ; the first size holds them. The arrays should be
+    columns: each is used many times.
     """
-    start = F.ceil((F.size(a) + F.size(b)) * 0.75 / _PARTS) + 4
+    start = F.ceil((F.size(a) + F.size(b)) * (1.5 * expected) / _PARTS) + 4
     both = F.concat(_signed(a, 1), _signed(b, -1))
     unread = F.struct(F.lit(False).alias("done"), F.array().cast("array<struct<n:int,k:bigint>>").alias("found"))
 
@@ -179,7 +181,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), paragraphs(F.col("text")).alias("own"),
                        paragraphs(F.col("edited")).alias("new"), paragraphs(F.col("next_text")).alias("next"))
     rows = rows.withColumns({"changed": difference(F.col("own"), F.col("new")),
-                             "changed_next": difference(F.col("own"), F.col("next"))})
+                             "changed_next": difference(F.col("own"), F.col("next"), 1.0)})
     return rows.select("doc_id", "n_chars", "edited_sha256", written(F.col("own")).alias("fingerprint"),
                        written(F.col("new")).alias("edited_fingerprint"),
                        likeness(F.col("own"), F.col("new"), F.col("changed")).alias("near_edited"),
