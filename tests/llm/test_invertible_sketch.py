@@ -57,7 +57,7 @@ def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     got = op6_document_fingerprints(spark, SF_DIR).collect()
     check(got, docs)
-    assert sum(r.near_edited > r.near_next for r in got) > 0.9 * len(got)
+    assert sum(r.near_edited > r.near_next for r in got) > 0.85 * len(got)
     own = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", paragraphs(F.col("text")).alias("p"))
     sets = [set(r.p) for r in own.orderBy("doc_id").collect()]
     for r, a, b in zip(sorted(got), sets, sets[1:] + sets[:1]):

@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: lines, and within a line runs of sentences (a run ends with a sentence
-whose last letter is one of a to r, so cuts depend on the words around them only). The distinct 64-bit digests of the paragraphs go
+A text is cut into paragraphs: lines, and within a line at the ends of sentences that are long enough (48 characters
+without another end before), so short sentences join the next one. The distinct 64-bit digests of the paragraphs go
 into a sketch: each digest adds 1, itself and a check to one cell in each of three parts. Sketches of two versions are
 subtracted cell by cell, which cancels what they share; cells left with a single digest are peeled, which frees others,
 until the sketch is empty: then the peeled digests are the paragraphs that differ. A sketch that does not empty was too
@@ -34,7 +34,7 @@ ROUNDS = 40
 BLOCK = 512
 
 _PARTS = 3
-_ENDS = r"\n+|(?<=[a-r][.!?])\s+"
+_ENDS = r"\n+|(?<=[^.!?\n]{48}[.!?])\s+"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -110,7 +110,7 @@ def _peeled(sketch: Column, part_cells: Column) -> Column:
                        lambda s, _: F.when(s["stuck"] | (F.size(s["cells"]) == 0), s).otherwise(step(s)))
 
 
-def difference(a: Column, b: Column, expected: float = 0.5) -> Column:
+def difference(a: Column, b: Column, expected: float = 0.75) -> Column:
     """Digests of a and not b (n = 1) and of b and not a (n = -1), recovered from subtracted sketches.
 
     ``expected`` is the share of all paragraphs that may differ; the first size holds them. The arrays should be
