@@ -43,7 +43,9 @@ KNOWN = 1 << 18
 CANDIDATES = 64
 ADD = 0.1
 #: Bytes of text that are stepped together.
-_TOGETHER = 6 << 20
+_TOGETHER = 12 << 20
+#: Places of the table that finds a known word by the low bits of its hash.
+_FOUND_BY = 1 << 20
 
 END = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,7 +84,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class Lexicon:
     """Counts of the most frequent words, their symbols, and sums over the symbols that the others share."""
 
-    words: np.ndarray  # sorted hashes
+    words: np.ndarray  # hashes by their low bits
     counts: np.ndarray
     symbols: np.ndarray  # symbol of each known word
     n_symbols: int
@@ -91,12 +93,26 @@ class Lexicon:
     tokens: int
     distinct: int
 
+    def __post_init__(self):
+        low = (self.words & np.uint64(_FOUND_BY - 1)).astype(np.int64)
+        self.first = np.searchsorted(low, np.arange(_FOUND_BY + 1)).astype(np.int32)
+
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbol of each word, and its place among the known words or -1."""
-        at = np.minimum(np.searchsorted(self.words, h), max(0, len(self.words) - 1))
-        known = self.words[at] == h if len(self.words) else np.zeros(len(h), bool)
-        symbol = np.where(known, self.symbols[at] if len(self.words) else 0, self.n_symbols + shared_symbol(h))
-        return symbol.astype(np.int32), np.where(known, at, -1)
+        low = (h & np.uint64(_FOUND_BY - 1)).astype(np.int64)
+        at, end = self.first[low], self.first[low + 1]
+        found = np.full(len(h), -1, np.int32)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):  # few words share a place
+            same = self.words[at[open_]] == h[open_]
+            found[open_[same]] = at[open_[same]]
+            open_ = open_[~same]
+            at[open_] += 1
+            open_ = open_[at[open_] < end[open_]]
+        symbol = (self.n_symbols + shared_symbol(h)).astype(np.int32)
+        known = found >= 0
+        symbol[known] = self.symbols[found[known]]
+        return symbol, found
 
     def share(self, symbol: np.ndarray, count: np.ndarray) -> np.ndarray:
         """log10 of a word's share of its symbol: 0 where it has its own."""
@@ -132,7 +148,7 @@ def build_lexicon(counts: DataFrame) -> Lexicon:
         for row in rest.groupBy(F.col("word").bitwiseAND(SHARED - 1).alias("s")).agg(
                 F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():  # at most SHARED rows
             shared_count[row["s"]], shared_words[row["s"]] = row["n"], row["k"]
-    order = np.argsort(words)
+    order = np.argsort(words & np.uint64(_FOUND_BY - 1), kind="stable")
     own = words[order], n[order], symbols[order]
     return Lexicon(*own, SYMBOLS, shared_count, shared_words, int(total[0] or 0), int(total[1]))
 
