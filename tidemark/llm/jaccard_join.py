@@ -13,9 +13,9 @@ Classes, not pairs, are returned, which spares groups of copies their pairs and
 * Every posting first verifies its documents against its smallest one (a star: as many pairs as postings); components
   of these links are formed.
 * Then only pairs of different components are left. In each posting the documents outside its main component meet the
-  others that fit: in size, in position, and by how far into its order a document first meets any other, as a partner
-  shares nothing before that. Pairs that share enough prefix shingles are compared by parity bitmaps, whose distance
-  bounds the symmetric difference from below; the rest is verified exactly.
+  others that fit: in size, in position, by how far into its order a document first meets any other, as a partner
+  shares nothing before that, and by small parity bitmaps, whose distance bounds the symmetric difference from below.
+  Pairs that share enough prefix shingles are compared by larger bitmaps; the rest is verified exactly.
 
 Postings of rare slots are formed by a window, as the sketch bounds their length; those of frequent slots, or all if
 that bound is large, by pre-aggregation and a join that Spark can split.
@@ -47,7 +47,9 @@ MOST_MATCHES = 8
 #: A posting of a slot counted up to this is small enough for one task's window.
 WINDOW_ROWS = 200_000
 #: Bits of a parity bitmap for each shingle, and its least and greatest length in bits.
-_BITS = (2, 256, 1 << 14)
+_BITS = (2, 512, 1 << 14)
+#: Words of the folded bitmap that goes along with postings.
+_FOLD = 8
 
 
 def shingles(words: Words, size: int) -> Iterator[np.ndarray]:
@@ -160,7 +162,8 @@ def _infos(shared, size: int, percent: int):
     def work(block: pa.RecordBatch) -> dict:
         sets, heads = _heads(block, shared.value, size, percent)
         return {"doc_id": block.column("doc_id"), "n": [len(s) for s in sets],
-                "asked": [asked for _, _, asked in heads], "bits": [bitmap(s) for s in sets]}
+                "asked": [asked for _, _, asked in heads], "bits": (bits := [bitmap(s) for s in sets]),
+                "fold": [_folded(b, 8 * _FOLD).view(np.int64) for b in bits]}
 
     return work
 
@@ -249,14 +252,14 @@ def _links(spark: SparkSession, docs: DataFrame, size: int, percent: int) -> Dat
     postings = stored(rare.unionByName(_several(tokens.where("frequent").drop("frequent"), False)))
     met_first = stored(postings.groupBy("doc_id").agg(F.min("at").alias("alone")))
     texts = stored(joined(docs, met_first.select("doc_id"), ["doc_id"], "left_semi", F.lit(16)))
-    infos = map_blocks(texts, _infos(shared, size, percent), "doc_id long, n int, asked int, bits binary")
+    infos = map_blocks(texts, _infos(shared, size, percent), "doc_id long, n int, asked int, bits binary, fold array<long>")
     # The first shingle that partners share is in both prefixes, so none before a document's first posting is shared.
     infos = stored(infos.join(met_first, "doc_id").withColumn("open", F.col("n") - F.col("alone")))
 
     stars = postings.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     linked = _checked(_plausible(stars.withColumn("shared", F.lit(MOST_MATCHES)), infos, percent), texts, size, percent)
 
-    labels = infos.select("doc_id", "n", "open").join(
+    labels = infos.select("doc_id", "n", "open", "fold").join(
         components(linked).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     # A document that meets others too late has no partner of any size.
@@ -266,14 +269,17 @@ def _links(spark: SparkSession, docs: DataFrame, size: int, percent: int) -> Dat
                                        F.mode("component", True).alias("main")).where("low < high")
     mixed = stored(named.join(mixed.select("token", "main"), "token"))
     outside = mixed.where("component <> main").select("token", *(F.col(c).alias(f"p_{c}") for c in (
-        "doc_id", "n", "at", "open", "component")))
+        "doc_id", "n", "at", "open", "fold", "component")))
     # A document outside the main component meets all others; of two outside ones the smaller meets the larger. Before
     # and after this shingle, no more can be shared than the shorter part of both holds.
     most = F.least("open", "p_open", F.least("at", "p_at") + F.least(F.col("n") - F.col("at"), F.col("p_n") - F.col("p_at")))
+    # Bits in which the folded bitmaps differ: the sets differ in as many shingles at least.
+    apart = sum((F.bit_count(F.get("fold", F.lit(i)).bitwiseXOR(F.get("p_fold", F.lit(i)))) for i in range(_FOLD)), F.lit(0))
     met = outside.join(mixed, "token").where(
         (F.col("component") != F.col("p_component"))
         & ((F.col("component") == F.col("main")) | (F.col("p_doc_id") < F.col("doc_id")))
-        & ((F.col("n") + F.col("p_n")) * percent <= most * (100 + percent)))
+        & ((F.col("n") + F.col("p_n")) * percent <= most * (100 + percent))
+        & ((F.col("n") + F.col("p_n") - apart) * (100 + percent) >= (F.col("n") + F.col("p_n")) * (2 * percent)))
     pairs = met.groupBy(F.least("p_doc_id", "doc_id").alias("a"), F.greatest("p_doc_id", "doc_id").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"))
     return linked.unionByName(_checked(_plausible(pairs, infos, percent), texts, size, percent))
