@@ -53,11 +53,18 @@ def test_planted(spark):
     assert fingerprints(df.where("false")).count() == 0
 
 
+def test_short_sentences_are_paragraphs(spark):
+    docs = [(1, "One. Two! Three? Four. Five. Six."), (2, "Uno. Due! Tre? Quattro. Cinque. Sei.")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [r.n for r in df.select(F.size(paragraphs(F.col("text"))).alias("n")).collect()] == [6, 6]
+    assert all(0 < r.near_edited < 1 and r.near_next == 0 for r in fingerprints(df).collect())
+
+
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     got = op6_document_fingerprints(spark, SF_DIR).collect()
     check(got, docs)
-    assert sum(r.near_edited > r.near_next for r in got) > 0.85 * len(got)
+    assert sum(r.near_edited > r.near_next for r in got) > 0.9 * len(got)
     own = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", paragraphs(F.col("text")).alias("p"))
     sets = [set(r.p) for r in own.orderBy("doc_id").collect()]
     for r, a, b in zip(sorted(got), sets, sets[1:] + sets[:1]):

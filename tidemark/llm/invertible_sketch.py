@@ -1,8 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: lines, and within a line at the ends of sentences that are long enough (48 characters
-without another end before), so short sentences join the next one. The distinct 64-bit digests of the paragraphs go
-into a sketch: each digest adds 1, itself and a check to one cell in each of three parts. Sketches of two versions are
+A text is cut into paragraphs: lines, and within a line at the end of every sentence. The distinct 64-bit digests of
+the paragraphs go into a sketch: each digest adds 1, itself and a check to one cell in each of three parts. Sketches of two versions are
 subtracted cell by cell, which cancels what they share; cells left with a single digest are peeled, which frees others,
 until the sketch is empty: then the peeled digests are the paragraphs that differ. A sketch that does not empty was too
 small for the difference, and the versions are sketched again at twice the size; after ``RETRIES`` sizes (the last of
@@ -34,7 +33,7 @@ ROUNDS = 40
 BLOCK = 512
 
 _PARTS = 3
-_ENDS = r"\n+|(?<=[^.!?\n]{48}[.!?])\s+"
+_ENDS = r"\n+|(?<=[.!?])\s+"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
