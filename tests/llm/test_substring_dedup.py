@@ -53,6 +53,23 @@ def test_empty_and_extra_columns(spark):
     assert [(r.doc_id, r.n_removed) for r in remove_repeats(df, 2).collect()] == [(1, 0), (1, 0)]
 
 
+def test_texts_that_share_an_id(spark):
+    base, own = [f"w{i}" for i in range(120)], [f"x{i}" for i in range(60)]
+    j = " ".join
+    rows = [(1, j(base)), (5, "long " * 3 + j(own) + " " + j(base[20:100]) + " end"), (5, "short one"), (5, j(base)),
+            (7, j(own)), (7, "z " + j(own[5:]) + " z"), (9, "last"), (9, "q " * 70 + j(base[:60]))]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((r.doc_id, r.n_words, r.kept) for r in remove_repeats(df, 50).collect())
+        assert got == sorted([
+            (1, 120, j(base)), (5, 144, j(["long"] * 3 + own + ["end"])), (5, 2, "short one"), (5, 120, ""),
+            (7, 60, ""), (7, 57, "z z"), (9, 1, "last"), (9, 130, j(["q"] * 70))])
+    # Both texts of the smaller id are sources.
+    rows = [(1, "a " + j(base)), (1, j(own) + " b"), (2, "c " + j(base[10:]) + " d " + j(own))]
+    got = {r.kept for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()}
+    assert got == {"a " + j(base), j(own) + " b", "c d"}
+
+
 def test_spans_name_their_source(spark):
     base = [f"w{i}" for i in range(90)]
     rows = [(1, " ".join(base)), (2, "a b " + " ".join(base[5:75])), (3, "c " + " ".join(base[5:75]) + " d")]

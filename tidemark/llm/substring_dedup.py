@@ -15,8 +15,11 @@ What keeps it small at scale:
 * A passage that millions of documents share is one edge per word; its rows are pre-aggregated before the shuffle, and
   the join back to its places is one that Spark can split.
 
+A document is named by its id and the key of its text, so that texts which share an id keep their own places. In rows
+of places the texts of one id are told apart by their rank (0 for all but repeated ids) in the high half of the place.
+
 Defined results: a null text has no words; texts of fewer than k words lose none; of repeated ids none counts as the
-other's smaller source; other columns are ignored.
+other's smaller source, and each row is cut by its own text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ KEY_BYTES = 16
 #: Bits of one word pair in a path's checksum: sums over a document of 2^22 words stay below 2^63.
 _CHECK_BITS = np.uint64(24)
 
-EDGE = "source long, target long, doc_id long, place int, checksum long"
+EDGE = "source long, target long, doc_id long, place long, checksum long"
 
 
 def _own_anchor(words: Words, k: int) -> np.ndarray:
@@ -101,13 +104,20 @@ def _edges(k: int):
                              >> (np.uint64(64) - _CHECK_BITS))
         doc = words.doc[chosen]
         check = (pair[chosen + 1] - pair[words.first[doc]]).view(np.int64)
+        rank = block.column("rank").to_numpy(zero_copy_only=False).astype(np.int64)
         return {"source": nodes[chosen], "target": nodes[chosen + 1],
                 "doc_id": block.column("doc_id").to_numpy(zero_copy_only=False)[doc],
-                "place": words.place[chosen].astype(np.int32), "checksum": check}
+                "place": words.place[chosen] + (rank[doc] << 32), "checksum": check}
 
     return work
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """Documents with the key of their text, as ``_anchors`` takes it."""
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    return docs.withColumn("key", F.substring(digest, 1, KEY_BYTES))
+
+
 def text_classes(docs: DataFrame, k: int) -> DataFrame:
     """Per document: key of its text, anchors with places."""
     return map_blocks(docs, _anchors(k), "doc_id long, key binary, n_words long, anchors array<long>, places array<int>")
@@ -123,7 +133,7 @@ def at_origin(places: DataFrame) -> DataFrame:
     """Each repeated edge once, with its first place at its origin and the degrees of its two nodes."""
     edges = places.where("doc_id = origin").groupBy("source", "target").agg(
         F.first("origin").alias("origin"), F.min("place").alias("origin_place"),
-        F.min("checksum").alias("origin_checksum"))  # checksums grow with places
+        F.min_by("checksum", "place").alias("origin_checksum"))
     leaving = edges.groupBy("source").agg(F.count(F.lit(1)).alias("leaving"))
     entering = edges.groupBy("target").agg(F.count(F.lit(1)).alias("entering"))
     return edges.join(leaving, "source").join(entering, "target")
@@ -146,25 +156,28 @@ def compacted(edges: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, k: int = 50) -> tuple[DataFrame, DataFrame]:
     """``(copies, spans)`` of (doc_id, text) rows.
 
-    copies: (doc_id) of documents whose whole text a smaller id has and that have a k-mer. spans: one row per verified
-    place of a path in a document, (doc_id, start, n_words, origin, origin_start): these words also stand at the origin,
-    whose id is smaller. Spans of a document may overlap.
+    copies: (doc_id, key) of documents whose whole text a smaller id has and that have a k-mer. spans: one row per
+    verified place of a path in a document, (doc_id, key, start, n_words, origin, origin_start): these words also stand
+    at the origin, whose id is smaller. Spans of a document may overlap.
     """
     classes = stored(text_classes(docs, k))
     least = classes.groupBy("key").agg(F.min("doc_id").alias("head"))
-    heads = stored(least.select(F.col("head").alias("doc_id"), F.col("key").alias("head_key")).distinct())
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("key")) - 1
+    heads = stored(least.where(F.col("head").isNotNull()).select(F.col("head").alias("doc_id"), "key").withColumn("rank", rank))
     copies = (classes.where(F.col("n_words") >= k).select("doc_id", "key").join(least, "key")
-              .where(F.col("doc_id") > F.col("head")).select("doc_id").distinct())
+              .where(F.col("doc_id") > F.col("head")).select("doc_id", "key").distinct())
 
-    listed = joined(classes.where(F.size("anchors") > 0), heads, ["doc_id"], "inner", F.lit(32)).where("key = head_key")
-    anchors = listed.select("doc_id", F.inline(F.arrays_zip("anchors", "places"))).toDF("doc_id", "anchor", "place")
+    listed = joined(classes.where(F.size("anchors") > 0), heads, ["doc_id", "key"], "inner", F.lit(36))
+    anchors = listed.select("doc_id", "rank", F.inline(F.arrays_zip("anchors", "places"))).toDF(
+        "doc_id", "rank", "anchor", "place")
     shared = stored(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                     .where("a < b").select("anchor"))
     marked = joined(anchors, shared, ["anchor"], "inner", F.lit(16))
-    marked = stored(marked.groupBy("doc_id").agg(F.collect_list("place").alias("places")))
+    marked = marked.groupBy("doc_id", "rank").agg(F.collect_list("place").alias("places"))
+    marked = stored(joined(marked, heads, ["doc_id", "rank"], "inner", F.lit(36)))
 
     # Scanning the marked texts twice costs less disk than a table of all candidate edges.
-    edges = map_blocks(joined(docs, marked, ["doc_id"], "inner", list_bytes("places", each=4)), _edges(k), EDGE)
+    edges = map_blocks(joined(keyed(docs), marked, ["doc_id", "key"], "inner", list_bytes("places", each=4)), _edges(k), EDGE)
     repeated = stored(repeated_edges(edges))
     paths = compacted(at_origin(repeated))
     places = (repeated.where("doc_id > origin").drop("origin").join(paths, ["source", "target"])
@@ -180,9 +193,11 @@ def repeated_spans(docs: DataFrame, k: int = 50) -> tuple[DataFrame, DataFrame]:
         F.min("place").alias("start"), F.max("place").alias("stop"), F.min("origin_place").alias("origin_start"),
         (F.max("checksum") - F.min("checksum")).alias("own"),
         (F.max("origin_checksum") - F.min("origin_checksum")).alias("theirs"))
+    place = lambda c: F.col(c).bitwiseAND((1 << 32) - 1).cast("int").alias(c)
     spans = ends.where(F.col("own") == F.col("theirs")).select(
-        "doc_id", "start", (F.col("stop") - F.col("start") + k).alias("n_words"), "origin", "origin_start")
-    return copies, spans
+        "doc_id", F.shiftright("start", 32).cast("int").alias("rank"), place("start"),
+        (F.col("stop") - F.col("start") + k).cast("int").alias("n_words"), "origin", place("origin_start"))
+    return copies, joined(spans, heads, ["doc_id", "rank"], "inner", F.lit(36)).drop("rank")
 
 
 def _cut(carried: Carried):
@@ -210,14 +225,16 @@ def remove_repeats(df: DataFrame, k: int = 50, id_col: str = "doc_id", text_col:
     """One row per row of ``df``: doc_id, n_words, n_removed, kept (the words left, joined by one space), and ``carry``."""
     docs, carried = documents(df, id_col, text_col), Carried(df, carry)
     copies, spans = repeated_spans(docs, k)
-    cuts = spans.select("doc_id", "start", (F.col("start") + F.col("n_words")).alias("stop"), F.lit(False).alias("copied"))
-    whole = copies.select("doc_id", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("stop"),
+    cuts = spans.select("doc_id", "key", "start", (F.col("start") + F.col("n_words")).alias("stop"),
+                        F.lit(False).alias("copied"))
+    whole = copies.select("doc_id", "key", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("stop"),
                           F.lit(True).alias("copied"))
     # Equal bounds from several origins are one.
-    marks = cuts.unionByName(whole).groupBy("doc_id").agg(
+    marks = cuts.unionByName(whole).groupBy("doc_id", "key").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans"), F.max("copied").alias("copied"))
     marks = marks.withColumn("spans", F.filter("spans", lambda s: s["start"].isNotNull()))
     marks = stored(marks.select(
-        "doc_id", "copied", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")))
-    met = joined(documents(df, id_col, text_col, carried), marks, ["doc_id"], "left", list_bytes("starts", "stops", each=4))
+        "doc_id", "key", "copied", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")))
+    met = joined(keyed(documents(df, id_col, text_col, carried)), marks, ["doc_id", "key"], "left",
+                 list_bytes("starts", "stops", each=4))
     return carried.renamed(map_blocks(met, _cut(carried), "doc_id long, n_words long, n_removed long, kept string" + carried.ddl))
