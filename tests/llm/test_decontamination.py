@@ -54,6 +54,15 @@ def test_planted(spark):
     assert {r.doc_id: r.cleaned for r in contamination(d, i).collect()} == cleaned
 
 
+def test_null_ids_with_several_sets(spark):
+    test = " ".join(f"q{i}" for i in range(25))
+    docs = [(None, "a " + test + " b"), (None, "c " + test), (None, "clean"), (None, None), (1, test + " d")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    i = spark.createDataFrame([(1, test)], "item_id long, text string")
+    assert found(contamination(d, i, max_windows=5)) == brute(docs, [(1, test)], 10)
+    assert {r.cleaned for r in contamination(d, i, max_windows=5).collect()} == {"a  b", "c ", "clean", None, " d"}
+
+
 def test_empty_and_extra_columns(spark):
     d = spark.createDataFrame([(1, "a b", "s", 1)], "doc_id long, text string, items string, hash int")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -179,7 +179,9 @@ def contamination(docs_df: DataFrame, items_df: DataFrame, n: int = 10, max_wind
     hits = reduce(DataFrame.unionByName, scans).groupBy("doc_id", "digest").agg(
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("stops")).alias("stops"),
         F.flatten(F.collect_list("items")).alias("items"))
-    met = keyed.join(hits, ["doc_id", "digest"], "left")
+    hits = hits.withColumnsRenamed({"doc_id": "hit_id", "digest": "hit_digest"})
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("digest") == F.col("hit_digest"))
+    met = keyed.join(hits, same, "left")
     return carried.renamed(map_blocks(met, _drop(carried), HITS + carried.ddl))
 
 
