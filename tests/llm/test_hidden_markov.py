@@ -82,6 +82,36 @@ def test_planted(spark, monkeypatch):
     assert hm.score_held_out(df.where("false")).count() == 0
 
 
+def test_rare_words_keep_their_own_counts(spark, monkeypatch):
+    # Two topics that share no word; only three words have a symbol that workers hold.
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"{'ab'[i % 2]}{rng.integers(40)}" for _ in range(80))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(hm, "SYMBOLS", 3)
+    monkeypatch.setattr(hm, "KNOWN", 6)
+    lexicon, chain, likes, counts = hm.fit(df, passes=4)
+    assert likes == sorted(likes)
+    factors = {r.word: np.array(r.factor) for r in chain.factors.collect()}
+    assert len(factors) == lexicon.distinct - 3  # the end and two words have symbols
+    assert max(f.max() / f.min() for f in factors.values()) > 2
+    # Within a group, shares of words and of a word never seen add up to 1 in each state.
+    sizes = {r.word: r.n for r in counts.collect()}
+    groups = {}
+    for w, f in factors.items():
+        g = w & (hm.SHARED - 1)
+        share = (sizes[w] + hm.ADD) / (lexicon.shared_count[g] + hm.ADD * (lexicon.shared_words[g] + 1))
+        groups[g] = groups.get(g, 0) + share * f
+    for g, total in groups.items():
+        unseen = hm.ADD / (lexicon.shared_count[g] + hm.ADD * (lexicon.shared_words[g] + 1))
+        assert np.allclose(total + unseen, 1, atol=1e-3)
+    rows = hm.score(df, lexicon, chain, counts).collect()
+    with_own = sum(r.score for r in rows)
+    chain.factors = None
+    assert with_own > sum(r.score for r in hm.score(df, lexicon, chain, counts).collect())
+    mixed = spark.createDataFrame([(1, None), (2, "never seen a1"), (3, docs[0][1])], "doc_id long, text string")
+    assert all(np.isfinite(r.score) for r in hm.score(mixed, lexicon, chain, counts).collect())
+
+
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     got = op5_hidden_markov(spark, SF_DIR).collect()

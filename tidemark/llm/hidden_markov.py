@@ -1,12 +1,14 @@
 """A hidden Markov language model over words.
 
 Latent states emit words; the end of a text is a word of its own, so that texts of any length share one distribution.
-The most frequent words are symbols of the chain. Other words share symbols by hash, and each has its share of such a
-symbol by its exact count, with room for words never seen.
+The most frequent words are symbols of the chain that every worker holds. Other words are symbols whose emissions are a
+table: an emission is that of a group of words (by hash), times the word's share of the group by its exact count, times
+a factor for each state, learned from the word's own expected counts. Factors are joined to the texts that have the
+word, so their table grows with the words of the corpus. A word never seen has the factor 1.
 
 Training is Baum-Welch: every pass runs the scaled forward and backward recursions over all training texts, whole, in
-parallel over partitions; each task sums expected counts per symbol and transition, Spark adds these up over tasks, and
-the driver holds only the parameters (states x symbols, of fixed size). States start from a few texts that differ most
+parallel over partitions; each task sums expected counts per word and transition, Spark adds these up over tasks, and
+the driver holds only the parameters of fixed size (states x symbols). States start from a few texts that differ most
 among a fixed number of candidates; this start is the only thing taken from a sample. Scoring is the forward recursion
 over the whole text, exact up to rounding.
 
@@ -34,8 +36,8 @@ from .words import SPACED_LOWER, documents, find_words, gathered, small_batches
 
 STATES = 8
 PASSES = 3
-#: Words with a symbol of their own, and symbols that all others share.
-SYMBOLS = 1 << 14
+#: Words whose emissions every worker holds, and groups of all others.
+SYMBOLS = 1 << 17
 SHARED = 1 << 10
 #: Words whose counts every worker holds.
 KNOWN = 1 << 18
@@ -153,11 +155,68 @@ def build_lexicon(counts: DataFrame) -> Lexicon:
     return Lexicon(*own, SYMBOLS, shared_count, shared_words, int(total[0] or 0), int(total[1]))
 
 
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def rare_words(docs: DataFrame, shared) -> DataFrame:
+    """(key, rare): for each distinct text its distinct words without a symbol that every worker holds."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = shared.value
+        for block in gathered(batches, "text", _TOGETHER):
+            h, first = sequences(block.column("text"))
+            rare = lexicon.find(h)[0] >= lexicon.n_symbols
+            cuts = np.concatenate([[0], np.cumsum(rare)])[first]
+            words = h[rare].view(np.int64)
+            lists = [np.unique(words[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([block.column("key"), pa.array(lists, pa.list_(pa.int64()))], ["key", "rare"])
+
+    found = docs.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "key string, rare array<long>")
+    return stored(found.where(F.size("rare") > 0).groupBy("key").agg(F.first("rare").alias("rare")))
+
+
+def with_factors(docs: DataFrame, rare: DataFrame | None, factors: DataFrame | None) -> DataFrame:
+    """Texts with their rare words (``words``) and those words' factors, state by state (``factors``)."""
+    if rare is None or factors is None:
+        return docs
+    met = rare.select("key", F.explode("rare").alias("word")).join(factors, "word")
+    lists = met.groupBy("key").agg(F.collect_list(F.struct("word", "factor")).alias("own")).select(
+        "key", F.col("own.word").alias("words"), F.flatten("own.factor").alias("factors"))
+    return docs.withColumn("key", text_key(F.col("text"))).join(lists.hint("merge"), "key", "left").drop("key")
+
+
+def block_factors(block: pa.RecordBatch, h: np.ndarray, rare: np.ndarray, states: int):
+    """Factors of the block's words after a row of ones, and the row of each word; None if it has no factors."""
+    if "words" not in block.schema.names:
+        return None
+    words = block.column("words").flatten().to_numpy(zero_copy_only=False)
+    if not len(words):
+        return None
+    factor = block.column("factors").flatten().to_numpy(zero_copy_only=False).reshape(-1, states)
+    names, at = np.unique(words, return_index=True)
+    own = h[rare].view(np.int64)
+    place = np.minimum(np.searchsorted(names, own), len(names) - 1)
+    rows = np.zeros(len(h), np.int32)
+    rows[rare] = np.where(names[place] == own, place + 1, 0)
+    return np.concatenate([np.ones((1, states), np.float32), factor[at].astype(np.float32)]), rows
+
+
 class Chain:
-    """Parameters: start (states), move (states x states), emit (symbols x states)."""
+    """Parameters: start (states), move (states x states), emit (symbols x states); and the table of factors
+    (word, factor), which stays on the driver's side."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, factors: DataFrame | None = None):
         self.start, self.move, self.emit = (x.astype(np.float32) for x in (start, move, emit))
+        self.factors = factors
+
+    def __getstate__(self):
+        return {**self.__dict__, "factors": None}
+
+    def _emitted(self, symbols: np.ndarray, at: np.ndarray, own) -> np.ndarray:
+        out = self.emit[symbols[at]]
+        return out if own is None else out * own[0][own[1][at]]
 
     def _steps(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Texts by falling length, and how many of them have a word at each place."""
@@ -166,7 +225,7 @@ class Chain:
         active = np.searchsorted(-sizes[order], -np.arange(sizes.max(initial=0)), side="left")
         return order, first[:-1][order], active
 
-    def forward(self, symbols: np.ndarray, first: np.ndarray, keep: bool = False):
+    def forward(self, symbols: np.ndarray, first: np.ndarray, keep: bool = False, own=None):
         """Natural log likelihood of each text (and scaled states and scales of each word)."""
         order, begin, active = self._steps(first)
         like = np.zeros(len(order))
@@ -175,7 +234,7 @@ class Chain:
         alpha = None
         for t, n in enumerate(active.tolist()):
             at = begin[:n] + t
-            alpha = (self.start if t == 0 else alpha[:n] @ self.move) * self.emit[symbols[at]]
+            alpha = (self.start if t == 0 else alpha[:n] @ self.move) * self._emitted(symbols, at, own)
             scale = alpha.sum(axis=1)
             alpha /= scale[:, None]
             like[:n] += np.log(scale)
@@ -185,9 +244,9 @@ class Chain:
         out[order] = like
         return (out, states, scales) if keep else out
 
-    def expected(self, symbols: np.ndarray, first: np.ndarray):
+    def expected(self, symbols: np.ndarray, first: np.ndarray, own=None):
         """Expected counts: start, move, per-word states; and the log likelihood."""
-        like, states, scales = self.forward(symbols, first, keep=True)
+        like, states, scales = self.forward(symbols, first, True, own)
         order, begin, active = self._steps(first)
         move = np.zeros(self.move.shape)
         posterior = states.copy()
@@ -196,7 +255,7 @@ class Chain:
         for t in range(len(counts) - 2, -1, -1):
             n = counts[t + 1]
             after, at = begin[:n] + t + 1, begin[:n] + t
-            seen = self.emit[symbols[after]] * beta[:n]
+            seen = self._emitted(symbols, after, own) * beta[:n]
             seen /= scales[after][:, None]
             move += states[at].T @ seen
             beta[:n] = seen @ self.move.T
@@ -206,7 +265,13 @@ class Chain:
 
 
 def _expected(shared, chain_shared, states: int):
-    """One row per symbol seen by the task, and rows -1 (start), -2 - i (moves from state i), with likelihood in -1."""
+    """One row per symbol seen by the task, and rows -1 (start), -2 - i (moves from state i), with likelihood in -1;
+    rows of rare words, under their hashes, block by block."""
+    def batch(rare: bool, names: np.ndarray, rows: np.ndarray, likes: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(names), rare)), pa.array(names), *(pa.array(rows[:, s]) for s in range(states)),
+             pa.array(likes)], ["rare", "symbol", *(f"s{s}" for s in range(states)), "like"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, chain = shared.value, chain_shared.value
         emit = np.zeros((len(chain.emit), states))
@@ -214,21 +279,43 @@ def _expected(shared, chain_shared, states: int):
         for block in gathered(batches, "text", _TOGETHER):
             h, first = sequences(block.column("text"))
             symbols = lexicon.find(h)[0]
-            one, two, posterior, own = chain.expected(symbols, first)
+            rare = symbols >= lexicon.n_symbols
+            one, two, posterior, own = chain.expected(symbols, first, block_factors(block, h, rare, states))
             start, move, like = start + one, move + two, like + own.sum()
             for s in range(states):
                 emit[:, s] += np.bincount(symbols, weights=posterior[:, s], minlength=len(emit))
+            if rare.any():
+                names, at = np.unique(h[rare].view(np.int64), return_inverse=True)
+                sums = np.stack([np.bincount(at, weights=posterior[rare, s]) for s in range(states)], axis=1)
+                yield batch(True, names, sums, np.zeros(len(names)))
         seen = np.flatnonzero(emit.any(axis=1))
         rows = np.concatenate([emit[seen], start[None], move])
-        names = np.concatenate([seen, [-1], -2 - np.arange(states)]).astype(np.int32)
+        names = np.concatenate([seen, [-1], -2 - np.arange(states)]).astype(np.int64)
         likes = np.zeros(len(rows))
         likes[len(seen)] = like
-        yield pa.RecordBatch.from_arrays([pa.array(names), *(pa.array(rows[:, s]) for s in range(states)), pa.array(likes)],
-                                         ["symbol", *(f"s{s}" for s in range(states)), "like"])
+        yield batch(False, names, rows, likes)
 
     return run
 
 
+def _factors(sums: DataFrame, lexicon: Lexicon, columns: list[str], emit: np.ndarray) -> DataFrame:
+    """(word, factor) of rare words from their expected counts and those of their groups (``emit``).
+
+    Within a group and a state a word's share is (c / C * n + ADD) / (n + ADD * (words + 1)), with c and C the expected
+    counts of word and group and n the group's tokens; the factor is that over its share in all states. The shares of a
+    group's words and of one never seen add up to 1.
+    """
+    group = emit[lexicon.n_symbols:]
+    ratio = np.divide(lexicon.shared_count[:, None], group, out=np.zeros_like(group), where=group > 0)
+    spark = sums.sparkSession
+    ratios = spark.createDataFrame([(i, r) for i, r in enumerate(ratio.tolist())], "place int, ratio array<double>")
+    met = sums.where("rare").withColumn("place", F.col("symbol").bitwiseAND(SHARED - 1).cast("int")).join(
+        F.broadcast(ratios), "place")
+    total = sum((F.col(c) for c in columns), F.lit(0.0)) + ADD
+    return met.select(F.col("symbol").alias("word"), F.array(*(
+        ((F.col(c) * F.col("ratio")[s] + ADD) / total).cast("float") for s, c in enumerate(columns))).alias("factor"))
+
+
 def _started(docs: DataFrame, lexicon: Lexicon, states: int) -> Chain:
     """States that lean to texts which differ most from each other."""
     picked = docs.where(F.length("text") >= 200).orderBy(F.xxhash64("text")).limit(CANDIDATES).toArrow()
@@ -257,10 +344,13 @@ def train(docs: DataFrame, lexicon: Lexicon, states: int = STATES, passes: int =
     small_batches(docs.sparkSession)
     shared, chain, likes = sc.broadcast(lexicon), _started(docs, lexicon, states), []
     columns = [f"s{s}" for s in range(states)]
-    schema = "symbol int, " + ", ".join(f"{c} double" for c in columns) + ", like double"
+    schema = "rare boolean, symbol long, " + ", ".join(f"{c} double" for c in columns) + ", like double"
+    rare = rare_words(docs, shared) if lexicon.shared_words.any() else None
     for _ in range(passes):
-        sums = docs.mapInArrow(_expected(shared, sc.broadcast(chain), states), schema).groupBy("symbol").agg(
-            *(F.sum(c).alias(c) for c in [*columns, "like"])).toArrow()  # a fixed number of rows at most
+        work = _expected(shared, sc.broadcast(chain), states)
+        table = stored(with_factors(docs, rare, chain.factors).mapInArrow(work, schema).groupBy("rare", "symbol").agg(
+            *(F.sum(c).alias(c) for c in [*columns, "like"])))
+        sums = table.where("NOT rare").toArrow()  # a fixed number of rows at most
         names = sums["symbol"].to_numpy()
         values = np.stack([sums[c].to_numpy() for c in columns], axis=1)
         place = dict(zip(names.tolist(), range(len(names))))
@@ -268,10 +358,13 @@ def train(docs: DataFrame, lexicon: Lexicon, states: int = STATES, passes: int =
             break
         likes.append(float(sums["like"].to_numpy()[place[-1]]))
         emit = np.repeat(lexicon.unigram()[:, None], states, axis=1)  # one token's worth of the overall shares
-        emit[names[names >= 0]] += values[names >= 0]
+        gathered_counts = np.zeros_like(emit)
+        gathered_counts[names[names >= 0]] = values[names >= 0]
+        emit += gathered_counts
         start = values[place[-1]] + ADD
         move = np.stack([values[place[-2 - i]] for i in range(states)]) + ADD
-        chain = Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+        chain = Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0),
+                      None if rare is None else _factors(table, lexicon, columns, gathered_counts))
     return chain, likes
 
 
@@ -295,6 +388,7 @@ def score(df: DataFrame, lexicon: Lexicon, chain: Chain, counts: DataFrame, id_c
             h, first = sequences(block.column("text"))
             symbols, at = lexicon.find(h)
             known = at >= 0
+            own = block_factors(block, h, symbols >= lexicon.n_symbols, len(chain.start))
             owner = np.repeat(np.arange(block.num_rows), np.diff(first))
             add = lambda v: np.bincount(owner[known], weights=v[at[known]], minlength=block.num_rows)
             rare, times = [], []
@@ -308,13 +402,14 @@ def score(df: DataFrame, lexicon: Lexicon, chain: Chain, counts: DataFrame, id_c
             yield pa.RecordBatch.from_arrays([
                 pa.array([f"{task}.{made + i}" for i in range(block.num_rows)]), block.column("doc_id"),
                 pa.array(np.diff(first)), pa.array(np.bincount(owner[known], minlength=block.num_rows)),
-                pa.array(add(base)), pa.array(chain.forward(symbols, first) / math.log(10) + add(share)),
+                pa.array(add(base)), pa.array(chain.forward(symbols, first, own=own) / math.log(10) + add(share)),
                 pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
                 ["row_key", "doc_id", "n_tokens", "n_known", "base", "chain", "rare", "times"])
             made += block.num_rows
 
     # Written once: row keys name rows of this table, whatever is run again.
-    scored = stored(docs.mapInArrow(run, SCORED))
+    words = None if chain.factors is None else rare_words(docs, shared)
+    scored = stored(with_factors(docs, words, chain.factors).mapInArrow(run, SCORED))
     rare = scored.select("row_key", F.inline(F.arrays_zip("rare", "times"))).toDF("row_key", "word", "times")
     met = rare.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     place = F.col("word").bitwiseAND(SHARED - 1).cast("int")
