@@ -12,6 +12,7 @@ from .jaccard_join import near_classes
 from .language_id import identify
 from .license_scan import scan_licenses
 from .packing import pack
+from .periodic_runs import periodic_runs
 from .substring_dedup import remove_repeats
 from .token_store import write_store
 from .url_filter import judge
@@ -71,6 +72,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs(_table(spark, sf_dir, "documents"), looped_tails=True)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", "exponent_milli",
+                      F.sha2(F.concat_ws("", line), 256).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
@@ -82,4 +91,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op13_periodic_runs": op13_periodic_runs,
 }
