@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import collocations
 from .decontamination import contamination
 from .hidden_markov import score_held_out
 from .invertible_sketch import fingerprints
@@ -14,6 +15,7 @@ from .license_scan import scan_licenses
 from .packing import pack
 from .periodic_runs import periodic_runs
 from .substring_dedup import remove_repeats
+from .threshold_topk import top_products
 from .token_store import write_store
 from .url_filter import judge
 
@@ -72,6 +74,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = periodic_runs(_table(spark, sf_dir, "documents"), looped_tails=True)
     line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
@@ -91,5 +101,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_threshold_topk": op11_threshold_topk,
+    "op12_collocations": op12_collocations,
     "op13_periodic_runs": op13_periodic_runs,
 }

@@ -128,3 +128,49 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLES["op11_threshold_topk"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS own, vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.own, q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.own <> v.own WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+_PIECES = f"""[x FOR x IN regexp_split_to_array({_lower("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]') IF x <> '']"""
+_CUT = "(1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT"
+
+ORACLES["op12_collocations"] = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, x
+               FROM (SELECT lang, unnest({_PIECES}) AS x FROM documents)),
+word AS (SELECT lang, piece, unnest(w) AS w1, unnest(range(len(w))) AS p FROM (
+  SELECT lang, piece, [y FOR y IN regexp_split_to_array(x, '[ \\x09]+') IF y <> ''] AS w FROM piece)),
+spot AS (SELECT *, lead(w1) OVER z AS w2, lead(w1, 2) OVER z AS w3 FROM word WINDOW z AS (PARTITION BY piece ORDER BY p)),
+total AS (SELECT lang, count(*) AS n FROM word GROUP BY lang),
+f1 AS (SELECT lang, w1, count(*) AS f FROM spot GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM spot WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM spot WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+held AS (SELECT lang, w1, w2, max(f) AS most FROM (
+  SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT f2.lang, w1 || ' ' || w2 AS phrase, 1 AS k, f2.f AS a, x.f AS l, y.f AS r
+  FROM f2 JOIN f1 x USING (lang, w1) JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2 LEFT JOIN held USING (lang, w1, w2)
+  WHERE f2.f >= 10 AND coalesce(100 * most < 50 * f2.f, true)
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 1, f3.f, x.f, y.f
+  FROM f3 JOIN f1 x USING (lang, w1) JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 2, f3.f, x.f, y.f
+  FROM f3 JOIN f2 x USING (lang, w1, w2) JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3
+), best AS (
+  SELECT *, {_CUT} AS score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY {_CUT}, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
