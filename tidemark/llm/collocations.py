@@ -32,7 +32,7 @@ from .word_ids import word_ids
 from .words import Words, arrow_schema, byte_table, find_words, gathered, small_batches
 
 #: Bytes of text in a shard; a longer document is a shard of its own.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 #: The bitmap of frequent phrases has 16 bits for each, within these bounds.
 _LEAST_BITS, _MOST_BITS = 1 << 16, 1 << 27
 
