@@ -6,12 +6,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators.decomposition import explained_variance, fit_pca, with_vector
-from ..operators.preprocess import fit_preprocessor
+from ..operators.ordering import held
 from ..operators.sampling import stratified_split
 from ..operators.smote import oversample
-from ..plans.training import boosted_trees, feature_importance, fit_classifier, random_forest, with_scores
-from ..plans.tuning import fit_final, run_search
-from ..sources.runs import CONFIG_SCHEMA
+from ..plans.training import feature_importance, train_boosted, train_forest, with_scores
+from ..plans.tuning import fit_final, run_search, search_space
 from ..streaming.incremental import baseline_bins, psi_per_window, window_histogram
 from .registry import register, table
 from .samples import EVENT_CUT, QUANTILES, moment
@@ -41,22 +40,26 @@ _CONFIG = {"n_estimators": 200, "max_depth": 6, "learning_rate": 0.1, "subsample
 @register("gbt_score")
 def _gbt(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)
-    fitted = fit_preprocessor(rows, ("quality", "doc_id"))
-    model = fit_classifier(rows, fitted, boosted_trees(_CONFIG, "quality"), "quality")
+    with held(rows):
+        model = train_boosted(rows, "quality", _CONFIG, ("doc_id",), keys=["doc_id"])
     return with_scores(model, rows).select("doc_id", "quality", "pred_proba")
 
 
+@register("gbt_importance")
+def _gbt_importance(spark, sf_dir):
+    """The 15 features of largest mean gain."""
+    rows = labelled_documents(spark, sf_dir)
+    with held(rows):
+        model = train_boosted(rows, "quality", _CONFIG, ("doc_id",), keys=["doc_id"])
+    return feature_importance(spark, model, 15)
+
+
 @register("search_trials")
 def _search(spark, sf_dir):
-    """Two short configurations on five folds, mean metrics per trial."""
+    """Ten drawn configurations on five folds, mean metrics per trial."""
     rows = labelled_documents(spark, sf_dir)
-    names = [f.name for f in CONFIG_SCHEMA.fields]
-    full = {"reg_alpha": 0.0, "reg_lambda": 1.0, **_CONFIG}
-    trials = spark.createDataFrame(
-        [(i, tuple({**full, "n_estimators": n, "max_depth": d}[c] for c in names)) for i, (n, d) in enumerate([(3, 2), (5, 3)])],
-        f"trial_id bigint, config {CONFIG_SCHEMA.simpleString()}",
-    )
-    found = run_search(rows, ["doc_id"], "quality", trials, exclude=("doc_id",))
+    with held(rows):
+        found = run_search(rows, ["doc_id"], "quality", search_space(spark, 10), exclude=("doc_id",))
     return found.trials.select("trial_id", "val_auc", "val_ap", "val_acc", "val_f1")
 
 
@@ -65,16 +68,17 @@ def _final(spark, sf_dir):
     """Split, fit on train, measure on test: (metric, value)."""
     parted = stratified_split(labelled_documents(spark, sf_dir), ["doc_id"], "quality")
     train, test = (parted.where(F.col("split") == s).drop("split") for s in ("train", "test"))
-    metrics = fit_final(train, test, "quality", _CONFIG, ("doc_id",)).metrics
+    with held(train):
+        metrics = fit_final(train, test, "quality", _CONFIG, ("doc_id",), keys=["doc_id"]).metrics
     return spark.createDataFrame(sorted(metrics.items()), "metric string, value double")
 
 
 @register("rf_importance")
 def _rf(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)
-    fitted = fit_preprocessor(rows, ("quality", "doc_id"))
-    model = fit_classifier(rows, fitted, random_forest("quality"), "quality", "balanced")
-    return feature_importance(spark, model.stages[-1], fitted.feature_names, 20)
+    with held(rows):
+        model = train_forest(rows, "quality", ("doc_id",), keys=["doc_id"])
+    return feature_importance(spark, model, 20)
 
 
 @register(

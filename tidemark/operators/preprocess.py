@@ -139,13 +139,27 @@ class Preprocessor:
         return PipelineModel(stages)
 
 
+def category_lists(df: DataFrame, columns: list[str], max_categories: int = 1_000_000) -> dict[str, list[str]]:
+    """Categories of each column in ascending order (of UTF-8 bytes, as Spark sorts), collected up to a bound."""
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    if columns:
+        wide = df.select(*[category_key(field(c)).alias(c) for c in columns])
+        distinct = wide.unpivot([], [field(c) for c in columns], "column", "category").distinct()
+        rows = distinct.limit(max_categories + 1).toArrow()
+        if rows.num_rows > max_categories:
+            raise ValueError(f"more than {max_categories} categories: they stay in a table, see encoding.fit_encoder")
+        for c, cat in zip(rows.column("column").to_pylist(), rows.column("category").to_pylist()):
+            found[c].append(cat)
+    return {c: sorted(cats, key=lambda s: s.encode()) for c, cats in found.items()}
+
+
 def fit_preprocessor(
     df: DataFrame, exclude: tuple[str, ...] = (), max_categories: int = 1_000_000
 ) -> Preprocessor:
     """Fits on ``df`` with target columns removed.
 
     The category list is collected, so it is size-checked; past the bound use
-    ``one_hot_long``, which stays distributed.
+    ``encoding.fit_encoder``, whose state is a table.
     """
     features = drop_targets(df).drop(*exclude)
     numeric, categorical = numeric_columns(features), categorical_columns(features)
@@ -153,20 +167,7 @@ def fit_preprocessor(
     if numeric:
         for r in scaler_stats(features, numeric).collect():
             stats[r["column"]] = (r["mean"] if r["mean"] is not None else 0.0, r["scale"] if r["scale"] is not None else 1.0)
-    found: dict[str, list[str]] = {c: [] for c in categorical}
-    if categorical:
-        wide = features.select(*[category_key(field(c)).alias(c) for c in categorical])
-        distinct = wide.unpivot([], [field(c) for c in categorical], "column", "category").distinct()
-        rows = distinct.limit(max_categories + 1).toArrow()
-        if rows.num_rows > max_categories:
-            raise ValueError(f"more than {max_categories} categories; use one_hot_long")
-        for c, cat in zip(rows.column("column").to_pylist(), rows.column("category").to_pylist()):
-            found[c].append(cat)
-    # UTF-8 byte order, the order Spark sorts strings in.
-    return Preprocessor(
-        {c: stats[c] for c in numeric},
-        {c: sorted(cats, key=lambda s: s.encode()) for c, cats in found.items()},
-    )
+    return Preprocessor({c: stats[c] for c in numeric}, category_lists(features, categorical, max_categories))
 
 
 def consistent_standardise(ref: DataFrame, cur: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:

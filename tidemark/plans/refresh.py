@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from ..sources.models import append_pointer, save_model
 from ..sources.reports import write_report
 from ..sources.runs import CONFIG_SCHEMA, append_runs, promote, read_runs, write_config
 from ..sources.tables import write_snapshot
+from .ensembles import TreeModel
 from .training import with_scores
 from .tuning import trial_runs, tune_and_fit
 
@@ -27,7 +27,7 @@ class CheckOutcome:
 
 
 def score_both(
-    ref: DataFrame, cur: DataFrame, model: PipelineModel | None, pred_col: str,
+    ref: DataFrame, cur: DataFrame, model: TreeModel | None, pred_col: str,
     mode: str = "probability", keys: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Scores both tables with one model, so their scores are comparable.
@@ -42,7 +42,7 @@ def score_both(
 
 
 def drift_check(
-    ref: DataFrame, cur: DataFrame, options: DriftOptions = DriftOptions(), model: PipelineModel | None = None,
+    ref: DataFrame, cur: DataFrame, options: DriftOptions = DriftOptions(), model: TreeModel | None = None,
     report_path: str | None = None, snapshot_path: str | None = None, force: bool = False,
     refresh: Callable[[DataFrame], object] | None = None, keys: list[str] | None = None,
     mode: str = "probability", at: Column | None = None,
@@ -85,7 +85,7 @@ def refresh_model(
                                                            CONFIG_SCHEMA), f"{store}/configs")
     run_id = final.run.first()["run_id"]
     path = f"{store}/models/{run_id}"
-    save_model(final.model, path)
+    save_model(spark, final.model, path)
     append_runs(final.run, f"{store}/runs")
     artifacts = spark.createDataFrame([(run_id, path)], "run_id string, path string")
     pointer = promote(read_runs(spark, f"{store}/runs"), artifacts, model_name)

@@ -1,63 +1,47 @@
-"""Tree models, batch scoring and feature importance."""
+"""Fitting tree models on tables, batch scoring and feature importance."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.labels import with_balanced_weight, with_positive_weight
-from ..operators.preprocess import Preprocessor
+from ..operators.columns import field
+from ..operators.labels import balanced_weights, scale_pos_weight
+from .ensembles import TreeModel, fit_boosted, fit_forest
 
 
-def boosted_trees(config: dict, label: str, features: str = "features", weight: str | None = "weight", seed: int = 42) -> GBTClassifier:
-    """Gradient-boosted trees from a trial configuration.
+def positive_weight(df: DataFrame, label: str) -> Column:
+    """Positives weigh negatives / max(positives, 1), negatives 1."""
+    return F.when(field(label) == 1, F.lit(float(scale_pos_weight(df, label).first()["scale_pos_weight"]))).otherwise(1.0)
 
-    Column sampling is per tree node, child weight becomes a row minimum, and
-    L1/L2 penalties have no counterpart in Spark's trees.
-    """
-    trees = GBTClassifier(
-        labelCol=label, featuresCol=features, seed=seed,
-        maxIter=int(config["n_estimators"]),
-        maxDepth=int(config["max_depth"]),
-        stepSize=float(config["learning_rate"]),
-        subsamplingRate=float(config.get("subsample", 1.0)),
-        featureSubsetStrategy=str(float(config.get("colsample_bytree", 1.0))),
-        minInstancesPerNode=max(1, round(float(config.get("min_child_weight", 1.0)))),
-        maxBins=int(config.get("max_bins", 256)),
-        maxMemoryInMB=512,
-    )
-    return trees.setWeightCol(weight) if weight else trees
 
+def balanced_weight(df: DataFrame, label: str) -> Column:
+    """Each class of a 0/1 label weighs the same in total."""
+    weights = {r[label]: float(r["weight"]) for r in balanced_weights(df, label).collect()}  # one row per class
+    return F.when(field(label) == 1, F.lit(weights.get(1, 1.0))).otherwise(F.lit(weights.get(0, 1.0)))
 
-def random_forest(label: str, features: str = "features", trees: int = 200, depth: int = 30, weight: str | None = "weight", seed: int = 42) -> RandomForestClassifier:
-    """Depth 30 is the deepest tree Spark grows."""
-    forest = RandomForestClassifier(
-        labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth, seed=seed, maxBins=256, maxMemoryInMB=512
-    )
-    return forest.setWeightCol(weight) if weight else forest
 
+def train_boosted(df: DataFrame, label: str, config: dict, exclude: tuple[str, ...] = (), **options) -> TreeModel:
+    """Boosted trees from a trial configuration, positives weighted. Penalties, child weight (on the Hessian), row and
+    column shares per tree all act; missing numbers go the way that gains more at each split."""
+    return fit_boosted(df, label, config, exclude, positive_weight(df, label), **options)
 
-def fit_classifier(df: DataFrame, preprocessor: Preprocessor, estimator, label: str, weighting: str = "positive") -> PipelineModel:
-    """Encodes, weighs and fits; returns encoder and model as one pipeline."""
-    weigh = {"positive": with_positive_weight, "balanced": with_balanced_weight}[weighting]
-    encoder = preprocessor.pipeline_model(df)
-    ready = encoder.transform(weigh(df, label)).select(label, "weight", "features")
-    return PipelineModel([*encoder.stages, estimator.fit(ready)])
 
+def train_forest(df: DataFrame, label: str, exclude: tuple[str, ...] = (), trees: int = 200, max_depth: int = 0, **options) -> TreeModel:
+    """A forest of balanced classes; trees grow until their nodes are pure unless ``max_depth`` says otherwise."""
+    return fit_forest(df, label, trees, max_depth, exclude, balanced_weight(df, label), **options)
 
-def with_scores(model: PipelineModel, df: DataFrame, pred_col: str = "pred_proba", mode: str = "probability") -> DataFrame:
+
+def with_scores(model, df: DataFrame, pred_col: str = "pred_proba", mode: str = "probability") -> DataFrame:
     """Adds the class-1 probability, or with ``mode='label'`` the predicted class."""
     scored = model.transform(df)
     value = vector_to_array("probability")[1] if mode == "probability" else F.col("prediction")
     return scored.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(pred_col))
 
 
-def feature_importance(spark, model, names: list[str], k: int | None = None) -> DataFrame:
+def feature_importance(spark: SparkSession, model: TreeModel, k: int | None = None) -> DataFrame:
     """(feature, importance), largest first; at most one row per feature."""
-    values = model.featureImportances.toArray().tolist()
-    table = spark.createDataFrame(list(zip(names, map(float, values))), "feature string, importance double")
+    table = spark.createDataFrame(list(model.importances().items()), "feature string, importance double")
     ranked = table.orderBy(F.desc("importance"), "feature")
     return ranked.limit(k) if k else ranked

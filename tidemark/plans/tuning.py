@@ -3,23 +3,19 @@
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.draws import log_uniform, random_integer, uniform, uniform_between
-from ..operators.columns import field
+from ..operators.binning import fit_binning
 from ..operators.evaluation import binary_metrics
-from ..operators.labels import scale_pos_weight
-from ..operators.preprocess import Preprocessor, fit_preprocessor
+from ..operators.ordering import materialised
 from ..operators.sampling import stratified_folds, stratified_split
 from ..sources.runs import CONFIG_SCHEMA, EXPERIMENT, FINAL_RUN_NAME, RUN_NAME_TAG, runs_frame
-from .training import boosted_trees, fit_classifier
+from .ensembles import Ensemble, TreeModel, boost_learner
+from .training import positive_weight, train_boosted, with_scores
 
 # Folds use this seed whatever the search seed is.
 FOLD_SEED = 42
@@ -71,44 +67,27 @@ class SearchResult:
 
 
 def run_search(
-    train: DataFrame, keys: list[str], label: str, trials: DataFrame, k: int = N_FOLDS,
-    parallelism: int = 2, exclude: tuple[str, ...] = (),
+    train: DataFrame, keys: list[str], label: str, trials: DataFrame, k: int = N_FOLDS, exclude: tuple[str, ...] = (),
+    **limits,
 ) -> SearchResult:
     """Scores every configuration on the same k folds.
 
-    Encoding is fitted once per fold and its result cached for all trials, as
-    folds do not depend on the trial. Each fit is a distributed Spark job; a
-    small thread pool keeps several in flight. Out-of-fold scores of a fit are
-    reduced to metrics before the next, so no score table accumulates.
+    All (trial, fold) models learn side by side: a round of the search is one tree of each. Bins come from the whole
+    table, which has no labels in it; a category that only the held-out fold has is never split on. Out-of-fold scores
+    stay a table and are reduced to metrics by (trial, fold) at once.
     """
     spark = train.sparkSession
     folded = stratified_folds(train, keys, label, k, FOLD_SEED)
-    spw = scale_pos_weight(train, label).first()["scale_pos_weight"]
-    configs = trials.orderBy("trial_id").collect()
-    weight = F.when(field(label) == 1, F.lit(float(spw))).otherwise(1.0).alias("weight")
-    skip = (label, "fold", *exclude)
-    rows = []
-    for fold in range(k):
-        part = folded.where(F.col("fold") != fold)
-        encoder = fit_preprocessor(part, skip).pipeline_model(folded)
-        encoded = encoder.transform(folded).select(
-            label, weight, "features", (F.col("fold") == fold).alias("held_out")
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            inner, outer = encoded.where(~F.col("held_out")), encoded.where("held_out")
-
-            def evaluate(row) -> tuple:
-                model = boosted_trees(row["config"].asDict(), label).fit(inner)
-                scored = model.transform(outer).select(label, vector_to_array("probability")[1].alias("score"))
-                m = binary_metrics(scored, label, "score").first()
-                return (row["trial_id"], fold, *[m[x] for x in METRICS])
-
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                jobs = [pool.submit(inheritable_thread_target(spark)(evaluate), row) for row in configs]
-                rows += [j.result() for j in jobs]
-        finally:
-            encoded.unpersist()
-    fold_metrics = spark.createDataFrame(rows, "trial_id bigint, fold int, auc double, ap double, acc double, f1 double")
+    configs = [(r["trial_id"], r["config"].asDict()) for r in trials.orderBy("trial_id").collect()]
+    models = [(trial, fold, boost_learner(config, fold)) for trial, config in configs for fold in range(k)]
+    fit = Ensemble(folded, label, fit_binning(train, (label, *exclude)), [m[2] for m in models],
+                   positive_weight(train, label), "fold", keys, **limits).fit()
+    try:
+        names = spark.createDataFrame([(i, t, f) for i, (t, f, _) in enumerate(models)], "model int, trial_id bigint, fold int")
+        scored = fit.held_out_scores().join(F.broadcast(names), "model")
+        fold_metrics = materialised(binary_metrics(scored, "y", "score", ["trial_id", "fold"]).select("trial_id", "fold", *METRICS))
+    finally:
+        fit.close()
     scored_trials = trials.join(F.broadcast(fold_means(fold_metrics)), "trial_id", "left")
     best = best_trial(scored_trials).first()
     return SearchResult(scored_trials, fold_metrics, {} if best is None else best["config"].asDict())
@@ -138,21 +117,19 @@ def trial_runs(trials: DataFrame, experiment: str = EXPERIMENT) -> DataFrame:
 
 @dataclass
 class FinalFit:
-    model: PipelineModel
-    preprocessor: Preprocessor
+    model: TreeModel
     metrics: dict[str, float]
     run: DataFrame
 
 
 def fit_final(
     train: DataFrame, test: DataFrame, label: str, config: dict, exclude: tuple[str, ...] = (), experiment: str = EXPERIMENT,
+    **options,
 ) -> FinalFit:
     """Fits the chosen configuration on all of train and measures it on test."""
     started = int(time.time() * 1000)
-    preprocessor = fit_preprocessor(train, (label, *exclude))
-    model = fit_classifier(train, preprocessor, boosted_trees(config, label), label)
-    scored = model.transform(test).select(label, vector_to_array("probability")[1].alias("score"))
-    measured = binary_metrics(scored, label, "score").first()
+    model = train_boosted(train, label, config, exclude, **options)
+    measured = binary_metrics(with_scores(model, test, "score"), label, "score").first()
     metrics = {f"test_{m}": float(measured[m]) for m in METRICS if measured[m] is not None}
     run = runs_frame(
         train.sparkSession,
@@ -162,16 +139,16 @@ def fit_final(
             params={k: str(v) for k, v in config.items()}, metrics=metrics, tags={RUN_NAME_TAG: FINAL_RUN_NAME},
         )],
     )
-    return FinalFit(model, preprocessor, metrics, run)
+    return FinalFit(model, metrics, run)
 
 
 def tune_and_fit(
     df: DataFrame, keys: list[str], label: str, n_trials: int = 30, test_size: float = 0.2, seed: int = 42,
-    trials: DataFrame | None = None, exclude: tuple[str, ...] = (), k: int = N_FOLDS, parallelism: int = 2,
+    trials: DataFrame | None = None, exclude: tuple[str, ...] = (), k: int = N_FOLDS,
 ) -> tuple[SearchResult, FinalFit]:
     """Split, search on train, final fit; ``label`` is a 0/1 column."""
     parted = stratified_split(df, keys, label, test_size, seed)
     train, test = (parted.where(F.col("split") == s).drop("split") for s in ("train", "test"))
     trials = search_space(df.sparkSession, n_trials, seed) if trials is None else trials
-    found = run_search(train, keys, label, trials, k, parallelism, exclude)
-    return found, fit_final(train, test, label, found.best_config, exclude)
+    found = run_search(train, keys, label, trials, k, exclude)
+    return found, fit_final(train, test, label, found.best_config, exclude, keys=keys)

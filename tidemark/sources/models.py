@@ -1,26 +1,39 @@
-"""Saving, loading and exporting fitted pipelines."""
+"""Saving, loading and exporting fitted models: tree models with their bins, or Spark ML pipelines."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.ensembles import TreeModel
 from .runs import MODEL_SCHEMA, current_model
 
+# Folder of a tree model inside the model's path.
+TREES = "trees"
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """The whole pipeline, preprocessing included."""
-    model.write().overwrite().save(path)
 
+def save_model(spark: SparkSession, model: TreeModel | PipelineModel, path: str) -> None:
+    """The whole model, preprocessing included."""
+    if isinstance(model, TreeModel):
+        model.save(spark, f"{path}/{TREES}")
+    else:
+        model.write().overwrite().save(path)
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
 
+def load_model(spark: SparkSession, path: str) -> TreeModel | PipelineModel:
+    try:
+        return TreeModel.load(spark, f"{path}/{TREES}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return PipelineModel.load(path)
 
-def export_model(source: str, target: str) -> PipelineModel:
+
+def export_model(spark: SparkSession, source: str, target: str) -> TreeModel | PipelineModel:
     """Copies a run's model to an export location through load and save."""
-    model = load_model(source)
-    save_model(model, target)
+    model = load_model(spark, source)
+    save_model(spark, model, target)
     return model
 
 
@@ -28,6 +41,6 @@ def append_pointer(pointer: DataFrame, path: str) -> None:
     pointer.write.mode("append").parquet(path)
 
 
-def load_promoted(spark: SparkSession, pointers_path: str, model: str) -> PipelineModel | None:
+def load_promoted(spark: SparkSession, pointers_path: str, model: str) -> TreeModel | PipelineModel | None:
     row = current_model(spark.read.schema(MODEL_SCHEMA).parquet(pointers_path), model).first()
-    return None if row is None else load_model(row["path"])
+    return None if row is None else load_model(spark, row["path"])
