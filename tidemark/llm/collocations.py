@@ -19,6 +19,7 @@ are ignored. Arithmetic on counts is exact: products are taken as 38-digit decim
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -164,6 +165,18 @@ def _seed(words: DataFrame, least: int) -> int:
     raise RuntimeError("no seed keeps the keys of frequent words apart")
 
 
+@contextmanager
+def _few_rows(spark: SparkSession, rows: int = 4) -> Iterator[None]:
+    """Arrow batches of few rows while indexes, a few MB each, go to the workers; the session's own size afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _met(left: DataFrame, right: DataFrame, on: list[str], size: int) -> DataFrame:
     return left.join(F.broadcast(right) if size <= BROADCAST_BYTES else right.hint("merge"), on)
 
@@ -189,9 +202,10 @@ def collocations(docs_df: DataFrame, least: int = 10, longest: int = 3, top: int
         names = [f"k{i}" for i in range(1, size + 1)]
         passed.append(_Bitmap(levels[-1], names[:-1], counts[-1]))
         shared = spark.sparkContext.broadcast(passed)
-        found = keyed.select("keys", "counts", "before", "after").mapInArrow(
-            _enumerate(shared, names), ", ".join(f"{n} long" for n in [*names, "n"]))
-        level = stored(found.groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+        with _few_rows(spark):
+            found = keyed.select("keys", "counts", "before", "after").mapInArrow(
+                _enumerate(shared, names), ", ".join(f"{n} long" for n in [*names, "n"]))
+            level = stored(found.groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= least))
         shared.destroy()
         levels.append(level)
         counts.append(level.count())
