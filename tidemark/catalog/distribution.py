@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.columns import ComparedColumn
 from ..operators.distribution import (
+    category_shares,
     category_counts,
     histogram_by_side,
     ks_two_sample,
@@ -156,18 +157,11 @@ def _cat_counts(spark, sf_dir):
 def _cat_shares(spark, sf_dir):
     ref, cur = lineitem_pair(spark, sf_dir)
     specs = [ComparedColumn(c, "categorical", i) for i, c in enumerate(LINE_CATEGORICAL)]
-    values = category_counts_by_side(ref, cur, specs)
-    totals = values.groupBy("pos").agg(F.sum("n_ref").alias("ref"), F.sum("n_cur").alias("cur"))
     names = spark.createDataFrame([(s.position, s.name) for s in specs], "pos int, column_name string")
-    one = F.lit(1)
-    return (
-        values.join(F.broadcast(totals), "pos").join(F.broadcast(names), "pos")
-        .select(
-            "column_name", F.col("value").alias("category"),
-            F.round(F.col("n_ref") / F.greatest("ref", one), 9).alias("ref_share"),
-            F.round(F.col("n_cur") / F.greatest("cur", one), 9).alias("cur_share"),
-        )
-    )
+    shares = category_shares(category_counts_by_side(ref, cur, specs))
+    return shares.join(F.broadcast(names), "pos").select(
+        "column_name", F.col("value").alias("category"),
+        F.round("ref_share", 9).alias("ref_share"), F.round("cur_share", 9).alias("cur_share"))
 
 
 @register(

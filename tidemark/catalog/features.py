@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.encoding import fit_encoder
 from ..operators.preprocess import (
     category_table,
     consistent_standardise,
@@ -122,3 +123,27 @@ def _encoded(spark, sf_dir):
     rows = _order_features(spark, sf_dir)
     wide = fit_preprocessor(rows).encoded_frame(rows, generic=True)
     return wide.agg(*[(F.round(F.avg(c), 6) + F.lit(0.0)).alias(c) for c in wide.columns])
+
+
+@register(
+    "encoded_both_sides",
+    """WITH ref AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0),
+    stats AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS d FROM ref),
+    names AS (SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS r FROM (SELECT DISTINCT c_name FROM ref)),
+    segments AS (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 1 AS r FROM (SELECT DISTINCT c_mktsegment FROM ref)),
+    width AS (SELECT count(*) - 1 AS n FROM names)
+    SELECT CASE WHEN c_custkey % 3 <> 0 THEN 'ref' ELSE 'cur' END AS side, c_custkey, round((c_acctbal - m) / d, 6) + 0.0 AS balance,
+      array_to_string([x FOR x IN [CASE WHEN names.r > 0 THEN names.r END, CASE WHEN segments.r > 0 THEN n + segments.r END] IF x IS NOT NULL], ',') AS slots
+    FROM customer LEFT JOIN names USING (c_name) LEFT JOIN segments USING (c_mktsegment), stats, width""",
+)
+def _both_sides(spark, sf_dir):
+    """An encoder fitted on the baseline and applied to both sides; a name of the other side is unknown to it."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_name", "c_mktsegment")
+    sides = {"ref": rows.where("c_custkey % 3 <> 0"), "cur": rows.where("c_custkey % 3 = 0")}
+    encoder = fit_encoder(sides["ref"], ("c_custkey",))
+    out = [encoder.entries(df, ["c_custkey"]).withColumn("side", F.lit(side)) for side, df in sides.items()]
+    grouped = out[0].unionByName(out[1]).groupBy("side", "c_custkey").agg(
+        F.max(F.when(F.col("position") == 0, F.col("value"))).alias("balance"),
+        F.array_sort(F.collect_list(F.when(F.col("position") > 0, F.col("position")))).alias("slots"))
+    return grouped.select("side", "c_custkey", (F.round("balance", 6) + F.lit(0.0)).alias("balance"),
+                          F.concat_ws(",", F.col("slots").cast("array<string>")).alias("slots"))

@@ -6,10 +6,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators.decomposition import explained_variance, fit_pca, with_vector
+from ..operators.neighbours import nearest_in_class
 from ..operators.ordering import held
 from ..operators.sampling import stratified_split
 from ..operators.smote import oversample
-from ..plans.training import feature_importance, train_boosted, train_forest, with_scores
+from ..plans.training import feature_importance, oversample_fit_report, train_boosted, train_forest, with_scores
 from ..plans.tuning import fit_final, run_search, search_space
 from ..streaming.incremental import baseline_bins, psi_per_window, window_histogram
 from .registry import register, table
@@ -45,6 +46,61 @@ def _gbt(spark, sf_dir):
     return with_scores(model, rows).select("doc_id", "quality", "pred_proba")
 
 
+_FIRST = {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.3, "reg_lambda": 2.0, "reg_alpha": 0.5, "min_child_weight": 3.0}
+
+
+def _level_sql(level: int) -> str:
+    """CTEs that split the nodes of one level: every cut and category is tried, the largest gain wins."""
+    return f"""
+t{level} AS (SELECT path, sum(g) AS g, sum(h) AS h, count(*) AS n FROM r{level} GROUP BY path),
+c{level} AS (
+  SELECT path, pos, threshold, category, sum(g) FILTER (is_left) AS gl, sum(h) FILTER (is_left) AS hl, count(*) FILTER (is_left) AS nl
+  FROM (SELECT path, g, h, pos, threshold, category, CASE pos WHEN 0 THEN n_chars < threshold WHEN 1 THEN lang <> category
+        ELSE source <> category END AS is_left FROM r{level}, candidate) GROUP BY ALL),
+s{level} AS (
+  SELECT path, pos, threshold, category, score(gl, hl) + score(t.g - gl, t.h - hl) - score(t.g, t.h) AS gain
+  FROM c{level} JOIN t{level} t USING (path)
+  WHERE nl > 0 AND nl < n AND hl >= 3 AND t.h - hl >= 3
+  QUALIFY gain > 1e-6 AND row_number() OVER (PARTITION BY path ORDER BY round(gain, 9) DESC, pos, threshold, category) = 1),
+r{level + 1} AS (
+  SELECT r.* REPLACE (path || CASE WHEN CASE pos WHEN 0 THEN n_chars < threshold WHEN 1 THEN lang <> category
+         ELSE source <> category END THEN 'L' ELSE 'R' END AS path) FROM r{level} r JOIN s{level} s USING (path))"""
+
+
+@register(
+    "boosted_first_tree",
+    f"""WITH raw AS (SELECT l.quality AS y, d.n_chars, coalesce(d.lang, chr(1114111)) AS lang, coalesce(d.source, chr(1114111)) AS source
+      FROM labels l JOIN documents d USING (doc_id) WHERE l.quality IS NOT NULL),
+    w AS (SELECT count(*) FILTER (y = 0) / greatest(count(*) FILTER (y = 1), 1) AS w FROM raw),
+    r0 AS (SELECT '' AS path, n_chars, lang, source, (0.5 - y) * CASE WHEN y = 1 THEN w ELSE 1 END AS g,
+           0.25 * CASE WHEN y = 1 THEN w ELSE 1 END AS h FROM raw, w),
+    sorted AS (SELECT list_sort(list(n_chars)) AS v FROM raw),
+    candidate AS (
+      SELECT DISTINCT 0 AS pos, v[greatest(1, ceil(i / 256.0 * len(v)))::INTEGER]::DOUBLE AS threshold, NULL AS category FROM sorted, range(1, 256) t(i)
+      UNION ALL SELECT 1, NULL, unnest(list_sort(list(DISTINCT lang))[2:]) FROM raw
+      UNION ALL SELECT 2, NULL, unnest(list_sort(list(DISTINCT source))[2:]) FROM raw),
+    {_level_sql(0)}, {_level_sql(1)},
+    nodes AS (SELECT path, g, h FROM t0 UNION ALL SELECT path, g, h FROM t1 UNION ALL SELECT path, sum(g), sum(h) FROM r2 GROUP BY path),
+    splits AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1)
+    SELECT path, CASE pos WHEN 0 THEN 'n_chars' WHEN 1 THEN 'lang' WHEN 2 THEN 'source' END AS feature, threshold, category,
+      round(coalesce(gain, 0.0), 6) AS gain, round(-0.3 * sign(g) * greatest(abs(g) - 0.5, 0) / (h + 2.0), 6) AS value, round(h, 6) AS cover
+    FROM nodes LEFT JOIN splits USING (path)""".replace("score(gl, hl)", "(greatest(abs(gl) - 0.5, 0) ** 2 / (hl + 2.0))")
+    .replace("score(t.g - gl, t.h - hl)", "(greatest(abs(t.g - gl) - 0.5, 0) ** 2 / (t.h - hl + 2.0))")
+    .replace("score(t.g, t.h)", "(greatest(abs(t.g) - 0.5, 0) ** 2 / (t.h + 2.0))"),
+)
+def _first_tree(spark, sf_dir):
+    """Splits, gains and weights of one boosted tree with both penalties."""
+    rows = labelled_documents(spark, sf_dir)
+    nodes = train_boosted(rows, "quality", _FIRST, ("doc_id",), keys=["doc_id"]).tree_table(spark)
+    up = nodes.select(F.col("node").alias("parent"), F.explode(F.create_map(F.lit("L"), F.col("left"), F.lit("R"), F.col("right"))).alias("side", "node"))
+    first = up.where("parent = 0").select("node", F.col("side").alias("path"))
+    second = up.where("parent > 0").join(first.withColumnRenamed("node", "parent"), "parent").select("node", F.concat("path", "side").alias("path"))
+    paths = first.unionByName(second).where("node IS NOT NULL")
+    return nodes.join(paths, "node", "left").select(
+        F.coalesce("path", F.lit("")).alias("path"), "feature", "threshold", "category",
+        *[F.round(c, 6).alias(c) for c in ("gain", "value", "cover")])
+
+
 @register("gbt_importance")
 def _gbt_importance(spark, sf_dir):
     """The 15 features of largest mean gain."""
@@ -93,6 +149,32 @@ def _smote(spark, sf_dir):
     return grown.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("n_synthetic"))
 
 
+@register(
+    "smote_neighbours",
+    """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+    SELECT q.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.v, p.v), p.vec_id)::INTEGER AS rank,
+      p.vec_id AS neighbour, round(list_distance(q.v, p.v), 6) AS dist
+    FROM e q JOIN e p ON q.label = p.label AND q.vec_id <> p.vec_id WHERE q.vec_id % 100 = 0
+    QUALIFY rank <= 5""",
+)
+def _neighbours(spark, sf_dir):
+    """The five nearest rows of its class for every row whose id is divisible by 100."""
+    points = table(spark, sf_dir, "embeddings").select(
+        "label", F.lpad(F.col("vec_id").cast("string"), 19, "0").alias("id"),
+        F.col("embedding").cast("array<double>").alias("vec"), (F.col("vec_id") % 100 == 0).alias("is_query"))
+    with held(points):
+        near = nearest_in_class(points, 5, recall=1.0)
+    return near.select(F.col("qid").cast("bigint").alias("vec_id"), "rank", F.col("nid").cast("bigint").alias("neighbour"),
+                       F.round("dist", 6).alias("dist"))
+
+
+@register("smote_report")
+def _smote_report(spark, sf_dir):
+    """Oversample the smaller class, fit a forest, report on the test rows."""
+    rows = labelled_documents(spark, sf_dir)
+    return oversample_fit_report(rows, ["doc_id"], "quality").report
+
+
 @register(
     "window_psi",
     f"""WITH e AS (SELECT list_sort(list_distinct(quantile_cont(value, [{QUANTILES}]))) AS e FROM events WHERE ts < TIMESTAMP '{EVENT_CUT}'),

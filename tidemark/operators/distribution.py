@@ -16,6 +16,7 @@ from ..functions.stats import (
     padded_share,
     psi_term,
 )
+from ..session import checkpointed
 from .columns import ComparedColumn, field
 from .ordering import held, materialised, running_totals
 from .tagging import category_counts_by_side, lenient_double, numeric_value_counts
@@ -136,16 +137,27 @@ def categorical_metrics(values: DataFrame) -> DataFrame:
     """(pos, n_ref, n_cur, psi) for every categorical column.
 
     Category sets may be large, so totals are joined (one row per column)
-    rather than windowed over all categories of a column.
+    rather than windowed over all categories of a column. The table is held
+    meanwhile: each side is scanned once.
     """
-    totals = values.groupBy("pos").agg(F.sum("n_ref").alias("_ref"), F.sum("n_cur").alias("_cur"))
-    term = psi_term(padded_share(F.col("n_ref"), F.col("_ref")), padded_share(F.col("n_cur"), F.col("_cur")))
-    metrics = (
-        values.join(F.broadcast(totals), "pos")
-        .groupBy("pos")
-        .agg(F.max("_ref").alias("n_ref"), F.max("_cur").alias("n_cur"), F.sum(term).alias("psi"))
-    )
-    return materialised(metrics)
+    with held(values):
+        totals = materialised(values.groupBy("pos").agg(F.sum("n_ref").alias("_ref"), F.sum("n_cur").alias("_cur")))
+        term = psi_term(padded_share(F.col("n_ref"), F.col("_ref")), padded_share(F.col("n_cur"), F.col("_cur")))
+        metrics = (
+            values.join(F.broadcast(totals), "pos")
+            .groupBy("pos")
+            .agg(F.max("_ref").alias("n_ref"), F.max("_cur").alias("n_cur"), F.sum(term).alias("psi"))
+        )
+        return materialised(metrics)
+
+
+def category_shares(values: DataFrame) -> DataFrame:
+    """(pos, value, ref_share, cur_share) from counts by side, which are taken once."""
+    counts = checkpointed(values)
+    totals = counts.groupBy("pos").agg(F.sum("n_ref").alias("_ref"), F.sum("n_cur").alias("_cur"))
+    share = lambda n, total: F.col(n) / F.greatest(total, F.lit(1))
+    return counts.join(F.broadcast(totals), "pos").select(
+        "pos", "value", share("n_ref", "_ref").alias("ref_share"), share("n_cur", "_cur").alias("cur_share"))
 
 
 def _single(name: str, kind: str) -> list[ComparedColumn]:
@@ -191,30 +203,25 @@ def quantile_edges(df: DataFrame, columns: list[str], bins: int = PSI_BINS) -> D
 def numeric_histogram(df: DataFrame, columns: list[str], bins: int = 30) -> DataFrame:
     """(column, bin, bin_low, bin_high, n): equal-width bins from min to max.
 
-    A constant column is drawn half a unit to each side. Counts are combined
-    before the shuffle; only columns x bins rows leave the map side.
+    A constant column is drawn half a unit to each side. Rows are unpivoted and
+    meet the range of their column, one broadcast row each; counts are combined
+    before the shuffle, so only columns x bins rows leave the map side.
     """
-    stats = df.agg(
-        *[F.struct(F.min(v).alias("lo"), F.max(v).alias("hi")).alias(f"_s{i}")
-          for i, v in enumerate(lenient_double(df, c) for c in columns)]
-    )
-    tagged = df.select(*[lenient_double(df, c).alias(f"_v{i}") for i, c in enumerate(columns)]).crossJoin(
-        F.broadcast(stats)
-    )
-    parts = []
-    for i, c in enumerate(columns):
-        v, lo, hi = F.col(f"_v{i}"), F.col(f"_s{i}.lo"), F.col(f"_s{i}.hi")
-        flat = lo == hi
-        low = F.when(flat, lo - 0.5).otherwise(lo)
-        width = F.when(flat, F.lit(1.0)).otherwise(hi - lo) / bins
-        number = F.least(F.floor((v - low) / width), F.lit(bins - 1)).cast("int")
-        parts.append(F.struct(F.lit(c).alias("column"), number.alias("bin"), low.alias("lo"), width.alias("width")))
-    rows = tagged.select(F.explode(F.array(*parts)).alias("r")).select("r.*").where(F.col("bin").isNotNull())
-    return rows.groupBy("column", "bin").agg(
-        F.max(F.col("lo") + F.col("bin") * F.col("width")).alias("bin_low"),
-        F.max(F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_high"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    wide = df.select(*[lenient_double(df, c).alias(c) for c in columns])
+    spans = wide.agg(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.min(field(c)).alias("lo"), F.max(field(c)).alias("hi")) for c in columns
+    ]).alias("s")).select(F.explode("s").alias("s"))
+    flat = F.col("s.lo") == F.col("s.hi")
+    ranges = spans.select(
+        "s.column", F.when(flat, F.col("s.lo") - 0.5).otherwise(F.col("s.lo")).alias("lo"),
+        (F.when(flat, F.lit(1.0)).otherwise(F.col("s.hi") - F.col("s.lo")) / bins).alias("width"))
+    long = wide.unpivot([], [field(c) for c in columns], "column", "value").where(F.col("value").isNotNull())
+    number = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("int")
+    counts = long.join(F.broadcast(ranges), "column").groupBy("column", number.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.min("width").alias("width"))
+    return counts.where(F.col("bin").isNotNull()).select(
+        "column", "bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_low"),
+        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_high"), "n")
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:

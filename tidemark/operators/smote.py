@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.draws import order_key, uniform
 from ..session import checkpointed
 from .columns import field
-from .neighbours import ROWS_PER_BLOCK, nearest_in_class
+from .neighbours import RECALL, ROWS_PER_BLOCK, nearest_in_class
 from .ordering import join_small
 from .sampling import class_counts, hash_thresholds
 
@@ -39,13 +39,14 @@ def _copies_per_row(df: DataFrame, key: str, label: str, counts: list, seed: int
 
 def oversample(
     df: DataFrame, key: str, label: str, features: str = "features", k: int = 5, seed: int = 42,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int = ROWS_PER_BLOCK, recall: float = RECALL,
 ) -> DataFrame:
     """(label, features, synthetic): every class raised to the largest one's size.
 
     A child lies at a random point between its base row and one of the base's
     ``k`` nearest rows of the same class. Equal vectors are searched once; a
-    vector's own copies are its nearest neighbours at distance 0.
+    vector's own copies are its nearest neighbours at distance 0. ``recall`` is
+    the share of true neighbours the search must find; 1.0 finds them all.
     """
     counts = class_counts(df, label).collect()  # one row per class
     original = df.select(field(label).alias(label), field(features).alias(features), F.lit(False).alias("synthetic"))
@@ -65,7 +66,7 @@ def oversample(
         )
     )
     asking = (F.col("mult") <= k) & (F.col("_children") > 0)
-    near = nearest_in_class(distinct.withColumn("is_query", asking), k, rows_per_block)
+    near = nearest_in_class(distinct.withColumn("is_query", asking), k, rows_per_block, recall)
 
     # Per vector: the ids of its k nearest rows, copies repeated.
     mults = distinct.select("label", "id", "mult")

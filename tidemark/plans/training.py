@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import field
+from ..operators.evaluation import classification_report
 from ..operators.labels import balanced_weights, scale_pos_weight
+from ..operators.ordering import held
+from ..operators.preprocess import fit_preprocessor
+from ..operators.sampling import stratified_split
+from ..operators.smote import oversample
+from ..session import checkpointed
 from .ensembles import TreeModel, fit_boosted, fit_forest
 
 
@@ -45,3 +53,40 @@ def feature_importance(spark: SparkSession, model: TreeModel, k: int | None = No
     table = spark.createDataFrame(list(model.importances().items()), "feature string, importance double")
     ranked = table.orderBy(F.desc("importance"), "feature")
     return ranked.limit(k) if k else ranked
+
+
+@dataclass
+class OversampledFit:
+    model: TreeModel
+    encoder: object  # the encoding pipeline, fitted on the training rows
+    report: DataFrame  # classification report on the test rows
+    class_counts: DataFrame  # (label, n, n_synthetic) of the rows the model learned from
+
+
+def oversample_fit_report(
+    df: DataFrame, keys: list[str], label: str, learner: str = "forest", config: dict | None = None,
+    exclude: tuple[str, ...] = (), test_size: float = 0.2, seed: int = 42, k: int = 5, recall: float | None = None,
+    trees: int = 200, **limits,
+) -> OversampledFit:
+    """Split, encode, raise the smaller class, fit, report: the encoder and the new rows come from training rows only.
+
+    ``learner`` is ``forest`` (``trees`` of unlimited depth) or ``boosted`` (``config``). ``label`` is 0/1; several key
+    columns name a row together."""
+    parted = stratified_split(df, keys, label, test_size, seed)
+    train, test = (parted.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    fitted = fit_preprocessor(train, (label, *keys, *exclude))
+    encoder = fitted.pipeline_model(train)
+    name = F.concat_ws("|", *[field(c).cast("string") for c in keys]).alias("_key")
+    with held(train):
+        encoded = checkpointed(encoder.transform(train).select(name, label, "features"))
+    search = {} if recall is None else {"recall": recall}
+    grown = checkpointed(oversample(encoded, "_key", label, "features", k, seed, **search))
+    counts = grown.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("n_synthetic"))
+    rows, names = grown.select(label, "features"), fitted.feature_names
+    if learner == "forest":
+        model = fit_forest(rows, label, trees, seed=seed, vector="features", names=names, **limits)
+    else:
+        model = fit_boosted(rows, label, config or {}, seed=seed, vector="features", names=names, **limits)
+    scored = model.transform(encoder.transform(test).select(label, "features"))
+    said = scored.select(label, F.col("prediction").cast(df.schema[label].dataType).alias("said"))
+    return OversampledFit(model, encoder, classification_report(said, label, "said"), counts)

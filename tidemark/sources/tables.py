@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import field
+from .records import csv_records
 
 # Text that a CSV reader with default settings takes as missing.
 # "?" is not among them: it stays an ordinary category.
@@ -62,13 +63,19 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | None =
 
     Numbers are read as text and cast leniently, so that a null token or a bad
     cell in a numeric column gives NULL rather than an error. A cell may hold
-    line breaks, so a file is read by one task: large tables come as many files,
-    or as Parquet.
+    line breaks; files are split all the same. A header with other names is an
+    error, at the first row that is read of its file.
     """
     schema = schema or encounter_schema()
-    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    rows = spark.read.schema(raw).options(**_CSV, enforceSchema=False, multiLine=True).csv(path)
-    clean = normalise_missing(rows)
+    cells = ", ".join(f"c{i} STRING" for i in range(len(schema.fields)))
+    options = {k: str(v) for k, v in _CSV.items() if k != "header"} | {"multiLine": "true"}
+    rows = csv_records(spark, path).select("is_header", F.from_csv("record", cells, options).alias("row"))
+    names = F.array(*[F.col(f"row.c{i}") for i in range(len(schema.fields))])
+    wrong = F.raise_error(F.concat(F.lit("the header does not name the columns of the schema: "), F.to_json(names)))
+    expected = names == F.array(*[F.lit(f.name) for f in schema.fields])
+    data = ~F.col("is_header") | F.when(expected, False).otherwise(wrong.cast("boolean"))
+    named = [F.col(f"row.c{i}").alias(f.name) for i, f in enumerate(schema.fields)]
+    clean = normalise_missing(rows.where(data).select(*named))
     return clean.select(
         *[
             field(f.name) if isinstance(f.dataType, T.StringType)
@@ -78,9 +85,8 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | None =
     )
 
 
-def write_table_csv(df: DataFrame, path: str, mode: str = "overwrite", max_rows: int = 1_000_000) -> None:
-    """CSV files of at most ``max_rows`` rows, as a reader cannot split them."""
-    df.write.mode(mode).options(**_CSV, maxRecordsPerFile=max_rows).csv(path)
+def write_table_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).options(**_CSV).csv(path)
 
 
 def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:
