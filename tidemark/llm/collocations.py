@@ -167,14 +167,16 @@ def _seed(words: DataFrame, least: int) -> int:
 
 @contextmanager
 def _few_rows(spark: SparkSession, rows: int = 4) -> Iterator[None]:
-    """Arrow batches of few rows while indexes, a few MB each, go to the workers; the session's own size afterwards."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    """Batches of few rows while indexes, a few MB each, are read and go to the workers; the session's sizes afterwards."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(name) for name in names]
+    for name in names:
+        spark.conf.set(name, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
 
 
 def _met(left: DataFrame, right: DataFrame, on: list[str], size: int) -> DataFrame:
@@ -190,9 +192,11 @@ def collocations(docs_df: DataFrame, least: int = 10, longest: int = 3, top: int
     spark = docs_df.sparkSession
     small_batches(spark)
     docs = docs_df.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    index = stored(docs.mapInArrow(_build(max(1, longest - 1), shard_bytes), _INDEX))
+    # Small row groups: a writer holds one in memory, a reader takes few rows at once.
+    index = stored(docs.mapInArrow(_build(max(1, longest - 1), shard_bytes), _INDEX), **{"parquet.block.size": str(16 << 20)})
     listed = index.select(F.explode(F.arrays_zip("lang", "word", "counts")).alias("w")).select("w.*")
-    words = stored(listed.groupBy("lang", "word").agg(F.sum("counts").alias("f")))
+    with _few_rows(spark):
+        words = stored(listed.groupBy("lang", "word").agg(F.sum("counts").alias("f")))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     seed = _seed(words, least)
     keyed = _keyed(index, seed)

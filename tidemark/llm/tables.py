@@ -13,11 +13,11 @@ from tidemark.session import checkpoint_dir
 BROADCAST_BYTES = 32 << 20
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written once as Parquet in the session's shared folder: it survives lost executors and cuts the plan."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
