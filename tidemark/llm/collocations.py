@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .phrase_index import PhraseIndex, Phrases
-from .tables import BROADCAST_BYTES, stored
+from .tables import stored
 from .word_ids import word_ids
 from .words import Words, arrow_schema, byte_table, find_words, gathered, small_batches
 
 #: Bytes of text in a shard; a longer document is a shard of its own.
 SHARD_BYTES = 2 << 20
+#: A table of counts or words up to this size is broadcast to the joins that score phrases; a plan has several of them.
+BROADCAST_BYTES = 4 << 20
 #: The bitmap of frequent phrases has 16 bits for each, within these bounds.
 _LEAST_BITS, _MOST_BITS = 1 << 16, 1 << 27
 
