@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tidemark.operators.evaluation import binary_metrics, classification_report, confusion_matrix
+from tidemark.operators.evaluation import binary_metrics, classification_report, confusion_counts, confusion_matrix
 
 
 def brute_auc(y, s):
@@ -65,3 +65,10 @@ def test_report_and_matrix(spark):
     matrix = {r["actual"]: r.asDict() for r in confusion_matrix(df, "a", "p").collect()}
     assert matrix["YES"] == {"actual": "YES", "MAYBE": 1, "NO": 2, "YES": 2}
     assert matrix["MAYBE"] == {"actual": "MAYBE", "MAYBE": 0, "NO": 0, "YES": 0}
+
+
+def test_too_many_classes_for_columns_are_an_error(spark):
+    df = spark.range(30).select("id", (F.col("id") + 1).alias("said"))
+    with pytest.raises(ValueError, match="confusion_counts"):
+        confusion_matrix(df, "id", "said", max_columns=20)
+    assert confusion_counts(df, "id", "said").count() == 30

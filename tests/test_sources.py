@@ -1,14 +1,16 @@
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import uri_to_path, utc_stamp
+from tidemark.sources.models import load_promoted, read_pointers, swap_pointer
 from tidemark.sources.payloads import attach_predictions, normalised_scores, parse_payloads, read_payloads, rejected_payloads
 from tidemark.sources.people import people_messages, read_people
 from tidemark.sources.reports import read_report_files
 from tidemark.sources.runs import (
-    append_runs, current_model, exported_params, first_runs, latest_run, promote, read_config, read_run_store, read_runs,
+    MODEL_SCHEMA, append_runs, current_model, exported_params, first_runs, latest_run, promote, read_config, read_run_store, read_runs,
     read_trial_progress, read_trial_results, runs_frame, runs_named, write_config,
 )
 from tidemark.plans.tuning import best_trial
@@ -152,6 +154,42 @@ def test_run_store(spark, store, tmp_path):
     assert read_runs(spark, str(tmp_path / "table")).count() == 5
 
 
+def test_run_store_lists_matching_folders_only(spark, store):
+    import pathlib
+
+    other = pathlib.Path(store) / "88"
+    (other / "x" / "tags").mkdir(parents=True)
+    (other / "meta.yaml").write_text("experiment_id: '88'\nname: other\n")
+    (other / "x" / "meta.yaml").write_text("experiment_id: '88'\nrun_id: x\nrun_name: n\nstart_time: 1\nstatus: 3\n")
+    (other / "x" / "tags" / "mlflow.runName").write_text("best_model_full_train")
+    whole = read_run_store(spark, store)
+    assert whole.count() == 5
+    named = read_run_store(spark, store, "xgb_diabetic_readmission_hpo", "best_model_full_train")
+    want = runs_named(whole)
+    assert sorted(map(str, named.collect())) == sorted(map(str, want.collect())) and named.count() == 2
+    read = " ".join(named.inputFiles())
+    assert "/88/x/" not in read and "/r3/" not in read and "/r1/" in read
+    wide = read_run_store(spark, store, "xgb_diabetic_readmission_hpo", "best_model_full_train", max_folders=1)
+    assert sorted(map(str, wide.collect())) == sorted(map(str, want.collect()))
+    assert read_run_store(spark, store, "none such").count() == 0
+
+
+def test_two_promotions_leave_one_winner(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "pointers")
+    row = lambda r: spark.createDataFrame([("m", r, f"/models/{r}", dt.datetime(2025, 1, 1))], MODEL_SCHEMA)
+    assert read_pointers(spark, path).count() == 0 and load_promoted(spark, path, "m") is None
+    assert swap_pointer(spark, row("first"), path) == 1
+    with ThreadPoolExecutor(4) as pool:  # all saw version 1
+        won = list(pool.map(lambda i: swap_pointer(spark, row(f"r{i}"), path, expected=1), range(4)))
+    assert sorted(v for v in won if v) == [2] and won.count(None) == 3
+    pointers = read_pointers(spark, path)
+    assert pointers.count() == 2 and current_model(pointers, "m").first()["run_id"] == f"r{won.index(2)}"
+    assert not [p.name for p in (tmp_path / "pointers").iterdir() if p.name.startswith("_staged")]
+    assert swap_pointer(spark, row("next"), path) == 3
+
+
 def test_trial_files_and_config(spark, tmp_path):
     config = {"n_estimators": 300, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.9, "colsample_bytree": 0.8,
               "min_child_weight": 1.5, "reg_alpha": 1e-3, "reg_lambda": 2.0}

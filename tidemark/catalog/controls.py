@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.columns import compared_columns, field, numeric_columns, schema_difference, typed_partition
+from ..operators.columns import compared_columns, drop_targets, field, numeric_columns, schema_difference, typed_partition
 from ..operators.drift import (
     DriftOptions,
     detect_drift,
@@ -37,7 +37,7 @@ def line_report(spark, sf_dir):
     return drift_report(*lineitem_pair(spark, sf_dir), _OPTIONS)
 
 
-def _report_columns(report):
+def report_columns(report):
     return report.select(
         "pos", F.col("column").alias("column_name"), "type", "psi", F.round("ks_p", 9).alias("ks_p"), "drift"
     )
@@ -51,23 +51,23 @@ _REPORT_SQL = (
 
 @register("drift_report", _REPORT_SQL)
 def _report(spark, sf_dir):
-    return _report_columns(line_report(spark, sf_dir))
+    return report_columns(line_report(spark, sf_dir))
 
 
 @register("drift_top5", f"SELECT * FROM ({_REPORT_SQL}) ORDER BY psi DESC, column_name LIMIT 5")
 def _top5(spark, sf_dir):
-    return _report_columns(top_columns(line_report(spark, sf_dir), 5))
+    return report_columns(top_columns(line_report(spark, sf_dir), 5))
 
 
 @register("drifted_only", f"SELECT * FROM ({_REPORT_SQL}) WHERE drift")
 def _drifted(spark, sf_dir):
-    return _report_columns(drifted_columns(line_report(spark, sf_dir)))
+    return report_columns(drifted_columns(line_report(spark, sf_dir)))
 
 
 @register("report_details", f"SELECT * FROM ({_REPORT_SQL})")
 def _details(spark, sf_dir):
     summary = detect_drift(*lineitem_pair(spark, sf_dir), _OPTIONS).summary
-    return _report_columns(exploded_details(summary))
+    return report_columns(exploded_details(summary))
 
 
 _SUMMARY_COLUMNS = [
@@ -107,15 +107,15 @@ def _summary(spark, sf_dir):
 
 _EVENTS_SCORED = f"""
 tagged AS (
-  SELECT ts >= TIMESTAMP '{EVENT_CUT}' AS is_cur, event_id, user_id, event_type, value,
+  SELECT ts >= TIMESTAMP '{EVENT_CUT}' AS is_cur, event_id, user_id, event_type, value, props,
          CASE WHEN ts >= TIMESTAMP '{EVENT_CUT}' THEN {beta_sql("event_id", 123)} ELSE {beta_sql("event_id", 42)} END AS pred
   FROM events)"""
 _EVENT_METRICS = metrics_sql(
-    _EVENTS_SCORED, [(0, "user_id", "user_id"), (1, "value", "value"), (3, "pred_readmit", "pred")],
-    [(2, "event_type", "event_type")],
+    _EVENTS_SCORED, [(0, "user_id", "user_id"), (1, "value", "value"), (4, "pred_readmit", "pred")],
+    [(2, "event_type", "event_type"), (3, "props", "props")],
 ).replace(
     "metrics AS (SELECT * FROM num_metrics",
-    "metrics AS (SELECT * REPLACE (CASE WHEN pos = 3 THEN 'prediction' ELSE kind END AS kind) FROM num_metrics",
+    "metrics AS (SELECT * REPLACE (CASE WHEN pos = 4 THEN 'prediction' ELSE kind END AS kind) FROM num_metrics",
 )
 
 
@@ -198,7 +198,8 @@ def _kinds(spark, sf_dir):
     "compared_columns",
     """SELECT 0 AS pos, 'user_id' AS column_name, 'numeric' AS kind, count(user_id) AS n_values FROM events
     UNION ALL SELECT 1, 'value', 'numeric', count(value) FROM events
-    UNION ALL SELECT 2, 'event_type', 'categorical', count(event_type) FROM events""",
+    UNION ALL SELECT 2, 'event_type', 'categorical', count(event_type) FROM events
+    UNION ALL SELECT 3, 'props', 'categorical', count(props) FROM events""",
 )
 def _compared(spark, sf_dir):
     ref, cur = events_pair(spark, sf_dir)
@@ -221,3 +222,13 @@ def _shape(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.lit(len(rows.columns)).alias("n_columns"),
         F.lit(len(numeric_columns(rows))).alias("n_numeric"),
     )
+
+
+@register("targets_dropped", "SELECT DISTINCT doc_id, l.toxic IS NULL AS unmarked, 3::BIGINT AS n_before, 2::BIGINT AS n_after FROM labels l")
+def _targets_dropped(spark, sf_dir):
+    """A frame that still carries the target under its usual name loses it, and nothing else."""
+    rows = table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("quality").alias("readmitted"), F.col("toxic").isNull().alias("unmarked"))
+    kept = drop_targets(rows)
+    counted = {"n_before": F.lit(len(rows.columns)).cast("bigint"), "n_after": F.lit(len(kept.columns)).cast("bigint")}
+    return kept.withColumns(counted).distinct()

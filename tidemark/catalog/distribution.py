@@ -18,6 +18,7 @@ from ..operators.distribution import (
 from ..operators.tagging import category_counts_by_side, numeric_value_counts, tag_union
 from .registry import register, table
 from .samples import (
+    EVENT_CUT,
     EVENTS_TAGGED,
     LINE_CATEGORICAL,
     LINE_NUMERIC,
@@ -55,6 +56,44 @@ def _ks(spark, sf_dir):
     return out.select(F.round("ks_d", 9).alias("ks_d"), F.round("ks_p", 9).alias("ks_p"), "n_ref", "n_cur")
 
 
+_BALANCES = """v AS (SELECT s_suppkey % 3 = 0 AS is_cur, s_acctbal + CASE WHEN s_suppkey % 3 = 0 THEN 900 ELSE 0 END AS v FROM supplier),
+  size AS (SELECT count(*) FILTER (NOT is_cur) AS n, count(*) FILTER (is_cur) AS m FROM v),
+  steps AS (SELECT v, sum(sum(CASE WHEN is_cur THEN 0 ELSE 1 END)) OVER (ORDER BY v) AS a,
+    sum(sum(CASE WHEN is_cur THEN 1 ELSE 0 END)) OVER (ORDER BY v) AS b FROM v GROUP BY v),
+  gap AS (SELECT n, m, max(abs(a * m - b * n))::BIGINT AS gap FROM steps, size GROUP BY n, m)"""
+
+
+@register(
+    "ks_exact",
+    f"""WITH RECURSIVE {_BALANCES},
+    walk AS (
+      SELECT 0 AS t, n, m, gap, [0.0::DOUBLE FOR x IN range(0, n + 1)] AS s FROM gap
+      UNION ALL
+      SELECT t + 1, n, m, gap, [CASE WHEN x > t + 1 OR t + 1 - x > m THEN 0.0 WHEN abs(x * m - (t + 1 - x) * n) >= gap THEN 1.0
+        ELSE x / (t + 1) * CASE WHEN x > 0 THEN s[x] ELSE 0.0 END + (t + 1 - x) / (t + 1) * s[x + 1] END FOR x IN range(0, n + 1)]
+      FROM walk WHERE t < n + m)
+    SELECT round(gap / (n * m), 9) AS ks_d, round(least(s[n + 1], 1.0), 9) AS ks_p, n AS n_ref, m AS n_cur FROM walk WHERE t = n + m""",
+)
+def _ks_exact(spark, sf_dir):
+    """Samples small enough for the exact p-value, which is the default: supplier balances, a third of them raised."""
+    rows = table(spark, sf_dir, "supplier")
+    ref, cur = rows.where("s_suppkey % 3 <> 0"), rows.where("s_suppkey % 3 = 0").withColumn("s_acctbal", F.col("s_acctbal") + 900)
+    out = ks_two_sample(ref, cur, "s_acctbal")
+    return out.select(F.round("ks_d", 9).alias("ks_d"), F.round("ks_p", 9).alias("ks_p"), "n_ref", "n_cur")
+
+
+@register(
+    "ks_without_finite_values",
+    f"""SELECT 1.0::DOUBLE AS ks_p, count(*) FILTER (ts < TIMESTAMP '{EVENT_CUT}') AS n_ref, count(*) FILTER (ts >= TIMESTAMP '{EVENT_CUT}') AS n_cur
+    FROM events WHERE value IS NOT NULL AND NOT isnan(value)""",
+)
+def _ks_guard(spark, sf_dir):
+    """A side whose values are all infinite has nothing to compare: p is 1."""
+    ref, cur = events_pair(spark, sf_dir)
+    cur = cur.withColumn("value", F.when(F.col("value").isNotNull() & ~F.isnan("value"), F.lit(float("inf"))))
+    return ks_two_sample(ref, cur, "value").select("ks_p", "n_ref", "n_cur")
+
+
 @register(
     "ks_all_columns",
     lineitem_metrics_sql()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.evaluation import average_precision, binary_metrics, classification_report, confusion_matrix, roc_auc
+from ..operators.evaluation import average_precision, binary_metrics, classification_report, confusion_counts, confusion_matrix, roc_auc
 from .registry import register, table
 
 
@@ -86,6 +86,11 @@ def _confusion(spark, sf_dir):
     return confusion_matrix(guessed_orders(spark, sf_dir), "o_orderstatus", "guess", ["F", "O", "P"])
 
 
+@register("confusion_cells", f"WITH {_PAIRS} SELECT a AS actual, p AS predicted, n FROM c")
+def _confusion_cells(spark, sf_dir):
+    return confusion_counts(guessed_orders(spark, sf_dir), "o_orderstatus", "guess")
+
+
 @register(
     "class_report",
     f"""WITH {_PAIRS}, l AS (SELECT a AS label FROM c UNION SELECT p FROM c),

@@ -37,16 +37,21 @@ def _stats(spark, sf_dir):
     return out.select(F.col("column").alias("column_name"), F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
+_ORDER_NUMBERS = ["o_custkey", "o_totalprice"]
+
+
 @register(
     "standardize_ref_fit",
-    f"""WITH s AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS d FROM orders WHERE o_orderdate < TIMESTAMP '{_ORDER_CUT}')
+    f"""WITH s AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}' for c in _ORDER_NUMBERS)}
+      FROM orders WHERE o_orderdate < TIMESTAMP '{_ORDER_CUT}')
     SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '{_ORDER_CUT}' THEN 'ref' ELSE 'cur' END AS side,
-           round((o_totalprice - m) / d, 6) AS scaled FROM orders, s""",
+           {', '.join(f'round(({c} - m_{c}) / d_{c}, 6) AS {c}' for c in _ORDER_NUMBERS)} FROM orders, s""",
 )
 def _standardise(spark, sf_dir):
-    ref, cur = consistent_standardise(*_order_pair(spark, sf_dir), ["o_totalprice"])
+    """Every number of the orders but the row's key."""
+    ref, cur = consistent_standardise(*_order_pair(spark, sf_dir), _ORDER_NUMBERS)
     both = ref.withColumn("side", F.lit("ref")).unionByName(cur.withColumn("side", F.lit("cur")))
-    return both.select("o_orderkey", "side", F.round("o_totalprice", 6).alias("scaled"))
+    return both.select("o_orderkey", "side", *[F.round(c, 6).alias(c) for c in _ORDER_NUMBERS])
 
 
 _ORDER_CATS = ["o_orderstatus", "o_orderpriority"]

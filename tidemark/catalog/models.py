@@ -6,12 +6,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators.decomposition import explained_variance, fit_pca, with_vector
+from ..operators.encoding import fit_encoder
 from ..operators.neighbours import nearest_in_class
 from ..operators.ordering import held
 from ..operators.sampling import stratified_split
 from ..operators.smote import oversample
+from ..operators.sparse_pca import fit_components
 from ..plans.training import feature_importance, oversample_fit_report, train_boosted, train_forest, with_scores
 from ..plans.tuning import fit_final, run_search, search_space
+from ..session import checkpointed
 from ..streaming.incremental import baseline_bins, psi_per_window, window_histogram
 from .registry import register, table
 from .samples import EVENT_CUT, QUANTILES, moment
@@ -30,6 +33,65 @@ def _pca_scores(spark, sf_dir):
     return scored.select("vec_id", "label", vector_to_array("pca").alias("pca"))
 
 
+_EACH = "SELECT vec_id, i, embedding[i]::DOUBLE AS x FROM embeddings, range(1, 65) t(i)"
+
+
+@register(
+    "pca_train_test",
+    f"""WITH e AS ({_EACH}), m AS (SELECT i, avg(x) AS m FROM e WHERE vec_id % 5 <> 0 GROUP BY i),
+    q AS (SELECT vec_id, sum((x - m) * (x - m)) AS q FROM e JOIN m USING (i) GROUP BY vec_id)
+    SELECT CASE WHEN vec_id % 5 <> 0 THEN 'train' ELSE 'test' END AS side, count(*) AS n, round(avg(q), 6) AS mean_square FROM q GROUP BY 1""",
+)
+def _pca_train_test(spark, sf_dir):
+    """Components and centre of the training rows applied to both sides; all components keep every distance to the centre."""
+    vectors = with_vector(table(spark, sf_dir, "embeddings"), "embedding")
+    model = fit_pca(vectors.where("vec_id % 5 <> 0"), 64)
+    square = F.aggregate(vector_to_array("pca"), F.lit(0.0), lambda s, x: s + x * x)
+    side = F.when(F.col("vec_id") % 5 != 0, "train").otherwise("test")
+    return model.transform(vectors).groupBy(side.alias("side")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(square), 6).alias("mean_square"))
+
+
+@register(
+    "pca_spectrum",
+    f"""WITH e AS ({_EACH}), m AS (SELECT i, avg(x) AS m FROM e GROUP BY i), z AS (SELECT vec_id, i, x - m AS z FROM e JOIN m USING (i)),
+    c AS (SELECT a.i, b.i AS j, sum(a.z * b.z) AS c FROM z a JOIN z b USING (vec_id) GROUP BY 1, 2),
+    t AS (SELECT sum(c) AS t FROM c WHERE i = j)
+    SELECT 1.0::DOUBLE AS last_cumulative, round(sum((c / t) * (c / t)), 9) AS sum_of_squares FROM c, t""",
+)
+def _pca_spectrum(spark, sf_dir):
+    """All variance ratios: they add up to 1, their squares to those of the covariance matrix."""
+    vectors = with_vector(table(spark, sf_dir, "embeddings"), "embedding")
+    ratios = explained_variance(spark, fit_pca(vectors, 64))
+    return ratios.agg(F.round(F.max("cumulative"), 9).alias("last_cumulative"),
+                      F.round(F.sum(F.col("ratio") * F.col("ratio")), 9).alias("sum_of_squares"))
+
+
+_ENCODED = [
+    "(o_custkey - avg(o_custkey) OVER ()) / stddev_pop(o_custkey) OVER ()",
+    "(o_totalprice - avg(o_totalprice) OVER ()) / stddev_pop(o_totalprice) OVER ()",
+    *(f"(o_orderstatus = '{c}')::DOUBLE" for c in ("O", "P")),
+    *(f"(o_orderpriority = '{c}')::DOUBLE" for c in ("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")),
+]
+
+
+@register(
+    "pca_encoded",
+    f"""WITH x AS (SELECT {', '.join(f'{e} AS x{i}' for i, e in enumerate(_ENCODED))} FROM orders)
+    SELECT round({' + '.join(f'var_samp(x{i})' for i in range(len(_ENCODED)))}, 6) AS total,
+      round({' + '.join(f'covar_samp(x{i}, x{j}) ** 2' for i in range(len(_ENCODED)) for j in range(len(_ENCODED)))}, 6) AS squares,
+      1.0::DOUBLE AS last_cumulative FROM x""",
+)
+def _pca_encoded(spark, sf_dir):
+    """Components of the sparse encoded orders: variances add up to that of the columns, their squares to the covariances'."""
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    encoder = fit_encoder(orders, ("o_orderkey",))
+    vectors = checkpointed(encoder.transform(orders, ["o_orderkey"]))
+    found = fit_components(vectors, 50).explained(spark)
+    return found.agg(F.round(F.sum("variance"), 6).alias("total"), F.round(F.sum(F.col("variance") * F.col("variance")), 6).alias("squares"),
+                     F.round(F.max("cumulative"), 6).alias("last_cumulative"))
+
+
 def labelled_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     return table(spark, sf_dir, "labels").select("doc_id", "quality").join(docs, "doc_id")
@@ -46,7 +108,11 @@ def _gbt(spark, sf_dir):
     return with_scores(model, rows).select("doc_id", "quality", "pred_proba")
 
 
-_FIRST = {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.3, "reg_lambda": 2.0, "reg_alpha": 0.5, "min_child_weight": 3.0}
+FIRST_TREE = {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.3, "reg_lambda": 2.0, "reg_alpha": 0.5, "min_child_weight": 3.0}
+
+
+def _score_sql(g: str, h: str) -> str:
+    return f"greatest(abs({g}) - 0.5, 0) ** 2 / ({h} + 2.0)"
 
 
 def _level_sql(level: int) -> str:
@@ -58,21 +124,19 @@ c{level} AS (
   FROM (SELECT path, g, h, pos, threshold, category, CASE pos WHEN 0 THEN n_chars < threshold WHEN 1 THEN lang <> category
         ELSE source <> category END AS is_left FROM r{level}, candidate) GROUP BY ALL),
 s{level} AS (
-  SELECT path, pos, threshold, category, score(gl, hl) + score(t.g - gl, t.h - hl) - score(t.g, t.h) AS gain
+  SELECT path, pos, threshold, category, {_score_sql('gl', 'hl')} + {_score_sql('t.g - gl', 't.h - hl')} - {_score_sql('t.g', 't.h')} AS gain
   FROM c{level} JOIN t{level} t USING (path)
   WHERE nl > 0 AND nl < n AND hl >= 3 AND t.h - hl >= 3
   QUALIFY gain > 1e-6 AND row_number() OVER (PARTITION BY path ORDER BY round(gain, 9) DESC, pos, threshold, category) = 1),
 r{level + 1} AS (
-  SELECT r.* REPLACE (path || CASE WHEN CASE pos WHEN 0 THEN n_chars < threshold WHEN 1 THEN lang <> category
-         ELSE source <> category END THEN 'L' ELSE 'R' END AS path) FROM r{level} r JOIN s{level} s USING (path))"""
+  SELECT r.* REPLACE (path || CASE WHEN pos IS NULL THEN '' WHEN CASE pos WHEN 0 THEN n_chars < threshold WHEN 1 THEN lang <> category
+         ELSE source <> category END THEN 'L' ELSE 'R' END AS path) FROM r{level} r LEFT JOIN s{level} s USING (path))"""
 
 
-@register(
-    "boosted_first_tree",
-    f"""WITH raw AS (SELECT l.quality AS y, d.n_chars, coalesce(d.lang, chr(1114111)) AS lang, coalesce(d.source, chr(1114111)) AS source
+FIRST_TREE_SQL = f"""WITH raw AS (SELECT doc_id, l.quality AS y, d.n_chars, coalesce(d.lang, chr(1114111)) AS lang, coalesce(d.source, chr(1114111)) AS source
       FROM labels l JOIN documents d USING (doc_id) WHERE l.quality IS NOT NULL),
     w AS (SELECT count(*) FILTER (y = 0) / greatest(count(*) FILTER (y = 1), 1) AS w FROM raw),
-    r0 AS (SELECT '' AS path, n_chars, lang, source, (0.5 - y) * CASE WHEN y = 1 THEN w ELSE 1 END AS g,
+    r0 AS (SELECT '' AS path, doc_id, n_chars, lang, source, (0.5 - y) * CASE WHEN y = 1 THEN w ELSE 1 END AS g,
            0.25 * CASE WHEN y = 1 THEN w ELSE 1 END AS h FROM raw, w),
     sorted AS (SELECT list_sort(list(n_chars)) AS v FROM raw),
     candidate AS (
@@ -80,18 +144,23 @@ r{level + 1} AS (
       UNION ALL SELECT 1, NULL, unnest(list_sort(list(DISTINCT lang))[2:]) FROM raw
       UNION ALL SELECT 2, NULL, unnest(list_sort(list(DISTINCT source))[2:]) FROM raw),
     {_level_sql(0)}, {_level_sql(1)},
-    nodes AS (SELECT path, g, h FROM t0 UNION ALL SELECT path, g, h FROM t1 UNION ALL SELECT path, sum(g), sum(h) FROM r2 GROUP BY path),
-    splits AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1)
+    sums AS (SELECT path, g, h FROM t0 UNION SELECT path, g, h FROM t1 WHERE path <> ''
+      UNION ALL SELECT path, sum(g), sum(h) FROM r2 WHERE path NOT IN (SELECT path FROM t0 UNION SELECT path FROM t1) GROUP BY path),
+    nodes AS (SELECT *, -0.3 * sign(g) * greatest(abs(g) - 0.5, 0) / (h + 2.0) AS value FROM sums),
+    splits AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1)"""
+
+
+@register(
+    "boosted_first_tree",
+    FIRST_TREE_SQL + """
     SELECT path, CASE pos WHEN 0 THEN 'n_chars' WHEN 1 THEN 'lang' WHEN 2 THEN 'source' END AS feature, threshold, category,
-      round(coalesce(gain, 0.0), 6) AS gain, round(-0.3 * sign(g) * greatest(abs(g) - 0.5, 0) / (h + 2.0), 6) AS value, round(h, 6) AS cover
-    FROM nodes LEFT JOIN splits USING (path)""".replace("score(gl, hl)", "(greatest(abs(gl) - 0.5, 0) ** 2 / (hl + 2.0))")
-    .replace("score(t.g - gl, t.h - hl)", "(greatest(abs(t.g - gl) - 0.5, 0) ** 2 / (t.h - hl + 2.0))")
-    .replace("score(t.g, t.h)", "(greatest(abs(t.g) - 0.5, 0) ** 2 / (t.h + 2.0))"),
+      round(coalesce(gain, 0.0), 6) AS gain, round(value, 6) AS value, round(h, 6) AS cover
+    FROM nodes LEFT JOIN splits USING (path)""",
 )
 def _first_tree(spark, sf_dir):
     """Splits, gains and weights of one boosted tree with both penalties."""
     rows = labelled_documents(spark, sf_dir)
-    nodes = train_boosted(rows, "quality", _FIRST, ("doc_id",), keys=["doc_id"]).tree_table(spark)
+    nodes = train_boosted(rows, "quality", FIRST_TREE, ("doc_id",), keys=["doc_id"]).tree_table(spark)
     up = nodes.select(F.col("node").alias("parent"), F.explode(F.create_map(F.lit("L"), F.col("left"), F.lit("R"), F.col("right"))).alias("side", "node"))
     first = up.where("parent = 0").select("node", F.col("side").alias("path"))
     second = up.where("parent > 0").join(first.withColumnRenamed("node", "parent"), "parent").select("node", F.concat("path", "side").alias("path"))

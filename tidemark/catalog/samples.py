@@ -31,7 +31,7 @@ def lineitem_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def events_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     cut = moment(rows, "ts", EVENT_CUT)
     return rows.where(F.col("ts") < cut).drop("ts"), rows.where(F.col("ts") >= cut).drop("ts")
 
@@ -45,7 +45,7 @@ tagged AS (
 
 EVENTS_TAGGED = f"""
 tagged AS (
-  SELECT ts >= TIMESTAMP '{EVENT_CUT}' AS is_cur, event_id, user_id, event_type, value FROM events)"""
+  SELECT ts >= TIMESTAMP '{EVENT_CUT}' AS is_cur, event_id, user_id, event_type, value, props FROM events)"""
 
 
 def long_sql(name: str, columns: list[tuple[int, str, str]], cast: str) -> str:

@@ -6,15 +6,22 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators.drift import detect_drift
+from ..operators.drift import detect_drift, drift_report, exploded_details
 from ..operators.sampling import inject_drift, mock_predictions
 from ..plans.refresh import drift_check
+from ..plans.training import train_boosted, with_scores
 from ..session import checkpoint_dir
+from ..sources.models import export_model, load_model, save_model
+from ..sources.payloads import normalised_scores, parse_payloads, read_payloads
+from ..sources.people import people_messages, read_people
+from ..sources.profiles import read_profile, write_profile
 from ..sources.reports import drifted_in_reports, read_reports, write_report
 from ..sources.runs import append_runs, read_config, read_runs, write_config
 from ..sources.tables import read_snapshot, read_table_csv, write_snapshot, write_table_csv
-from .controls import _OPTIONS, _REPORT_SQL, EVENT_OPTIONS, SCORED_SUMMARY_SQL, summary_columns
+from ..streaming.incremental import check_new_files
+from .controls import _OPTIONS, _REPORT_SQL, EVENT_OPTIONS, SCORED_SUMMARY_SQL, report_columns, summary_columns
 from .experiments import _FOLDS, fold_metrics
+from .models import FIRST_TREE, FIRST_TREE_SQL, labelled_documents
 from .registry import register, table
 from .samples import beta_sql, events_pair, lineitem_pair
 
@@ -73,6 +80,68 @@ def _report(spark, sf_dir):
     return rows.select("run_ts", F.col("column").alias("column_name"), "type", "psi", F.round("ks_p", 9).alias("ks_p"))
 
 
+@register("drift_report_profiled", _REPORT_SQL)
+def _report_profiled(spark, sf_dir):
+    """The baseline's profile is stored and read back; the check reads it in the baseline's place."""
+    path = _scratch(spark, "profile")
+    ref, cur = lineitem_pair(spark, sf_dir)
+    write_profile(ref, path)
+    return report_columns(drift_report(read_profile(spark, path), cur, _OPTIONS))
+
+
+@register("new_files_report", _REPORT_SQL)
+def _new_files(spark, sf_dir):
+    """Files that landed in a folder are checked once; the report of the batch is read back."""
+    path = _scratch(spark, "landed")
+    ref, cur = lineitem_pair(spark, sf_dir)
+    cur.write.parquet(f"{path}/in/first")
+    for _ in range(2):  # nothing new the second time
+        check_new_files(spark, ref, f"{path}/in/*", cur.schema, f"{path}/reports", f"{path}/checkpoint", _OPTIONS)
+    return report_columns(exploded_details(read_reports(spark, f"{path}/reports")))
+
+
+@register(
+    "payload_files",
+    "SELECT c_mktsegment AS segment, count(*) AS n, round(sum(c_acctbal), 4) AS total FROM customer GROUP BY 1",
+)
+def _payload_files(spark, sf_dir):
+    """Stored answers for a hundred rows at most, one per file, read whole and brought to scores."""
+    path = _scratch(spark, "payloads")
+    request = F.concat_ws("-", "c_mktsegment", F.floor(F.col("c_custkey") / 100).cast("string")).alias("request")
+    rows = table(spark, sf_dir, "customer").groupBy(request).agg(F.collect_list("c_acctbal").alias("v"))
+    body = F.to_json(F.struct(F.col("v").alias("predictions")))
+    rows.select("request", body.alias("value")).write.partitionBy("request").text(path)
+    payloads = read_payloads(spark, f"{path}/*").withColumn("segment", F.regexp_extract("path", "/request=([^/]+)-[0-9]+/", 1))
+    scores = normalised_scores(parse_payloads(payloads, "path", "payload"), "path").join(payloads.select("path", "segment"), "path")
+    return scores.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("score"), 4).alias("total"))
+
+
+@register(
+    "people_file",
+    "SELECT s_name AS name, n_name AS craft, s_name || ' is currently in space flying on the ' || n_name || '! Hello! :)' AS message "
+    "FROM supplier JOIN nation ON s_nationkey = n_nationkey",
+)
+def _people_file(spark, sf_dir):
+    """Stored lists with their counts, one file for each nation, read back and fanned out; the stand-in is not used."""
+    path = _scratch(spark, "people")
+    rows = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    entry = F.struct(F.col("n_name").alias("craft"), F.col("s_name").alias("name"))
+    rows.groupBy(F.col("n_nationkey").alias("nation")).agg(
+        F.count(F.lit(1)).cast("int").alias("number"), F.collect_list(entry).alias("people")).write.partitionBy("nation").json(path)
+    return people_messages(read_people(spark, path))
+
+
+@register("stored_model_scores", FIRST_TREE_SQL + " SELECT doc_id, round(1 / (1 + exp(-value)), 9) AS pred_proba FROM r2 JOIN nodes USING (path)")
+def _stored_model(spark, sf_dir):
+    """A model saved, exported, loaded again and used on raw rows."""
+    path = _scratch(spark, "model")
+    rows = labelled_documents(spark, sf_dir)
+    save_model(spark, train_boosted(rows, "quality", FIRST_TREE, ("doc_id",), keys=["doc_id"]), f"{path}/run")
+    export_model(spark, f"{path}/run", f"{path}/export")
+    scored = with_scores(load_model(spark, f"{path}/export"), rows.where("quality IS NOT NULL"))
+    return scored.select("doc_id", F.round("pred_proba", 9).alias("pred_proba"))
+
+
 @register("drift_check_job", SCORED_SUMMARY_SQL)
 def _check_job(spark, sf_dir):
     """The whole check: score both sides, snapshot, compare, write the report, read it back."""

@@ -94,11 +94,13 @@ def ks_p_asymptotic(d: Column, n: Column, m: Column) -> Column:
 
 
 def exact_ks_p(d: float, n: int, m: int) -> float:
-    """P(D >= d) under the null by counting lattice paths inside the band.
+    """P(D >= d) under the null, from lattice paths that leave the band.
 
-    A path from (0,0) to (n,m) is a merge of the two samples; it stays inside
-    when |x/n - y/m| < d at every step. Rows are scaled by x/(x+m) so that the
-    last entry is the inside share of all C(n+m, n) paths.
+    A path from (0,0) to (n,m) is a merge of the two samples; it has left the
+    band once |x/n - y/m| >= d at some step. The share of the paths to a point
+    that have left is 1 outside the band, and inside a mean of the shares at
+    the two points before it. Anti-diagonals follow from each other as whole
+    arrays; only positive terms are added, so a small p keeps its digits.
     """
     n, m = min(n, m), max(n, m)
     g = math.gcd(n, m)
@@ -106,16 +108,16 @@ def exact_ks_p(d: float, n: int, m: int) -> float:
     limit = round(d * step_x * n)
     if limit <= 0:
         return 1.0
-    ys = np.arange(m + 1, dtype=np.int64) * step_y
-    row = (ys < limit).astype(float)
-    for x in range(1, n + 1):
-        at = x * step_x
-        lo = np.searchsorted(ys, at - limit, side="right")
-        hi = np.searchsorted(ys, at + limit, side="left")
-        inside = np.cumsum(row[lo:hi] * (x / (x + m)))
-        row[:] = 0.0
-        row[lo:hi] = inside
-    return float(min(max(1.0 - row[m], 0.0), 1.0))
+    left = np.zeros(n + 2)  # left[x + 1] belongs to x on the current anti-diagonal
+    for t in range(1, n + m + 1):
+        lo, hi = max(0, t - m), min(n, t)
+        x = np.arange(lo, hi + 1, dtype=np.int64)
+        share = x / t
+        new = share * left[lo:hi + 1] + (1 - share) * left[lo + 1:hi + 2]
+        new[np.abs(x * step_x - (t - x) * step_y) >= limit] = 1.0
+        left[lo + 1:hi + 2] = new
+        left[:lo + 1] = left[hi + 2:] = 0.0
+    return float(min(left[n + 1], 1.0))
 
 
 def _exact_ks_p_batches(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field as dc_field
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
@@ -48,23 +49,27 @@ class DriftResult:
     summary: DataFrame
 
 
-def column_metrics(ref: DataFrame, cur: DataFrame, options: DriftOptions = DriftOptions()) -> DataFrame:
+def column_metrics(ref, cur: DataFrame, options: DriftOptions = DriftOptions()) -> DataFrame:
     """(pos, column, kind, psi, ks_d, ks_p, n_ref, n_cur), unrounded.
 
     Numeric and categorical columns are disjoint sets of the scan, so the two
-    branches together read each column once per side.
+    branches together read each column once per side. ``ref`` is the baseline
+    or its stored profile, which spares its scan.
     """
-    columns = compared_columns(ref, cur, options.ignore, options.pred_col)
-    spark = ref.sparkSession
+    profiled = not isinstance(ref, DataFrame)
+    columns = compared_columns(ref.frame if profiled else ref, cur, options.ignore, options.pred_col)
+    value_counts = ref.value_counts if profiled else partial(numeric_value_counts, ref)
+    category_counts = ref.category_counts if profiled else partial(category_counts_by_side, ref)
+    spark = cur.sparkSession
     numeric = [c for c in columns if c.kind != "categorical"]
     categorical = [c for c in columns if c.kind == "categorical"]
     branches = []
     if numeric:
         branches.append(lambda: numeric_metrics(
-            numeric_value_counts(ref, cur, numeric), PSI_BINS, options.ks_method, options.n_buckets
+            value_counts(cur, numeric), PSI_BINS, options.ks_method, options.n_buckets
         ))
     if categorical:
-        branches.append(lambda: categorical_metrics(category_counts_by_side(ref, cur, categorical)).select(
+        branches.append(lambda: categorical_metrics(category_counts(cur, categorical)).select(
             "pos", "n_ref", "n_cur", "psi",
             F.lit(None).cast("double").alias("ks_d"), F.lit(None).cast("double").alias("ks_p"),
         ))
@@ -104,7 +109,7 @@ def feature_verdicts(metrics: DataFrame, options: DriftOptions) -> DataFrame:
     )
 
 
-def drift_report(ref: DataFrame, cur: DataFrame, options: DriftOptions = DriftOptions()) -> DataFrame:
+def drift_report(ref, cur: DataFrame, options: DriftOptions = DriftOptions()) -> DataFrame:
     """One row per feature in report order: column, type, psi, ks_p, drift."""
     verdicts = feature_verdicts(column_metrics(ref, cur, options), options)
     return _details(verdicts)
@@ -117,7 +122,7 @@ def _details(verdicts: DataFrame) -> DataFrame:
 
 
 def detect_drift(
-    ref: DataFrame, cur: DataFrame, options: DriftOptions = DriftOptions(), force: bool = False
+    ref, cur: DataFrame, options: DriftOptions = DriftOptions(), force: bool = False
 ) -> DriftResult:
     """Details and the one-row nested summary that the report sink writes."""
     metrics = column_metrics(ref, cur, options)

@@ -83,17 +83,16 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: list |
                      ) -> DataFrame:
     """Rows are actual labels, one column per predicted label, empty cells 0.
 
-    Without ``labels`` they are found first. A matrix is square in the number
-    of classes: beyond ``max_columns`` the answer is the long one, (actual,
-    predicted, n) of the cells in use.
+    Without ``labels`` they are found first. A wide table has a bound on its
+    columns, so more labels than ``max_columns`` are an error: the same cells as
+    rows, whatever the number of classes, are ``confusion_counts``.
     """
-    cells = confusion_counts(df, actual, predicted)
+    cells = materialised(confusion_counts(df, actual, predicted))
     if labels is None:
-        cells = materialised(cells)
         found = cells.select(F.col("actual").alias("l")).union(cells.select("predicted")).distinct()
         labels = [r["l"] for r in found.orderBy("l").limit(max_columns + 1).collect()]
-        if len(labels) > max_columns:
-            return cells
+    if len(labels) > max_columns:
+        raise ValueError(f"more than {max_columns} classes: use confusion_counts")
     base = df.sparkSession.createDataFrame([(v,) for v in labels], f"actual {cells.schema['actual'].dataType.simpleString()}")
     wide = cells.groupBy("actual").pivot("predicted", labels).agg(F.sum("n"))
     return F.broadcast(base).join(wide, "actual", "left").fillna(0)

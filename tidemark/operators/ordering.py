@@ -21,6 +21,9 @@ from ..functions.stats import count_not_above
 from ..session import checkpointed
 
 ROWS_PER_BUCKET = 100_000
+# Sketches that one task merges, and how often merged ones are merged again.
+SKETCH_FAN = 64
+SKETCH_LEVELS = 3
 # Entries of one cut array. More buckets than that come from cutting each one again.
 MAX_CUTS = 4096
 SMALL_TABLE_ROWS = 50_000
@@ -68,7 +71,9 @@ def join_small(
 def bucket_cuts(values: DataFrame, order_col: str, total: int, n_buckets: int | None = None) -> list:
     """Ascending cut points that split ``total`` distinct values into even buckets.
 
-    Numbers use a quantile sketch. Other types use a hash sample whose expected
+    Numbers use quantile sketches, one per map task, merged as a tree of
+    ``SKETCH_FAN`` branches: whatever the number of tasks, none receives the
+    sketches of all. Other types use a hash sample whose expected
     size is the bucket count. Both stay within a few times ``MAX_CUTS``
     entries whatever the data; no cuts means one bucket is enough.
     """
@@ -78,14 +83,25 @@ def bucket_cuts(values: DataFrame, order_col: str, total: int, n_buckets: int |
         return []
     if isinstance(values.schema[order_col].dataType, T.NumericType):
         fractions = [i / n_buckets for i in range(1, n_buckets)]
-        row = values.agg(F.percentile_approx(order_col, fractions, 10 * n_buckets).alias("cuts")).first()
-        return sorted(set(row["cuts"] or []))
+        return _sketched_quantiles(values, order_col, fractions)
     threshold = math.ceil((1 << 40) * min(1.0, n_buckets / max(total, 1)))
     sampled = values.where(F.pmod(F.xxhash64(order_col), F.lit(1 << 40)) < threshold)
     row = sampled.agg(F.array_sort(F.collect_set(order_col)).alias("cuts")).first()
     return list(row["cuts"])
 
 
+def _sketched_quantiles(values: DataFrame, order_col: str, fractions: list[float]) -> list:
+    """Approximate quantiles: rank error well below the distance of two fractions."""
+    size = max(200, min(65_535, 8 * len(fractions)))
+    merged = values.select(F.col(order_col).cast("double").alias("_v"), F.spark_partition_id().alias("_task")).groupBy(
+        F.floor(F.col("_task") / SKETCH_FAN).alias("_task")).agg(F.kll_sketch_agg_double("_v", F.lit(size)).alias("_s"))
+    for _ in range(SKETCH_LEVELS - 2):
+        merged = merged.groupBy(F.floor(F.col("_task") / SKETCH_FAN).alias("_task")).agg(F.kll_merge_agg_double("_s").alias("_s"))
+    whole = merged.agg(F.kll_merge_agg_double("_s").alias("_s")).where(F.kll_sketch_get_n_double("_s") > 0)
+    row = whole.select(F.kll_sketch_get_quantile_double("_s", F.array(*[F.lit(f) for f in fractions])).alias("cuts")).first()
+    return sorted(set(row["cuts"])) if row else []
+
+
 def with_bucket(values: DataFrame, order_col: str, cuts: list) -> DataFrame:
     """Adds ``_bucket``; equal values share a bucket and buckets follow the order."""
     if not cuts:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.drift import DriftOptions, DriftResult, detect_drift
 from ..operators.sampling import mock_predictions
-from ..sources.models import append_pointer, save_model
+from ..sources.models import save_model, swap_pointer
+from ..sources.profiles import BaselineProfile
 from ..sources.reports import write_report
 from ..sources.runs import CONFIG_SCHEMA, append_runs, promote, read_runs, write_config
 from ..sources.tables import write_snapshot
@@ -42,7 +43,7 @@ def score_both(
 
 
 def drift_check(
-    ref: DataFrame, cur: DataFrame, options: DriftOptions = DriftOptions(), model: TreeModel | None = None,
+    ref: DataFrame | BaselineProfile, cur: DataFrame, options: DriftOptions = DriftOptions(), model: TreeModel | None = None,
     report_path: str | None = None, snapshot_path: str | None = None, force: bool = False,
     refresh: Callable[[DataFrame], object] | None = None, keys: list[str] | None = None,
     mode: str = "probability", at: Column | None = None,
@@ -51,10 +52,17 @@ def drift_check(
 
     Tables that already carry the prediction column are not scored again. A
     forced run computes everything too; only its decision is fixed. ``refresh``
-    gets the current table as it came, without scores added here.
+    gets the current table as it came, without scores added here. A stored
+    profile in place of the baseline spares its scan; it is of scored rows if
+    scores are to be compared, and only the current table is scored then.
     """
     raw = cur
-    if not (options.pred_col in ref.columns and options.pred_col in cur.columns):
+    if isinstance(ref, BaselineProfile):
+        if snapshot_path:
+            raise ValueError("a profile has no rows to keep a snapshot of")
+        if options.pred_col in ref.columns and options.pred_col not in cur.columns:
+            cur = mock_predictions(cur, keys, 123, options.pred_col) if model is None else with_scores(model, cur, options.pred_col, mode)
+    elif not (options.pred_col in ref.columns and options.pred_col in cur.columns):
         ref, cur = score_both(ref, cur, model, options.pred_col, mode, keys)
     if snapshot_path:
         spark = ref.sparkSession
@@ -89,5 +97,9 @@ def refresh_model(
     append_runs(final.run, f"{store}/runs")
     artifacts = spark.createDataFrame([(run_id, path)], "run_id string, path string")
     pointer = promote(read_runs(spark, f"{store}/runs"), artifacts, model_name)
-    append_pointer(pointer, f"{store}/pointers")
+    while swap_pointer(spark, pointer, f"{store}/pointers") is None:
+        # Another job promoted meanwhile: the newest run decides again.
+        pointer = promote(read_runs(spark, f"{store}/runs"), artifacts, model_name)
+        if pointer.isEmpty():
+            break
     return pointer

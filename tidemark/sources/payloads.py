@@ -155,9 +155,10 @@ def rejected_payloads(parsed: DataFrame, id_col: str) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """(source, payload): one stored answer per file, taken whole."""
+    """(source, payload, path): one stored answer per file, taken whole."""
     files = spark.read.text(path, wholetext=True)
-    return files.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("payload"))
+    return files.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("payload"),
+                        F.col("_metadata.file_path").alias("path"))
 
 
 def attach_predictions(df: DataFrame, predictions: DataFrame, on: str, pred_col: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,10 +43,20 @@ def _yaml_value(text: Column, key: str) -> Column:
     return F.regexp_extract(text, rf"(?m)^{key}:[ ]*'?([^'\r\n]*)'?[ ]*$", 1)
 
 
-def _key_values(spark: SparkSession, root: str, kind: str) -> DataFrame:
+def _small_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Whole files of several folders or globs; none where nothing matches."""
+    try:
+        return spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "value string, path string")
+
+
+def _key_values(spark: SparkSession, runs: list[str], kind: str) -> DataFrame:
     """(run_id, key, value) of one kind of small file: <exp>/<run>/<kind>/<key>."""
-    files = spark.read.text(f"{root}/*/*/{kind}/*", wholetext=True)
-    path = F.col("_metadata.file_path")
+    files = _small_files(spark, [f"{run}/{kind}/*" for run in runs])
+    path = F.col("path")
     return files.select(
         F.regexp_extract(path, rf"/([^/]+)/{kind}/[^/]+$", 1).alias("run_id"),
         F.regexp_extract(path, rf"/{kind}/([^/]+)$", 1).alias("key"),
@@ -58,14 +69,34 @@ def _as_map(pairs: DataFrame, name: str) -> DataFrame:
     return pairs.groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(name))
 
 
-def read_run_store(spark: SparkSession, root: str) -> DataFrame:
+def read_run_store(spark: SparkSession, root: str, experiment: str | None = None, name: str | None = None,
+                   max_folders: int = 10_000) -> DataFrame:
     """Runs of a file-tree store, one row each.
 
     A metric file holds ``timestamp value step`` lines and may repeat them; the
     last line counts. Runs are kept whatever their status says.
+
+    With ``experiment`` only that experiment's folders are listed; with ``name``
+    too, its runs' name tags are read first and then the files of the matching
+    runs alone, up to ``max_folders`` of them named one by one (beyond, the
+    experiment's folders are listed as a whole and the rows filtered).
     """
-    metas = spark.read.text(f"{root}/*/*/meta.yaml", wholetext=True)
     text = F.col("value")
+    experiments = _small_files(spark, [f"{root}/*/meta.yaml"]).select(
+        _yaml_value(text, "experiment_id").alias("experiment_id"), _yaml_value(text, "name").alias("experiment"),
+        F.regexp_replace("path", "/meta\\.yaml$", "").alias("folder"))
+    folders = [f"{root}/*"]
+    if experiment is not None:
+        experiments = experiments.where(F.col("experiment") == experiment)
+        folders = [r["folder"] for r in experiments.collect()]  # one row per experiment of that name
+    runs_at = [f"{folder}/*" for folder in folders]
+    if name is not None:
+        tagged = _small_files(spark, [f"{run}/tags/{RUN_NAME_TAG}" for run in runs_at])
+        named = tagged.where(stripped(text) == name).select(F.regexp_replace("path", "/tags/[^/]+$", "").alias("run"))
+        found = [r["run"] for r in named.limit(max_folders + 1).collect()]
+        runs_at = found if len(found) <= max_folders else runs_at
+    metas = _small_files(spark, [f"{run}/meta.yaml" for run in runs_at]) if runs_at else spark.createDataFrame(
+        [], "value string, path string")
     runs = metas.select(
         _yaml_value(text, "experiment_id").alias("experiment_id"),
         _yaml_value(text, "run_id").alias("run_id"),
@@ -74,20 +105,19 @@ def read_run_store(spark: SparkSession, root: str) -> DataFrame:
         _yaml_value(text, "start_time").try_cast("bigint").alias("start_time"),
         _yaml_value(text, "end_time").try_cast("bigint").alias("end_time"),
     ).where(F.col("run_id") != "")
-    experiments = spark.read.text(f"{root}/*/meta.yaml", wholetext=True).select(
-        _yaml_value(text, "experiment_id").alias("experiment_id"), _yaml_value(text, "name").alias("experiment")
-    )
     last_line = F.element_at(F.split(F.col("value"), r"\r?\n"), -1)
-    metrics = _key_values(spark, root, "metrics").withColumn(
+    metrics = _key_values(spark, runs_at, "metrics").withColumn(
         "value", F.try_element_at(F.split(last_line, " "), F.lit(2)).try_cast("double")
     )
     parts = [
-        _as_map(_key_values(spark, root, "params"), "params"),
+        _as_map(_key_values(spark, runs_at, "params"), "params"),
         _as_map(metrics, "metrics"),
-        _as_map(_key_values(spark, root, "tags"), "tags"),
+        _as_map(_key_values(spark, runs_at, "tags"), "tags"),
     ]
-    joined = reduce(lambda left, right: left.join(right, "run_id", "left"), parts, runs.join(experiments, "experiment_id", "left"))
-    return joined.select(*[f.split(" ")[0] for f in RUN_SCHEMA.split(", ")])
+    start = runs.join(experiments.drop("folder"), "experiment_id", "left")
+    joined = reduce(lambda left, right: left.join(right, "run_id", "left"), parts, start)
+    out = joined.select(*[f.split(" ")[0] for f in RUN_SCHEMA.split(", ")])
+    return out if name is None else out.where(F.try_element_at("tags", F.lit(RUN_NAME_TAG)) == name)
 
 
 def runs_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -176,5 +206,6 @@ def promote(runs: DataFrame, artifacts: DataFrame, model: str, experiment: str =
 
 
 def current_model(pointers: DataFrame, model: str) -> DataFrame:
-    """The latest pointer of a model."""
-    return pointers.where(F.col("model") == model).orderBy(F.desc("promoted_at"), "run_id").limit(1)
+    """The latest pointer of a model: the one of the highest version, where versions are kept."""
+    newest = [F.desc("version")] if "version" in pointers.columns else []
+    return pointers.where(F.col("model") == model).orderBy(*newest, F.desc("promoted_at"), "run_id").limit(1)

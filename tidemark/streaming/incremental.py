@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,21 +21,28 @@ from ..operators.drift import DriftOptions, detect_drift
 from ..operators.distribution import PSI_BINS, quantile_edges
 from ..operators.ordering import held
 from ..operators.tagging import lenient_double
+from ..sources.profiles import BaselineProfile, read_profile, write_profile
 from ..sources.reports import write_report
 
 
 def check_new_files(
-    spark: SparkSession, ref: DataFrame, incoming: str, schema: T.StructType, report_path: str,
+    spark: SparkSession, ref: DataFrame | BaselineProfile, incoming: str, schema: T.StructType, report_path: str,
     checkpoint: str, options: DriftOptions = DriftOptions(), on_report: Callable[[DataFrame], None] | None = None,
 ):
     """Compares newly landed Parquet files with the baseline, once each.
 
     Files already seen are remembered in ``checkpoint``; the call ends when the
-    backlog is done, so a daily schedule can simply call it.
+    backlog is done, so a daily schedule can simply call it. The baseline is
+    profiled once, beside the checkpoint, and every batch merges with that
+    profile. Finished batches are logged: one that is run again after its report
+    was made is passed over.
     """
+    if isinstance(ref, DataFrame):
+        ref = _kept_profile(ref, f"{checkpoint}-baseline", options)
+    log = f"{checkpoint}-reported"
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if batch.isEmpty() or batch_id in _reported(spark, log):
             return
         with held(batch) as rows:
             result = detect_drift(ref, rows, options)
@@ -42,6 +50,7 @@ def check_new_files(
             write_report(result.summary, report_path, key=f"batch-{batch_id}")
             if on_report:
                 on_report(result.summary)
+        spark.createDataFrame([(batch_id,)], "batch_id bigint").coalesce(1).write.mode("append").json(log)
 
     stream = spark.readStream.schema(schema).parquet(incoming)
     query = (
@@ -52,6 +61,26 @@ def check_new_files(
     return query
 
 
+def _reported(spark: SparkSession, log: str) -> set[int]:
+    """Batches of this checkpoint whose report is made."""
+    try:
+        return {r["batch_id"] for r in spark.read.schema("batch_id bigint").json(log).collect()}
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+
+
+def _kept_profile(ref: DataFrame, path: str, options: DriftOptions) -> BaselineProfile:
+    """The profile an earlier call left, if it is of the same columns."""
+    try:
+        known = read_profile(ref.sparkSession, path)
+    except FileNotFoundError:
+        return write_profile(ref, path, options.ignore)
+    same = known.frame.schema == ref.drop(*options.ignore).schema
+    return known if same else write_profile(ref, path, options.ignore)
+
+
 def baseline_bins(ref: DataFrame, columns: list[str], bins: int = PSI_BINS) -> DataFrame:
     """(column, edges, bin, n_ref, ref_total): the fixed side of a windowed PSI."""
     edges = quantile_edges(ref, columns, bins).where(F.size("edges") >= 3)
