@@ -194,8 +194,9 @@ def collocations(docs_df: DataFrame, least: int = 10, longest: int = 3, top: int
     spark = docs_df.sparkSession
     small_batches(spark)
     docs = docs_df.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    # Small row groups: a writer holds one in memory, a reader takes few rows at once.
-    index = stored(docs.mapInArrow(_build(max(1, longest - 1), shard_bytes), _INDEX), **{"parquet.block.size": str(16 << 20)})
+    # Small row groups and a page for each row: writers, readers and codecs hold one of them in memory.
+    index = stored(docs.mapInArrow(_build(max(1, longest - 1), shard_bytes), _INDEX),
+                   **{"parquet.block.size": str(16 << 20), "parquet.page.row.count.limit": "1"})
     listed = index.select(F.explode(F.arrays_zip("lang", "word", "counts")).alias("w")).select("w.*")
     with _few_rows(spark):
         words = stored(listed.groupBy("lang", "word").agg(F.sum("counts").alias("f")))
