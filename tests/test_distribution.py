@@ -132,6 +132,16 @@ def test_exact_p_by_enumeration(n, m):
             assert exact_ks_p(d, n, m) == pytest.approx(brute_ks_p(d, n, m), abs=1e-12)
 
 
+def test_small_exact_p_keeps_its_digits():
+    # Samples that do not overlap: two of the C(n + m, n) merges are as far apart.
+    for n, m in [(60, 60), (150, 90), (500, 480)]:
+        assert exact_ks_p(1.0, n, m) == pytest.approx(2 / math.comb(n + m, n), rel=1e-9)
+    assert exact_ks_p(1.0, 60, 60) < 1e-34
+    # One observation of the smaller sample may lie inside the other: still a count of few paths.
+    assert exact_ks_p(1 - 1 / 50, 50, 50) == pytest.approx(2 * 100 / math.comb(100, 50), rel=1e-6)
+    assert 0 < exact_ks_p(0.9, 2000, 1500) < 1e-300 or exact_ks_p(0.9, 2000, 1500) == 0.0
+
+
 def test_asymptotic_p_is_near_exact(spark):
     from pyspark.sql import functions as F
 

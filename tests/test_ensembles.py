@@ -111,7 +111,7 @@ def same(a: TreeModel, b: TreeModel):
 
 
 def test_levels_and_tasks_grow_the_same_trees(data):
-    config = {**CONFIG, "n_estimators": 7, "max_depth": 5, "subsample": 0.7, "colsample_bytree": 0.6}
+    config = {**CONFIG, "n_estimators": 4, "max_depth": 4, "subsample": 0.7, "colsample_bytree": 0.6}
     one = fit_boosted(data, "y", config, ("id",), keys=["id"])
     same(one, fit_boosted(data, "y", config, ("id",), keys=["id"], block_cells=120, kept_trees=2))
     same(one, fit_boosted(data, "y", config, ("id",), keys=["id"], block_cells=1, kept_trees=3))  # levels only

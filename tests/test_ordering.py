@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidemark.operators.ordering import running_totals
+from tidemark.operators.ordering import bucket_cuts, running_totals
 
 
 @pytest.mark.parametrize("how", [{}, {"n_buckets": 5}, {"rows_per_bucket": 20}, {"rows_per_bucket": 10, "max_cuts": 6}])
@@ -25,3 +25,15 @@ def test_running_totals(spark, how, kind):
     got = running_totals(df, ["g"], "v", ["n"], **how).collect()
     assert {(r.g, r.v): r.cum_n for r in got} == want and len(got) == len(rows)
     assert all(r.tot_n == sum(n for g, _, n in rows if g == r.g) for r in got)
+
+
+def test_cuts_from_sketches_of_many_tasks(spark):
+    """A tree of merges over 150 tasks gives even buckets; ends and repeated values do no harm."""
+    values = spark.range(0, 60_000, numPartitions=150).selectExpr("CAST(pow(id, 3) AS DOUBLE) AS v")
+    cuts = bucket_cuts(values, "v", 60_000, 40)
+    assert len(cuts) == 39 and cuts == sorted(cuts)
+    ranks = [c ** (1 / 3) for c in cuts]
+    assert all(abs(r - (i + 1) * 1500) < 400 for i, r in enumerate(ranks))
+    hot = spark.range(0, 5000, numPartitions=70).selectExpr("CASE WHEN id % 3 > 0 THEN 7 ELSE id END AS v")
+    assert 7 in bucket_cuts(hot, "v", 5000, 10)
+    assert bucket_cuts(values.where("false"), "v", 0, 4) == []

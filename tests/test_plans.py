@@ -10,7 +10,7 @@ from tidemark.plans.training import with_scores
 from tidemark.plans.tuning import best_trial, fit_final, run_search, search_space, trial_runs, trials_by_folds
 from tidemark.sources.models import export_model, load_model, load_promoted, save_model
 from tidemark.sources.runs import CONFIG_SCHEMA, append_runs, read_config, read_runs
-from tidemark.streaming.incremental import baseline_bins, check_new_files, psi_per_window, stream_windowed_psi, window_histogram
+from tidemark.streaming.incremental import baseline_bins, check_new_files, late_rows, psi_per_window, stream_seen_rows, stream_windowed_psi, window_histogram
 
 
 @pytest.fixture(scope="module")
@@ -111,3 +111,24 @@ def test_windowed_psi_stream_equals_batch(spark, tmp_path):
     want = {r["window_start"]: round(r["psi"], 9) for r in whole.collect()}
     assert len(want) == 5 and len(got) >= 4 and all(want[k] == v for k, v in got.items())
     assert want[dt.datetime(2024, 1, 4)] > 0.2 > want[dt.datetime(2024, 1, 1)]
+
+
+def test_late_rows_of_a_stream_are_counted(spark, tmp_path):
+    r = np.random.default_rng(9)
+    day = dt.datetime(2024, 1, 1)
+    rows = [(day + dt.timedelta(minutes=30 * i), float(r.normal())) for i in range(240)]
+    late = [(day + dt.timedelta(hours=h), 0.0) for h in (1, 2, 26)] + [(day + dt.timedelta(days=5), 0.0)]
+    events = spark.createDataFrame(rows, "ts timestamp, v double")
+    baseline = baseline_bins(events, ["v"]).cache()
+    src = tmp_path / "src"
+    for i, part in enumerate((events, spark.createDataFrame(late, events.schema))):
+        part.coalesce(1).write.mode("append").parquet(str(src))
+        for f in src.glob("*.parquet"):  # files in the order of their batches
+            if not f.name.startswith("batch"):
+                f.rename(src / f"batch{i}.parquet")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    stream_windowed_psi(stream, baseline, ["v"], "ts", str(tmp_path / "out"), str(tmp_path / "ck"), delay="1 hour")
+    stream_seen_rows(stream, baseline, ["v"], "ts", str(tmp_path / "seen"), str(tmp_path / "ck2"))
+    got = {x["window_start"].day: x["n_late"] for x in late_rows(
+        spark.read.parquet(str(tmp_path / "seen")), spark.read.parquet(str(tmp_path / "out"))).collect()}
+    assert got[1] == 2 and got[2] == 1 and all(n == 0 for d, n in got.items() if d > 2) and len(got) >= 4

@@ -97,15 +97,15 @@ def baseline_bins(ref: DataFrame, columns: list[str], bins: int = PSI_BINS) -> D
 
 
 def window_histogram(
-    events: DataFrame, edges: DataFrame, columns: list[str], ts: str, window: str = "1 day", delay: str = "1 day",
+    events: DataFrame, edges: DataFrame, columns: list[str], ts: str, window: str = "1 day", delay: str | None = "1 day",
     bins: int = PSI_BINS,
 ) -> DataFrame:
     """(window_start, column, bin, n): works on a batch or a stream.
 
-    On a stream, rows later than ``delay`` behind the watermark are dropped.
-    State is windows x columns x bins counters, not rows.
+    On a stream, rows later than ``delay`` behind the watermark are dropped;
+    without a delay none is. State is windows x columns x bins counters, not rows.
     """
-    if events.isStreaming:
+    if events.isStreaming and delay is not None:
         events = events.withWatermark(ts, delay)
     values = F.array(*[F.struct(F.lit(c).alias("column"), lenient_double(events, c).alias("value")) for c in columns])
     long = events.select(field(ts).alias(ts), F.explode(values).alias("r")).select(ts, "r.*")
@@ -142,3 +142,30 @@ def stream_windowed_psi(
     )
     query.awaitTermination()
     return query
+
+
+def stream_seen_rows(
+    stream: DataFrame, baseline: DataFrame, columns: list[str], ts: str, table: str, checkpoint: str, window: str = "1 day",
+):
+    """As ``stream_windowed_psi``, but counts what came however late; ``table`` holds the counts after the last batch.
+
+    Its state never expires: one counter per window, column and bin."""
+    edges = baseline.select("column", "edges").distinct()
+    counts = window_histogram(stream, edges, columns, ts, window, delay=None)
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(table)
+
+    query = (
+        counts.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
+        .outputMode("complete").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def late_rows(seen: DataFrame, finished: DataFrame) -> DataFrame:
+    """(window_start, column, n_late): rows of finished windows that came after their window was closed."""
+    total = lambda df, name: df.groupBy("window_start", "column").agg(F.sum("n_cur").alias(name))
+    both = total(finished, "_done").join(total(seen, "_seen"), ["window_start", "column"], "left")
+    return both.select("window_start", "column", (F.coalesce("_seen", "_done") - F.col("_done")).alias("n_late"))
