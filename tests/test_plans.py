@@ -121,7 +121,9 @@ def test_late_rows_of_a_stream_are_counted(spark, tmp_path):
     events = spark.createDataFrame(rows, "ts timestamp, v double")
     baseline = baseline_bins(events, ["v"]).cache()
     src = tmp_path / "src"
-    for i, part in enumerate((events, spark.createDataFrame(late, events.schema))):
+    # A batch judges lateness by the watermark of the batch before it: one lies between.
+    between = [(day + dt.timedelta(days=4, hours=23, minutes=45), 0.0)]
+    for i, part in enumerate((events, spark.createDataFrame(between, events.schema), spark.createDataFrame(late, events.schema))):
         part.coalesce(1).write.mode("append").parquet(str(src))
         for f in src.glob("*.parquet"):  # files in the order of their batches
             if not f.name.startswith("batch"):

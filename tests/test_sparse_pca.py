@@ -15,7 +15,7 @@ def frame(spark, x, sparse):
 def made(seed, n=400, d=80):
     r = np.random.default_rng(seed)
     x = (r.random((n, d)) < 0.1) * r.normal(2, 1, (n, d))
-    for j in range(6):  # a few strong directions
+    for j in range(min(6, d)):  # a few strong directions
         x[:, j] += r.normal(0, 12 / (j + 1), n)
     return x
 
