@@ -175,3 +175,12 @@ def test_vector_column_and_odd_frames(spark, data):
     assert {r[0] for r in data.select(one_class.score(data)).collect()} == {1.0}
     with pytest.raises(ValueError, match="no column"):
         fit_boosted(data.select("y"), "y", CONFIG)
+
+
+def test_cuts_are_order_statistics_of_many_rows(spark):
+    n = 40_000
+    values = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("x"), F.lit(0).alias("y"))
+    exact = sorted({float(math.ceil(i / 256 * n) - 1) for i in range(1, 256)})
+    assert fit_binning(values, ("y",)).cuts["x"] == exact
+    vectors = values.select(array_to_vector(F.array("x")).alias("v"))
+    assert fit_binning(vectors, vector="v", names=["x"]).cuts["x"] == exact

@@ -18,12 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import categorical_columns, drop_targets, field, numeric_columns
+from .ordering import held, running_totals
 from .preprocess import MISSING, MISSING_NAME, category_key, category_lists
 from .tagging import lenient_double
 
 MAX_BINS = 256
-#: Rank error of the cuts is one in this many rows.
-ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -95,8 +94,16 @@ class Layout:
         self.features = at
 
 
-def _distinct_cuts(listed) -> list[float]:
-    return sorted(set(listed or []))
+def _cuts(values: DataFrame, parts: int) -> dict[int, list[float]]:
+    """The distinct values at ranks i / parts of each ``pos``: order statistics of (pos, value) rows, not a sketch's."""
+    counts = values.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
+    with held(counts) as counts:
+        run = running_totals(counts, ["pos"], "value", ["n"])
+        wanted = run.where(f"least({parts} * cum_n div tot_n, {parts - 1}) > {parts} * (cum_n - n) div tot_n")
+        found: dict[int, list[float]] = {}
+        for r in wanted.select("pos", "value").collect():  # less than ``parts`` rows per column
+            found.setdefault(r["pos"], []).append(r["value"])
+    return {pos: sorted(own) for pos, own in found.items()}
 
 
 def fit_binning(df: DataFrame, exclude: tuple[str, ...] = (), max_bins: int = MAX_BINS, vector: str | None = None,
@@ -104,21 +111,16 @@ def fit_binning(df: DataFrame, exclude: tuple[str, ...] = (), max_bins: int = MA
     """Cuts and categories of ``df``: of all its columns but targets and ``exclude``, or of one vector column.
 
     Cuts are values of the column at even ranks, so a column of few values is cut at each of them."""
-    fractions = [i / max_bins for i in range(1, max_bins)]
     if vector:
         values = Binning({}, {}, vector).projected(df)[0]
-        cut = df.select(F.posexplode(values)).where(~F.isnan("col")).groupBy("pos").agg(
-            F.percentile_approx("col", fractions, ACCURACY).alias("cuts"))
-        found = {r["pos"]: _distinct_cuts(r["cuts"]) for r in cut.collect()}  # one row per element
+        found = _cuts(df.select(F.posexplode(values).alias("pos", "value")), max_bins)
         width = df.select(F.max(F.size(values))).first()[0] or 0
         names = names or [f"feature_{i}" for i in range(width)]
         return Binning({n: found.get(i, []) for i, n in enumerate(names)}, {}, vector)
     features = drop_targets(df).drop(*exclude)
     numeric, categorical = numeric_columns(features), categorical_columns(features)
-    cuts = {}
+    found = {}
     if numeric:
-        usable = {c: F.when(~F.isnan(lenient_double(features, c)), lenient_double(features, c)) for c in numeric}
-        row = features.agg(*[F.percentile_approx(v, fractions, ACCURACY).alias(f"n{i}")
-                             for i, v in enumerate(usable.values())]).first()
-        cuts = {c: _distinct_cuts(row[i]) for i, c in enumerate(numeric)}
-    return Binning(cuts, category_lists(features, categorical))
+        values = F.array(*[lenient_double(features, c) for c in numeric])
+        found = _cuts(features.select(F.posexplode(values).alias("pos", "value")), max_bins)
+    return Binning({c: found.get(i, []) for i, c in enumerate(numeric)}, category_lists(features, categorical))
