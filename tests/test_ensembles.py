@@ -184,3 +184,18 @@ def test_cuts_are_order_statistics_of_many_rows(spark):
     assert fit_binning(values, ("y",)).cuts["x"] == exact
     vectors = values.select(array_to_vector(F.array("x")).alias("v"))
     assert fit_binning(vectors, vector="v", names=["x"]).cuts["x"] == exact
+
+
+def test_rows_of_like_bins_are_learned_from_as_one(spark):
+    few = spark.createDataFrame([(i, float(i * 7 % 11), "uvw"[i * 5 % 3], int(i * 2654435761 % 97 < 30 + i % 11 * 4)) for i in range(3000)],
+                                "id bigint, x double, k string, y int").withColumn("fold", (F.col("id") % 3).cast("int")).repartition(4)
+    binning = fit_binning(few, ("id", "y", "fold"))
+    learners = [boost_learner({**CONFIG, "subsample": 0.7, "reg_lambda": lam}, f) for lam in (1.0, 3.0) for f in range(3)]
+    fits = [Ensemble(few, "y", binning, learners, fold="fold", keys=["id"], block_cells=cells).fit() for cells in (1 << 20, 500, 60)]
+    assert [f.whole for f in fits] == [True, True, False]  # 33 combinations of 2 bins
+    for m in range(len(learners)):
+        same(fits[0].model(m), fits[1].model(m))
+        same(fits[0].model(m), fits[2].model(m))
+    counts = fits[1].held_out_scores().groupBy("model").count().collect()
+    assert sorted((r["model"], r["count"]) for r in counts) == [(m, 1000) for m in range(6)]
+    assert len(fits[1].blocks.select("codes").first()["codes"]) == 4 * 2 * 33

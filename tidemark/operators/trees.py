@@ -14,6 +14,8 @@ from .binning import Layout
 
 #: A Newton split must gain more than this.
 LEAST_GAIN = 1e-6
+#: Decimal places at which gains are compared.
+DIGITS = 9
 
 
 @dataclass(frozen=True)
@@ -153,25 +155,26 @@ def drawn_features(features: int, share: float, seed: int) -> np.ndarray:
     return out
 
 
-def cell_sums(node: np.ndarray, codes: np.ndarray, g: np.ndarray, h: np.ndarray, layout: Layout, nodes: int):
-    """(node, cell, g, h, rows) of all cells in use, by node and cell; ``node`` runs from 0."""
+def cell_sums(node: np.ndarray, codes: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, layout: Layout, nodes: int):
+    """(node, cell, g, h, rows) of all cells in use, by node and cell; ``node`` runs from 0, ``n`` counts the rows of an
+    entry."""
     key = (node[:, None] * layout.cells + layout.offsets[:-1] + codes).ravel()
     if nodes * layout.cells <= 4 * len(key) + (1 << 16):
         used, at, size = None, key, nodes * layout.cells
     else:
         used, at = np.unique(key, return_inverse=True)
         size = len(used)
-    rows = np.bincount(at, minlength=size)
-    sums = [np.bincount(at, weights=np.repeat(x, layout.columns), minlength=size) for x in (g, h)]
+    g, h, rows = (np.bincount(at, weights=np.repeat(x, layout.columns), minlength=size) for x in (g, h, n))
     if used is None:
         used = np.flatnonzero(rows)
-        rows, sums = rows[used], [s[used] for s in sums]
-    return used // layout.cells, used % layout.cells, *sums, rows
+        g, h, rows = g[used], h[used], rows[used]
+    return used // layout.cells, used % layout.cells, g, h, rows
 
 
 def best_splits(node, cell, g, h, rows, layout: Layout, growth: Growth, allowed: np.ndarray | None = None,
                 seed: int = 0) -> Splits:
     """The split of largest gain of each node, ties to the first cell. Cells come ordered by node and cell.
+    Gains are compared at ``DIGITS`` places, so that equal splits tie in whatever order their rows were added up.
 
     ``allowed`` flags the features of the tree. With ``growth.per_node`` a share of the features is drawn for every
     node; a node that none of them can split may use all."""
@@ -205,6 +208,7 @@ def best_splits(node, cell, g, h, rows, layout: Layout, growth: Growth, allowed:
         return np.where(fits & (feature >= 0) & ~missing, out, -np.inf)
 
     right, left = gains(ga, ha, na), gains(gb, hb, nb)
+    right, left = right.round(DIGITS), left.round(DIGITS)
     gain = np.maximum(right, left)
     if allowed is not None:
         gain = np.where(allowed[feature], gain, -np.inf)
@@ -222,14 +226,14 @@ def best_splits(node, cell, g, h, rows, layout: Layout, growth: Growth, allowed:
                   total_g, total_h, chosen(ga, gb), chosen(ha, hb), total_n, chosen(na, nb))
 
 
-def grow_here(codes: np.ndarray, g: np.ndarray, h: np.ndarray, layout: Layout, growth: Growth, seed: int,
+def grow_here(codes: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, layout: Layout, growth: Growth, seed: int,
               allowed: np.ndarray | None = None, depth: int = 0) -> Tree:
-    """A whole (sub)tree from rows at hand; ``depth`` is that of its root."""
+    """A whole (sub)tree from sums of like rows at hand, ``n`` rows each; ``depth`` is that of its root."""
     tree, node, rows = Tree.root(), np.zeros(len(codes), np.int64), np.arange(len(codes))
     frontier = np.zeros(1, np.int64)
     while len(frontier) and len(rows):
         here = np.searchsorted(frontier, node[rows])
-        cells = cell_sums(here, codes[rows], g[rows], h[rows], layout, len(frontier))
+        cells = cell_sums(here, codes[rows], g[rows], h[rows], n[rows], layout, len(frontier))
         splits = best_splits(*cells, layout, growth, allowed, seeded(seed, depth))
         if growth.max_depth and depth >= growth.max_depth:
             splits.column[:] = -1

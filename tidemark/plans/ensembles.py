@@ -1,13 +1,15 @@
 """Boosted trees and forests grown on Spark over columns binned once.
 
-Rows are kept as blocks: the bins of up to ``BLOCK_CELLS`` cells, labels, weights, and the scores of every model so far.
-One boosting round grows one tree for every model still learning, so a search fits all its configurations and folds
-together and the number of jobs does not grow with them.
+Rows are kept as blocks of up to ``BLOCK_CELLS`` cells. Rows of equal bins get equal scores from every tree, so a block
+holds each combination of bins once, with the scores of every model so far, the (combination, label, weight, fold) kinds
+of its rows, and of a row its kind and the hash that its draws come from. One boosting round grows one tree for every model
+still learning, so a search fits all its configurations and folds together and the number of jobs does not grow with them.
 
 * A level is one aggregation: tasks sum gradients and Hessians of their rows per (model, node, cell), Spark adds them up
   by that key, and a second exchange by (model, node) finds each node's best split. Only splits reach the driver.
 * A node whose rows are few enough for one task is finished there: its rows are shuffled by (model, node) and the rest of
-  its tree is grown at once. If all rows of a model are one block, that holds from the root and needs no shuffle.
+  its tree is grown at once. If the combinations of all rows fit a block (columns of few bins have few, whatever the rows)
+  and their hashes do (``BLOCK_ROWS``), that holds from the root and needs no shuffle.
 * Tasks are pure functions of their block, of the trees since scores were last written (``KEPT_TREES`` at most) and of
   seeds. Scores are folded into new, checkpointed blocks every few rounds, so a lost executor costs a block, not a model.
 """
@@ -37,17 +39,22 @@ from ..session import checkpointed
 
 #: Cells (rows x columns) of a block, and of a node that one task finishes.
 BLOCK_CELLS = 1 << 20
+#: Rows (12 bytes each) of a block whose combinations fit ``BLOCK_CELLS``.
+BLOCK_ROWS = 1 << 23
 #: Trees that tasks add to the written scores; then scores are written again.
-KEPT_TREES = 16
+KEPT_TREES = 32
 #: Rounds of one job where a block holds all rows of its models.
-ROUNDS_AT_ONCE = 8
+ROUNDS_AT_ONCE = 16
 
-_BLOCK = "grp int, n int, codes binary, y binary, w binary, fold binary, draw binary, score binary"
+_PIECE = "codes binary, profile binary, y binary, w binary, fold binary, kind binary, draw binary"
+_PIECE_TYPES = {"codes": np.int32, "profile": np.int32, "y": np.float32, "w": np.float64, "fold": np.int32,
+                "kind": np.int32, "draw": np.uint64}
+_BLOCK = f"grp int, {_PIECE}, score binary"
 _TREE = "model int, round int, " + ", ".join(f"t_{f.name} binary" for f in fields(Tree))
 _CELLS = "model int, node int, cell int, g double, h double, n long"
 _SPLIT_NAMES = [f.name for f in fields(Splits)]
 _SPLITS = "model int, " + ", ".join(f"s_{n} double" for n in _SPLIT_NAMES)
-_NODE_ROWS = "model int, node int, codes binary, g binary, h binary"
+_NODE_ROWS = "model int, node int, codes binary, g binary, h binary, n binary"
 _TYPES = {"column": np.int32, "code": np.int32, "missing_left": bool, "left": np.int32, "right": np.int32,
           "value": np.float64, "gain": np.float64, "cover": np.float64}
 
@@ -97,33 +104,45 @@ class _Block:
     """One row of the block table, its arrays restored."""
 
     def __init__(self, row: dict, layout: Layout):
-        self.n = row["n"]
-        self.codes = np.frombuffer(row["codes"], np.int32).reshape(self.n, layout.columns)
-        self.y, self.w = np.frombuffer(row["y"], np.float32), np.frombuffer(row["w"], np.float64)
-        self.fold, self.draw = np.frombuffer(row["fold"], np.int32), np.frombuffer(row["draw"], np.uint64)
+        for name, kind in _PIECE_TYPES.items():
+            setattr(self, name, np.frombuffer(row[name], kind))
+        self.codes = self.codes.reshape(-1, layout.columns)
+        self.n = len(self.codes)
         self.score = np.frombuffer(row["score"], np.float64).reshape(-1, self.n)
+        self.rows = np.bincount(self.kind, minlength=len(self.y))
+        self._last = None, None
 
     def scores(self, state: _State, place: int, model: int) -> np.ndarray:
-        out = self.score[place].copy()
+        """The score of each combination of bins; models that average have none."""
+        out = self.score[place].copy() if len(self.score) else np.zeros(self.n)
         for tree in state.recent.get(model, ()):
             out += tree.value[tree.leaves(self.codes, state.layout)]
         return out
 
+    def drawn(self, seed: int, number: int) -> np.ndarray:
+        """A uniform number per row; models of one seed share those of a round."""
+        if self._last[0] != (seed, number):
+            self._last = (seed, number), _uniform(self.draw ^ np.uint64(seeded(seed, number, 1)))
+        return self._last[1]
+
     def gradients(self, learner: Learner, number: int, scores: np.ndarray):
-        """(rows, g, h) of the rows a model learns from in a round."""
-        rows = np.arange(self.n) if learner.fold is None else np.flatnonzero(self.fold != learner.fold)
-        y, w = self.y[rows].astype(np.float64), self.w[rows]
-        salt = np.uint64(seeded(learner.seed, number, 1))
+        """(combination, g, h, rows) over the rows a model learns from in a round."""
+        rows = times = self.rows  # of each kind
         if learner.bootstrap:
-            times = _poisson(_uniform(self.draw[rows] ^ salt))
-            rows, y, w = rows[times > 0], y[times > 0], (w * times)[times > 0]
+            each = _poisson(self.drawn(learner.seed, number))
+            rows, times = (np.bincount(self.kind, weights=x, minlength=len(self.y)) for x in (each > 0, each))
         elif learner.subsample < 1:
-            kept = _uniform(self.draw[rows] ^ salt) < learner.subsample
-            rows, y, w = rows[kept], y[kept], w[kept]
+            rows = times = np.bincount(self.kind[self.drawn(learner.seed, number) < learner.subsample], minlength=len(self.y))
+        if learner.fold is not None:
+            rows, times = (np.where(self.fold != learner.fold, x, 0) for x in (rows, times))
+        w = self.w * times
+        w, wy, n = (np.bincount(self.profile, weights=x, minlength=self.n) for x in (w, w * self.y, rows))
+        used = np.flatnonzero(n)
+        w, wy, n = w[used], wy[used], n[used]
         if learner.growth.mean:
-            return rows, w * y, w
-        p = 1 / (1 + np.exp(-scores[rows]))
-        return rows, (p - y) * w, np.maximum(p * (1 - p), 1e-16) * w
+            return used, wy, w, n
+        p = 1 / (1 + np.exp(-scores[used]))
+        return used, p * w - wy, np.maximum(p * (1 - p), 1e-16) * w, n
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -138,9 +157,33 @@ def _poisson(u: np.ndarray) -> np.ndarray:
     return np.searchsorted(_POISSON, u, side="right")
 
 
-def _blocks(binning: Binning, groups: list[list[int]], models: int, cells: int):
-    layout = binning.layout
-    limit = max(1, cells // max(layout.columns, 1))
+def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(a row of each distinct combination, in order; the number of every row's combination)."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        own = c[order]
+        new[1:] |= own[1:] != own[:-1]
+    number = np.empty(len(order), np.int32)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def _piece(codes, profile, y, w, fold, kind, draw) -> dict:
+    """The arrays of a block: equal combinations of bins and equal kinds become one, rows are ordered by kind and draw."""
+    first, number = _distinct(list(codes.T))
+    profile = number[profile]
+    some, of = _distinct([profile, y, w, fold])
+    kind = of[kind]
+    order = np.lexsort((draw, kind))
+    arrays = {"codes": codes[first], "profile": profile[some], "y": y[some], "w": w[some], "fold": fold[some],
+              "kind": kind[order], "draw": draw[order]}
+    return {n: np.ascontiguousarray(arrays[n], k).tobytes() for n, k in _PIECE_TYPES.items()}
+
+
+def _pieces(binning: Binning, cells: int):
+    limit = max(1, cells // max(binning.layout.columns, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -151,23 +194,71 @@ def _blocks(binning: Binning, groups: list[list[int]], models: int, cells: int):
                 held.append(part)
                 at, size = at + part.num_rows, size + part.num_rows
                 if size == limit:
-                    yield from pack(held)
+                    yield pack(held)
                     held, size = [], 0
         if held:
-            yield from pack(held)
+            yield pack(held)
 
-    def pack(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         batch = pa.concat_batches(held)
-        get = lambda c, k: batch.column(c).to_numpy(zero_copy_only=False).astype(k).tobytes()
-        row = {"n": batch.num_rows, "codes": binning.codes([batch.column(i) for i in range(4, batch.num_columns)]).tobytes(),
-               "y": get(0, np.float32), "w": get(1, np.float64), "fold": get(2, np.int32),
-               "draw": batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64).tobytes()}
-        for i, group in enumerate(groups):
-            yield _batch([{"grp": i, **row, "score": np.zeros(len(group) * batch.num_rows).tobytes()}], _BLOCK)
+        get = lambda c, k: batch.column(c).to_numpy(zero_copy_only=False).astype(k)
+        codes, each = binning.codes([batch.column(i) for i in range(4, batch.num_columns)]), np.arange(batch.num_rows)
+        draw = batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
+        return _batch([_piece(codes, each, get(0, np.float32), get(1, np.float64), get(2, np.int32), each, draw)], _PIECE)
 
     return run
 
 
+def _combinations(columns: int):
+    """A hash of each combination of bins in a piece."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column(0):
+                codes, name = np.frombuffer(body.as_py(), np.int32).reshape(-1, columns), np.uint64(0)
+                for c in codes.T:
+                    name = mixed(name + c.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64))], ["name"])
+
+    return run
+
+
+def _merged(columns: int):
+    """All pieces of a group as one block."""
+    def run(table: pa.Table) -> pa.Table:
+        parts = {n: [np.frombuffer(body.as_py(), k) for body in table[n]] for n, k in _PIECE_TYPES.items()}
+        for inner, outer, width in (("profile", "codes", columns), ("kind", "profile", 1)):
+            starts = np.cumsum([0, *(len(x) // width for x in parts[outer])])
+            parts[inner] = [x + at for x, at in zip(parts[inner], starts)]
+        whole = {n: np.concatenate(x) for n, x in parts.items()}
+        row = _piece(**{**whole, "codes": whole["codes"].reshape(-1, columns)})
+        return pa.Table.from_batches([_batch([{"grp": table["grp"][0].as_py(), **row, "score": b""}], _BLOCK)])
+
+    return run
+
+
+def _unscored(groups: list[list[int]], columns: int, mean: bool):
+    """Blocks with a score of 0 for each model of their group and combination."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                scores = 0 if mean else len(groups[row["grp"]]) * (len(row["codes"]) // (4 * columns))
+                yield _batch([{**row, "score": np.zeros(scores).tobytes()}], _BLOCK)
+
+    return run
+
+
+def _dealt(learners: list[Learner], groups: int) -> list[list[int]]:
+    """Models by group, the costly ones first and each to the group that has least to do."""
+    cost = [m.trees * (m.growth.max_depth or 12) for m in learners]
+    out, load = [[] for _ in range(groups)], [0] * groups
+    for m in sorted(range(len(learners)), key=lambda m: -cost[m]):
+        at = load.index(min(load))
+        out[at].append(m)
+        load[at] += cost[m]
+    return out
+
+
 def _schema(ddl: str) -> pa.Schema:
     kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "float": pa.float32()}
     return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in ddl.split(", "))])
@@ -181,7 +272,8 @@ def _over_blocks(shared, work: Callable) -> Callable:
     """``work(state, row, block)`` on every block; it yields batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 yield from work(shared.value, row, _Block(row, shared.value.layout))
 
     return run
@@ -203,15 +295,19 @@ def _allowed(layout: Layout, learner: Learner, number: int) -> np.ndarray | None
 
 def _whole_trees(state: _State, row: dict, block: _Block) -> Iterator[pa.RecordBatch]:
     """A block that holds all rows of its models: their next trees, each on the scores that the ones before left."""
-    for place, model in enumerate(state.groups[row["grp"]]):
-        learner, growing = state.learners[model], state.growing.get(model, 0)
-        scores = block.scores(state, place, model) if growing else None
-        for number in range(state.round, state.round + growing):
-            rows, g, h = block.gradients(learner, number, scores)
-            tree = Tree.root() if not len(rows) else grow_here(
-                block.codes[rows], g, h, state.layout, learner.growth, seeded(learner.seed, number, 3),
+    group = [(place, model) for place, model in enumerate(state.groups[row["grp"]]) if state.growing.get(model)]
+    scores = {model: block.scores(state, place, model) for place, model in group}
+    for number in range(state.round, state.round + max((state.growing[m] for _, m in group), default=0)):
+        for _, model in group:
+            learner = state.learners[model]
+            if number >= state.round + state.growing[model]:
+                continue
+            used, g, h, n = block.gradients(learner, number, scores[model])
+            tree = Tree.root() if not len(used) else grow_here(
+                block.codes[used], g, h, n, state.layout, learner.growth, seeded(learner.seed, number, 3),
                 _allowed(state.layout, learner, number))
-            scores += tree.value[tree.leaves(block.codes, state.layout)]
+            if not learner.growth.mean:
+                scores[model] += tree.value[tree.leaves(block.codes, state.layout)]
             yield _batch([_tree_row(model, number, tree)], _TREE)
 
 
@@ -221,14 +317,15 @@ def _level_sums(state: _State, row: dict, block: _Block) -> Iterator[pa.RecordBa
         if model not in state.growing:
             continue
         tree = state.growing[model]
-        rows, g, h = block.gradients(state.learners[model], state.round, block.scores(state, place, model))
-        at = tree.leaves(block.codes[rows], state.layout)
+        used, g, h, n = block.gradients(state.learners[model], state.round, block.scores(state, place, model))
+        at = tree.leaves(block.codes[used], state.layout)
         open_nodes = tree.open
         inside = np.isin(at, open_nodes)
         if not inside.any():
             continue
         here = np.searchsorted(open_nodes, at[inside])
-        node, cell, g, h, n = cell_sums(here, block.codes[rows[inside]], g[inside], h[inside], state.layout, len(open_nodes))
+        node, cell, g, h, n = cell_sums(
+            here, block.codes[used[inside]], g[inside], h[inside], n[inside], state.layout, len(open_nodes))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(node), model, np.int32)), pa.array(open_nodes[node].astype(np.int32)),
              pa.array(cell.astype(np.int32)), pa.array(g), pa.array(h), pa.array(n.astype(np.int64))], schema=_schema(_CELLS))
@@ -262,12 +359,12 @@ def _small_rows(state: _State, row: dict, block: _Block) -> Iterator[pa.RecordBa
         if model not in state.growing or not len(state.growing[model].small):
             continue
         tree = state.growing[model]
-        rows, g, h = block.gradients(state.learners[model], state.round, block.scores(state, place, model))
-        at = tree.leaves(block.codes[rows], state.layout)
+        used, g, h, n = block.gradients(state.learners[model], state.round, block.scores(state, place, model))
+        at = tree.leaves(block.codes[used], state.layout)
         for node in np.intersect1d(at, tree.small).tolist():
             own = at == node
-            yield _batch([{"model": model, "node": node, "codes": block.codes[rows[own]].tobytes(), "g": g[own].tobytes(),
-                           "h": h[own].tobytes()}], _NODE_ROWS)
+            yield _batch([{"model": model, "node": node, "codes": block.codes[used[own]].tobytes(), "g": g[own].tobytes(),
+                           "h": h[own].tobytes(), "n": n[own].tobytes()}], _NODE_ROWS)
 
 
 def _finish(shared) -> Callable:
@@ -275,10 +372,10 @@ def _finish(shared) -> Callable:
         state, model, node = shared.value, table["model"][0].as_py(), table["node"][0].as_py()
         join = lambda c, k: np.frombuffer(b"".join(table[c].to_pylist()), k)
         codes = join("codes", np.int32).reshape(-1, state.layout.columns)
-        g, h = join("g", np.float64), join("h", np.float64)
+        g, h, n = (join(c, np.float64) for c in "ghn")
         order = np.lexsort((h, g, *codes.T))  # the same tree whatever order the pieces came in
         learner = state.learners[model]
-        tree = grow_here(codes[order], g[order], h[order], state.layout, learner.growth, seeded(learner.seed, state.round, 4 + node),
+        tree = grow_here(codes[order], g[order], h[order], n[order], state.layout, learner.growth, seeded(learner.seed, state.round, 4 + node),
                          _allowed(state.layout, learner, state.round), state.growing[model].depth_of[node])
         return pa.Table.from_batches([_batch([{"node": node, **_tree_row(model, state.round, tree)}], "node int, " + _TREE)])
 
@@ -302,7 +399,7 @@ class _Growing(Tree):
 
 
 def _scored(state: _State, row: dict, block: _Block) -> Iterator[pa.RecordBatch]:
-    score = [block.scores(state, place, model) for place, model in enumerate(state.groups[row["grp"]])]
+    score = [block.scores(state, place, model) for place, model in enumerate(state.groups[row["grp"]]) if len(block.score)]
     yield _batch([{**row, "score": np.concatenate(score).tobytes() if score else b""}], _BLOCK)
 
 
@@ -311,9 +408,10 @@ _HELD_OUT = "model int, y float, score double"
 
 def _held_out(state: _State, row: dict, block: _Block) -> Iterator[pa.RecordBatch]:
     for place, model in enumerate(state.groups[row["grp"]]):
-        rows = np.flatnonzero(block.fold == state.learners[model].fold)
-        p = 1 / (1 + np.exp(-block.scores(state, place, model)[rows]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), model, np.int32)), pa.array(block.y[rows]), pa.array(p)],
+        kinds = np.flatnonzero(block.fold == state.learners[model].fold)
+        kinds = np.repeat(kinds, block.rows[kinds])
+        p = 1 / (1 + np.exp(-block.scores(state, place, model)[block.profile[kinds]]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), model, np.int32)), pa.array(block.y[kinds]), pa.array(p)],
                                          schema=_schema(_HELD_OUT))
 
 
@@ -337,14 +435,28 @@ class Ensemble:
         layout = binning.layout
         if not layout.columns:
             raise ValueError("no column to learn from")
-        wanted = max(1, math.ceil(self.rows * layout.columns / block_cells))
+        columns, wanted = layout.columns, max(1, math.ceil(self.rows * layout.columns / block_cells))
+        blocks = rows.coalesce(wanted).mapInArrow(_pieces(binning, block_cells), _PIECE)
         self.whole = wanted == 1  # every block holds all rows
+        if wanted > 1:
+            pieces = blocks = self._held(blocks)
+            if self.rows <= BLOCK_ROWS:
+                found = pieces.select("codes").mapInArrow(_combinations(columns), "name long").distinct().count()
+                self.whole = found * columns <= block_cells
         workers = self.spark.sparkContext.defaultParallelism
         dealt = min(len(learners), workers) if self.whole else 1
-        self.groups = [list(range(i, len(learners), dealt)) for i in range(dealt)]
+        self.groups = _dealt(learners, dealt)
         self.state = _State(layout, learners, self.groups, {}, {}, 0)
-        blocks = rows.coalesce(wanted).mapInArrow(_blocks(binning, self.groups, len(learners), block_cells), _BLOCK)
-        self.blocks = self._held(blocks.repartition(dealt, "grp") if dealt > 1 else blocks)
+        blocks = blocks.withColumn("grp", F.explode(F.array(*map(F.lit, range(dealt)))) if dealt > 1 else F.lit(0))
+        if self.whole and wanted > 1:
+            blocks = blocks.repartition(dealt, "grp").groupBy("grp").applyInArrow(_merged(columns), _BLOCK).drop("score")
+        elif dealt > 1:
+            blocks = blocks.repartition(dealt, "grp")
+        blocks = blocks.select("grp", *_PIECE_TYPES, F.lit(None).cast("binary").alias("score")).mapInArrow(
+            _unscored(self.groups, columns, all(m.growth.mean for m in learners)), _BLOCK)
+        self.blocks = self._held(blocks)
+        if wanted > 1:
+            pieces.unpersist()
 
     def _held(self, blocks: DataFrame) -> DataFrame:
         return checkpointed(blocks).persist(StorageLevel.MEMORY_AND_DISK)
