@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.binning import fit_binning
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.trees import Tree
-from tidemark.plans.ensembles import Ensemble, TreeModel, boost_learner, fit_boosted, fit_forest
+from tidemark.plans.ensembles import Ensemble, TreeModel, _dealt, boost_learner, fit_boosted, fit_forest, forest_learner
 from tidemark.plans.training import feature_importance, train_boosted, train_forest, with_scores
 
 CONFIG = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0,
@@ -199,3 +199,11 @@ def test_rows_of_like_bins_are_learned_from_as_one(spark):
     counts = fits[1].held_out_scores().groupBy("model").count().collect()
     assert sorted((r["model"], r["count"]) for r in counts) == [(m, 1000) for m in range(6)]
     assert len(fits[1].blocks.select("codes").first()["codes"]) == 4 * 2 * 33
+
+
+def test_blocks_of_averaging_models_carry_no_scores(data):
+    binning = fit_binning(data, ("id", "y"))
+    forest = Ensemble(data, "y", binning, [forest_learner(len(binning.names), seed=t) for t in range(64)], keys=["id"], block_cells=300)
+    assert {len(r["score"]) for r in forest.blocks.select("score").collect()} == {0}
+    boosted = Ensemble(data, "y", binning, [boost_learner(CONFIG)], keys=["id"], block_cells=300)
+    assert all(len(r["score"]) == 8 * (len(r["codes"]) // 12) for r in boosted.blocks.collect())
