@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.binning import fit_binning
 from tidemark.operators.evaluation import binary_metrics
-from tidemark.operators.trees import Tree
+from tidemark.operators.trees import Growth, Tree, grow_here
 from tidemark.plans.ensembles import Ensemble, TreeModel, _dealt, boost_learner, fit_boosted, fit_forest, forest_learner
 from tidemark.plans.training import feature_importance, train_boosted, train_forest, with_scores
 
@@ -207,3 +207,23 @@ def test_blocks_of_averaging_models_carry_no_scores(data):
     assert {len(r["score"]) for r in forest.blocks.select("score").collect()} == {0}
     boosted = Ensemble(data, "y", binning, [boost_learner(CONFIG)], keys=["id"], block_cells=300)
     assert all(len(r["score"]) == 8 * (len(r["codes"]) // 12) for r in boosted.blocks.collect())
+
+
+def test_models_are_dealt_by_cost():
+    learners = [boost_learner({**CONFIG, "n_estimators": n, "max_depth": 5}) for n in (900, 100, 100, 800, 100, 100)]
+    groups = _dealt(learners, 2)
+    assert sorted(m for g in groups for m in g) == list(range(6))
+    loads = [sum(learners[m].trees for m in g) for g in groups]
+    assert max(loads) - min(loads) <= 100
+
+
+def test_no_sums_are_taken_at_the_greatest_depth(monkeypatch):
+    from tidemark.operators import trees
+    from tidemark.operators.binning import Layout
+
+    levels, cell_sums = [], trees.cell_sums
+    monkeypatch.setattr(trees, "cell_sums", lambda *a: levels.append(a[-1]) or cell_sums(*a))
+    codes, n = np.arange(64, dtype=np.int32)[:, None], np.ones(64)
+    tree = grow_here(codes, np.select([codes[:, 0] < 9, codes[:, 0] < 30, codes[:, 0] < 41], [-1.0, 1.0, -2.0], 0.5), 0.25 * n, n, Layout([63], []), Growth(max_depth=2, min_child_weight=0), 1)
+    assert levels == [1, 2] and (tree.column >= 0).sum() == 2
+    assert tree.value[tree.column < 0].all() and tree.cover[tree.column < 0].sum() == 16

@@ -230,9 +230,11 @@ def grow_here(codes: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, la
               allowed: np.ndarray | None = None, depth: int = 0) -> Tree:
     """A whole (sub)tree from sums of like rows at hand, ``n`` rows each; ``depth`` is that of its root."""
     tree, node, rows = Tree.root(), np.zeros(len(codes), np.int64), np.arange(len(codes))
-    frontier = np.zeros(1, np.int64)
-    while len(frontier) and len(rows):
-        here = np.searchsorted(frontier, node[rows])
+    frontier, start = np.zeros(1, np.int64), depth
+    while len(frontier) and (depth == start or not growth.max_depth or depth < growth.max_depth):  # deeper ones have their values
+        place = np.zeros(len(tree.column), np.int64)
+        place[frontier] = np.arange(len(frontier))
+        here = place[node[rows]]
         cells = cell_sums(here, codes[rows], g[rows], h[rows], n[rows], layout, len(frontier))
         splits = best_splits(*cells, layout, growth, allowed, seeded(seed, depth))
         if growth.max_depth and depth >= growth.max_depth:
@@ -243,5 +245,5 @@ def grow_here(codes: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, la
         rows, at = rows[keep], at[keep]
         left = goes_left(codes[rows, tree.column[at]], tree.column[at], tree.code[at], tree.missing_left[at], layout)
         node[rows] = np.where(left, tree.left[at], tree.right[at])
-        frontier, depth = np.unique(node[rows]), depth + 1
+        frontier, depth = np.flatnonzero(np.bincount(node[rows], minlength=1)), depth + 1
     return tree
