@@ -102,3 +102,18 @@ def test_components(spark):
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     assert got(op4_jaccard_join(spark, SF_DIR)) == brute(docs)
+
+
+def test_a_pair_meets_once(spark, monkeypatch):
+    """Copies too far from each other share hundreds of shingles; the join makes a row or two for each pair, not for
+    each shingle. Classes are those of brute force."""
+    rng, base = random.Random(8), [f"w{i}" for i in range(1200)]
+    rows = []
+    for n in range(16):
+        edited = set(rng.sample(range(1200), 24))
+        rows.append((n, " ".join(f"e{n}x{i}" if i in edited else w for i, w in enumerate(base))))
+    made, meetings = [], jaccard_join._meetings
+    monkeypatch.setattr(jaccard_join, "_meetings", lambda mixed, percent: made.append(meetings(mixed, percent)) or made[-1])
+    assert got(near_classes(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    pairs = made[0].select("doc_id", "p_doc_id").distinct().count()
+    assert 60 < pairs and made[0].count() < 4 * pairs

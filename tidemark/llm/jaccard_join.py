@@ -13,9 +13,11 @@ Classes, not pairs, are returned, which spares groups of copies their pairs and
 * Every posting first verifies its documents against its smallest one (a star: as many pairs as postings); components
   of these links are formed.
 * Then only pairs of different components are left. In each posting the documents outside its main component meet the
-  others that fit: in size, in position, by how far into its order a document first meets any other, as a partner
-  shares nothing before that, and by small parity bitmaps, whose distance bounds the symmetric difference from below.
-  Pairs that share enough prefix shingles are compared by larger bitmaps; the rest is verified exactly.
+  others that fit: in size, in position, as partners share nothing before the first shingle at which they meet, and by
+  small parity bitmaps, whose distance bounds the symmetric difference from below. A pair meets once or little more,
+  not at each of the hundreds of shingles it may share: a shingle goes along with the ``_BEFORE`` that come before it
+  in the document's postings, and documents that have one of these in common have met there already.
+  Pairs are compared by larger bitmaps; those that share enough prefix shingles are verified exactly.
 
 Postings of rare slots are formed by a window, as the sketch bounds their length; those of frequent slots, or all if
 that bound is large, by pre-aggregation and a join that Spark can split.
@@ -50,6 +52,8 @@ WINDOW_ROWS = 200_000
 _BITS = (2, 512, 1 << 14)
 #: Words of the folded bitmap that goes along with postings.
 _FOLD = 8
+#: Shingles before one that tell whether documents have met already.
+_BEFORE = 2
 
 
 def shingles(words: Words, size: int) -> Iterator[np.ndarray]:
@@ -113,10 +117,12 @@ def slot_levels(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
     counts = np.zeros((SLOTS // _CHUNK, _CHUNK), np.int64)
     for row in partly.groupBy("chunk").applyInArrow(_sum("<i8"), schema).toLocalIterator():  # a fixed number of rows
         counts[row["chunk"]] = np.frombuffer(row["counts"], "<i8")
-    counts = counts.ravel()
-    mean = max(1.0, counts.mean())
-    levels = np.floor(np.log2(np.maximum(counts / mean, 1))).astype(np.uint8)
-    return levels, int(counts[levels == 0].max(initial=0))
+    mean, bound = max(1.0, counts.mean()), 0
+    levels = np.empty(counts.shape, np.uint8)
+    for part, level in zip(counts, levels):  # the driver holds no second array of all slots
+        level[:] = np.floor(np.log2(np.maximum(part / mean, 1)))
+        bound = max(bound, int(part[level == 0].max(initial=0)))
+    return levels.ravel(), bound
 
 
 def _classes(size: int):
@@ -202,7 +208,7 @@ def _near(percent: int):
                 # both = (n + m - difference) / 2 must reach percent of n + m - both
                 if (100 + percent) * (n + m - apart) >= 2 * percent * (n + m):
                     keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            yield batch.select(["a", "b", "asked"]).take(pa.array(keep, pa.int64()))
 
     return run
 
@@ -257,40 +263,65 @@ def _links(spark: SparkSession, docs: DataFrame, size: int, percent: int) -> Dat
     infos = stored(infos.join(met_first, "doc_id").withColumn("open", F.col("n") - F.col("alone")))
 
     stars = postings.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    linked = _checked(_plausible(stars.withColumn("shared", F.lit(MOST_MATCHES)), infos, percent), texts, size, percent)
+    linked = _checked(_plausible(stars, infos, percent).drop("asked"), texts, size, percent)
 
     labels = infos.select("doc_id", "n", "open", "fold").join(
         components(linked).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
-    # A document that meets others too late has no partner of any size.
-    labels = labels.where(F.col("open") * 100 >= F.col("n") * percent)
-    named = stored(postings.drop("first").join(labels, "doc_id"))
+    # A document that meets others too late has no partner of any size. What comes before a shingle is known of ids with
+    # one text only.
+    labels = stored(labels.where(F.col("open") * 100 >= F.col("n") * percent).drop("open").withColumn(
+        "single", F.count(F.lit(1)).over(Window.partitionBy("doc_id")) == 1))
+    named = stored(postings.drop("first").join(labels.select("doc_id", "component").distinct(), "doc_id"))
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                        F.mode("component", True).alias("main")).where("low < high")
-    mixed = stored(named.join(mixed.select("token", "main"), "token"))
+    mixed = named.join(mixed.select("token", "main"), "token")
+    met = _meetings(stored(_preceded(mixed).join(labels.drop("component"), "doc_id")), percent)
+    pairs = _plausible(met.select(F.least("p_doc_id", "doc_id").alias("a"), F.greatest("p_doc_id", "doc_id").alias("b"))
+                       .distinct(), infos, percent)
+    return linked.unionByName(_checked(_matching(pairs, named), texts, size, percent))
+
+
+def _preceded(rows: DataFrame) -> DataFrame:
+    """Rows of postings with the tokens before each in its document."""
+    w = Window.partitionBy("doc_id").orderBy("at")
+    earlier = F.array(*(F.lag("token", i).over(w) for i in range(1, _BEFORE + 1)))
+    return rows.withColumn("before", F.filter(earlier, lambda t: t.isNotNull()))
+
+
+def _meetings(mixed: DataFrame, percent: int) -> DataFrame:
+    """Documents of different components that meet in a posting, one of them outside its main component. Each pair that
+    is similar is there at the first shingle that both share."""
     outside = mixed.where("component <> main").select("token", *(F.col(c).alias(f"p_{c}") for c in (
-        "doc_id", "n", "at", "open", "fold", "component")))
-    # A document outside the main component meets all others; of two outside ones the smaller meets the larger. Before
-    # and after this shingle, no more can be shared than the shorter part of both holds.
-    most = F.least("open", "p_open", F.least("at", "p_at") + F.least(F.col("n") - F.col("at"), F.col("p_n") - F.col("p_at")))
+        "doc_id", "n", "at", "single", "before", "fold", "component")))
     # Bits in which the folded bitmaps differ: the sets differ in as many shingles at least.
     apart = sum((F.bit_count(F.get("fold", F.lit(i)).bitwiseXOR(F.get("p_fold", F.lit(i)))) for i in range(_FOLD)), F.lit(0))
-    met = outside.join(mixed, "token").where(
+    # A document outside the main component meets all others; of two outside ones the smaller meets the larger. No more
+    # can be shared than the shorter rest holds.
+    return outside.join(mixed, "token").where(
         (F.col("component") != F.col("p_component"))
         & ((F.col("component") == F.col("main")) | (F.col("p_doc_id") < F.col("doc_id")))
-        & ((F.col("n") + F.col("p_n")) * percent <= most * (100 + percent))
-        & ((F.col("n") + F.col("p_n") - apart) * (100 + percent) >= (F.col("n") + F.col("p_n")) * (2 * percent)))
-    pairs = met.groupBy(F.least("p_doc_id", "doc_id").alias("a"), F.greatest("p_doc_id", "doc_id").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"))
-    return linked.unionByName(_checked(_plausible(pairs, infos, percent), texts, size, percent))
+        & ((F.col("n") + F.col("p_n")) * percent
+           <= F.least(F.col("n") - F.col("at"), F.col("p_n") - F.col("p_at")) * (100 + percent))
+        & ((F.col("n") + F.col("p_n") - apart) * (100 + percent) >= (F.col("n") + F.col("p_n")) * (2 * percent))
+        & ~(F.col("single") & F.col("p_single") & F.arrays_overlap("before", "p_before")))
+
+
+def _matching(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share as many prefix shingles as both ask for."""
+    a, b = (named.select(F.col("doc_id").alias(side), "token").distinct() for side in "ab")
+    shared = pairs.join(a, "a").join(b, ["b", "token"]).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("asked").alias("asked"))
+    return stored(shared.where("shared >= asked").select("a", "b"))
 
 
 def _plausible(pairs: DataFrame, infos: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share as many prefix shingles as both ask for, fit in size and whose bitmaps are near."""
+    """Pairs that fit in size and whose bitmaps are near, with the prefix shingles they are to share."""
     a = infos.select(F.col("doc_id").alias("a"), "n", F.col("asked").alias("asked_a"), F.col("bits").alias("x"), "open")
     b = infos.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("asked").alias("asked_b"),
                      F.col("bits").alias("y"), F.col("open").alias("open_b"))
     fit = pairs.join(a, "a").join(b, "b").where(
-        (F.col("shared") >= F.least("asked_a", "asked_b")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+        (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
         & ((F.col("n") + F.col("m")) * percent <= F.least("open", "open_b") * (100 + percent)))
-    return stored(fit.select("a", "b", "x", "y", "n", "m").mapInArrow(_near(percent), "a long, b long"))
+    asked = F.least("asked_a", "asked_b").alias("asked")
+    return stored(fit.select("a", "b", asked, "x", "y", "n", "m").mapInArrow(_near(percent), "a long, b long, asked int"))
