@@ -38,6 +38,24 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Numbers(dict):
+    """Numbers of pieces. A new piece takes the next number as it is looked up, and is listed."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.fresh.append(piece)
+        return number
+
+    def forget(self) -> None:
+        for piece in self.fresh:
+            del self[piece]
+        self.fresh.clear()
+
+
 class Encoder:
     """Encodes with the tokenizers library, each distinct piece once."""
 
@@ -47,7 +65,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = byte_letters()
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.sizes = np.zeros(1 << 14, np.int64)
@@ -59,7 +77,7 @@ class Encoder:
                  self.tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         own = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        i = len(self.known)
+        i = len(self.known) - len(found)
         if self.used + len(own) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * (self.used + len(own)))
         if i + len(found) > len(self.starts):
@@ -69,7 +87,6 @@ class Encoder:
         self.sizes[i:i + len(found)] = sizes
         self.starts[i:i + len(found)] = self.used + np.cumsum(sizes) - sizes
         self.used += len(own)
-        self.known.update(zip(pieces, range(i, i + len(found))))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of the whole text and the end id."""
@@ -78,22 +95,23 @@ class Encoder:
         if any(map(text.__contains__, _OTHER_SPACE)):
             own = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array([*own, END_ID], np.uint32)
-        pieces, before, fresh = _PIECE.findall(text), (len(self.known), self.used), ()
-        try:
-            at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        except KeyError:
-            fresh = list(dict.fromkeys(p for p in pieces if p not in self.known))
-            self._learn(fresh)
-            at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        pieces, known, before = _PIECE.findall(text), self.known, self.used
+        at = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        if known.fresh:
+            try:
+                self._learn(known.fresh)
+            except BaseException:
+                known.forget()
+                raise
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         out = np.empty(int(ends[-1]) + 1, np.uint32)
         out[:-1] = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1])]
         out[-1] = END_ID
-        if len(self.known) > REMEMBERED:
-            for piece in fresh:
-                del self.known[piece]
-            self.used = before[1]
+        if len(known) > REMEMBERED:
+            known.forget()
+            self.used = before
+        known.fresh.clear()
         return out
 
 
