@@ -27,12 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
-from .words import SPACED_LOWER, documents, find_words, gathered, small_batches
+from .tables import new_path, stored
+from .words import SPACED_LOWER, blocks, documents, find_words, gathered, small_batches
 
 STATES = 8
 PASSES = 3
@@ -46,11 +45,21 @@ CANDIDATES = 64
 ADD = 0.1
 #: Bytes of text that are stepped together.
 _TOGETHER = 12 << 20
+#: Bytes of text in a block, whose rare words and sums travel together; a longer text is more.
+_BLOCK_BYTES = 20 << 20
+#: Rare words of a bucket, and symbols in a row of sums.
+_BUCKET_WORDS = 1 << 14
+_CHUNK = 512
 #: Places of the table that finds a known word by the low bits of its hash.
 _FOUND_BY = 1 << 20
 
 END = np.uint64(0x9E3779B97F4A7C15)
 
+#: Words of a bucket that a block has, their counts (64 bits) and the shares of the states in these; or sums in ``shares``.
+PACKED = "bucket int, block int, words binary, n binary, shares binary"
+_PACKED = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("words", pa.binary()), ("n", pa.binary()),
+                     ("shares", pa.binary())])
+
 
 def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string")), F.lit(10)) == 0, F.lit(False))
@@ -155,64 +164,106 @@ def build_lexicon(counts: DataFrame) -> Lexicon:
     return Lexicon(*own, SYMBOLS, shared_count, shared_words, int(total[0] or 0), int(total[1]))
 
 
-def text_key(text: Column) -> Column:
-    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+def _bits(lexicon: Lexicon) -> int:
+    """Words are dealt to 2 ** bits buckets by the first bits of their hashes, about ``_BUCKET_WORDS`` to each."""
+    return min(20, max(4, math.ceil(math.log2(max(1, lexicon.distinct) / _BUCKET_WORDS))))
 
 
-def rare_words(docs: DataFrame, shared) -> DataFrame:
-    """(key, rare): for each distinct text its distinct words without a symbol that every worker holds."""
-    small_batches(docs.sparkSession)
+def _blocked(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` with the block of each text: blocks are the same in every pass, as rows are dealt by what they hold."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // _BLOCK_BYTES)).cast("int")
+    return docs.select(block.alias("block"), *columns)
+
+
+def _packed(rows: list[tuple]) -> pa.Table:
+    return pa.table(list(zip(*rows)) or [[]] * len(_PACKED), schema=_PACKED)
+
+
+def _array(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _with_facts(texts: DataFrame, facts: DataFrame | None, work, schema: str) -> DataFrame:
+    """``work`` on each block's texts and what is known of its rare words."""
+    if facts is None:
+        return texts.groupBy("block").applyInArrow(lambda block: work(block, None), schema)
+    return texts.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(work, schema)
+
+
+#: Shares travel as 16 bits: 512 steps to each halving, as far down as single precision goes; the last stands for 0.
+_SHARE = np.append(np.exp2(np.arange(65535) / -512), 0).astype(np.float32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = shared.value
-        for block in gathered(batches, "text", _TOGETHER):
-            h, first = sequences(block.column("text"))
-            rare = lexicon.find(h)[0] >= lexicon.n_symbols
-            cuts = np.concatenate([[0], np.cumsum(rare)])[first]
-            words = h[rare].view(np.int64)
-            lists = [np.unique(words[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([block.column("key"), pa.array(lists, pa.list_(pa.int64()))], ["key", "rare"])
-
-    found = docs.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "key string, rare array<long>")
-    return stored(found.where(F.size("rare") > 0).groupBy("key").agg(F.first("rare").alias("rare")))
-
-
-def with_factors(docs: DataFrame, rare: DataFrame | None, factors: DataFrame | None) -> DataFrame:
-    """Texts with their rare words (``words``) and those words' factors, state by state (``factors``)."""
-    if rare is None or factors is None:
-        return docs
-    met = rare.select("key", F.explode("rare").alias("word")).join(factors, "word")
-    lists = met.groupBy("key").agg(F.collect_list(F.struct("word", "factor")).alias("own")).select(
-        "key", F.col("own.word").alias("words"), F.flatten("own.factor").alias("factors"))
-    return docs.withColumn("key", text_key(F.col("text"))).join(lists.hint("merge"), "key", "left").drop("key")
-
-
-def block_factors(block: pa.RecordBatch, h: np.ndarray, rare: np.ndarray, states: int):
-    """Factors of the block's words after a row of ones, and the row of each word; None if it has no factors."""
-    if "words" not in block.schema.names:
-        return None
-    words = block.column("words").flatten().to_numpy(zero_copy_only=False)
-    if not len(words):
-        return None
-    factor = block.column("factors").flatten().to_numpy(zero_copy_only=False).reshape(-1, states)
-    names, at = np.unique(words, return_index=True)
-    own = h[rare].view(np.int64)
-    place = np.minimum(np.searchsorted(names, own), len(names) - 1)
-    rows = np.zeros(len(h), np.int32)
-    rows[rare] = np.where(names[place] == own, place + 1, 0)
-    return np.concatenate([np.ones((1, states), np.float32), factor[at].astype(np.float32)]), rows
+
+def _short(shares: np.ndarray) -> np.ndarray:
+    steps = np.rint(-512 * np.log2(np.maximum(shares, 1e-300)))
+    return np.where(shares > 0, np.clip(steps, 0, 65534), 65535).astype("<u2")
+
+
+def _shares(column, states: int, kind: str = "<u2") -> np.ndarray:
+    own = _array(column, kind).reshape(-1, states)
+    return _SHARE[own] if kind == "<u2" else own
+
+
+class _Block:
+    """Sequences of a block's texts in parts that are stepped together, and its distinct rare words."""
+
+    def __init__(self, texts: pa.Table, lexicon: Lexicon):
+        self.number = texts["block"][0].as_py()
+        self.batches = list(blocks(texts.combine_chunks().to_batches(), "text", _TOGETHER))
+        self.parts = []
+        for batch in self.batches:
+            h, first = sequences(batch.column("text"))
+            self.parts.append((h, first, *lexicon.find(h)))
+        self.rare = [symbols >= lexicon.n_symbols for _, _, symbols, _ in self.parts]
+        # By hash, and so by bucket.
+        self.names = np.unique(np.concatenate([h[rare] for (h, *_), rare in zip(self.parts, self.rare)]))
+        self.place = [np.searchsorted(self.names, h[rare]) for (h, *_), rare in zip(self.parts, self.rare)]
+
+    def buckets(self, bits: int) -> Iterator[tuple[int, int, int]]:
+        """Each bucket that the block has words of, and where they begin and end."""
+        own, first = np.unique((self.names >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
+        return zip(own.tolist(), first.tolist(), [*first[1:].tolist(), len(self.names)])
+
+    def facts(self, facts: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray]:
+        """Count of each rare word, and the shares of the states in it, as the buckets sent them."""
+        facts = facts.sort_by("bucket")
+        n = _array(facts["n"], "<i8")
+        if len(n) != len(self.names):
+            raise RuntimeError("texts changed between two passes")
+        return n, _shares(facts["shares"], states)
+
+    def own(self, i: int, factor: np.ndarray | None):
+        """Factors after a row of ones, and the row of each word of part i; None if there are no factors."""
+        if factor is None or not len(factor):
+            return None
+        rows = np.zeros(len(self.rare[i]), np.int32)
+        rows[self.rare[i]] = self.place[i] + 1
+        return np.concatenate([np.ones((1, factor.shape[1]), np.float32), factor]), rows
 
 
 class Chain:
-    """Parameters: start (states), move (states x states), emit (symbols x states); and the table of factors
-    (word, factor), which stays on the driver's side."""
+    """Parameters: start (states), move (states x states), emit (symbols x states), ratio (groups x states: tokens of a
+    group over its expected count); and the table of factors (word, n, factor), with what it is read from (``packed``),
+    which stay on the driver's side."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, factors: DataFrame | None = None):
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, ratio: np.ndarray | None = None,
+                 factors: DataFrame | None = None, packed: DataFrame | None = None):
         self.start, self.move, self.emit = (x.astype(np.float32) for x in (start, move, emit))
-        self.factors = factors
+        self.ratio, self.factors, self.packed = ratio, factors, packed
 
     def __getstate__(self):
-        return {**self.__dict__, "factors": None}
+        return {**self.__dict__, "factors": None, "packed": None}
+
+    def factor(self, words: np.ndarray, n: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """Factors of rare words from their counts and the shares of the states in these.
+
+        Within a group and a state a word's share is (c / C * n + ADD) / (n + ADD * (words + 1)), with c and C the expected
+        counts of word and group and n the group's tokens; the factor is that over its share in all states. The shares of a
+        group's words and of one never seen add up to 1.
+        """
+        ratio = self.ratio[(words & np.uint64(len(self.ratio) - 1)).astype(np.int64)]
+        return ((n[:, None] * shares * ratio + ADD) / (n[:, None] + ADD)).astype(np.float32)
 
     def _emitted(self, symbols: np.ndarray, at: np.ndarray, own) -> np.ndarray:
         out = self.emit[symbols[at]]
@@ -264,56 +315,76 @@ class Chain:
         return posterior[first[:-1]].sum(axis=0), move * self.move, posterior, like
 
 
-def _expected(shared, chain_shared, states: int):
-    """One row per symbol seen by the task, and rows -1 (start), -2 - i (moves from state i), with likelihood in -1;
-    rows of rare words, under their hashes, block by block."""
-    def batch(rare: bool, names: np.ndarray, rows: np.ndarray, likes: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(names), rare)), pa.array(names), *(pa.array(rows[:, s]) for s in range(states)),
-             pa.array(likes)], ["rare", "symbol", *(f"s{s}" for s in range(states)), "like"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _expected(shared, chain_shared, states: int, bits: int):
+    """Rows of expected counts of a block: of rare words, bucket by bucket; of symbols, in chunks numbered from -2
+    downward; of start and moves, with the likelihood, in bucket -1."""
+    def work(texts: pa.Table, facts: pa.Table | None) -> pa.Table:
         lexicon, chain = shared.value, chain_shared.value
-        emit = np.zeros((len(chain.emit), states))
+        if not texts.num_rows:
+            return _packed([])
+        block, factor = _Block(texts, lexicon), None
+        if facts is not None:
+            factor = chain.factor(block.names, *block.facts(facts, states))
+        emit, sums = np.zeros((len(chain.emit), states)), np.zeros((len(block.names), states))
+        n = np.zeros(len(block.names), np.int64)
         start, move, like = np.zeros(states), np.zeros((states, states)), 0.0
-        for block in gathered(batches, "text", _TOGETHER):
-            h, first = sequences(block.column("text"))
-            symbols = lexicon.find(h)[0]
-            rare = symbols >= lexicon.n_symbols
-            one, two, posterior, own = chain.expected(symbols, first, block_factors(block, h, rare, states))
+        for i, (_, first, symbols, _) in enumerate(block.parts):
+            one, two, posterior, own = chain.expected(symbols, first, block.own(i, factor))
             start, move, like = start + one, move + two, like + own.sum()
+            rare, place = block.rare[i], block.place[i]
+            n += np.bincount(place, minlength=len(n))
             for s in range(states):
                 emit[:, s] += np.bincount(symbols, weights=posterior[:, s], minlength=len(emit))
-            if rare.any():
-                names, at = np.unique(h[rare].view(np.int64), return_inverse=True)
-                sums = np.stack([np.bincount(at, weights=posterior[rare, s]) for s in range(states)], axis=1)
-                yield batch(True, names, sums, np.zeros(len(names)))
-        seen = np.flatnonzero(emit.any(axis=1))
-        rows = np.concatenate([emit[seen], start[None], move])
-        names = np.concatenate([seen, [-1], -2 - np.arange(states)]).astype(np.int64)
-        likes = np.zeros(len(rows))
-        likes[len(seen)] = like
-        yield batch(False, names, rows, likes)
-
-    return run
-
-
-def _factors(sums: DataFrame, lexicon: Lexicon, columns: list[str], emit: np.ndarray) -> DataFrame:
-    """(word, factor) of rare words from their expected counts and those of their groups (``emit``).
-
-    Within a group and a state a word's share is (c / C * n + ADD) / (n + ADD * (words + 1)), with c and C the expected
-    counts of word and group and n the group's tokens; the factor is that over its share in all states. The shares of a
-    group's words and of one never seen add up to 1.
-    """
-    group = emit[lexicon.n_symbols:]
-    ratio = np.divide(lexicon.shared_count[:, None], group, out=np.zeros_like(group), where=group > 0)
-    spark = sums.sparkSession
-    ratios = spark.createDataFrame([(i, r) for i, r in enumerate(ratio.tolist())], "place int, ratio array<double>")
-    met = sums.where("rare").withColumn("place", F.col("symbol").bitwiseAND(SHARED - 1).cast("int")).join(
-        F.broadcast(ratios), "place")
-    total = sum((F.col(c) for c in columns), F.lit(0.0)) + ADD
-    return met.select(F.col("symbol").alias("word"), F.array(*(
-        ((F.col(c) * F.col("ratio")[s] + ADD) / total).cast("float") for s, c in enumerate(columns))).alias("factor"))
+                sums[:, s] += np.bincount(place, weights=posterior[rare, s], minlength=len(n))
+        shares = _short(sums / sums.sum(axis=1, keepdims=True))
+        rows = [(bucket, block.number, block.names[a:b].tobytes(), n[a:b].tobytes(), shares[a:b].tobytes())
+                for bucket, a, b in block.buckets(bits)]
+        small = np.concatenate([[like], start, move.ravel()])
+        rows.append((-1, block.number, b"", b"", small.tobytes()))
+        for i, a in enumerate(range(0, len(emit), _CHUNK)):
+            rows.append((-2 - i, block.number, b"", b"", emit[a:a + _CHUNK].astype("<f4").tobytes()))
+        return _packed(rows)
+
+    return work
+
+
+def _summed(states: int, last: bool):
+    """Sums of a bucket over all blocks. Rare words go back to the blocks that have them, or after the ``last`` pass are
+    listed once."""
+    def work(rows: pa.Table) -> pa.Table:
+        bucket = rows["bucket"][0].as_py()
+        if bucket < 0:
+            total = sum(np.frombuffer(x, "<f8" if bucket == -1 else "<f4").astype("<f8") for x in rows["shares"].to_pylist())
+            return _packed([(bucket, -1, b"", b"", total.tobytes())])
+        words, at = np.unique(_array(rows["words"], "<u8"), return_inverse=True)
+        own = _array(rows["n"], "<i8")
+        n = np.bincount(at, weights=own).astype("<i8")
+        shares = own[:, None] * _shares(rows["shares"], states)
+        shares = np.stack([np.bincount(at, weights=shares[:, s]) for s in range(states)], axis=1) / n[:, None]
+        if last:
+            return _packed([(bucket, -1, words.tobytes(), n.tobytes(), shares.astype("<f4").tobytes())])
+        shares = _short(shares)
+        ends = np.cumsum([len(x) // 8 for x in rows["words"].to_pylist()]).tolist()
+        return _packed([(bucket, block, b"", n[at[a:b]].tobytes(), shares[at[a:b]].tobytes())
+                        for block, a, b in zip(rows["block"].to_pylist(), [0, *ends], ends)])
+
+    return work
+
+
+def _factors(packed: DataFrame, chain: Chain, states: int) -> DataFrame:
+    """(word, n, factor) of all rare words."""
+    shared = packed.sparkSession.sparkContext.broadcast(chain)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, n = _array(batch.column("words"), "<u8"), _array(batch.column("n"), "<i8")
+            factor = shared.value.factor(words, n, _shares(batch.column("shares"), states, "<f4"))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(words.view(np.int64)), pa.array(n),
+                pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * states, factor.ravel())],
+                ["word", "n", "factor"])
+
+    return packed.mapInArrow(run, "word long, n long, factor array<float>")
 
 
 def _started(docs: DataFrame, lexicon: Lexicon, states: int) -> Chain:
@@ -342,34 +413,100 @@ def train(docs: DataFrame, lexicon: Lexicon, states: int = STATES, passes: int =
     """Baum-Welch over all of ``docs``; also the log likelihood before each pass."""
     sc = docs.sparkSession.sparkContext
     small_batches(docs.sparkSession)
-    shared, chain, likes = sc.broadcast(lexicon), _started(docs, lexicon, states), []
-    columns = [f"s{s}" for s in range(states)]
-    schema = "rare boolean, symbol long, " + ", ".join(f"{c} double" for c in columns) + ", like double"
-    rare = rare_words(docs, shared) if lexicon.shared_words.any() else None
-    for _ in range(passes):
-        work = _expected(shared, sc.broadcast(chain), states)
-        table = stored(with_factors(docs, rare, chain.factors).mapInArrow(work, schema).groupBy("rare", "symbol").agg(
-            *(F.sum(c).alias(c) for c in [*columns, "like"])))
-        sums = table.where("NOT rare").toArrow()  # a fixed number of rows at most
-        names = sums["symbol"].to_numpy()
-        values = np.stack([sums[c].to_numpy() for c in columns], axis=1)
-        place = dict(zip(names.tolist(), range(len(names))))
-        if -1 not in place:
+    shared, chain, likes, bits = sc.broadcast(lexicon), _started(docs, lexicon, states), [], _bits(lexicon)
+    texts, facts, has_rare = _blocked(docs, "text"), None, bool(lexicon.shared_words.any())
+    # A pass reads what the one before wrote, and writes over the one before that.
+    paths = [new_path(docs.sparkSession), new_path(docs.sparkSession)]
+    for i in range(passes):
+        rows = _with_facts(texts, facts, _expected(shared, sc.broadcast(chain), states, bits), PACKED)
+        table = stored(rows.groupBy("bucket").applyInArrow(_summed(states, i == passes - 1), PACKED), path=paths[i % 2])
+        found = dict(table.where("bucket < 0").select("bucket", "shares").toLocalIterator())  # a fixed number of rows
+        if not found:
             break
-        likes.append(float(sums["like"].to_numpy()[place[-1]]))
-        emit = np.repeat(lexicon.unigram()[:, None], states, axis=1)  # one token's worth of the overall shares
-        gathered_counts = np.zeros_like(emit)
-        gathered_counts[names[names >= 0]] = values[names >= 0]
-        emit += gathered_counts
-        start = values[place[-1]] + ADD
-        move = np.stack([values[place[-2 - i]] for i in range(states)]) + ADD
-        chain = Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0),
-                      None if rare is None else _factors(table, lexicon, columns, gathered_counts))
+        small = np.frombuffer(found.pop(-1), "<f8")
+        likes.append(float(small[0]))
+        counts = np.concatenate([np.frombuffer(found[k], "<f8") for k in sorted(found, reverse=True)]).reshape(-1, states)
+        emit = lexicon.unigram()[:, None] + counts  # one token's worth of the overall shares
+        start, move = small[1:1 + states] + ADD, small[1 + states:].reshape(states, states) + ADD
+        group = counts[lexicon.n_symbols:]
+        ratio = np.divide(lexicon.shared_count[:, None], group, out=np.zeros_like(group), where=group > 0)
+        facts = table.where("bucket >= 0") if has_rare else None
+        chain = Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), ratio)
+        if has_rare and i == passes - 1:
+            chain.factors, chain.packed = _factors(facts, chain, states), facts
     return chain, likes
 
 
-SCORED = ("row_key string, doc_id long, n_tokens long, n_known long, base double, chain double, "
-          "rare array<long>, times array<long>")
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+_SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                     ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+def _listed(shared, bits: int):
+    """Rare words of a block, bucket by bucket."""
+    def work(texts: pa.Table) -> pa.Table:
+        block = _Block(texts, shared.value)
+        return _packed([(bucket, block.number, block.names[a:b].tobytes(), b"", b"") for bucket, a, b in block.buckets(bits)])
+
+    return work
+
+
+def _counted(rows: pa.Table) -> pa.Table:
+    """A bucket's words with their counts alone."""
+    words, order = np.unique(rows["word"].to_numpy().view(np.uint64), return_index=True)
+    return _packed([(rows["bucket"][0].as_py(), -1, words.tobytes(), rows["n"].to_numpy()[order].tobytes(), b"")])
+
+
+def _told(states: int):
+    """Counts and shares of a bucket's words for the blocks that have them; 0 for a word never seen."""
+    def work(lists: pa.Table, table: pa.Table) -> pa.Table:
+        words = np.append(_array(table["words"], "<u8"), np.uint64(0))
+        n = np.append(_array(table["n"], "<i8"), 0)
+        shares = np.full((len(words), states), 65535, "<u2")
+        own = _shares(table["shares"], states, "<f4")
+        if len(own):
+            shares[:-1] = _short(own)
+        rows = []
+        for block, body in zip(lists["block"].to_pylist(), lists["words"].to_pylist()):
+            wanted = np.frombuffer(body, "<u8")
+            at = np.searchsorted(words[:-1], wanted)
+            at[words[at] != wanted] = len(words) - 1
+            rows.append((lists["bucket"][0].as_py(), block, b"", n[at].tobytes(), shares[at].tobytes()))
+        return _packed(rows)
+
+    return work
+
+
+def _scores(shared, chain_shared, with_factors: bool):
+    def work(texts: pa.Table, facts: pa.Table | None) -> pa.Table:
+        lexicon, chain = shared.value, chain_shared.value
+        if not texts.num_rows:
+            return _SCORED.empty_table()
+        block, factor = _Block(texts, lexicon), None
+        count = np.zeros(len(block.names), np.int64)
+        if facts is not None:
+            count, shares = block.facts(facts, len(chain.start))
+            factor = chain.factor(block.names, count, shares) if with_factors else None
+        base, rare_base = lexicon.base(lexicon.counts), lexicon.base(count)
+        share = lexicon.share(lexicon.n_symbols + shared_symbol(block.names), count)
+        out = []
+        for i, (batch, (_, first, symbols, at)) in enumerate(zip(block.batches, block.parts)):
+            rare, place = block.rare[i], block.place[i]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(first))
+
+            def added(common: np.ndarray, own: np.ndarray) -> np.ndarray:
+                return (np.bincount(owner[~rare], weights=common, minlength=batch.num_rows)
+                        + np.bincount(owner[rare], weights=own, minlength=batch.num_rows))
+
+            none = np.zeros(int((~rare).sum()))
+            score = chain.forward(symbols, first, own=block.own(i, factor)) / math.log(10) + added(none, share[place])
+            out.append(pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array(np.diff(first)),
+                pa.array(added(none + 1, count[place] > 0).astype(np.int64)), pa.array(added(base[at[~rare]], rare_base[place])),
+                pa.array(score)], schema=_SCORED))
+        return pa.Table.from_batches(out)
+
+    return work
 
 
 def score(df: DataFrame, lexicon: Lexicon, chain: Chain, counts: DataFrame, id_col: str = "doc_id",
@@ -377,54 +514,19 @@ def score(df: DataFrame, lexicon: Lexicon, chain: Chain, counts: DataFrame, id_c
     """One row per row of ``df``: doc_id, n_tokens, n_known, base_score, score (log10)."""
     docs, sc = documents(df, id_col, text_col), df.sparkSession.sparkContext
     small_batches(df.sparkSession)
-    shared, chain_shared = sc.broadcast(lexicon), sc.broadcast(chain)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, chain = shared.value, chain_shared.value
-        base = lexicon.base(lexicon.counts)
-        share = lexicon.share(lexicon.symbols, lexicon.counts)
-        task, made = TaskContext.get().partitionId(), 0
-        for block in gathered(batches, "text", _TOGETHER):
-            h, first = sequences(block.column("text"))
-            symbols, at = lexicon.find(h)
-            known = at >= 0
-            own = block_factors(block, h, symbols >= lexicon.n_symbols, len(chain.start))
-            owner = np.repeat(np.arange(block.num_rows), np.diff(first))
-            add = lambda v: np.bincount(owner[known], weights=v[at[known]], minlength=block.num_rows)
-            rare, times = [], []
-            hidden = np.where(known, 0, 1)
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, weights=hidden, minlength=block.num_rows))]).astype(int)
-            unknown = h[~known].view(np.int64)
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                w, n = np.unique(unknown[a:b], return_counts=True)
-                rare.append(w)
-                times.append(n)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([f"{task}.{made + i}" for i in range(block.num_rows)]), block.column("doc_id"),
-                pa.array(np.diff(first)), pa.array(np.bincount(owner[known], minlength=block.num_rows)),
-                pa.array(add(base)), pa.array(chain.forward(symbols, first, own=own) / math.log(10) + add(share)),
-                pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                ["row_key", "doc_id", "n_tokens", "n_known", "base", "chain", "rare", "times"])
-            made += block.num_rows
-
-    # Written once: row keys name rows of this table, whatever is run again.
-    words = None if chain.factors is None else rare_words(docs, shared)
-    scored = stored(with_factors(docs, words, chain.factors).mapInArrow(run, SCORED))
-    rare = scored.select("row_key", F.inline(F.arrays_zip("rare", "times"))).toDF("row_key", "word", "times")
-    met = rare.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    place = F.col("word").bitwiseAND(SHARED - 1).cast("int")
-    rows = [F.array(*map(F.lit, x.tolist())) for x in (lexicon.shared_count, lexicon.shared_words)]
-    tables = met.sparkSession.range(1).select(rows[0].alias("shared_count"), rows[1].alias("shared_words"))
-    met = met.crossJoin(F.broadcast(tables))  # one row
-    part = F.log10((F.col("n") + ADD) / (F.get("shared_count", place) + ADD * (F.get("shared_words", place) + 1)))
-    sums = met.groupBy("row_key").agg(
-        F.sum(F.col("times") * F.log10((F.col("n") + ADD) / (lexicon.tokens + ADD * (lexicon.distinct + 1)))).alias("base_rare"),
-        F.sum(F.col("times") * part).alias("chain_rare"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_rare"))
-    whole = scored.drop("rare", "times").join(sums, "row_key", "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return whole.select("doc_id", "n_tokens", (F.col("n_known") + zero("known_rare")).alias("n_known"),
-                        (F.col("base") + zero("base_rare")).alias("base_score"), (F.col("chain") + zero("chain_rare")).alias("score"))
+    shared, chain_shared, bits = sc.broadcast(lexicon), sc.broadcast(chain), _bits(lexicon)
+    with_factors = chain.factors is not None
+    texts, work = _blocked(docs, "doc_id", "text"), _scores(shared, chain_shared, with_factors)
+    if not lexicon.shared_words.any():  # every word that has a count has its own symbol
+        return _with_facts(texts, None, work, SCORED)
+    if with_factors:
+        table = chain.packed
+    else:
+        bucket = F.shiftrightunsigned("word", 64 - bits).cast("int")
+        table = counts.select(bucket.alias("bucket"), "word", "n").groupBy("bucket").applyInArrow(_counted, PACKED)
+    lists = texts.groupBy("block").applyInArrow(_listed(shared, bits), PACKED)
+    facts = stored(lists.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(_told(len(chain.start)), PACKED))
+    return _with_facts(texts, facts, work, SCORED)
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, passes: int = PASSES):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
@@ -13,11 +13,24 @@ from tidemark.session import checkpoint_dir
 BROADCAST_BYTES = 32 << 20
 
 
-def stored(df: DataFrame, **options: str) -> DataFrame:
-    """``df`` written once as Parquet in the session's shared folder: it survives lost executors and cuts the plan."""
+#: Spark's setting that drops the shuffle files of an execution when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def new_path(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str | None = None, **options: str) -> DataFrame:
+    """``df`` written once as Parquet in the session's shared folder: it survives lost executors and cuts the plan. With
+    ``path``, over what is there. What was shuffled for it is dropped as soon as it is written."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    path, before = path or new_path(spark), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**options).mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
