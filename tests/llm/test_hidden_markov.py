@@ -4,11 +4,13 @@ import itertools
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 
 from tidemark.llm import hidden_markov as hm
 from tidemark.llm.queries import op5_hidden_markov
+from tidemark.session import checkpoint_dir
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -125,3 +127,17 @@ def test_training_helps(spark):
     rows = hm.score(df, lexicon, chain, counts).collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
     assert np.allclose(chain.emit.sum(axis=0), 1, atol=1e-3) and np.allclose(chain.move.sum(axis=1), 1, atol=1e-4)
+
+
+def test_passes_leave_little_behind(spark, monkeypatch):
+    # Nearly all words are rare, and a pass writes over what an earlier one wrote.
+    monkeypatch.setattr(hm, "SYMBOLS", 3)
+    monkeypatch.setattr(hm, "KNOWN", 6)
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lexicon, counts = hm.build_lexicon(hm.word_counts(df)), hm.word_counts(df).count()
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("tidemark-*"))
+    hm.train(df.select("doc_id", "text"), lexicon, passes=4)
+    made = [f for d in set(folder.glob("tidemark-*")) - before for f in d.rglob("*.parquet")]
+    size = sum(f.stat().st_size for f in made)
+    assert size < 100 * counts, (size, counts)

@@ -3,8 +3,9 @@
 Latent states emit words; the end of a text is a word of its own, so that texts of any length share one distribution.
 The most frequent words are symbols of the chain that every worker holds. Other words are symbols whose emissions are a
 table: an emission is that of a group of words (by hash), times the word's share of the group by its exact count, times
-a factor for each state, learned from the word's own expected counts. Factors are joined to the texts that have the
-word, so their table grows with the words of the corpus. A word never seen has the factor 1.
+a factor for each state, learned from the word's own expected counts. A word never seen has the factor 1. Texts are dealt
+to blocks and rare words to buckets; a block sends each bucket the words it has, packed, and gets back what is known of
+them over the whole corpus, so that tables grow with the words of the corpus and no row is made for a word.
 
 Training is Baum-Welch: every pass runs the scaled forward and backward recursions over all training texts, whole, in
 parallel over partitions; each task sums expected counts per word and transition, Spark adds these up over tasks, and
@@ -12,8 +13,7 @@ the driver holds only the parameters of fixed size (states x symbols). States st
 among a fixed number of candidates; this start is the only thing taken from a sample. Scoring is the forward recursion
 over the whole text, exact up to rounding.
 
-Counts of all words are a table. The ``KNOWN`` most frequent ones are broadcast (a fixed bound); the rest, which are
-few in any text, are joined by word and summed per text.
+Counts of all words are a table. Those of symbols are broadcast (a fixed bound); the rest come by way of the buckets.
 
 Defined results: a null text counts as empty and is its end alone; a null id is not held out; rows with equal ids are
 scored each by its own text; other columns are ignored. Words are told apart by 64-bit hashes.
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +44,11 @@ KNOWN = 1 << 18
 #: Texts that the states may start from.
 CANDIDATES = 64
 ADD = 0.1
-#: Bytes of text that are stepped together.
-_TOGETHER = 12 << 20
+#: Bytes of text whose words are counted together, and of those that are stepped together.
+_COUNTED = 8 << 20
+_TOGETHER = 2 << 20
 #: Bytes of text in a block, whose rare words and sums travel together; a longer text is more.
-_BLOCK_BYTES = 20 << 20
+_BLOCK_BYTES = 12 << 20
 #: Rare words of a bucket, and symbols in a row of sums.
 _BUCKET_WORDS = 1 << 14
 _CHUNK = 512
@@ -76,7 +78,7 @@ def _gathered_map(df: DataFrame, work, schema: str) -> DataFrame:
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in gathered(batches, "text", _TOGETHER):
+        for block in gathered(batches, "text", _COUNTED):
             yield pa.RecordBatch.from_pydict(work(block))
 
     return df.mapInArrow(run, schema)
@@ -210,15 +212,15 @@ class _Block:
 
     def __init__(self, texts: pa.Table, lexicon: Lexicon):
         self.number = texts["block"][0].as_py()
+        # Texts of like length are stepped together, so that few steps serve many.
+        texts = texts.take(np.argsort(pc.binary_length(texts["text"]).fill_null(0).to_numpy(), kind="stable"))
         self.batches = list(blocks(texts.combine_chunks().to_batches(), "text", _TOGETHER))
-        self.parts = []
-        for batch in self.batches:
-            h, first = sequences(batch.column("text"))
-            self.parts.append((h, first, *lexicon.find(h)))
-        self.rare = [symbols >= lexicon.n_symbols for _, _, symbols, _ in self.parts]
-        # By hash, and so by bucket.
-        self.names = np.unique(np.concatenate([h[rare] for (h, *_), rare in zip(self.parts, self.rare)]))
-        self.place = [np.searchsorted(self.names, h[rare]) for (h, *_), rare in zip(self.parts, self.rare)]
+        found = [sequences(batch.column("text")) for batch in self.batches]
+        self.parts = [(first, *lexicon.find(h)) for h, first in found]
+        self.rare = [symbols >= lexicon.n_symbols for _, symbols, _ in self.parts]
+        rare = [h[own] for (h, _), own in zip(found, self.rare)]
+        self.names = np.unique(np.concatenate(rare))  # by hash, and so by bucket
+        self.place = [np.searchsorted(self.names, h) for h in rare]
 
     def buckets(self, bits: int) -> Iterator[tuple[int, int, int]]:
         """Each bucket that the block has words of, and where they begin and end."""
@@ -233,13 +235,11 @@ class _Block:
             raise RuntimeError("texts changed between two passes")
         return n, _shares(facts["shares"], states)
 
-    def own(self, i: int, factor: np.ndarray | None):
-        """Factors after a row of ones, and the row of each word of part i; None if there are no factors."""
-        if factor is None or not len(factor):
-            return None
+    def rows(self, i: int) -> np.ndarray:
+        """Row of each word of part i in a table of factors that begins with a row of ones."""
         rows = np.zeros(len(self.rare[i]), np.int32)
         rows[self.rare[i]] = self.place[i] + 1
-        return np.concatenate([np.ones((1, factor.shape[1]), np.float32), factor]), rows
+        return rows
 
 
 class Chain:
@@ -256,63 +256,89 @@ class Chain:
         return {**self.__dict__, "factors": None, "packed": None}
 
     def factor(self, words: np.ndarray, n: np.ndarray, shares: np.ndarray) -> np.ndarray:
-        """Factors of rare words from their counts and the shares of the states in these.
+        """Factors of rare words after a row of ones, from their counts and the shares of the states in these.
 
         Within a group and a state a word's share is (c / C * n + ADD) / (n + ADD * (words + 1)), with c and C the expected
         counts of word and group and n the group's tokens; the factor is that over its share in all states. The shares of a
         group's words and of one never seen add up to 1.
         """
         ratio = self.ratio[(words & np.uint64(len(self.ratio) - 1)).astype(np.int64)]
-        return ((n[:, None] * shares * ratio + ADD) / (n[:, None] + ADD)).astype(np.float32)
-
-    def _emitted(self, symbols: np.ndarray, at: np.ndarray, own) -> np.ndarray:
-        out = self.emit[symbols[at]]
-        return out if own is None else out * own[0][own[1][at]]
-
-    def _steps(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Texts by falling length, and how many of them have a word at each place."""
-        sizes = np.diff(first)
-        order = np.argsort(-sizes, kind="stable")
-        active = np.searchsorted(-sizes[order], -np.arange(sizes.max(initial=0)), side="left")
-        return order, first[:-1][order], active
-
-    def forward(self, symbols: np.ndarray, first: np.ndarray, keep: bool = False, own=None):
-        """Natural log likelihood of each text (and scaled states and scales of each word)."""
-        order, begin, active = self._steps(first)
-        like = np.zeros(len(order))
-        states = np.empty((len(symbols), len(self.start)), np.float32) if keep else None
-        scales = np.empty(len(symbols), np.float32) if keep else None
-        alpha = None
-        for t, n in enumerate(active.tolist()):
-            at = begin[:n] + t
-            alpha = (self.start if t == 0 else alpha[:n] @ self.move) * self._emitted(symbols, at, own)
-            scale = alpha.sum(axis=1)
-            alpha /= scale[:, None]
-            like[:n] += np.log(scale)
-            if keep:
-                states[at], scales[at] = alpha, scale
-        out = np.empty_like(like)
-        out[order] = like
-        return (out, states, scales) if keep else out
+        own = (n[:, None] * shares * ratio + ADD) / (n[:, None] + ADD)
+        return np.concatenate([np.ones((1, own.shape[1])), own]).astype(np.float32)
+
+    def _emitted(self, symbols: np.ndarray, own) -> np.ndarray:
+        """States x words."""
+        out = np.empty((len(self.start), len(symbols)), np.float32)
+        for s, row in enumerate(np.ascontiguousarray(self.emit.T)):
+            np.take(row, symbols, out=out[s])
+        if own is not None:
+            rare = np.flatnonzero(own[1])
+            out[:, rare] *= own[0][own[1][rare]].T
+        return out
+
+    def _ahead(self, emitted: np.ndarray, out: np.ndarray, active: list[int], begin: list[int]) -> np.ndarray:
+        """Scaled states after each word into ``out``, which may be ``emitted`` itself; and the scales."""
+        scales, move = np.empty(emitted.shape[1], np.float32), np.ascontiguousarray(self.move.T)
+        for t, n in enumerate(active):
+            a = begin[t]
+            now = move @ out[:, begin[t - 1]:begin[t - 1] + n] if t else np.repeat(self.start[:, None], n, axis=1)
+            now *= emitted[:, a:a + n]
+            scale = now.sum(axis=0, out=scales[a:a + n])
+            np.divide(now, scale, out=out[:, a:a + n])
+        return scales
+
+    def forward(self, symbols: np.ndarray, first: np.ndarray, own=None) -> np.ndarray:
+        """Natural log likelihood of each text."""
+        order, active, begin, at = _by_place(first)
+        emitted = self._emitted(symbols[at], None if own is None else (own[0], own[1][at]))
+        return _likes(self._ahead(emitted, emitted, active, begin), order, active)
+
+    def counted(self, symbols: np.ndarray, first: np.ndarray, own=None):
+        """Expected counts: start, move, states x words; log likelihoods, and which word each of these is."""
+        order, active, begin, at = _by_place(first)
+        emitted = self._emitted(symbols[at], None if own is None else (own[0], own[1][at]))
+        states = np.empty_like(emitted)
+        scales = self._ahead(emitted, states, active, begin)
+        emitted /= scales
+        move, beta = np.zeros(self.move.shape), np.ones((len(self.start), len(order)), np.float32)
+        for t in range(len(active) - 2, -1, -1):
+            n, a, after = active[t + 1], begin[t], begin[t + 1]
+            seen = emitted[:, after:after + n]
+            seen *= beta[:, :n]
+            here = states[:, a:a + n]
+            move += here @ seen.T
+            here *= np.matmul(self.move, seen, out=beta[:, :n])
+        states /= states.sum(axis=0)
+        return states[:, :len(order)].sum(axis=1), move * self.move, states, _likes(scales, order, active), at
 
     def expected(self, symbols: np.ndarray, first: np.ndarray, own=None):
         """Expected counts: start, move, per-word states; and the log likelihood."""
-        like, states, scales = self.forward(symbols, first, True, own)
-        order, begin, active = self._steps(first)
-        move = np.zeros(self.move.shape)
-        posterior = states.copy()
-        beta = np.ones((len(order), len(self.start)), np.float32)
-        counts = active.tolist()
-        for t in range(len(counts) - 2, -1, -1):
-            n = counts[t + 1]
-            after, at = begin[:n] + t + 1, begin[:n] + t
-            seen = self._emitted(symbols, after, own) * beta[:n]
-            seen /= scales[after][:, None]
-            move += states[at].T @ seen
-            beta[:n] = seen @ self.move.T
-            posterior[at] *= beta[:n]
-        posterior /= posterior.sum(axis=1, keepdims=True)
-        return posterior[first[:-1]].sum(axis=0), move * self.move, posterior, like
+        start, move, states, like, at = self.counted(symbols, first, own)
+        posterior = np.empty(states.shape[::-1], np.float32)
+        posterior[at] = states.T
+        return start, move, posterior, like
+
+
+def _by_place(first: np.ndarray) -> tuple[np.ndarray, list[int], list[int], np.ndarray]:
+    """Texts by falling length, how many of them have a word at each place, where those words begin when all are put in
+    order of places, and which words they are."""
+    sizes = np.diff(first)
+    order = np.argsort(-sizes, kind="stable")
+    active = np.searchsorted(-sizes[order], -np.arange(sizes.max(initial=0)), side="left")
+    begin = np.cumsum(active) - active
+    place = np.repeat(np.arange(len(active)), active)
+    at = first[:-1][order][np.arange(len(place)) - begin[place]] + place
+    return order, active.tolist(), begin.tolist(), at
+
+
+def _likes(scales: np.ndarray, order: np.ndarray, active: list[int]) -> np.ndarray:
+    logs, like, a = np.log(scales), np.zeros(len(order)), 0
+    for n in active:
+        like[:n] += logs[a:a + n]
+        a += n
+    out = np.empty_like(like)
+    out[order] = like
+    return out
 
 
 def _expected(shared, chain_shared, states: int, bits: int):
@@ -325,18 +351,21 @@ def _expected(shared, chain_shared, states: int, bits: int):
         block, factor = _Block(texts, lexicon), None
         if facts is not None:
             factor = chain.factor(block.names, *block.facts(facts, states))
-        emit, sums = np.zeros((len(chain.emit), states)), np.zeros((len(block.names), states))
+        emit, sums = np.zeros((states, len(chain.emit))), np.zeros((states, len(block.names)))
         n = np.zeros(len(block.names), np.int64)
         start, move, like = np.zeros(states), np.zeros((states, states)), 0.0
-        for i, (_, first, symbols, _) in enumerate(block.parts):
-            one, two, posterior, own = chain.expected(symbols, first, block.own(i, factor))
+        for i, (first, symbols, _) in enumerate(block.parts):
+            rows = block.rows(i)
+            one, two, posterior, own, at = chain.counted(symbols, first, None if factor is None else (factor, rows))
             start, move, like = start + one, move + two, like + own.sum()
-            rare, place = block.rare[i], block.place[i]
+            symbols, rows = symbols[at], rows[at]
+            rare = np.flatnonzero(rows)
+            place = rows[rare] - 1
             n += np.bincount(place, minlength=len(n))
             for s in range(states):
-                emit[:, s] += np.bincount(symbols, weights=posterior[:, s], minlength=len(emit))
-                sums[:, s] += np.bincount(place, weights=posterior[rare, s], minlength=len(n))
-        shares = _short(sums / sums.sum(axis=1, keepdims=True))
+                emit[s] += np.bincount(symbols, weights=posterior[s], minlength=emit.shape[1])
+                sums[s] += np.bincount(place, weights=posterior[s, rare], minlength=len(n))
+        emit, shares = emit.T, _short((sums / sums.sum(axis=0)).T)
         rows = [(bucket, block.number, block.names[a:b].tobytes(), n[a:b].tobytes(), shares[a:b].tobytes())
                 for bucket, a, b in block.buckets(bits)]
         small = np.concatenate([[like], start, move.ravel()])
@@ -378,7 +407,7 @@ def _factors(packed: DataFrame, chain: Chain, states: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, n = _array(batch.column("words"), "<u8"), _array(batch.column("n"), "<i8")
-            factor = shared.value.factor(words, n, _shares(batch.column("shares"), states, "<f4"))
+            factor = shared.value.factor(words, n, _shares(batch.column("shares"), states, "<f4"))[1:]
             yield pa.RecordBatch.from_arrays([
                 pa.array(words.view(np.int64)), pa.array(n),
                 pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * states, factor.ravel())],
@@ -490,7 +519,7 @@ def _scores(shared, chain_shared, with_factors: bool):
         base, rare_base = lexicon.base(lexicon.counts), lexicon.base(count)
         share = lexicon.share(lexicon.n_symbols + shared_symbol(block.names), count)
         out = []
-        for i, (batch, (_, first, symbols, at)) in enumerate(zip(block.batches, block.parts)):
+        for i, (batch, (first, symbols, at)) in enumerate(zip(block.batches, block.parts)):
             rare, place = block.rare[i], block.place[i]
             owner = np.repeat(np.arange(batch.num_rows), np.diff(first))
 
@@ -499,7 +528,7 @@ def _scores(shared, chain_shared, with_factors: bool):
                         + np.bincount(owner[rare], weights=own, minlength=batch.num_rows))
 
             none = np.zeros(int((~rare).sum()))
-            score = chain.forward(symbols, first, own=block.own(i, factor)) / math.log(10) + added(none, share[place])
+            score = chain.forward(symbols, first, None if factor is None else (factor, block.rows(i))) / math.log(10) + added(none, share[place])
             out.append(pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.diff(first)),
                 pa.array(added(none + 1, count[place] > 0).astype(np.int64)), pa.array(added(base[at[~rare]], rare_base[place])),
