@@ -2,10 +2,14 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from tidemark.llm import jaccard_join
 from tidemark.llm.graph import components
 from tidemark.llm.jaccard_join import near_classes
 from tidemark.llm.queries import op4_jaccard_join
+from tidemark.llm.words import SPACED_LOWER, find_words
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -117,3 +121,24 @@ def test_a_pair_meets_once(spark, monkeypatch):
     assert got(near_classes(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
     pairs = made[0].select("doc_id", "p_doc_id").distinct().count()
     assert 60 < pairs and made[0].count() < 4 * pairs
+
+
+def test_driver_gets_a_byte_for_each_slot(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 97}" for j in range(30))) for i in range(200)],
+                                 "doc_id long, text string").repartition(3)
+    kind, received = type(docs), []
+    for name in ("collect", "toLocalIterator"):
+        def told(self, *args, own=getattr(kind, name), **options):
+            rows = list(own(self, *args, **options))
+            received.append(sum(len(v) for row in rows for v in row if isinstance(v, (bytes, bytearray))))
+            return rows
+        monkeypatch.setattr(kind, name, told)
+    levels, bound = jaccard_join.slot_levels(docs, 5)
+    assert 0 < sum(received) <= jaccard_join.SLOTS
+    monkeypatch.undo()
+    counts = np.zeros(jaccard_join.SLOTS, np.int64)
+    texts = pa.array([r.text for r in docs.collect()])
+    for own in jaccard_join.shingles(find_words(texts, SPACED_LOWER), 5):
+        np.add.at(counts, (own & np.uint64(jaccard_join.SLOTS - 1)).astype(np.int64), 1)
+    want = np.floor(np.log2(np.maximum(counts / max(1.0, counts.mean()), 1)))
+    assert np.array_equal(levels, want) and bound == counts[want == 0].max()

@@ -107,24 +107,41 @@ def _sum(kind: str):
     return run
 
 
+def _levels(mean: float):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.frombuffer(x, "<i8") for x in batch.column("counts").to_pylist()]
+            levels = [np.floor(np.log2(np.maximum(x / mean, 1))).astype(np.uint8) for x in rows]
+            bounds = [int(x[level == 0].max(initial=0)) for x, level in zip(rows, levels)]
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array([x.tobytes() for x in levels], pa.binary()),
+                                              pa.array(bounds, pa.int64())], ["chunk", "levels", "bound"])
+
+    return work
+
+
 def slot_levels(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """Level of each slot, and the greatest count of a slot of level 0."""
+    """Level of each slot, and the greatest count of a slot of level 0. The driver gets a byte for each slot."""
     small_batches(docs.sparkSession)
     schema = "chunk int, counts binary"
     counted = docs.mapInArrow(_count(size), schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64)))
     partly = counted.groupBy("chunk", "salt").applyInArrow(
         lambda t: _sum("<i4")(t.select(["chunk", "counts"])), schema)
-    counts = np.zeros((SLOTS // _CHUNK, _CHUNK), np.int64)
-    for row in partly.groupBy("chunk").applyInArrow(_sum("<i8"), schema).toLocalIterator():  # a fixed number of rows
-        counts[row["chunk"]] = np.frombuffer(row["counts"], "<i8")
-    mean, bound = max(1.0, counts.mean()), 0
-    levels = np.empty(counts.shape, np.uint8)
-    for part, level in zip(counts, levels):  # the driver holds no second array of all slots
-        level[:] = np.floor(np.log2(np.maximum(part / mean, 1)))
-        bound = max(bound, int(part[level == 0].max(initial=0)))
+    counts = stored(partly.groupBy("chunk").applyInArrow(_sum("<i8"), schema))
+    each = counts.mapInArrow(_total, "n long").agg(F.sum("n")).first()[0] or 0
+    levels, bound = np.zeros((SLOTS // _CHUNK, _CHUNK), np.uint8), 0
+    rows = counts.mapInArrow(_levels(max(1.0, each / SLOTS)), "chunk int, levels binary, bound long")
+    for row in rows.collect():  # a fixed number of rows
+        levels[row["chunk"]] = np.frombuffer(row["levels"], np.uint8)
+        bound = max(bound, row["bound"])
     return levels.ravel(), bound
 
 
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [int(np.frombuffer(x, "<i8").sum()) for x in batch.column("counts").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n"])
+
+
 def _classes(size: int):
     def work(block: pa.RecordBatch) -> dict:
         own = list(shingles(find_words(block.column("text"), SPACED_LOWER), size))
