@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -175,6 +177,13 @@ def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterat
         yield pa.concat_batches(held)
 
 
+def give_back() -> None:
+    """Free memory back to the system: a worker stays for later tasks, and others run beside it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_blocks(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, text: str = "text",
                limit: int = BLOCK_BYTES) -> DataFrame:
     """``work`` on every bounded block of ``df``; it returns columns by name, in the order of ``schema``."""
@@ -188,6 +197,8 @@ def map_blocks(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], sch
                 yield pa.RecordBatch.from_arrays(
                     [v if isinstance(v, pa.Array) else pa.array(v, t.type) for v, t in zip(out.values(), arrow)],
                     schema=arrow)
+        block = out = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 
