@@ -1,15 +1,19 @@
 """Boosted trees and forests against a plain split search; level-wise growth against growth in one task."""
 
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tidemark.operators.binning import fit_binning
+from tidemark.operators import trees
+from tidemark.operators.binning import Layout, fit_binning
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.trees import Growth, Tree, grow_here
+from tidemark.plans import ensembles
 from tidemark.plans.ensembles import Ensemble, TreeModel, _dealt, boost_learner, fit_boosted, fit_forest, forest_learner
 from tidemark.plans.training import feature_importance, train_boosted, train_forest, with_scores
 
@@ -227,3 +231,74 @@ def test_no_sums_are_taken_at_the_greatest_depth(monkeypatch):
     tree = grow_here(codes, np.select([codes[:, 0] < 9, codes[:, 0] < 30, codes[:, 0] < 41], [-1.0, 1.0, -2.0], 0.5), 0.25 * n, n, Layout([63], []), Growth(max_depth=2, min_child_weight=0), 1)
     assert levels == [1, 2] and (tree.column >= 0).sum() == 2
     assert tree.value[tree.column < 0].all() and tree.cover[tree.column < 0].sum() == 16
+
+
+def most_held(work):
+    """(result, MB of arrays that ``work`` held at most)."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / (1 << 20)
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("kind", ["logistic", "mean"])
+def test_workers_score_with_some_trees_at_a_time(spark, data, monkeypatch, kind):
+    fit = fit_boosted if kind == "logistic" else fit_forest
+    model = fit(data, "y", *([{**CONFIG, "n_estimators": 9}] if kind == "logistic" else [9]), exclude=("id",), keys=["id"])
+    want = {r["id"]: r["p"] for r in data.select("id", model.score(data).alias("p")).collect()}
+    sent, broadcast, limit = [], spark.sparkContext.broadcast, 3 * 24 * max(len(t.column) for t in model.trees)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or broadcast(value))
+    monkeypatch.setattr(ensembles, "SCORED_BYTES", limit, raising=False)
+    got = {r["id"]: r["pred_proba"] for r in with_scores(model, data).collect()}
+    assert got == want and len(sent) > 2
+    assert all(sum(getattr(t, n).nbytes for t in value[1] for n in t.__dict__) <= limit for value in sent)
+    assert sum(len(value[1]) for value in sent) == 9
+
+
+def test_growing_a_tree_holds_sums_of_some_nodes_at_a_time(monkeypatch):
+    r = np.random.default_rng(3)
+    layout = Layout([60] * 20, [])
+    codes, y, n = r.integers(0, 61, (30_000, 20), np.int32), r.integers(0, 2, 30_000).astype(float), np.ones(30_000)
+    growth = Growth(max_depth=12, reg_lambda=0.0, min_child_weight=0.0, columns=0.3, per_node=True, mean=True)
+    grown, most = most_held(lambda: grow_here(codes, y, n, n, layout, growth, 5))
+    assert most < 20  # 36 MB when all nodes of a level are summed up at once
+    monkeypatch.setattr(trees, "CELLS_AT_ONCE", 1 << 30)
+    whole = grow_here(codes, y, n, n, layout, growth, 5)
+    assert len(whole.column) > 1000 and all(np.array_equal(getattr(grown, f), getattr(whole, f)) for f in whole.__dict__)
+
+
+def piece(r, rows):
+    """Rows of 12 columns that have few combinations of bins."""
+    codes = r.integers(0, 4, (rows, 1), np.int32) + r.integers(0, 1000, (rows, 1), np.int32) * np.arange(12, dtype=np.int32)
+    each = np.arange(rows)
+    return ensembles._piece(codes, each, (codes[:, 0] % 2).astype(np.float32), np.ones(rows), np.full(rows, -1, np.int32), each,
+                            r.integers(0, 1 << 62, rows).astype(np.uint64))
+
+
+def test_pieces_are_joined_one_at_a_time():
+    r = np.random.default_rng(4)
+    pieces = [piece(r, 20_000) for _ in range(60)]
+    table = pa.Table.from_batches([ensembles._batch([{"grp": 0, **p} for p in pieces], "grp int, " + ensembles._PIECE)])
+    merged, most = most_held(lambda: ensembles._merged(12, [[0]], True)(table).to_pylist()[0])
+    assert len(merged["codes"]) == 4000 * 12 * 4 and len(merged["draw"]) == 8 * 60 * 20_000 and merged["score"] == b""
+    assert most < 8 * len(merged["draw"]) / (1 << 20)
+    read = lambda p, n: np.frombuffer(p[n], ensembles._PIECE_TYPES[n])
+
+    def listed(p):
+        kind = read(p, "kind")
+        return np.column_stack([read(p, "codes").reshape(-1, 12)[read(p, "profile")][kind], read(p, "y")[kind], read(p, "draw")])
+
+    rows = np.concatenate([listed(p) for p in pieces])
+    assert np.array_equal(listed(merged)[np.argsort(read(merged, "draw"))], rows[np.argsort(rows[:, -1])])
+
+
+def test_rows_are_drawn_some_at_a_time(monkeypatch):
+    layout = Layout([1003] * 12, [])
+    block = ensembles._Block({**piece(np.random.default_rng(6), 1_000_000), "score": b""}, layout)
+    learner = forest_learner(12, seed=9)
+    got, most = most_held(lambda: block.gradients(learner, 0, np.zeros(block.n)))
+    assert most < 16  # 31 MB when all rows are drawn at once
+    monkeypatch.setattr(ensembles, "DRAWS_AT_ONCE", 1 << 30)
+    want = block.gradients(learner, 0, np.zeros(block.n))
+    assert all(np.array_equal(a, b) for a, b in zip(got, want)) and got[3].sum() == pytest.approx(632_121, rel=0.01)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -14,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import give_back
+
 #: Bytes of text that one block holds; a longer document is a block of its own.
 BLOCK_BYTES = 1 << 21
 #: Rows that Spark hands to Python at once, so that a batch of long documents stays small.
@@ -177,13 +177,6 @@ def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterat
         yield pa.concat_batches(held)
 
 
-def give_back() -> None:
-    """Free memory back to the system: a worker stays for later tasks, and others run beside it."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def map_blocks(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, text: str = "text",
                limit: int = BLOCK_BYTES) -> DataFrame:
     """``work`` on every bounded block of ``df``; it returns columns by name, in the order of ``schema``."""

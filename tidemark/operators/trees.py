@@ -14,6 +14,8 @@ from .binning import Layout
 
 #: A Newton split must gain more than this.
 LEAST_GAIN = 1e-6
+#: Cells (rows x columns) whose sums a task holds at a time while it grows a tree; a larger node is one of its own.
+CELLS_AT_ONCE = 1 << 17
 #: Decimal places at which gains are compared.
 DIGITS = 9
 
@@ -226,6 +228,21 @@ def best_splits(node, cell, g, h, rows, layout: Layout, growth: Growth, allowed:
                   total_g, total_h, chosen(ga, gb), chosen(ha, hb), total_n, chosen(na, nb))
 
 
+def _level(here: np.ndarray, rows: np.ndarray, codes: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, layout: Layout,
+           growth: Growth, allowed: np.ndarray | None, seed: int, nodes: int) -> Splits:
+    """Best splits of the nodes ``here`` that ``rows`` lie in, so many nodes at a time as have ``CELLS_AT_ONCE`` cells."""
+    order, ends = np.argsort(here, kind="stable"), np.cumsum(np.bincount(here, minlength=nodes))
+    parts, first, start = [], 0, 0
+    while first < nodes:
+        last = max(first + 1, int(np.searchsorted(ends, start + CELLS_AT_ONCE // layout.columns, side="right")))
+        some = order[start:ends[last - 1]]
+        own = rows[some]
+        node, *sums = cell_sums(here[some] - first, codes[own], g[own], h[own], n[own], layout, last - first)
+        parts.append(best_splits(node + first, *sums, layout, growth, allowed, seed))
+        first, start = last, int(ends[last - 1])
+    return Splits(*(np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(Splits)))
+
+
 def grow_here(codes: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, layout: Layout, growth: Growth, seed: int,
               allowed: np.ndarray | None = None, depth: int = 0) -> Tree:
     """A whole (sub)tree from sums of like rows at hand, ``n`` rows each; ``depth`` is that of its root."""
@@ -234,9 +251,7 @@ def grow_here(codes: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, la
     while len(frontier) and (depth == start or not growth.max_depth or depth < growth.max_depth):  # deeper ones have their values
         place = np.zeros(len(tree.column), np.int64)
         place[frontier] = np.arange(len(frontier))
-        here = place[node[rows]]
-        cells = cell_sums(here, codes[rows], g[rows], h[rows], n[rows], layout, len(frontier))
-        splits = best_splits(*cells, layout, growth, allowed, seeded(seed, depth))
+        splits = _level(place[node[rows]], rows, codes, g, h, n, layout, growth, allowed, seeded(seed, depth), len(frontier))
         if growth.max_depth and depth >= growth.max_depth:
             splits.column[:] = -1
         tree.grow(splits, frontier, growth)

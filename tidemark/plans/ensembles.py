@@ -25,17 +25,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
+from pyspark import Broadcast, StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.binning import Binning, Layout, fit_binning
 from ..operators.columns import field
+from ..operators.ordering import held
 from ..operators.trees import (
     Growth, Splits, Tree, best_splits, cell_sums, drawn_features, grow_here, mixed, seeded,
 )
-from ..session import checkpointed
+from ..session import checkpointed, give_back
 
 #: Cells (rows x columns) of a block, and of a node that one task finishes.
 BLOCK_CELLS = 1 << 20
@@ -43,6 +44,10 @@ BLOCK_CELLS = 1 << 20
 BLOCK_ROWS = 1 << 23
 #: Trees that tasks add to the written scores; then scores are written again.
 KEPT_TREES = 32
+#: Rows whose draws a task holds at a time.
+DRAWS_AT_ONCE = 1 << 17
+#: Bytes of trees that a worker scores with at a time; a larger tree is scored with alone.
+SCORED_BYTES = 1 << 24
 #: Rounds of one job where a block holds all rows of its models.
 ROUNDS_AT_ONCE = 16
 
@@ -122,15 +127,30 @@ class _Block:
     def drawn(self, seed: int, number: int) -> np.ndarray:
         """A uniform number per row; models of one seed share those of a round."""
         if self._last[0] != (seed, number):
-            self._last = (seed, number), _uniform(self.draw ^ np.uint64(seeded(seed, number, 1)))
+            self._last = (seed, number), np.concatenate([u for _, u in self._draws(seed, number)] or [np.zeros(0)])
         return self._last[1]
 
+    def _draws(self, seed: int, number: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(kind, uniform number) of the rows, a part of them at a time."""
+        name = np.uint64(seeded(seed, number, 1))
+        for lo in range(0, len(self.draw), DRAWS_AT_ONCE):
+            yield self.kind[lo:lo + DRAWS_AT_ONCE], _uniform(self.draw[lo:lo + DRAWS_AT_ONCE] ^ name)
+
+    def bootstrapped(self, seed: int, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """(rows drawn at all, draws) of each kind."""
+        rows, times = np.zeros(len(self.y)), np.zeros(len(self.y))
+        for kind, u in self._draws(seed, number):  # rows are ordered by kind
+            first, each = kind[0], _poisson(u)
+            for total, x in ((rows, each > 0), (times, each)):
+                some = np.bincount(kind - first, weights=x)
+                total[first:first + len(some)] += some
+        return rows, times
+
     def gradients(self, learner: Learner, number: int, scores: np.ndarray):
         """(combination, g, h, rows) over the rows a model learns from in a round."""
         rows = times = self.rows  # of each kind
         if learner.bootstrap:
-            each = _poisson(self.drawn(learner.seed, number))
-            rows, times = (np.bincount(self.kind, weights=x, minlength=len(self.y)) for x in (each > 0, each))
+            rows, times = self.bootstrapped(learner.seed, number)
         elif learner.subsample < 1:
             rows = times = np.bincount(self.kind[self.drawn(learner.seed, number) < learner.subsample], minlength=len(self.y))
         if learner.fold is not None:
@@ -173,11 +193,15 @@ def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def _piece(codes, profile, y, w, fold, kind, draw) -> dict:
     """The arrays of a block: equal combinations of bins and equal kinds become one, rows are ordered by kind and draw."""
     first, number = _distinct(list(codes.T))
-    profile = number[profile]
+    return _packed(codes[first], number[profile], y, w, fold, kind, draw)
+
+
+def _packed(codes, profile, y, w, fold, kind, draw) -> dict:
+    """The arrays of a block whose combinations are distinct already."""
     some, of = _distinct([profile, y, w, fold])
     kind = of[kind]
     order = np.lexsort((draw, kind))
-    arrays = {"codes": codes[first], "profile": profile[some], "y": y[some], "w": w[some], "fold": fold[some],
+    arrays = {"codes": codes, "profile": profile[some], "y": y[some], "w": w[some], "fold": fold[some],
               "kind": kind[order], "draw": draw[order]}
     return {n: np.ascontiguousarray(arrays[n], k).tobytes() for n, k in _PIECE_TYPES.items()}
 
@@ -198,6 +222,8 @@ def _pieces(binning: Binning, cells: int):
                     held, size = [], 0
         if held:
             yield pack(held)
+        batch = part = held = None
+        give_back()
 
     def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         batch = pa.concat_batches(held)
@@ -222,28 +248,48 @@ def _combinations(columns: int):
     return run
 
 
-def _merged(columns: int):
-    """All pieces of a group as one block."""
+def _merged(columns: int, groups: list[list[int]], mean: bool):
+    """All pieces of a group as one block. Combinations are joined a piece at a time, so only distinct ones add up."""
     def run(table: pa.Table) -> pa.Table:
-        parts = {n: [np.frombuffer(body.as_py(), k) for body in table[n]] for n, k in _PIECE_TYPES.items()}
-        for inner, outer, width in (("profile", "codes", columns), ("kind", "profile", 1)):
-            starts = np.cumsum([0, *(len(x) // width for x in parts[outer])])
-            parts[inner] = [x + at for x, at in zip(parts[inner], starts)]
-        whole = {n: np.concatenate(x) for n, x in parts.items()}
-        row = _piece(**{**whole, "codes": whole["codes"].reshape(-1, columns)})
-        return pa.Table.from_batches([_batch([{"grp": table["grp"][0].as_py(), **row, "score": b""}], _BLOCK)])
+        every = lambda n: [np.frombuffer(body.as_buffer(), _PIECE_TYPES[n]) for body in table[n]]
+        codes, steps = np.zeros((0, columns), np.int32), []
+        for part in every("codes"):
+            known, both = len(codes), np.concatenate([codes, part.reshape(-1, columns)])
+            first, number = _distinct(list(both.T))
+            codes = both[first]
+            steps.append((number[:known], number[known:]))
+        at, numbers = np.arange(len(codes), dtype=np.int32), []
+        for old, new in reversed(steps):
+            numbers.append(at[new])
+            at = at[old]
+        profile = np.concatenate([own[x] for own, x in zip(reversed(numbers), every("profile"))])
+        starts = np.cumsum([0, *(len(x) for x in every("y"))]).astype(np.int32)
+        kind = np.concatenate([x + at for x, at in zip(every("kind"), starts)])
+        row = _packed(codes, profile, *(np.concatenate(every(n)) for n in ("y", "w", "fold")), kind, np.concatenate(every("draw")))
+        grp = table["grp"][0].as_py()
+        del table, kind
+        out = pa.Table.from_batches([_batch([{"grp": grp, **row, "score": _zeros(groups[grp], len(codes), mean)}], _BLOCK)])
+        row = None
+        give_back()
+        return out
 
     return run
 
 
+def _zeros(models: list[int], combinations: int, mean: bool) -> bytes:
+    """A score of 0 for each model and combination; none where models average."""
+    return b"" if mean else np.zeros(len(models) * combinations).tobytes()
+
+
 def _unscored(groups: list[list[int]], columns: int, mean: bool):
     """Blocks with a score of 0 for each model of their group and combination."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                scores = 0 if mean else len(groups[row["grp"]]) * (len(row["codes"]) // (4 * columns))
-                yield _batch([{**row, "score": np.zeros(scores).tobytes()}], _BLOCK)
+                yield _batch([{**row, "score": _zeros(groups[row["grp"]], len(row["codes"]) // (4 * columns), mean)}], _BLOCK)
+        batch = row = None
+        give_back()
 
     return run
 
@@ -275,6 +321,8 @@ def _over_blocks(shared, work: Callable) -> Callable:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 yield from work(shared.value, row, _Block(row, shared.value.layout))
+        batch = row = None
+        give_back()
 
     return run
 
@@ -448,12 +496,12 @@ class Ensemble:
         self.groups = _dealt(learners, dealt)
         self.state = _State(layout, learners, self.groups, {}, {}, 0)
         blocks = blocks.withColumn("grp", F.explode(F.array(*map(F.lit, range(dealt)))) if dealt > 1 else F.lit(0))
+        blocks, mean = blocks.repartition(dealt, "grp") if dealt > 1 else blocks, all(m.growth.mean for m in learners)
         if self.whole and wanted > 1:
-            blocks = blocks.repartition(dealt, "grp").groupBy("grp").applyInArrow(_merged(columns), _BLOCK).drop("score")
-        elif dealt > 1:
-            blocks = blocks.repartition(dealt, "grp")
-        blocks = blocks.select("grp", *_PIECE_TYPES, F.lit(None).cast("binary").alias("score")).mapInArrow(
-            _unscored(self.groups, columns, all(m.growth.mean for m in learners)), _BLOCK)
+            blocks = blocks.groupBy("grp").applyInArrow(_merged(columns, self.groups, mean), _BLOCK)
+        else:
+            blocks = blocks.select("grp", *_PIECE_TYPES, F.lit(None).cast("binary").alias("score")).mapInArrow(
+                _unscored(self.groups, columns, mean), _BLOCK)
         self.blocks = self._held(blocks)
         if wanted > 1:
             pieces.unpersist()
@@ -570,27 +618,53 @@ class TreeModel:
     kind: str
 
     def score(self, df: DataFrame) -> Column:
-        """Probability of class 1 as a column of ``df``."""
-        shared = df.sparkSession.sparkContext.broadcast((self.binning, self.trees, self.kind))
+        """Probability of class 1 as a column of ``df``. Workers hold all trees; with ``transform`` they hold some at a time."""
+        return self._added(df, self.trees)[0]
+
+    def _added(self, df: DataFrame, trees: list[Tree], begun: Column | None = None, more: bool = False) -> tuple[Column, Broadcast]:
+        """``begun`` plus what ``trees`` add to it, or without ``more`` the probability that results; and what workers hold."""
+        slim = [replace(t, gain=t.gain[:0], cover=t.cover[:0]) for t in trees]
+        shared = df.sparkSession.sparkContext.broadcast((self.binning, slim, self.kind, len(self.trees)))
         names = [f"b{i}" for i in range(len(self.binning.projected(df)))]
 
         @F.pandas_udf("double")
         def probability(frames: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            binning, trees, kind = shared.value
+            binning, trees, kind, every = shared.value
             for frame in frames:
                 columns = [pa.array(frame[n], from_pandas=not binning.vector or n != "b0") for n in names]
                 codes = binning.codes(columns)
-                total = np.zeros(len(frame))
+                total = frame["begun"].to_numpy(np.float64, copy=True)
                 for tree in trees:
                     total += tree.value[tree.leaves(codes, binning.layout)]
-                yield pd.Series(1 / (1 + np.exp(-total)) if kind == "logistic" else total / max(len(trees), 1))
+                if not more:
+                    total = 1 / (1 + np.exp(-total)) if kind == "logistic" else total / max(every, 1)
+                yield pd.Series(total)
+
+        begun = F.lit(0.0) if begun is None else begun
+        return probability(F.struct(*[c.alias(n) for c, n in zip(self.binning.projected(df), names)], begun.alias("begun"))), shared
 
-        return probability(F.struct(*[c.alias(n) for c, n in zip(self.binning.projected(df), names)]))
+    def _parts(self) -> list[list[Tree]]:
+        """The trees in their order, ``SCORED_BYTES`` of them at a time."""
+        out, size = [[]], 0
+        for tree in self.trees:
+            own = sum(getattr(tree, n).nbytes for n in _TYPES if n not in ("gain", "cover"))
+            if out[-1] and size + own > SCORED_BYTES:
+                out, size = [*out, []], 0
+            out[-1].append(tree)
+            size += own
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``probability`` (a vector of both classes) and ``prediction``."""
-        p = F.col("_p")
-        scored = df.withColumn("_p", self.score(df))
+        """Adds ``probability`` (a vector of both classes) and ``prediction``. Trees beyond ``SCORED_BYTES`` (forests grown
+        until nodes are pure) are added up in several passes, each checkpointed."""
+        *before, last = self._parts()
+        begun, p = None, F.col("_p")
+        for trees in before:
+            total, shared = self._added(df, trees, begun, more=True)
+            with held(df.withColumn("_p", total)) as part:
+                df, begun = checkpointed(part), p
+            shared.destroy()
+        scored = df.withColumn("_p", self._added(df, last, begun)[0])
         return scored.withColumns({
             "probability": array_to_vector(F.array(1.0 - p, p)), "prediction": (p >= 0.5).cast("double")}).drop("_p")
 
